@@ -128,7 +128,7 @@ def run(spark, sf_dir: str, names=None, verbose=True) -> dict:
             out[name] = {"rows_spark": len(spdf), "sql": False, "sec": round(ts, 2)}
         else:
             try:
-                dpdf = con.execute(sqls[name]).fetch_arrow_table().to_pandas(date_as_object=True)
+                dpdf = con.sql(sqls[name]).to_arrow_table().to_pandas(date_as_object=True)
                 r = compare(spdf, dpdf)
             except Exception as e:  # noqa: BLE001
                 r = {"error": f"duckdb: {type(e).__name__}: {str(e)[:400]}"}
