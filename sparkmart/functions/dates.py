@@ -13,7 +13,7 @@ def to_date_col(c, fmt: str | None = None) -> Column:
     col = as_col(c)
     if fmt is None:
         return F.try_to_date(col.cast("string"))
-    return F.try_to_date(col.cast("string"), F.lit(fmt))
+    return F.try_to_date(col.cast("string"), fmt)
 
 
 def first_of_month(c) -> Column:
