@@ -1 +1,260 @@
-"""placeholder"""
+"""Model-job queries (MLD-*, AGG-11/12, SRC-8, SRT-2).
+
+Labelled loans (30 dpd at mob 6) from the loan book, with customer and customer-month
+features; document quality labels for the metric checks.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from sparkmart.functions.hashing import unit_hash
+from sparkmart.models.metrics import f1_accuracy, log_loss, roc_auc
+from sparkmart.models.monitor import monitor
+from sparkmart.models.scale import apply_scaler, fit_scaler
+from sparkmart.models.score import score
+from sparkmart.models.split import assign_windows, stratified_split
+from sparkmart.models.train import random_search, train_gbt
+from sparkmart.operators.clean import missing_flags
+from sparkmart.operators.features import days_past_due
+from sparkmart.operators.joins import left_chain
+from sparkmart.operators.labels import default_label
+from sparkmart.operators.profile import class_balance, metrics_summary
+from sparkmart.queries.joins_q import customer_months
+from sparkmart.queries.loanbook import SILVER_SQL, loan_book
+from sparkmart.queries.registry import query
+from sparkmart.session import scratch_path
+from sparkmart.sources.tables import table
+from sparkmart.sources.writers import load_model, save_model
+
+TRAIN_DATE = "2000-09-01"
+FEATURES = ["c_acctbal", "c_nationkey", "n_orders", "spend", "spend_missing"]
+
+_U = "(('0x' || substr(md5(CAST({k} AS VARCHAR) || '|{s}'), 1, 8))::BIGINT / 4294967296.0)"
+
+_LABELS_SQL = f"""
+WITH s AS ({SILVER_SQL}),
+lab AS (SELECT loan_id, Customer_ID, loan_start_date, CAST(CASE WHEN dpd >= 30 THEN 1 ELSE 0 END AS INTEGER) AS label,
+               snapshot_date FROM s WHERE mob = 6)
+"""
+
+_DOC_SCORES = """(SELECT d.doc_id, d.n_chars / (d.n_chars + 2000.0) AS score, l.quality AS label
+                  FROM documents d JOIN labels l ON d.doc_id = l.doc_id)"""
+
+
+def loan_labels(spark, sf_dir):
+    return default_label(days_past_due(loan_book(spark, sf_dir)), 30, 6)
+
+
+def model_frame(spark, sf_dir):
+    """Labels LEFT JOIN customer attributes LEFT JOIN customer-month features, with windows."""
+    attrs = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("Customer_ID"), "c_acctbal", "c_nationkey")
+    df = left_chain(loan_labels(spark, sf_dir), [(attrs, ["Customer_ID"]),
+                                                 (customer_months(spark, sf_dir), ["Customer_ID", "snapshot_date"])])
+    df = missing_flags(df, ["spend"])
+    return assign_windows(df, TRAIN_DATE)
+
+
+def doc_scores(spark, sf_dir):
+    d = table(spark, sf_dir, "documents").select("doc_id", "n_chars")
+    lab = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
+    return d.join(lab, "doc_id").select("doc_id", (F.col("n_chars") / (F.col("n_chars") + 2000.0)).alias("score"), "label")
+
+
+@query("oot_split", sql=_LABELS_SQL + f"""
+SELECT loan_id, snapshot_date, CASE
+    WHEN snapshot_date BETWEEN CAST(DATE '{TRAIN_DATE}' - INTERVAL 2 MONTH AS DATE) AND DATE '{TRAIN_DATE}' - 1 THEN 'oot'
+    WHEN snapshot_date BETWEEN CAST(DATE '{TRAIN_DATE}' - INTERVAL 14 MONTH AS DATE)
+                           AND CAST(DATE '{TRAIN_DATE}' - INTERVAL 2 MONTH AS DATE) - 1 THEN 'train_test'
+    ELSE 'outside' END AS window_name
+FROM lab
+""")
+def q_oot_split(spark, sf_dir):
+    """MLD-2: out-of-time / train-test windows for a run at ``TRAIN_DATE``."""
+    return assign_windows(loan_labels(spark, sf_dir), TRAIN_DATE).select("loan_id", "snapshot_date", "window_name")
+
+
+_STRAT = f"""
+WITH t AS (SELECT doc_id, quality, {_U.format(k="doc_id", s=88)} AS u FROM labels),
+c AS (SELECT quality, quantile_disc(u, 0.8) AS cut FROM t GROUP BY quality),
+sp AS (SELECT t.doc_id, t.quality, CASE WHEN t.u <= c.cut THEN 'train' ELSE 'test' END AS split
+       FROM t JOIN c ON t.quality = c.quality)
+"""
+
+
+@query("stratified_split", sql=_STRAT + "SELECT doc_id, quality, split FROM sp")
+def q_stratified_split(spark, sf_dir):
+    """MLD-3: seeded 80/20 split stratified by ``quality`` (md5 draw, per-class quantile cut)."""
+    lab = table(spark, sf_dir, "labels").select("doc_id", "quality")
+    return stratified_split(lab, "doc_id", "quality", 0.8, seed=88)
+
+
+@query("class_balance", sql=_STRAT + """
+SELECT split, count(*) AS rows, avg(CAST(quality AS DOUBLE)) AS positive_rate FROM sp GROUP BY split
+""")
+def q_class_balance(spark, sf_dir):
+    """AGG-11: rows and positive rate per split."""
+    lab = table(spark, sf_dir, "labels").select("doc_id", "quality")
+    return class_balance(stratified_split(lab, "doc_id", "quality", 0.8, seed=88), "split", "quality")
+
+
+@query("standard_scale", sql=f"""
+WITH t AS (SELECT c_custkey, c_acctbal, c_nationkey, {_U.format(k="c_custkey", s=88)} AS u FROM customer),
+st AS (SELECT avg(c_acctbal) AS m1, stddev_pop(c_acctbal) AS s1, avg(CAST(c_nationkey AS DOUBLE)) AS m2,
+              stddev_pop(CAST(c_nationkey AS DOUBLE)) AS s2 FROM t WHERE u < 0.8)
+SELECT c_custkey, round((c_acctbal - m1) / s1, 9) AS c_acctbal, round((c_nationkey - m2) / s2, 9) AS c_nationkey
+FROM t, st
+""")
+def q_standard_scale(spark, sf_dir):
+    """MLD-4: mean / population-std scaling fitted on the training draw only."""
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal", "c_nationkey")
+    stats = fit_scaler(c.where(unit_hash("c_custkey", 88) < 0.8), ["c_acctbal", "c_nationkey"])
+    out = apply_scaler(c, stats)
+    return out.select("c_custkey", F.round("c_acctbal", 9).alias("c_acctbal"),
+                      F.round("c_nationkey", 9).alias("c_nationkey"))
+
+
+@query("roc_auc", sql=f"""
+WITH t AS {_DOC_SCORES},
+d AS (SELECT score, sum(label) AS pos, sum(1 - label) AS neg FROM t GROUP BY score),
+w AS (SELECT *, coalesce(sum(neg) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS nb FROM d),
+a AS (SELECT sum(pos * (nb + neg / 2.0)) / (sum(pos) * sum(neg)) AS auc, sum(pos) AS p, sum(neg) AS n FROM w)
+SELECT auc, round(2 * auc - 1, 3) AS gini, CAST(p AS BIGINT) AS n_pos, CAST(n AS BIGINT) AS n_neg FROM a
+""")
+def q_roc_auc(spark, sf_dir):
+    """MLD-7: exact AUC (ties half) and Gini of a length-based score against document quality."""
+    return roc_auc(doc_scores(spark, sf_dir), "score", "label")
+
+
+@query("log_loss", sql=f"""
+WITH t AS {_DOC_SCORES}, c AS (SELECT *, least(greatest(score, 1e-15), 1 - 1e-15) AS p FROM t)
+SELECT count(*) AS rows, round(avg(score), 9) AS mean_score, round(avg(CAST(label AS DOUBLE)), 9) AS positive_rate,
+       round(avg(-(label * ln(p) + (1 - label) * ln(1 - p))), 9) AS logloss
+FROM c
+""")
+def q_log_loss(spark, sf_dir):
+    """MLD-9: log loss, mean score and row count."""
+    out = log_loss(doc_scores(spark, sf_dir), "score", "label")
+    return out.select("rows", *[F.round(c, 9).alias(c) for c in ("mean_score", "positive_rate", "logloss")])
+
+
+@query("f1_accuracy", sql=f"""
+WITH t AS {_DOC_SCORES},
+c AS (SELECT count(*) FILTER (WHERE score > 0.5 AND label = 1) AS tp, count(*) FILTER (WHERE score > 0.5 AND label <> 1) AS fp,
+             count(*) FILTER (WHERE score <= 0.5 AND label = 1) AS fn, count(*) FILTER (WHERE score <= 0.5 AND label <> 1) AS tn
+      FROM t)
+SELECT tp, fp, fn, tn, coalesce(2.0 * tp / nullif(2.0 * tp + fp + fn, 0), 0.0) AS f1_score,
+       CAST(tp + tn AS DOUBLE) / (tp + fp + fn + tn) AS accuracy
+FROM c
+""")
+def q_f1_accuracy(spark, sf_dir):
+    """MLD-8: F1 and accuracy at threshold 0.5."""
+    return f1_accuracy(doc_scores(spark, sf_dir), "score", "label", 0.5)
+
+
+def _order_scores(spark, sf_dir):
+    o = table(spark, sf_dir, "orders")
+    return o.select(F.col("o_orderkey").alias("loan_id"), F.lit("price_model").alias("model_name"),
+                    (F.col("o_totalprice") / (F.col("o_totalprice") + 150000.0)).alias("score"))
+
+
+@query("monitor_by_snapshot", sql=_LABELS_SQL + """,
+p AS (SELECT o_orderkey AS loan_id, 'price_model' AS model_name, o_totalprice / (o_totalprice + 150000.0) AS score FROM orders),
+j AS (SELECT p.model_name, lab.snapshot_date, p.score, lab.label FROM p JOIN lab ON p.loan_id = lab.loan_id),
+d AS (SELECT model_name, snapshot_date, score, sum(label) AS pos, sum(1 - label) AS neg FROM j GROUP BY ALL),
+w AS (SELECT *, coalesce(sum(neg) OVER (PARTITION BY model_name, snapshot_date ORDER BY score
+                                       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS nb FROM d),
+a AS (SELECT model_name, snapshot_date,
+             CASE WHEN sum(pos) > 0 AND sum(neg) > 0 THEN sum(pos * (nb + neg / 2.0)) / (sum(pos) * sum(neg)) END AS auc
+      FROM w GROUP BY ALL),
+m AS (SELECT model_name, snapshot_date, count(*) AS inference_count, avg(CAST(label AS DOUBLE)) AS positive_rate,
+             avg(score) AS mean_score,
+             avg(-(label * ln(least(greatest(score, 1e-15), 1 - 1e-15))
+                   + (1 - label) * ln(1 - least(greatest(score, 1e-15), 1 - 1e-15)))) AS logloss
+      FROM j GROUP BY ALL)
+SELECT m.model_name, m.snapshot_date, m.inference_count, round(m.positive_rate, 9) AS positive_rate,
+       round(m.mean_score, 9) AS mean_score, round(a.auc, 9) AS auc_score, round(m.logloss, 9) AS logloss
+FROM m LEFT JOIN a USING (model_name, snapshot_date)
+""")
+def q_monitor_by_snapshot(spark, sf_dir):
+    """MLD-12: scores joined to realised labels; count, positive rate, mean score, AUC, log loss per snapshot."""
+    out = monitor(_order_scores(spark, sf_dir), loan_labels(spark, sf_dir), ["loan_id"])
+    return out.select("model_name", "snapshot_date", "inference_count",
+                      *[F.round(c, 9).alias(c) for c in ("positive_rate", "mean_score", "auc_score", "logloss")])
+
+
+def _metric_runs(spark, sf_dir):
+    o = table(spark, sf_dir, "orders")
+    return (o.groupBy(F.concat(F.lit("model_"), F.col("o_orderpriority")).alias("model_name"),
+                      F.trunc(F.col("o_orderdate").cast("date"), "MM").alias("created_at"))
+             .agg(_dyadic(F.avg("o_totalprice") / 600000.0).alias("auc_score"),
+                  _dyadic(F.avg(F.when(F.col("o_orderstatus") == "F", 1.0).otherwise(0.0))).alias("f1_score"),
+                  _dyadic(F.avg(F.when(F.col("o_orderstatus") == "O", 1.0).otherwise(0.0))).alias("accuracy")))
+
+
+def _dyadic(c):
+    # metric values on a 1/1024 grid: exactly representable, so means do not depend on summation order
+    return F.floor(c * 1024.0) / 1024.0
+
+
+@query("metrics_summary", sql="""
+WITH r AS (SELECT 'model_' || o_orderpriority AS model_name, CAST(date_trunc('month', o_orderdate) AS DATE) AS created_at,
+                  floor(avg(o_totalprice) / 600000.0 * 1024.0) / 1024.0 AS auc_score,
+                  floor(avg(CASE WHEN o_orderstatus = 'F' THEN 1.0 ELSE 0.0 END) * 1024.0) / 1024.0 AS f1_score,
+                  floor(avg(CASE WHEN o_orderstatus = 'O' THEN 1.0 ELSE 0.0 END) * 1024.0) / 1024.0 AS accuracy
+           FROM orders GROUP BY ALL)
+SELECT model_name, count(*) AS runs, avg(auc_score) AS mean_auc_score, avg(f1_score) AS mean_f1_score,
+       avg(accuracy) AS mean_accuracy, max(created_at) AS latest_created_at,
+       arg_max(auc_score, created_at) AS latest_auc_score, arg_max(f1_score, created_at) AS latest_f1_score,
+       arg_max(accuracy, created_at) AS latest_accuracy
+FROM r GROUP BY model_name
+""")
+def q_metrics_summary(spark, sf_dir):
+    """AGG-12 / SRC-8: per model, mean metrics over runs and the latest run's values."""
+    return metrics_summary(_metric_runs(spark, sf_dir))
+
+
+def _train_scaled(spark, sf_dir):
+    df = model_frame(spark, sf_dir)
+    train = df.where(F.col("window_name") == "train_test")
+    stats = fit_scaler(train, FEATURES)
+    return apply_scaler(df, stats), stats
+
+
+@query("gbt_score")
+def q_gbt_score(spark, sf_dir):
+    """MLD-5/10/11: GBT (100 trees, depth 5) fitted on the train/test window, scoring every labelled snapshot."""
+    df, _ = _train_scaled(spark, sf_dir)
+    model = train_gbt(df.where(F.col("window_name") == "train_test"), FEATURES, "label")
+    return score(model, df, ["loan_id", "Customer_ID", "snapshot_date", "window_name"], "gbt_30dpd_6mob")
+
+
+@query("cv_search")
+def q_cv_search(spark, sf_dir):
+    """MLD-6: random search (10 draws, the notebook's setting) x 3-fold CV; one row per draw."""
+    df, _ = _train_scaled(spark, sf_dir)
+    train = stratified_split(df.where(F.col("window_name") == "train_test"), "loan_id", "label", 0.8, seed=88)
+    _, results = random_search(train.where(F.col("split") == "train"), FEATURES, "label", n_iter=10, folds=3)
+    return results
+
+
+@query("model_save_load")
+def q_model_save_load(spark, sf_dir):
+    """SNK-9: fit, save to the shared folder, load, and score again; both scores side by side."""
+    df, _ = _train_scaled(spark, sf_dir)
+    model = train_gbt(df.where(F.col("window_name") == "train_test"), FEATURES, "label",
+                      params={"n_estimators": 20, "max_depth": 3})
+    path = scratch_path(spark, "model")
+    save_model(model, path)
+    again = load_model(path)
+    oot = df.where(F.col("window_name") == "oot")
+    keys = ["loan_id", "Customer_ID", "snapshot_date"]
+    a = score(model, oot, keys, "m").withColumnRenamed("score", "score_before").drop("model_name")
+    b = score(again, oot, keys, "m").withColumnRenamed("score", "score_after").drop("model_name")
+    return dedupe_scores(a, keys).join(dedupe_scores(b, keys), keys).withColumn(
+        "same", F.col("score_before") == F.col("score_after"))
+
+
+def dedupe_scores(df, keys):
+    from sparkmart.operators.clean import dedupe_keys
+    return dedupe_keys(df, keys)
