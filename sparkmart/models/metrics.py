@@ -5,6 +5,11 @@ sort: rows collapse to distinct ``(group, score)`` counts, scores are cut into `
 ranges at approximate quantiles (bounded sketch), bucket totals are prefix-summed (groups x
 buckets rows), and the running negative count is finished with a window *inside* each
 bucket.  No single task ever sees more than one bucket of one group.
+
+The distinct-score table is materialised once with a reliable ``checkpoint`` (the shared
+``spark.checkpoint.dir``) so the quantile pass and the main pass do not both recompute the
+upstream joins; ``score_metrics`` derives count, positive rate, mean score and log loss from
+that same table, so monitoring needs one pass over the scored rows.
 """
 
 from __future__ import annotations
@@ -17,16 +22,26 @@ from pyspark.sql import functions as F
 EPS = 1e-15
 
 
-def roc_auc(df: DataFrame, score_col: str = "score", label_col: str = "label",
-            group_cols: Iterable[str] = (), buckets: int = 256) -> DataFrame:
-    """Per group: ``auc``, ``gini = round(2 auc - 1, 3)``, ``n_pos``, ``n_neg``."""
+def distinct_scores(df: DataFrame, score_col: str = "score", label_col: str = "label",
+                    group_cols: Iterable[str] = ()) -> DataFrame:
+    """``(group..., s, pos, neg)``: one row per distinct score per group (map-side combined)."""
+    y = F.col(label_col).cast("double")
+    return (df.where(F.col(score_col).isNotNull() & y.isNotNull())
+              .groupBy(*list(group_cols), F.col(score_col).cast("double").alias("s"))
+              .agg(F.sum(y).alias("pos"), F.sum(1.0 - y).alias("neg")))
+
+
+def _materialise(df: DataFrame) -> DataFrame:
+    from sparkmart.session import shared_dir
+
+    shared_dir(df.sparkSession)  # make sure a reliable checkpoint folder is registered
+    return df.checkpoint(eager=True)
+
+
+def auc_from_distinct(dist: DataFrame, group_cols: Iterable[str] = (), buckets: int = 256) -> DataFrame:
     from pyspark.ml.feature import Bucketizer
 
     g = list(group_cols)
-    y = F.col(label_col).cast("double")
-    dist = (df.where(F.col(score_col).isNotNull() & y.isNotNull())
-              .groupBy(*g, F.col(score_col).cast("double").alias("s"))
-              .agg(F.sum(y).alias("pos"), F.sum(1.0 - y).alias("neg")))
     qs = [i / buckets for i in range(1, buckets)]
     bounds = dist.agg(F.percentile_approx("s", qs, 10_000).alias("b")).first()["b"] or []
     inner = sorted(set(float(b) for b in bounds)) or [0.0]
@@ -47,6 +62,37 @@ def roc_auc(df: DataFrame, score_col: str = "score", label_col: str = "label",
                       F.col("p").cast("bigint").alias("n_pos"), F.col("n").cast("bigint").alias("n_neg"))
 
 
+def roc_auc(df: DataFrame, score_col: str = "score", label_col: str = "label",
+            group_cols: Iterable[str] = (), buckets: int = 256, materialise: bool = True) -> DataFrame:
+    """Per group: ``auc``, ``gini = round(2 auc - 1, 3)``, ``n_pos``, ``n_neg``."""
+    dist = distinct_scores(df, score_col, label_col, group_cols)
+    if materialise:
+        dist = _materialise(dist)
+    return auc_from_distinct(dist, group_cols, buckets)
+
+
+def score_metrics(df: DataFrame, score_col: str = "score", label_col: str = "label",
+                  group_cols: Iterable[str] = (), buckets: int = 256) -> DataFrame:
+    """Per group: rows, positive rate, mean score, log loss and AUC from one distinct-score table."""
+    g = list(group_cols)
+    ungrouped = not g
+    if ungrouped:  # one synthetic group, so both halves join on a key
+        df, g = df.withColumn("_all", F.lit(0)), ["_all"]
+    dist = _materialise(distinct_scores(df, score_col, label_col, g))
+    p = F.least(F.greatest(F.col("s"), F.lit(EPS)), F.lit(1 - EPS))
+    n = F.col("pos") + F.col("neg")
+    sums = dist.groupBy(*g).agg(
+        F.sum(n).alias("_n"), F.sum("pos").alias("_pos"), F.sum(F.col("s") * n).alias("_s"),
+        F.sum(-(F.col("pos") * F.ln(p) + F.col("neg") * F.ln(1 - p))).alias("_ll"))
+    base = sums.select(*g, F.col("_n").cast("bigint").alias("rows"),
+                       (F.col("_pos") / F.col("_n")).alias("positive_rate"),
+                       (F.col("_s") / F.col("_n")).alias("mean_score"),
+                       (F.col("_ll") / F.col("_n")).alias("logloss"))
+    auc = auc_from_distinct(dist, g, buckets).select(*g, "auc")
+    out = base.join(auc, g, "left")
+    return out.drop("_all") if ungrouped else out
+
+
 def log_loss(df: DataFrame, score_col: str = "score", label_col: str = "label",
              group_cols: Iterable[str] = ()) -> DataFrame:
     """MLD-9: rows, mean score, positive rate and log loss (p clipped to [1e-15, 1 - 1e-15])."""

@@ -42,11 +42,11 @@ def window_sufficient(run_date: Column, earliest: Column, days: int = 365) -> Co
 
 def sufficiency_by_run(df: DataFrame, run_dates: DataFrame, date_col: str = "snapshot_date",
                        run_col: str = "run_date", days: int = 365) -> DataFrame:
-    """CAL-5 for many run dates: joins the store's earliest snapshot (one row) to each run."""
-    earliest = df.agg(F.min(F.col(date_col).cast("date")).alias("earliest"))
-    return (run_dates.join(F.broadcast(earliest), how="cross")
-                     .select(F.col(run_col), "earliest",
-                             window_sufficient(F.col(run_col), F.col("earliest"), days).alias("sufficient")))
+    """CAL-5 for many run dates: the store's earliest snapshot (one aggregate value) against each run."""
+    earliest = df.agg(F.min(F.col(date_col).cast("date")).alias("earliest")).first()["earliest"]
+    e = F.lit(earliest).cast("date")
+    return run_dates.select(F.col(run_col), e.alias("earliest"),
+                            window_sufficient(F.col(run_col), e, days).alias("sufficient"))
 
 
 def split_window(date: Column, train_date, oot_months: int = 2, train_months: int = 12) -> Column:

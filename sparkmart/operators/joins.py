@@ -16,31 +16,44 @@ from pyspark.sql import functions as F
 from sparkmart.operators.clean import dedupe_keys
 
 
-def left_chain(base: DataFrame, sides: Sequence[tuple[DataFrame, Sequence[str]]], dedupe: bool = True) -> DataFrame:
-    """JON-1: ``base LEFT JOIN side_1 USING (keys_1) LEFT JOIN side_2 ...``."""
+def left_chain(base: DataFrame, sides: Sequence[tuple], dedupe: bool = True) -> DataFrame:
+    """JON-1: ``base LEFT JOIN side_1 USING (keys_1) LEFT JOIN side_2 ...``.
+
+    Each side is ``(frame, keys)`` or ``(frame, keys, unique)``; ``unique=True`` says the frame
+    is already one row per key (e.g. an aggregate grouped by exactly those keys), which skips
+    the dedupe aggregation for that side.
+    """
     out = base
-    for side, keys in sides:
-        keys = list(keys)
-        right = dedupe_keys(side, keys) if dedupe else side
+    for side in sides:
+        frame, keys = side[0], list(side[1])
+        unique = len(side) > 2 and bool(side[2])
+        right = dedupe_keys(frame, keys) if dedupe and not unique else frame
         out = out.join(right, keys, "left")
     return out
 
 
-def outer_chain(frames: Sequence[DataFrame], keys: Sequence[str], drop_keys: bool = False) -> DataFrame:
+def outer_chain(frames: Sequence, keys: Sequence[str], drop_keys: bool = False, dedupe: bool = True) -> DataFrame:
     """JON-2: full outer joins on shared keys; ``USING`` keys come out coalesced.
 
+    Each frame is a DataFrame or ``(frame, unique)``.  Frames not known to be unique per key
+    are deduplicated first, so the join is 1:1 per key and never emits all pairs of a key
+    (a full outer join cannot be split by AQE's skew handling, so it must not fan out).
     Keys are kept by default (D18): a store without them cannot be joined to labels.
     """
     keys = list(keys)
-    out = frames[0]
-    for f in frames[1:]:
+    prepared = []
+    for f in frames:
+        frame, unique = (f if isinstance(f, tuple) else (f, False))
+        prepared.append(dedupe_keys(frame, keys) if dedupe and not unique else frame)
+    out = prepared[0]
+    for f in prepared[1:]:
         out = out.join(f, keys, "full")
     return out.drop(*keys) if drop_keys else out
 
 
-def attach_features(labels: DataFrame, features: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """JON-3 / MLD-1: labels LEFT JOIN features (features unique per key)."""
-    return left_chain(labels, [(features, keys)], dedupe=True)
+def attach_features(labels: DataFrame, features: DataFrame, keys: Sequence[str], unique: bool = False) -> DataFrame:
+    """JON-3 / MLD-1: labels LEFT JOIN features (features made unique per key unless already so)."""
+    return left_chain(labels, [(features, keys, unique)], dedupe=True)
 
 
 def inner_with_suffixes(left: DataFrame, right: DataFrame, keys: Sequence[str],

@@ -55,8 +55,8 @@ def q_feature_store_left(spark, sf_dir):
                     F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("line_revenue")))
     ev = (table(spark, sf_dir, "events").groupBy(F.col("user_id").alias("Customer_ID"))
           .agg(F.count(F.lit(1)).alias("event_count"), F.sum("value").alias("event_value")))
-    out = left_chain(base, [(attrs, ["Customer_ID"]), (lines, ["Customer_ID", "snapshot_date"]),
-                            (ev, ["Customer_ID"])])
+    out = left_chain(base, [(attrs, ["Customer_ID"]), (lines, ["Customer_ID", "snapshot_date"], True),
+                            (ev, ["Customer_ID"], True)])
     return out.select("o_orderkey", "Customer_ID", "snapshot_date", "o_totalprice", "c_acctbal", "c_mktsegment",
                       F.round("line_qty", 6).alias("line_qty"), F.round("line_revenue", 6).alias("line_revenue"),
                       "event_count", F.round("event_value", 6).alias("event_value"))
@@ -90,7 +90,7 @@ def q_feature_store_outer(spark, sf_dir):
     ev = (table(spark, sf_dir, "events")
           .groupBy(F.col("user_id").alias("member_id"), _month("ts").alias("snapshot_date"))
           .agg(F.count(F.lit(1)).alias("n_events"), F.round(F.sum("value"), 6).alias("event_value")))
-    return outer_chain([o, li, ev], ["member_id", "snapshot_date"])
+    return outer_chain([(o, True), (li, True), (ev, True)], ["member_id", "snapshot_date"])
 
 
 _TRAIN_SQL = f"""
@@ -115,7 +115,7 @@ def q_training_set(spark, sf_dir):
     labels = labels.where(F.col("snapshot_date").between(F.lit(lo).cast("date"), F.lit(hi).cast("date")))
     feats = customer_months(spark, sf_dir).withColumn("spend", F.round("spend", 6))
     feats = feats.where(F.col("snapshot_date").between(F.lit(lo).cast("date"), F.lit(hi).cast("date")))
-    out = attach_features(labels, feats, ["Customer_ID", "snapshot_date"])
+    out = attach_features(labels, feats, ["Customer_ID", "snapshot_date"], unique=True)
     return out.select("loan_id", "Customer_ID", "snapshot_date", "label", "n_orders", "spend")
 
 

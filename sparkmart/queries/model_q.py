@@ -50,7 +50,7 @@ def model_frame(spark, sf_dir):
     """Labels LEFT JOIN customer attributes LEFT JOIN customer-month features, with windows."""
     attrs = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("Customer_ID"), "c_acctbal", "c_nationkey")
     df = left_chain(loan_labels(spark, sf_dir), [(attrs, ["Customer_ID"]),
-                                                 (customer_months(spark, sf_dir), ["Customer_ID", "snapshot_date"])])
+                                                 (customer_months(spark, sf_dir), ["Customer_ID", "snapshot_date"], True)])
     df = missing_flags(df, ["spend"])
     return assign_windows(df, TRAIN_DATE)
 

@@ -16,11 +16,13 @@ def write_snapshots(df: DataFrame, root: str, partition_cols: Iterable[str] = ("
                     sort_by: Iterable[str] = (), fmt: str = "parquet", header: bool = True) -> None:
     """SNK-1..5: one partitioned write for a whole window of snapshots.
 
-    ``repartition`` by the partition columns puts each snapshot's rows together (one file per
-    snapshot per writer task instead of one per input task); AQE splits a skewed snapshot.
+    The ``rebalance`` hint clusters rows by the partition columns (few files per snapshot)
+    while letting AQE split a large snapshot into advisory-sized tasks and merge small ones;
+    a plain ``repartition(snapshot_date)`` would send a whole snapshot - terabytes at scale -
+    through a single writer task.
     """
     parts = list(partition_cols)
-    out = df.repartition(*parts) if parts else df
+    out = df.hint("rebalance", *parts) if parts else df
     if sort_by:
         out = out.sortWithinPartitions(*parts, *sort_by)
     w = (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").format(fmt))
