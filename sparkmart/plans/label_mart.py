@@ -73,6 +73,7 @@ def gold_labels(spark: SparkSession, silver_root: str, gold_root: str, start=Non
 
 def backfill(spark: SparkSession, source_csv: str, root: str, start, end, dpd: int = 30, mob: int = 6) -> dict:
     """PIP-13: all three layers for the months ``[trunc(start), end]``; returns the layer paths."""
+    start = _first_of_month(start)  # the month list starts at the 1st of the start month (CAL-1)
     paths = {k: f"{root.rstrip('/')}/{k}" for k in ("bronze_loan_daily", "silver_loan_daily", "gold_label_store")}
     bronze(spark, source_csv, paths["bronze_loan_daily"], start, end)
     silver(spark, paths["bronze_loan_daily"], paths["silver_loan_daily"], start, end)
@@ -80,6 +81,14 @@ def backfill(spark: SparkSession, source_csv: str, root: str, start, end, dpd: i
     return paths
 
 
+def _first_of_month(d):
+    import datetime as _dt
+    if d is None:
+        return None
+    d = d if isinstance(d, _dt.date) else _dt.date.fromisoformat(str(d)[:10])
+    return d.replace(day=1)
+
+
 def bad_rate_report(spark: SparkSession, silver_root: str, cohort_before=None, dpd: int = 30) -> DataFrame:
     """LBL-3 over the silver store."""
     return bad_rate_curve(spark.read.parquet(silver_root), dpd, cohort_before=cohort_before)

@@ -40,7 +40,7 @@ def training_frame(labels: DataFrame, features: DataFrame, keys: Sequence[str],
 def train_job(spark: SparkSession, labels: DataFrame, features: DataFrame, feature_cols: Sequence[str],
               train_date, model_path: str, metrics_root: str | None = None, keys=("Customer_ID", "snapshot_date"),
               model_name: str = "credit_model", search: bool = True, n_iter: int = 100, ratio: float = 0.8,
-              key_col: str = "loan_id"):
+              key_col: str = "loan_id", params: dict | None = None):
     """PIP-14: windows -> stratified split -> scaling fitted on train -> (search or fixed) GBT ->
     AUC/Gini on train, test and OOT, F1/accuracy on test -> model + run record."""
     from pyspark.ml import Pipeline, PipelineModel
@@ -56,11 +56,11 @@ def train_job(spark: SparkSession, labels: DataFrame, features: DataFrame, featu
     if search:
         best, results = random_search(scaler.transform(train), zcols, "label", n_iter=n_iter, folds=3)
         fitted = PipelineModel(stages=[scaler, *best.stages])
-        params = {r["draw"]: r["mean_cv_auc"] for r in results.collect()}  # n_iter rows
+        params = {f"draw_{r['draw']}_cv_auc": r["mean_cv_auc"] for r in results.collect()}  # n_iter rows
     else:
-        gbt = GBTClassifier(featuresCol="features", labelCol="label", seed=88, **gbt_params(FIXED_PARAMS))
+        params = dict(params or FIXED_PARAMS)
+        gbt = GBTClassifier(featuresCol="features", labelCol="label", seed=88, **gbt_params(params))
         fitted = Pipeline(stages=[scaler, VectorAssembler(inputCols=zcols, outputCol="features"), gbt]).fit(train)
-        params = dict(FIXED_PARAMS)
     save_model(fitted, model_path)
 
     scored = score(fitted, tt.unionByName(df.where(F.col("window_name") == "oot").withColumn("split", F.lit("oot"))),

@@ -66,3 +66,32 @@ def q_snapshot_counts(spark, sf_dir):
     """AGG-1 + CAL-1: orders per monthly snapshot on a complete month spine (zeros kept)."""
     o = table(spark, sf_dir, "orders").select(F.trunc(F.col("o_orderdate").cast("date"), "MM").alias("snapshot_date"))
     return snapshot_counts(o, spine=month_spine(o, "snapshot_date"))
+
+
+@query("label_mart_backfill", sql=f"""
+WITH s AS ({SILVER_SQL})
+SELECT snapshot_date, CAST(count(*) AS BIGINT) AS loans, CAST(sum(CASE WHEN dpd >= 30 THEN 1 ELSE 0 END) AS BIGINT) AS bad,
+       '30dpd_6mob' AS label_def
+FROM s WHERE mob = 6 AND snapshot_date BETWEEN DATE '1996-01-01' AND DATE '2000-12-01'
+GROUP BY snapshot_date
+""")
+def q_label_mart_backfill(spark, sf_dir):
+    """PIP-1/2/7/13: the loan book landed as a raw CSV extract, then bronze -> silver -> gold label
+    store for every month of 1996-2000 in one job per layer; labels counted per snapshot."""
+    from sparkmart.plans import label_mart
+    from sparkmart.session import scratch_path
+
+    book = loan_book(spark, sf_dir).select(
+        F.col("loan_id").cast("string").alias("loan_id"), F.col("Customer_ID").cast("string").alias("Customer_ID"),
+        F.col("loan_start_date").cast("string").alias("loan_start_date"), F.lit("12").alias("tenure"),
+        F.col("installment_num").cast("string").alias("installment_num"), F.lit("1000").alias("loan_amt"),
+        F.col("due_amt").cast("string").alias("due_amt"), F.lit("").alias("paid_amt"),
+        F.col("overdue_amt").cast("string").alias("overdue_amt"), F.lit(None).cast("string").alias("balance"),
+        F.col("snapshot_date").cast("string").alias("snapshot_date"))
+    root = scratch_path(spark, "label_mart")
+    source = f"{root}/source_lms_loan_daily"
+    book.write.mode("overwrite").option("header", True).csv(source)
+    paths = label_mart.backfill(spark, source, root, "1996-01-15", "2000-12-01")
+    gold = spark.read.parquet(paths["gold_label_store"])
+    return gold.groupBy("snapshot_date").agg(
+        F.count(F.lit(1)).alias("loans"), F.sum("label").cast("bigint").alias("bad"), F.first("label_def").alias("label_def"))
