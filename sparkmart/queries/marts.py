@@ -95,3 +95,47 @@ def q_label_mart_backfill(spark, sf_dir):
     gold = spark.read.parquet(paths["gold_label_store"])
     return gold.groupBy("snapshot_date").agg(
         F.count(F.lit(1)).alias("loans"), F.sum("label").cast("bigint").alias("bad"), F.first("label_def").alias("label_def"))
+
+
+@query("incremental_label_store", sql=f"""
+WITH s AS ({SILVER_SQL})
+SELECT snapshot_date, CAST(count(*) AS BIGINT) AS loans, CAST(sum(CASE WHEN dpd >= 30 THEN 1 ELSE 0 END) AS BIGINT) AS bad
+FROM s WHERE mob = 6 GROUP BY snapshot_date
+""")
+def q_incremental_label_store(spark, sf_dir):
+    """PIP-13 incrementally: bronze lands in two drops; each run streams only the new files
+    through silver (FEA-1..4) and gold (LBL-1).  The second run must see only the second drop."""
+    from pyspark.sql import types as T
+
+    from sparkmart.operators.clean import fill_all_numeric
+    from sparkmart.session import scratch_path
+    from sparkmart.streaming import run_layer
+
+    book = loan_book(spark, sf_dir)
+    root = scratch_path(spark, "incremental")
+    bronze, silver, gold = f"{root}/bronze", f"{root}/silver", f"{root}/gold"
+    cut = F.lit("1998-07-01").cast("date")
+    bronze_schema = T.StructType([f for f in book.schema.fields if f.name != "snapshot_date"]).add(
+        "snapshot_date", T.DateType())
+    silver_schema = (T.StructType([f for f in bronze_schema.fields if f.name != "snapshot_date"])
+                     .add("mob", T.IntegerType()).add("installments_missed", T.IntegerType())
+                     .add("first_missed_date", T.DateType()).add("dpd", T.IntegerType())
+                     .add("snapshot_date", T.DateType()))
+
+    def silver_fn(df):
+        return days_past_due(fill_all_numeric(df, 0, exclude=["loan_id", "Customer_ID"]))
+
+    def gold_fn(df):
+        return default_label(df, 30, 6, keep_start=True)
+
+    seen = []
+    for part in (book.where(F.col("snapshot_date") < cut), book.where(F.col("snapshot_date") >= cut)):
+        part.write.mode("append").partitionBy("snapshot_date").parquet(bronze)
+        s = run_layer(spark, bronze, bronze_schema, silver_fn, silver, f"{root}/_ckpt_silver")
+        run_layer(spark, silver, silver_schema, gold_fn, gold, f"{root}/_ckpt_gold")
+        seen.append(s["input_rows"])
+    total = book.count()
+    if sum(seen) != total:
+        raise AssertionError(f"streamed {seen} rows in two runs, bronze holds {total}")
+    out = spark.read.parquet(gold)
+    return out.groupBy("snapshot_date").agg(F.count(F.lit(1)).alias("loans"), F.sum("label").cast("bigint").alias("bad"))
