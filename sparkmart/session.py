@@ -63,7 +63,11 @@ def shared_dir(spark: SparkSession) -> str:
     if not path:
         path = spark.sparkContext.getCheckpointDir()
     if not path:
-        path = tempfile.mkdtemp(prefix="sparkmart-ckpt-")
+        master = spark.sparkContext.master
+        if not master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: a cluster needs a shared folder for "
+                               "checkpoints and scratch tables")
+        path = tempfile.mkdtemp(prefix="sparkmart-ckpt-")  # local mode only (tests, laptop runs)
         spark.sparkContext.setCheckpointDir(path)
     elif not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(path)
