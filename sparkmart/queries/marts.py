@@ -139,3 +139,18 @@ def q_incremental_label_store(spark, sf_dir):
         raise AssertionError(f"streamed {seen} rows in two runs, bronze holds {total}")
     out = spark.read.parquet(gold)
     return out.groupBy("snapshot_date").agg(F.count(F.lit(1)).alias("loans"), F.sum("label").cast("bigint").alias("bad"))
+
+
+@query("final_installments", sql=f"""
+WITH s AS ({SILVER_SQL})
+SELECT snapshot_date, CAST(count(*) AS BIGINT) AS loans, round(avg(CAST(dpd AS DOUBLE)), 9) AS mean_dpd
+FROM s WHERE installment_num = 7 AND loan_start_date < DATE '{COHORT_CUT}'
+GROUP BY snapshot_date
+""")
+def q_final_installments(spark, sf_dir):
+    """FLT-9: final-installment rows (``installment_num == 7``, the last line number) of the cohort
+    started before the cut; loans and mean dpd per snapshot."""
+    s = silver_loans(spark, sf_dir).where(
+        (F.col("installment_num") == 7) & (F.col("loan_start_date") < F.lit(COHORT_CUT).cast("date")))
+    return s.groupBy("snapshot_date").agg(F.count(F.lit(1)).alias("loans"),
+                                          F.round(F.avg(F.col("dpd").cast("double")), 9).alias("mean_dpd"))
