@@ -30,13 +30,33 @@ DEFAULT_CONF = {
 }
 
 
+# Sizing for a large cluster (~1000 executors, ~100 TB scans).  Input splits of 256 MB keep the
+# scan task count in the hundreds of thousands; shuffles start wide (AQE coalesces them back to
+# ~256 MB reducers) so no reducer of a big join or aggregation has to spill gigabytes; a
+# partition 5x the median and above 1 GB counts as skewed and is split.
+CLUSTER_CONF = {
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1g",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.parquet.compression.codec": "zstd",
+}
+
+
 def get_session(master: str | None = None, app_name: str = "sparkmart",
-                conf: dict[str, str] | None = None) -> SparkSession:
-    """Build (or reuse) a session with the mart defaults; ``conf`` overrides them."""
+                conf: dict[str, str] | None = None, profile: str = "local") -> SparkSession:
+    """Build (or reuse) a session with the mart defaults; ``conf`` overrides them.
+
+    ``profile="cluster"`` adds ``CLUSTER_CONF`` (sizing for the 100 TB target).
+    """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**DEFAULT_CONF, **(conf or {})}.items():
+    base = {**DEFAULT_CONF, **(CLUSTER_CONF if profile == "cluster" else {})}
+    for key, value in {**base, **(conf or {})}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     apply_runtime_conf(spark)
