@@ -99,3 +99,35 @@ def test_feature_store_outer_and_labels(spark, tmp_root):
     lab = spark.read.parquet(f"{tmp_root}/label_store").collect()
     assert [(r["id"], r["grade"]) for r in lab] == [("1", "A")]
     assert lab[0]["snapshot_date"] == dt.date(2022, 1, 15)
+
+
+def test_gold_processing(spark, tmp_root):
+    """PIP-10: credit audit as data, demographic one-hot, financial to double, loan terms parsed."""
+    from sparkmart.sources.writers import write_snapshots
+    d = F.lit(SNAP).cast("date")
+    silver = f"{tmp_root}/silver"
+    credit = spark.createDataFrame([("m1", dt.date(2003, 8, 1), 1, "x")],
+                                   "member_id string, earliest_cr_line date, mort_acc int, note string") \
+        .withColumn("snapshot_date", d)
+    demo = spark.createDataFrame([("m1", "RENT", "Verified", "Individual", "T"), ("m2", "OWN", "Verified", "Joint", "T"),
+                                  ("m3", "RENT", None, "Individual", "T")],
+                                 "member_id string, home_ownership string, verification_status string, "
+                                 "application_type string, emp_title string").withColumn("snapshot_date", d)
+    fin = spark.createDataFrame([("m1", 1, 2.5)], "member_id string, open_acc int, dti double").withColumn("snapshot_date", d)
+    terms = spark.createDataFrame([("m1", " 36 months", "B", "B2", "car", "Current"), ("m2", " 60 months", "Z", "Z1", "car", "Late")],
+                                  "member_id string, term string, grade string, sub_grade string, purpose string, "
+                                  "loan_status string").withColumn("snapshot_date", d)
+    for name, df in (("credit_history", credit), ("demographic", demo), ("financial", fin), ("loan_terms", terms)):
+        write_snapshots(df, f"{silver}/{name}")
+    audit = lm.gold_processing(spark, silver, f"{tmp_root}/gold")
+    bad = {r["column_name"]: r["not_numeric"] for r in audit.collect()}
+    assert bad["note"] == 1 and bad["mort_acc"] == 0 and "earliest_cr_line" not in bad
+    g = lambda n: spark.read.parquet(f"{tmp_root}/gold/{n}")
+    demo_cols = g("demographic").columns
+    assert "home_ownership_0" in demo_cols and "home_ownership" not in demo_cols and "emp_title" not in demo_cols
+    m3 = g("demographic").where("member_id = 'm3'").first()
+    assert m3["verification_status_0"] == 0.0  # null -> kept slot, dropped by dropLast: all zeros
+    assert dict(g("financial").dtypes)["open_acc"] == "double"
+    t = {r["member_id"]: r for r in g("loan_terms").collect()}
+    assert (t["m1"]["term"], t["m1"]["grade"]) == (36, 1) and (t["m2"]["term"], t["m2"]["grade"]) == (60, None)
+    assert "sub_grade" not in g("loan_terms").columns
