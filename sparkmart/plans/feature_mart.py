@@ -8,8 +8,9 @@ columns.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sparkmart.functions.text import strip_to_decimal, strip_to_digits
 from sparkmart.operators.clean import cap_with_flag, null_sentinels
@@ -19,6 +20,8 @@ from sparkmart.operators.encode import (
 from sparkmart.operators.features import guarded_ratio, history_months, valid_flag
 from sparkmart.operators.joins import left_chain
 from sparkmart.operators.schema import enforce_schema
+from sparkmart.sources.readers import read_csv, read_window
+from sparkmart.sources.writers import write_snapshots
 
 KEYS = ["Customer_ID", "snapshot_date"]
 
@@ -107,3 +110,57 @@ def gold_features(loans: DataFrame, attributes: DataFrame, financials: DataFrame
     types = fit_list_vocabulary(fin, "Type_of_Loan", strip_and=strip_and, max_values=max_values)
     fin = multi_hot(fin, "Type_of_Loan", types, prefix="loan_type", strip_and=strip_and)
     return left_chain(loans, [(attrs, KEYS), (fin, KEYS), (clickstream, KEYS)], dedupe=True)
+
+
+# ---- layer jobs over stored tables (bronze -> silver -> gold), one job per layer per window ----
+
+SOURCES = ("attributes", "financials", "clickstream")
+
+
+def _text_schema(cols) -> T.StructType:
+    return T.StructType([T.StructField(c, T.StringType()) for c in cols])
+
+
+# raw extracts are read as text (dirty numerics stay strings until cleaned, D2)
+RAW_SCHEMAS = {
+    "attributes": _text_schema(["Customer_ID", "Name", "Age", "SSN", "Occupation", "snapshot_date"]),
+    "financials": _text_schema([
+        "Customer_ID", "Annual_Income", "Monthly_Inhand_Salary", "Num_Bank_Accounts", "Num_Credit_Card",
+        "Interest_Rate", "Num_of_Loan", "Type_of_Loan", "Delay_from_due_date", "Num_of_Delayed_Payment",
+        "Changed_Credit_Limit", "Num_Credit_Inquiries", "Credit_Mix", "Outstanding_Debt", "Credit_Utilization_Ratio",
+        "Credit_History_Age", "Payment_of_Min_Amount", "Total_EMI_per_month", "Amount_invested_monthly",
+        "Payment_Behaviour", "Monthly_Balance", "snapshot_date"]),
+    "clickstream": _text_schema([f"fe_{i}" for i in range(1, 21)] + ["Customer_ID", "snapshot_date"]),
+}
+
+SILVER_FNS = {"attributes": silver_attributes, "financials": silver_financials, "clickstream": silver_clickstream}
+
+
+def bronze(spark: SparkSession, sources: dict[str, str], bronze_root: str, start=None, end=None) -> None:
+    """Land each CSV extract's snapshots in ``[start, end]`` as partitioned Parquet (text columns)."""
+    for name, path in sources.items():
+        raw = read_csv(spark, path, RAW_SCHEMAS[name]).withColumn("snapshot_date", F.try_to_date("snapshot_date"))
+        if start is not None:
+            raw = raw.where(F.col("snapshot_date") >= F.lit(start).cast("date"))
+        if end is not None:
+            raw = raw.where(F.col("snapshot_date") <= F.lit(end).cast("date"))
+        write_snapshots(raw, f"{bronze_root.rstrip('/')}/{name}")
+
+
+def silver(spark: SparkSession, bronze_root: str, silver_root: str, start=None, end=None) -> None:
+    """PIP-3/4/5 over the window: one job per subject table."""
+    for name in SOURCES:
+        df = read_window(spark, f"{bronze_root.rstrip('/')}/{name}", start, end)
+        write_snapshots(SILVER_FNS[name](df), f"{silver_root.rstrip('/')}/{name}", sort_by=("Customer_ID",))
+
+
+def gold(spark: SparkSession, silver_root: str, loans_root: str, gold_root: str, start=None, end=None,
+         strip_and: bool = False) -> None:
+    """PIP-6 over the window; vocabularies are fitted once for the whole window (D12)."""
+    def load(root):
+        return read_window(spark, root, start, end)
+
+    loans = load(loans_root)
+    parts = {n: load(f"{silver_root.rstrip('/')}/{n}") for n in SOURCES}
+    out = gold_features(loans, parts["attributes"], parts["financials"], parts["clickstream"], strip_and=strip_and)
+    write_snapshots(out, gold_root, sort_by=("Customer_ID",))

@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+from pyspark.sql import functions as F
+
 from sparkmart.plans import feature_mart as fm
 
 SNAP = "2023-01-01"
@@ -77,3 +79,49 @@ def test_gold_features_encodings_and_joins(spark):
     assert out["L1"]["Has_Valid_Age"] == 1
     assert out["L3"]["Has_Valid_Age"] is None  # no attributes row for ZZ
     assert out["L1"]["fe_1"] == 1
+
+
+def test_feature_mart_layers(spark, tmp_root, local_tmp):
+    """Bronze -> silver -> gold from CSV extracts over a window; same columns for every snapshot (D12)."""
+    import os
+
+    def csv(name, header, rows):
+        p = os.path.join(local_tmp, f"{name}.csv")
+        with open(p, "w") as f:
+            f.write(",".join(header) + "\n")
+            for r in rows:
+                f.write(",".join("" if v is None else str(v) for v in r) + "\n")
+        return p
+
+    attrs = csv("attributes", ["Customer_ID", "Name", "Age", "SSN", "Occupation", "snapshot_date"],
+                [("C1", "n", "30", "s", "Teacher", "2023-01-01"), ("C2", "n", "40_", "s", "Lawyer", "2023-02-01"),
+                 ("C3", "n", "50", "s", "Doctor", "2022-12-01")])
+    fin_cols = fm.RAW_SCHEMAS["financials"].fieldNames()
+    def fin_row(cid, snap, beh, types):
+        vals = {c: None for c in fin_cols}
+        vals.update({"Customer_ID": cid, "snapshot_date": snap, "Payment_Behaviour": beh, "Annual_Income": "1000.5_",
+                     "Num_of_Loan": "3", "Outstanding_Debt": "10", "Credit_History_Age": "1 Year"})
+        vals["Type_of_Loan"] = f'"{types}"'
+        return tuple(vals[c] for c in fin_cols)
+    fins = csv("financials", fin_cols, [fin_row("C1", "2023-01-01", "Low", "Auto Loan, Home Loan"),
+                                        fin_row("C2", "2023-02-01", "High", "Home Loan")])
+    clicks = csv("clickstream", [f"fe_{i}" for i in range(1, 21)] + ["Customer_ID", "snapshot_date"],
+                 [tuple(range(1, 21)) + ("C1", "2023-01-01")])
+    root = tmp_root
+    fm.bronze(spark, {"attributes": attrs, "financials": fins, "clickstream": clicks}, f"{root}/bronze",
+              "2023-01-01", "2023-12-01")
+    fm.silver(spark, f"{root}/bronze", f"{root}/silver")
+    loans = spark.createDataFrame([("L1", "C1", "2023-01-01"), ("L2", "C2", "2023-02-01")],
+                                  "loan_id string, Customer_ID string, snapshot_date string") \
+        .withColumn("snapshot_date", F.to_date("snapshot_date"))
+    from sparkmart.sources.writers import write_snapshots
+    write_snapshots(loans, f"{root}/loans")
+    fm.gold(spark, f"{root}/silver", f"{root}/loans", f"{root}/gold")
+    gold = spark.read.parquet(f"{root}/gold")
+    rows = {r["loan_id"]: r for r in gold.collect()}
+    assert set(rows) == {"L1", "L2"}
+    assert rows["L2"]["Occupation_lawyer"] == 1 and rows["L1"]["Occupation_lawyer"] == 0
+    assert rows["L1"]["loan_type_auto_loan"] == 1 and rows["L2"]["loan_type_auto_loan"] == 0
+    assert rows["L1"]["payment_behaviour_low"] == 1 and rows["L1"]["fe_20"] == 20
+    assert rows["L2"]["Age"] == 40 and rows["L2"]["Annual_Income"] == 1000.5
+    assert "Occupation_doctor" not in gold.columns  # outside the window
