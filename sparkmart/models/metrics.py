@@ -2,9 +2,9 @@
 
 ``roc_auc`` is exact (ties counted half, as the Mann-Whitney statistic) without a global
 sort: rows collapse to distinct ``(group, score)`` counts, scores are cut into ``buckets``
-ranges at approximate quantiles (bounded sketch), bucket totals are prefix-summed (groups x
-buckets rows), and the running negative count is finished with a window *inside* each
-bucket.  No single task ever sees more than one bucket of one group.
+ranges at approximate quantiles (bounded sketch), bucket totals are prefix-summed (a window per
+group over at most ``buckets + 1`` rows; without groups, on the driver over those few numbers),
+and the running negative count is finished with a window *inside* each bucket.  No single task ever sees more than one bucket of one group.
 
 The distinct-score table is materialised once with a reliable ``checkpoint`` (the shared
 ``spark.checkpoint.dir``) so the quantile pass and the main pass do not both recompute the
@@ -49,12 +49,22 @@ def auc_from_distinct(dist: DataFrame, group_cols: Iterable[str] = (), buckets:
     dist = Bucketizer(splits=splits, inputCol="s", outputCol="bucket", handleInvalid="keep").transform(dist)
 
     tot = dist.groupBy(*g, "bucket").agg(F.sum("neg").alias("bneg"))
-    wb = Window.partitionBy(*g).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    tot = tot.withColumn("neg_before_bucket", F.coalesce(F.sum("bneg").over(wb), F.lit(0.0))).drop("bneg")
-
     wi = Window.partitionBy(*g, "bucket").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
     dist = dist.withColumn("neg_before", F.coalesce(F.sum("neg").over(wi), F.lit(0.0)))
-    joined = dist.join(tot, [*g, "bucket"])
+    if g:
+        # prefix sums over each group's bucket totals (at most buckets + 1 rows per group)
+        wb = Window.partitionBy(*g).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+        tot = tot.withColumn("neg_before_bucket", F.coalesce(F.sum("bneg").over(wb), F.lit(0.0))).drop("bneg")
+        joined = dist.join(tot, [*g, "bucket"])
+    else:
+        # ungrouped: the bucket totals are a bounded statistic (<= buckets + 1 rows); prefix-sum them here
+        before, run = {}, 0.0
+        for r in sorted(tot.collect(), key=lambda r: r["bucket"]):
+            before[float(r["bucket"])] = run
+            run += r["bneg"]
+        lookup = F.create_map(*[x for k, v in before.items() for x in (F.lit(k), F.lit(v))]) if before else None
+        nb = F.coalesce(lookup[F.col("bucket")], F.lit(0.0)) if lookup is not None else F.lit(0.0)
+        joined = dist.withColumn("neg_before_bucket", nb)
     contrib = F.col("pos") * (F.col("neg_before_bucket") + F.col("neg_before") + F.col("neg") / 2.0)
     out = joined.groupBy(*g).agg(F.sum(contrib).alias("u"), F.sum("pos").alias("p"), F.sum("neg").alias("n"))
     auc = F.when((F.col("p") > 0) & (F.col("n") > 0), F.col("u") / (F.col("p") * F.col("n")))

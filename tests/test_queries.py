@@ -45,3 +45,30 @@ def test_no_python_udf_in_plans(spark, name):
     """Plans stay in the JVM: no row-at-a-time Python evaluation in any registered query."""
     plan = QUERIES[name](spark, SF0001)._jdf.queryExecution().executedPlan().toString()
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+
+
+def _nodes(plan):
+    """All physical operators of a plan (through AQE wrappers and codegen stages)."""
+    out, stack = [], [plan]
+    while stack:
+        node = stack.pop()
+        name = node.nodeName()
+        out.append(node)
+        if name == "AdaptiveSparkPlan":
+            stack.append(node.inputPlan())
+            continue
+        kids = node.children()
+        for i in range(kids.size()):
+            stack.append(kids.apply(i))
+    return out
+
+
+@pytest.mark.parametrize("name", sorted(n for n in QUERIES if n not in SLOW | {"model_save_load"}))
+def test_no_cross_join_or_global_window(spark, name):
+    """Scale guards: no cartesian / nested-loop joins, and every window is partitioned."""
+    nodes = _nodes(QUERIES[name](spark, SF0001)._jdf.queryExecution().executedPlan())
+    names = {n.nodeName() for n in nodes}
+    assert not names & {"CartesianProduct", "BroadcastNestedLoopJoin"}, names
+    for n in nodes:
+        if n.nodeName() == "Window":
+            assert not n.partitionSpec().isEmpty(), f"{name}: global window"
