@@ -43,9 +43,14 @@ def write_predictions(df: DataFrame, root: str) -> None:
     write_snapshots(df, root, partition_cols=("model_name", "snapshot_date"))
 
 
-def append_rows(df: DataFrame, root: str, fmt: str = "parquet") -> None:
-    """SNK-8: append-only log (metrics runs)."""
-    df.write.mode("append").format(fmt).save(root)
+def append_rows(df: DataFrame, root: str, fmt: str = "parquet", options: dict | None = None) -> None:
+    """SNK-8: append-only log (metrics runs).
+
+    ``fmt="jdbc"`` with ``options`` (``url``, ``dbtable``, credentials) appends to a database
+    table instead; ``root`` is then ignored.
+    """
+    w = df.write.mode("append").format(fmt).options(**(options or {}))
+    w.save() if fmt == "jdbc" else w.save(root)
 
 
 def save_model(model, path: str) -> None:
