@@ -46,11 +46,11 @@ def _window(df: DataFrame, start, end, col: str = "snapshot_date") -> DataFrame:
     return df
 
 
-def bronze(spark: SparkSession, source_csv: str, bronze_root: str, start=None, end=None) -> None:
+def bronze(spark: SparkSession, source_csv: str, bronze_root: str, start=None, end=None) -> int:
     """PIP-1: land the snapshots of ``[start, end]`` as partitioned Parquet (raw text columns)."""
     raw = read_csv(spark, source_csv, LOAN_DAILY_RAW)
     raw = raw.withColumn("snapshot_date", F.try_to_date("snapshot_date"))
-    write_snapshots(_window(raw, start, end), bronze_root)
+    return write_snapshots(_window(raw, start, end), bronze_root)
 
 
 def silver_frame(bronze_df: DataFrame) -> DataFrame:
@@ -60,24 +60,26 @@ def silver_frame(bronze_df: DataFrame) -> DataFrame:
     return days_past_due(typed)
 
 
-def silver(spark: SparkSession, bronze_root: str, silver_root: str, start=None, end=None) -> None:
-    write_snapshots(silver_frame(read_window(spark, bronze_root, start, end)), silver_root)
+def silver(spark: SparkSession, bronze_root: str, silver_root: str, start=None, end=None) -> int:
+    return write_snapshots(silver_frame(read_window(spark, bronze_root, start, end)), silver_root)
 
 
 def gold_labels(spark: SparkSession, silver_root: str, gold_root: str, start=None, end=None,
-                dpd: int = 30, mob: int = 6) -> None:
+                dpd: int = 30, mob: int = 6) -> int:
     """PIP-7: label store ``loan_id, Customer_ID, label, label_def, snapshot_date``."""
     labels = default_label(read_window(spark, silver_root, start, end), dpd, mob)
-    write_snapshots(labels, gold_root)
+    return write_snapshots(labels, gold_root)
 
 
 def backfill(spark: SparkSession, source_csv: str, root: str, start, end, dpd: int = 30, mob: int = 6) -> dict:
     """PIP-13: all three layers for the months ``[trunc(start), end]``; returns the layer paths."""
     start = _first_of_month(start)  # the month list starts at the 1st of the start month (CAL-1)
     paths = {k: f"{root.rstrip('/')}/{k}" for k in ("bronze_loan_daily", "silver_loan_daily", "gold_label_store")}
-    bronze(spark, source_csv, paths["bronze_loan_daily"], start, end)
-    silver(spark, paths["bronze_loan_daily"], paths["silver_loan_daily"], start, end)
-    gold_labels(spark, paths["silver_loan_daily"], paths["gold_label_store"], start, end, dpd, mob)
+    rows = {"bronze_loan_daily": bronze(spark, source_csv, paths["bronze_loan_daily"], start, end)}
+    rows["silver_loan_daily"] = silver(spark, paths["bronze_loan_daily"], paths["silver_loan_daily"], start, end)
+    rows["gold_label_store"] = gold_labels(spark, paths["silver_loan_daily"], paths["gold_label_store"], start, end,
+                                           dpd, mob)
+    paths["rows"] = rows
     return paths
 
 

@@ -13,16 +13,22 @@ from pyspark.sql import DataFrame
 
 
 def write_snapshots(df: DataFrame, root: str, partition_cols: Iterable[str] = ("snapshot_date",),
-                    sort_by: Iterable[str] = (), fmt: str = "parquet", header: bool = True) -> None:
+                    sort_by: Iterable[str] = (), fmt: str = "parquet", header: bool = True) -> int:
     """SNK-1..5: one partitioned write for a whole window of snapshots.
 
     The ``rebalance`` hint clusters rows by the partition columns (few files per snapshot)
     while letting AQE split a large snapshot into advisory-sized tasks and merge small ones;
     a plain ``repartition(snapshot_date)`` would send a whole snapshot - terabytes at scale -
-    through a single writer task.
+    through a single writer task.  Returns the number of rows written (an observed metric of
+    the write job, not a second scan).
     """
+    from pyspark.sql import Observation
+    from pyspark.sql import functions as F
+
     parts = list(partition_cols)
-    out = df.hint("rebalance", *parts) if parts else df
+    seen = Observation()  # row count gathered by the write itself: no extra counting job
+    out = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+    out = out.hint("rebalance", *parts) if parts else out
     if sort_by:
         out = out.sortWithinPartitions(*parts, *sort_by)
     w = (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").format(fmt))
@@ -31,6 +37,7 @@ def write_snapshots(df: DataFrame, root: str, partition_cols: Iterable[str] = ("
     if parts:
         w = w.partitionBy(*parts)
     w.save(root)
+    return int(seen.get.get("rows", 0))
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:

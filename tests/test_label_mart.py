@@ -79,6 +79,8 @@ def test_label_mart_backfill(spark, tmp_root, local_tmp):
                     f"{'' if od is None else od},500,{s.isoformat()}\n")
         f.write("outside,C99,2020-01-01,10,6,1000,100,0,100,500,2020-05-01\n")
     paths = label_mart.backfill(spark, csv, tmp_root, "2023-01-15", "2023-12-01")
+    assert paths["rows"] == {"bronze_loan_daily": len(EDGES), "silver_loan_daily": len(EDGES),
+                             "gold_label_store": len(EDGES)}
     silver = spark.read.parquet(paths["silver_loan_daily"])
     assert {r[0] for r in silver.select("snapshot_date").distinct().collect()} == {
         D(2023, 7, 1), D(2023, 3, 1), D(2023, 3, 31)}
