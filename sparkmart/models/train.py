@@ -91,7 +91,7 @@ def sample_space(space: Mapping[str, Sequence], n_iter: int, seed: int = 42) ->
 
 def random_search(train: DataFrame, feature_cols: Sequence[str], label_col: str = "label",
                   space: Mapping[str, Sequence] | None = None, n_iter: int = 100, folds: int = 3,
-                  seed: int = 42, parallelism: int = 4):
+                  seed: int = 42, parallelism: int | None = None):
     """MLD-6: ``n_iter`` sampled settings x ``folds``-fold CV, AUC on probabilities.
 
     Returns ``(best_pipeline_model, results)`` where ``results`` is a small DataFrame with one
@@ -111,8 +111,10 @@ def random_search(train: DataFrame, feature_cols: Sequence[str], label_col: str
         grid.append(pm)
     evaluator = BinaryClassificationEvaluator(labelCol=label_col, rawPredictionCol="probability",
                                               metricName="areaUnderROC")
+    # fits of different settings run concurrently (each fit is itself distributed); 8 in flight
+    # keeps a cluster busy between the many small tree-growing jobs of one boosting run
     cv = CrossValidator(estimator=pipe, estimatorParamMaps=grid, evaluator=evaluator, numFolds=folds,
-                        seed=seed, parallelism=parallelism)
+                        seed=seed, parallelism=parallelism or min(len(grid), 8))
     model = cv.fit(train.withColumn(label_col, F.col(label_col).cast("double")))
     spark: SparkSession = train.sparkSession
     rows = [(i, *[float(d[k]) for k in space], float(m)) for i, (d, m) in enumerate(zip(draws, model.avgMetrics))]
