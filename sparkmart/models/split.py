@@ -18,7 +18,7 @@ def assign_windows(df: DataFrame, train_date, date_col: str = "snapshot_date", o
 
 
 def stratified_split(df: DataFrame, key_col: str, label_col: str = "label", ratio: float = 0.8,
-                     seed: int = 88, accuracy: int = 1_000_000, out_col: str = "split") -> DataFrame:
+                     seed: int = 88, accuracy: int = 100_000, out_col: str = "split") -> DataFrame:
     """MLD-3: seeded stratified split, ``ratio`` of each class to ``train``.
 
     Each row draws ``u = unit_hash(key, seed)`` - the same on every run and for any

@@ -52,7 +52,7 @@ def grouped_mean(df: DataFrame, key: str, value, out: str = "mean") -> DataFrame
     return df.groupBy(key).agg(F.avg(value).alias(out))
 
 
-def numeric_profile(df: DataFrame, cols: Iterable[str], accuracy: int = 1_000_000) -> DataFrame:
+def numeric_profile(df: DataFrame, cols: Iterable[str], accuracy: int = 100_000) -> DataFrame:
     """AGG-8: count, mean, sample stddev, min, quartiles, max per column; one row per column.
 
     Quartiles use ``percentile_approx`` (a bounded-memory sketch; exact for fewer than
