@@ -46,22 +46,33 @@ def _window(df: DataFrame, start, end, col: str = "snapshot_date") -> DataFrame:
     return df
 
 
-def bronze(spark: SparkSession, source_csv: str, bronze_root: str, start=None, end=None) -> int:
-    """PIP-1: land the snapshots of ``[start, end]`` as partitioned Parquet (raw text columns)."""
+def bronze(spark: SparkSession, source_csv: str, bronze_root: str, start=None, end=None, fmt: str = "parquet") -> int:
+    """PIP-1: land the snapshots of ``[start, end]`` partitioned by snapshot (raw text columns).
+
+    ``fmt="csv"`` keeps the bronze layer as CSV (one folder per snapshot, written by the
+    executors - never through the driver); Parquet is the default.
+    """
     raw = read_csv(spark, source_csv, LOAN_DAILY_RAW)
     raw = raw.withColumn("snapshot_date", F.try_to_date("snapshot_date"))
-    return write_snapshots(_window(raw, start, end), bronze_root)
+    return write_snapshots(_window(raw, start, end), bronze_root, fmt=fmt)
+
 
+def silver_frame(bronze_df: DataFrame, fill_numeric_zero: bool = True) -> DataFrame:
+    """PIP-2: enforce types, fill missing numerics with 0 (CLN-6, D6), derive mob / missed / dpd.
 
-def silver_frame(bronze_df: DataFrame) -> DataFrame:
-    """PIP-2: enforce types, fill missing numerics with 0 (CLN-6), derive mob / missed / dpd."""
+    The zero fill runs before the derived columns; ``fill_numeric_zero=False`` leaves missing
+    amounts null instead (then ``dpd`` is null wherever ``overdue_amt`` is).
+    """
     typed = enforce_schema(bronze_df, LOAN_DAILY_TYPES, strict=True)
-    typed = fill_all_numeric(typed, 0)
+    if fill_numeric_zero:
+        typed = fill_all_numeric(typed, 0)
     return days_past_due(typed)
 
 
-def silver(spark: SparkSession, bronze_root: str, silver_root: str, start=None, end=None) -> int:
-    return write_snapshots(silver_frame(read_window(spark, bronze_root, start, end)), silver_root)
+def silver(spark: SparkSession, bronze_root: str, silver_root: str, start=None, end=None,
+           fill_numeric_zero: bool = True) -> int:
+    df = read_window(spark, bronze_root, start, end)
+    return write_snapshots(silver_frame(df, fill_numeric_zero), silver_root)
 
 
 def gold_labels(spark: SparkSession, silver_root: str, gold_root: str, start=None, end=None,
