@@ -153,8 +153,8 @@ def q_normalise_text(spark, sf_dir):
 
 @query("dedupe_keys", sql="""
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax,
-       l_returnflag, l_linestatus, l_shipdate
-FROM (SELECT *, CAST(l_shipdate AS DATE) AS l_shipdate_d,
+       l_returnflag, l_linestatus, CAST(l_shipdate AS DATE) AS l_shipdate
+FROM (SELECT *,
              row_number() OVER (PARTITION BY l_orderkey, l_linenumber
                                 ORDER BY l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax,
                                          l_returnflag, l_linestatus, l_shipdate) AS rn
@@ -163,4 +163,5 @@ WHERE rn = 1
 """)
 def q_dedupe_keys(spark, sf_dir):
     """CLN-11: one row per ``(l_orderkey, l_linenumber)``, smallest remaining tuple survives."""
-    return dedupe_keys(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
+    out = dedupe_keys(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
+    return out.withColumn("l_shipdate", F.col("l_shipdate").cast("date"))

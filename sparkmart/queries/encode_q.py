@@ -83,7 +83,7 @@ _INDEX = """(SELECT {c} AS val, CAST(row_number() OVER (ORDER BY count(*) DESC,
 WITH v AS {_INDEX.format(c="p_brand", t="part")},
 slots AS (SELECT unnest(range(0, (SELECT count(*) FROM v))) AS slot)
 SELECT p.p_partkey, 'p_brand_' || CAST(slots.slot AS VARCHAR) AS feature,
-       CASE WHEN v.idx = slots.slot THEN 1.0 ELSE 0.0 END AS value
+       CAST(CASE WHEN v.idx = slots.slot THEN 1 ELSE 0 END AS DOUBLE) AS value
 FROM part p LEFT JOIN v ON p.p_brand = v.val CROSS JOIN slots
 """)
 def q_indexed_one_hot(spark, sf_dir):
@@ -99,7 +99,7 @@ v AS {_INDEX.format(c="p_type", t="p")},
 n AS (SELECT count(*) AS k FROM v),
 slots AS (SELECT unnest(range(0, (SELECT k FROM n) + 1)) AS slot)
 SELECT p.p_partkey, 'p_type_' || CAST(slots.slot AS VARCHAR) AS feature,
-       CASE WHEN coalesce(v.idx, (SELECT k FROM n)) = slots.slot THEN 1.0 ELSE 0.0 END AS value
+       CAST(CASE WHEN coalesce(v.idx, (SELECT k FROM n)) = slots.slot THEN 1 ELSE 0 END AS DOUBLE) AS value
 FROM p LEFT JOIN v ON p.p_type = v.val CROSS JOIN slots
 """)
 def q_indexed_one_hot_full(spark, sf_dir):
@@ -117,7 +117,7 @@ l AS (SELECT p_partkey, CASE WHEN p_name IN (SELECT p_name FROM top) THEN p_name
 v AS (SELECT lim AS val, CAST(row_number() OVER (ORDER BY count(*) DESC, lim) - 1 AS INTEGER) AS idx FROM l GROUP BY lim),
 slots AS (SELECT unnest(range(0, (SELECT count(*) FROM v))) AS slot)
 SELECT l.p_partkey, 'p_name_limited_' || CAST(slots.slot AS VARCHAR) AS feature,
-       CASE WHEN v.idx = slots.slot THEN 1.0 ELSE 0.0 END AS value
+       CAST(CASE WHEN v.idx = slots.slot THEN 1 ELSE 0 END AS DOUBLE) AS value
 FROM l JOIN v ON l.lim = v.val CROSS JOIN slots
 """)
 def q_topk_bucket(spark, sf_dir):

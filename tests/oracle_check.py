@@ -104,6 +104,8 @@ def compare(spark_pdf: pd.DataFrame, duck_pdf: pd.DataFrame) -> dict:
         if ks != kd:
             kinds[c] = (ks, kd)
     res["kind_mismatch"] = kinds
+    res["dtype_mismatch"] = {c: (str(spark_pdf[c].dtype), str(duck_pdf[c].dtype)) for c in sc
+                             if str(spark_pdf[c].dtype) != str(duck_pdf[c].dtype)}
     return res
 
 

@@ -23,6 +23,7 @@ def test_query_matches_oracle(spark, con, name):
     res = compare(got, want)
     assert res["columns_match"], res
     assert res["exact"], res
+    assert not res["dtype_mismatch"], res
 
 
 def test_every_query_has_sql_or_is_model_job():
