@@ -94,7 +94,7 @@ def q_label_mart_backfill(spark, sf_dir):
     paths = label_mart.backfill(spark, source, root, "1996-01-15", "2000-12-01")
     gold = spark.read.parquet(paths["gold_label_store"])
     return gold.groupBy("snapshot_date").agg(
-        F.count(F.lit(1)).alias("loans"), F.sum("label").cast("bigint").alias("bad"), F.first("label_def").alias("label_def"))
+        F.count(F.lit(1)).alias("loans"), F.sum("label").cast("bigint").alias("bad"), F.max("label_def").alias("label_def"))
 
 
 @query("incremental_label_store", sql=f"""
