@@ -258,3 +258,26 @@ def q_model_save_load(spark, sf_dir):
 def dedupe_scores(df, keys):
     from sparkmart.operators.clean import dedupe_keys
     return dedupe_keys(df, keys)
+
+
+@query("model_lifecycle")
+def q_model_lifecycle(spark, sf_dir):
+    """PIP-14/15/16: train job (fixed GBT, scaler inside the saved pipeline, run record) ->
+    scoring of the out-of-time snapshots into the prediction store -> monitoring against the
+    realised labels; returns the metrics log (one training row + one row per monitored snapshot)."""
+    from sparkmart.plans.model_jobs import monitor_job, score_job, train_job
+
+    attrs = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("Customer_ID"), "c_acctbal", "c_nationkey")
+    feats = missing_flags(left_chain(customer_months(spark, sf_dir), [(attrs, ["Customer_ID"])]), ["spend"])
+    labels = loan_labels(spark, sf_dir)
+    root = scratch_path(spark, "model_lifecycle")
+    keys = ["Customer_ID", "snapshot_date"]
+    train_job(spark, labels, feats, FEATURES, TRAIN_DATE, f"{root}/model", f"{root}/metrics", keys=keys,
+              model_name="gbt_30dpd_6mob", search=False)
+    oot = assign_windows(feats, TRAIN_DATE).where(F.col("window_name") == "oot")
+    score_job(spark, f"{root}/model", oot, keys, "gbt_30dpd_6mob", f"{root}/predictions")
+    monitor_job(spark, f"{root}/predictions", labels, keys, f"{root}/metrics", model_name="gbt_30dpd_6mob")
+    log = spark.read.option("mergeSchema", True).parquet(f"{root}/metrics")
+    return log.select("model_name", F.coalesce("snapshot_date", "train_date").alias("snapshot_date"),
+                      F.when(F.col("inference_count").isNull(), "train").otherwise("monitor").alias("kind"),
+                      "auc_train", "auc_test", "auc_oot", "inference_count", "auc_score", "logloss")

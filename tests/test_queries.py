@@ -6,7 +6,7 @@ import __spark_entry__ as entry
 from tests.conftest import SF0001, SF001
 from tests.oracle_check import compare, duck
 
-SLOW = {"gbt_score", "cv_search"}
+SLOW = {"gbt_score", "cv_search", "model_lifecycle"}
 SQL = entry.oracle_sql()
 QUERIES = entry.queries()
 
@@ -27,7 +27,7 @@ def test_query_matches_oracle(spark, con, name):
 
 
 def test_every_query_has_sql_or_is_model_job():
-    assert set(QUERIES) - set(SQL) == {"gbt_score", "cv_search", "model_save_load"}
+    assert set(QUERIES) - set(SQL) == {"gbt_score", "cv_search", "model_save_load", "model_lifecycle"}
 
 
 def test_entry_smoke(spark):
