@@ -73,3 +73,18 @@ def test_no_cross_join_or_global_window(spark, name):
     for n in nodes:
         if n.nodeName() == "Window":
             assert not n.partitionSpec().isEmpty(), f"{name}: global window"
+
+
+def test_flagship_pushdown_and_pruning(spark):
+    """The cohort cut reaches the orders scan; each scan reads only the columns it needs."""
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
+    plan = QUERIES["bad_rate_curve"](spark, SF001)._jdf.queryExecution().executedPlan().toString()
+    assert "LessThan(o_orderdate,2000-01-01T00:00)" in plan
+    assert "ReadSchema: struct<l_orderkey:bigint,l_linenumber:int,l_quantity:double,l_shipdate:timestamp_ntz>" in plan
+    assert "ReadSchema: struct<o_orderkey:bigint,o_orderdate:timestamp_ntz>" in plan
+
+
+def test_snapshot_filter_pushed_to_scan(spark):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
+    plan = QUERIES["snapshot_eq"](spark, SF001)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(o_orderdate,1998-07-01T00:00)" in plan and "LessThan(o_orderdate,1998-08-01T00:00)" in plan
