@@ -56,7 +56,7 @@ def _nodes(plan):
         name = node.nodeName()
         out.append(node)
         if name == "AdaptiveSparkPlan":
-            stack.append(node.inputPlan())
+            stack.append(node.executedPlan())
             continue
         kids = node.children()
         for i in range(kids.size()):
