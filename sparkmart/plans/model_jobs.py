@@ -65,7 +65,12 @@ def train_job(spark: SparkSession, labels: DataFrame, features: DataFrame, featu
 
     scored = score(fitted, tt.unionByName(df.where(F.col("window_name") == "oot").withColumn("split", F.lit("oot"))),
                    [key_col, "split", "label"], model_name)
-    aucs = {r["split"]: r["auc"] for r in roc_auc(scored, "score", "label", ["split"]).collect()}  # <= 3 rows
+    # three metric passes read the scored rows: materialise them once in the shared folder
+    # (reliable checkpoint) instead of recomputing joins, split and model transform each time
+    from sparkmart.session import shared_dir
+    shared_dir(spark)
+    scored = scored.checkpoint(eager=True)
+    aucs = {r["split"]: r["auc"] for r in roc_auc(scored, "score", "label", ["split"], materialise=False).collect()}
     fa = f1_accuracy(scored.where(F.col("split") == "test"), "score", "label").first()
     sizes = {r["split"]: r["count"] for r in scored.groupBy("split").count().collect()}
     results = {f"auc_{k}": v for k, v in aucs.items() if v is not None}
