@@ -23,13 +23,26 @@ def left_chain(base: DataFrame, sides: Sequence[tuple], dedupe: bool = True) ->
     is already one row per key (e.g. an aggregate grouped by exactly those keys), which skips
     the dedupe aggregation for that side.
     """
-    out = base
+    prepared = []
     for side in sides:
         frame, keys = side[0], list(side[1])
         unique = len(side) > 2 and bool(side[2])
-        right = dedupe_keys(frame, keys) if dedupe and not unique else frame
-        out = out.join(right, keys, "left")
-    return out
+        prepared.append((dedupe_keys(frame, keys) if dedupe and not unique else frame, keys))
+    # With every right side unique per key, the left joins commute.  Joining the sides that share
+    # a key set one after another lets each group reuse the base's hash partitioning, so the
+    # (large) base is shuffled once per distinct key set instead of once per key change.
+    first_seen: dict[tuple, int] = {}
+    for i, (_, keys) in enumerate(prepared):
+        first_seen.setdefault(tuple(keys), i)
+    order = sorted(range(len(prepared)), key=lambda i: (first_seen[tuple(prepared[i][1])], i))
+    out = base
+    for i in order:
+        frame, keys = prepared[i]
+        out = out.join(frame, keys, "left")
+    columns = list(base.columns)
+    for frame, keys in prepared:  # original column order: base, then each side as listed
+        columns += [c for c in frame.columns if c not in columns]
+    return out.select(*columns)
 
 
 def outer_chain(frames: Sequence, keys: Sequence[str], drop_keys: bool = False, dedupe: bool = True) -> DataFrame:
