@@ -8,8 +8,10 @@
 4. Nodes that share a band key are candidates.  They are not expanded into all pairs: every node is
    compared with the least node of each of its buckets, links give components, and only buckets that
    still hold several components go on - first against ``PROBES`` members of the bucket's leading
-   component, then (the exact rest) every cross-component pair of the bucket not yet compared.
-   So each candidate pair is linked, or compared and found below the threshold, or already connected.
+   component, then (the exact rest) in blocks: members outside the leading component meet all members
+   in tasks of bounded size, which compute every similarity across components and return only
+   the links that join components.  So each candidate pair is linked, or compared and found below the
+   threshold, or already connected - and no list of all pairs is ever made.
 5. A link needs weighted Jaccard >= ``threshold`` on the true shingle weights.
 
 Shingles are five words; a text of one to four words is one shingle of all its words; empty and null
@@ -40,6 +42,8 @@ SMOOTH = 1000.0
 PROBES = 8
 _TABLE = 1 << 14
 _BLOCK = 4096
+#: Total shingle weight of a block of texts that one task compares with another (about 300,000 shingles).
+BLOCK_WEIGHT = 2_000_000.0
 
 
 def row_shingles(batch: pa.RecordBatch, column: str):
@@ -219,12 +223,12 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thresh
     done = land(members.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct(), "near-pairs")
     links = land(verify(done, texts, idf, threshold), "near-links")
     weight = nodes.select("node", "total")
-    for exact in (False, True):
-        comp = components(links, "near-comp")
-        pairs = _open_pairs(members, comp, weight, threshold, exact).join(done, ["a", "b"], "left_anti")
-        pairs = land(pairs, "near-pairs")
-        links = land(links.union(verify(pairs, texts, idf, threshold)), "near-links")
-        done = done.union(pairs)
+    placed, main = _mixed_buckets(members, components(links, "near-comp"))
+    pairs = land(_probe_pairs(placed, main, weight, threshold).join(done, ["a", "b"], "left_anti"), "near-pairs")
+    links = land(links.union(verify(pairs, texts, idf, threshold)), "near-links")
+
+    placed, main = _mixed_buckets(members, components(links, "near-comp"))
+    links = land(links.union(_rest(land(placed, "near-placed"), main, weight, texts, idf, threshold)), "near-links")
 
     comp = components(links, "near-comp")
     degree = (links.select(F.col("a").alias("node")).union(links.select(F.col("b").alias("node")))
@@ -234,26 +238,27 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thresh
     return NearDuplicates(named.select("rid", "id", "h1", "h2", "node"), land(classes, "near-classes"))
 
 
-def _open_pairs(members: DataFrame, comp: DataFrame, weight: DataFrame, threshold: float, exact: bool) -> DataFrame:
-    """Pairs (a < b) still to compare, from buckets that hold several components.
-
-    The weight totals bound the similarity (min / max), so pairs that cannot reach the threshold
-    are left out without a comparison.
-    """
-    placed = (members.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node")))
+def _mixed_buckets(members: DataFrame, comp: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(band, key, node, comp) of the buckets that hold several components, and each one's leading
+    component ``top`` (most members) with ``PROBES`` of its members, picked by hash."""
     bucket = ["band", "key"]
+    placed = members.select(*bucket, "node").join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     mixed = placed.groupBy(*bucket).agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select(*bucket)
-    sizes = placed.join(mixed, bucket).groupBy(*bucket, "comp").agg(
+    placed = placed.join(mixed, bucket).select(*bucket, "node", "comp")
+    sizes = placed.groupBy(*bucket, "comp").agg(
         F.count(F.lit(1)).alias("m"),
         *[F.min(F.struct(F.xxhash64("node", F.lit(i)), "node")).getField("node").alias(f"p{i}") for i in range(PROBES)])
-    main = sizes.groupBy(*bucket).agg(F.max(F.struct("m", "comp", *[f"p{i}" for i in range(PROBES)])).alias("top"))
-    outside = (placed.join(main, bucket).where("comp <> top.comp").select(*bucket, "node", "comp", "top"))
-    if exact:
-        inside = placed.join(mixed, bucket).select(*bucket, F.col("node").alias("other"), F.col("comp").alias("other_comp"))
-        open_ = (outside.select(*bucket, "node", "comp", F.col("top.comp").alias("main")).join(inside, bucket)
-                 .where("comp <> other_comp and (other_comp = main or node < other)").select("node", "other"))
-    else:
-        open_ = outside.select("node", F.explode(F.array(*[F.col(f"top.p{i}") for i in range(PROBES)])).alias("other"))
+    return placed, sizes.groupBy(*bucket).agg(F.max(F.struct("m", "comp", *[f"p{i}" for i in range(PROBES)])).alias("top"))
+
+
+def _probe_pairs(placed: DataFrame, main: DataFrame, weight: DataFrame, threshold: float) -> DataFrame:
+    """Pairs (a < b) of each member outside its bucket's leading component with the probes of that one.
+
+    The weight totals bound the similarity (min / max), so pairs that cannot reach the threshold
+    are left out without a comparison.
+    """
+    open_ = (placed.join(main, ["band", "key"]).where("comp <> top.comp")
+             .select("node", F.explode(F.array(*[F.col(f"top.p{i}") for i in range(PROBES)])).alias("other")))
     total = lambda name: weight.select(F.col("node").alias(name), F.col("total").alias("w_" + name))
     return (open_.where("node <> other")
             .select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
@@ -261,6 +266,97 @@ def _open_pairs(members: DataFrame, comp: DataFrame, weight: DataFrame, threshol
             .where(F.least("w_a", "w_b") >= (threshold - 1e-9) * F.greatest("w_a", "w_b")).select("a", "b"))
 
 
+def _features(h: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A text's shingles as a plain set: the k-th copy of a shingle is a feature of its own, so that the
+    weight of the common features is the sum of minima."""
+    u, tf = np.unique(h, return_counts=True)
+    w = idf[(u & K.U64(SKETCH - 1)).astype(np.int64)].astype(np.float64)
+    if tf.max() == 1:
+        return u, w
+    nth = np.arange(tf.sum()) - np.repeat(np.cumsum(tf) - tf, tf)
+    return K.mix(np.repeat(u, tf) + nth.astype(K.U64) * K.U64(0x9E3779B97F4A7C15)), np.repeat(w, tf)
+
+
+def block_links(left: list, right: list, threshold: float) -> list[tuple[int, int]]:
+    """Links that join components, of all pairs (left, right); items are (node, comp, features, weights).
+
+    Similarities are exact; pairs whose components are already joined are passed over.
+    """
+    feats, index = np.unique(np.concatenate([x[2] for x in right]), return_inverse=True)
+    at = np.concatenate(([0], np.cumsum([len(x[2]) for x in right])))[:-1]
+    totals = np.array([x[3].sum() for x in right])
+    comps = np.array([x[1] for x in right])
+    parent: dict[int, int] = {}
+
+    def root(c):
+        while parent.get(c, c) != c:
+            c = parent[c]
+        return c
+
+    out, step = [], max(1, 2_000_000 // len(index))
+    for i in range(0, len(left), step):
+        rows = left[i:i + step]
+        dense = np.zeros((len(rows), len(feats)))
+        for r, x in enumerate(rows):
+            k = np.minimum(np.searchsorted(feats, x[2]), len(feats) - 1)
+            hit = feats[k] == x[2]
+            dense[r, k[hit]] = x[3][hit]
+        common = np.add.reduceat(dense[:, index], at, axis=1)
+        own = np.array([x[3].sum() for x in rows])[:, None]
+        close = (common >= (threshold - 1e-9) * (own + totals - common)) & (comps != np.array([x[1] for x in rows])[:, None])
+        for r, j in zip(*np.nonzero(close)):
+            a, b = root(rows[r][1]), root(right[j][1])
+            if a != b:
+                parent[max(a, b)] = min(a, b)
+                out.append((min(rows[r][0], right[j][0]), max(rows[r][0], right[j][0])))
+    return out
+
+
+def _rest(placed: DataFrame, main: DataFrame, weight: DataFrame, texts: DataFrame, idf, threshold: float) -> DataFrame:
+    """(a, b): the links across components within the mixed buckets, found in blocks.
+
+    A block holds texts of about ``BLOCK_WEIGHT`` total weight (or one longer text); each task group
+    compares one block of outside members with one block of all members of the same bucket.
+    """
+    bucket = ["band", "key"]
+    rows = (placed.join(main.select(*bucket, F.col("top.comp").alias("lead")), bucket).join(weight, "node")
+            .select(*bucket, "node", "comp", "total", (F.col("comp") != F.col("lead")).alias("outside")))
+    blocks = rows.groupBy(*bucket).agg(F.ceil(F.sum("total") / BLOCK_WEIGHT).cast("int").alias("nb"),
+                                       F.ceil(F.sum(F.when(F.col("outside"), F.col("total"))) / BLOCK_WEIGHT).cast("int").alias("na"))
+    rows = rows.join(blocks, bucket)
+    block = lambda n, salt: F.pmod(F.xxhash64("node", F.lit(salt)), F.col(n)).cast("int")
+    numbers = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    left = rows.where("outside").select(*bucket, block("na", 1).alias("i"), F.explode(numbers("nb")).alias("j"), F.lit(True).alias("left"), "node", "comp")
+    right = rows.select(*bucket, F.explode(numbers("na")).alias("i"), block("nb", 2).alias("j"), F.lit(False).alias("left"), "node", "comp")
+    work = (left.union(right).withColumn("group", F.xxhash64(*bucket, "i", "j")).join(texts, "node")
+            .select("group", "left", "node", "comp", "text"))
+    spark = placed.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
+
+    def compare(batches):
+        names = ["a", "b"]
+        current, left, right, out = None, [], [], []
+
+        def close():
+            if left and right:
+                out.extend(block_links(left, right, threshold))
+            left.clear()
+            right.clear()
+
+        for batch in batches:
+            for part in K.slices(batch, "text"):
+                h, first = row_shingles(part, "text")
+                for n, (group, is_left, node, comp) in enumerate(zip(*(part.column(c).to_pylist() for c in ("group", "left", "node", "comp")))):
+                    if group != current:
+                        close()
+                        current = group
+                    (left if is_left else right).append((node, comp, *_features(h[first[n]:first[n + 1]], idf.value)))
+        close()
+        yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], names=names)
+
+    return (work.repartition(tasks, "group").sortWithinPartitions("group", "node").mapInArrow(compare, "a long, b long"))
+
+
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """One row per input row: id, ``class_id`` (least non-null id of the class), ``class_rows``, ``n_links``."""
     found = find(docs, id_col, text_col, **options)
