@@ -73,7 +73,7 @@ def attribute(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     ship_package(spark)
     vocab = spark.sparkContext.broadcast(T.load_vocabulary(vocabulary))
     own = sections is not None
-    spans = F.transform(sections, lambda s: F.struct(s[0].cast("long").alias("start"), s[1].cast("long").alias("stop"))) if own else F.lit(None).cast("array<struct<start:long,stop:long>>")
+    spans = F.transform(sections, lambda s: F.struct(s["start"].cast("long").alias("start"), s["stop"].cast("long").alias("stop"))) if own else F.lit(None).cast("array<struct<start:long,stop:long>>")
 
     def count(batches):
         enc = T.encoder(vocab)
