@@ -14,14 +14,21 @@ def strip_to_digits(c, to: str = "int") -> Column:
     """Keep only ``0-9`` and cast with ``try_cast`` (CLN-2).
 
     The minus sign counts as noise, as in the reference (``"-25"`` -> 25).  Casting happens on
-    the cleaned text, so ``"23_"`` gives 23 instead of null.
+    the cleaned text, so ``"23_"`` gives 23 instead of null.  A decimal part is dropped first
+    (``"4.0"`` -> 4, not 40).
     """
-    return F.regexp_replace(as_col(c).cast("string"), r"[^0-9]", "").try_cast(to)
+    text = F.regexp_replace(as_col(c).cast("string"), r"\.[0-9]*(?=[^0-9.]*$)", "")
+    return F.regexp_replace(text, r"[^0-9]", "").try_cast(to)
 
 
 def strip_to_decimal(c, to: str = "double") -> Column:
-    """Keep only digits and dots, then ``try_cast`` (CLN-3): ``"34847.84_"`` -> 34847.84."""
-    return F.regexp_replace(as_col(c).cast("string"), r"[^0-9.]", "").try_cast(to)
+    """Keep only digits and dots, then ``try_cast`` (CLN-3): ``"34847.84_"`` -> 34847.84.
+
+    A number written with an exponent (``"1.25E7"``, as doubles of 1e7 and more are) keeps it.
+    """
+    text = as_col(c).cast("string")
+    power = F.regexp_extract(text, r"^[^0-9.]*([0-9]*\.?[0-9]+[eE][+-]?[0-9]+)[^0-9]*$", 1)
+    return F.coalesce(power.try_cast(to), F.regexp_replace(text, r"[^0-9.]", "").try_cast(to))
 
 
 def null_if_in(c, sentinels: Iterable) -> Column:

@@ -23,9 +23,15 @@ def null_sentinels(df: DataFrame, sentinels: Mapping[str, Iterable]) -> DataFram
 
 def strip_numeric(df: DataFrame, int_cols: Iterable[str] = (), decimal_cols: Iterable[str] = (),
                   decimal_type: str = "double") -> DataFrame:
-    """CLN-2/3: clean text first, then ``try_cast`` (the reference cast first and lost values)."""
-    exprs = {c: strip_to_digits(c) for c in int_cols}
-    exprs.update({c: strip_to_decimal(c, decimal_type) for c in decimal_cols})
+    """CLN-2/3: clean text first, then ``try_cast`` (the reference cast first and lost values).
+
+    Columns that are numbers already have no text to clean: only their sign is dropped (D5).
+    """
+    def number(c, to, strip):
+        return F.abs(F.col(c)).try_cast(to) if isinstance(df.schema[c].dataType, T.NumericType) else strip(c, to)
+
+    exprs = {c: number(c, "int", strip_to_digits) for c in int_cols}
+    exprs.update({c: number(c, decimal_type, strip_to_decimal) for c in decimal_cols})
     return df.withColumns(exprs)
 
 

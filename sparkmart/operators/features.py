@@ -18,7 +18,7 @@ def days_past_due(df: DataFrame, installment_col: str = "installment_num", due_c
     * ``dpd`` = days from first missed date to snapshot when something is overdue, else 0.
       It stays null when overdue > 0 but no installment counts as missed (due 0 or null, D7).
     """
-    missed = F.coalesce(F.ceil(F.try_divide(F.col(overdue_col), F.col(due_col))).cast("int"), F.lit(0))
+    missed = F.coalesce(F.ceil(F.try_divide(F.col(overdue_col), F.col(due_col))).try_cast("int"), F.lit(0))
     first_missed = F.when(missed > 0, F.add_months(F.col(snapshot_col), -missed))
     return (df.withColumns({"mob": F.col(installment_col).cast("int"), "installments_missed": missed})
               .withColumn("first_missed_date", first_missed.cast("date"))
@@ -49,10 +49,10 @@ def months_since(start, snapshot) -> Column:
 
 
 def whole_months_since(start, snapshot) -> Column:
-    """FEA-7 month-truncated form: whole calendar months between the two months' firsts."""
+    """FEA-7 month-truncated form: whole calendar months between the two months' firsts; null stays null."""
     s = F.trunc(as_col(start).cast("date"), "MM")
     e = F.trunc(as_col(snapshot).cast("date"), "MM")
-    return F.coalesce(F.months_between(e, s).cast("int"), F.lit(999))
+    return F.months_between(e, s).cast("int")
 
 
 def valid_flag(c) -> Column:

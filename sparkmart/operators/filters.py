@@ -22,13 +22,33 @@ def in_month(c, month) -> Column:
     """FLT-1 for a monthly snapshot: ``[month, month + 1)`` on the raw date/timestamp column."""
     col = as_col(c)
     start = F.trunc(_d(month), "MM")
-    return (col >= start.cast(col_type_hint(col))) & (col < F.add_months(start, 1).cast(col_type_hint(col)))
+    return (col >= _stamp(start)) & (col < _stamp(F.add_months(start, 1)))
 
 
-def col_type_hint(col: Column) -> str:
+def in_month_range(c, start, end) -> Column:
+    """FLT-2 for months ``start .. end``, both included, on the raw timestamp column."""
+    col = as_col(c)
+    return (col >= _stamp(F.trunc(_d(start), "MM"))) & (col < _stamp(F.add_months(F.trunc(_d(end), "MM"), 1)))
+
+
+def in_month_half_open(c, start, end) -> Column:
+    """FLT-3 for months from ``start`` to before ``end`` (first days of months), on the raw timestamp column."""
+    col = as_col(c)
+    return (col >= _stamp(_d(start))) & (col < _stamp(_d(end)))
+
+
+def in_months(c, months: Iterable) -> Column:
+    """FLT-5 for a list of months, on the raw timestamp column."""
+    out = F.lit(False)
+    for m in months:
+        out = out | in_month(c, m)
+    return out
+
+
+def _stamp(date: Column) -> Column:
     # comparing a timestamp_ntz column with a date literal casts the column; casting the literal
     # keeps the predicate on the bare column, which is what the Parquet reader can push down
-    return "timestamp_ntz"
+    return date.cast("timestamp_ntz")
 
 
 def snapshot_eq(df: DataFrame, col: str, date) -> DataFrame:

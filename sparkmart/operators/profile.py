@@ -80,7 +80,7 @@ def histogram(df: DataFrame, col: str, bins: int = 30) -> DataFrame:
     """AGG-9: equal-width histogram over ``[min, max]`` (nulls dropped, max in the last bin).
 
     The bounds come from one aggregate row, collected (two numbers); binning is then a
-    projection plus a grouped count.  Empty bins are omitted.
+    projection plus a grouped count.  Empty bins are there with count 0.
     """
     x = F.col(col).cast("double")
     b = df.agg(F.min(x).alias("lo"), F.max(x).alias("hi")).first()
@@ -89,8 +89,9 @@ def histogram(df: DataFrame, col: str, bins: int = 30) -> DataFrame:
         return df.sparkSession.createDataFrame([], "bin int, lower double, upper double, count bigint")
     width = (hi - lo) if hi > lo else 1.0
     binned = F.least(F.floor((x - F.lit(lo)) / F.lit(width) * F.lit(bins)).cast("int") + 1, F.lit(bins))
-    return (df.where(x.isNotNull())
-              .groupBy(binned.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
+    counts = df.where(x.isNotNull()).groupBy(binned.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    spine = df.sparkSession.range(1, bins + 1).select(F.col("id").cast("int").alias("bin"))
+    return (spine.join(counts, "bin", "left").withColumn("count", F.coalesce("n", F.lit(0)).cast("bigint"))
               .select("bin",
                       (F.lit(lo) + (F.col("bin") - 1) * F.lit(width) / F.lit(bins)).alias("lower"),
                       (F.lit(lo) + F.col("bin") * F.lit(width) / F.lit(bins)).alias("upper"),

@@ -17,6 +17,17 @@ def _type_name(t) -> str:
     return t.simpleString() if isinstance(t, T.DataType) else str(t)
 
 
+_INTEGRAL = {"tinyint", "smallint", "int", "integer", "bigint", "long"}
+
+
+def _cast(df: DataFrame, c: str, to: str):
+    """``try_cast``; whole-number text with a decimal point (``"1.0"``) still becomes an integer."""
+    col = F.col(c)
+    if to in _INTEGRAL and isinstance(df.schema[c].dataType, T.StringType):
+        return F.coalesce(col.try_cast(to), col.try_cast("decimal(38,10)").try_cast(to))
+    return col.try_cast(to)
+
+
 def enforce_schema(df: DataFrame, types: Mapping[str, object], strict: bool = True) -> DataFrame:
     """Cast named columns with ``try_cast`` in one projection (PRJ-6 / PRJ-7).
 
@@ -30,7 +41,7 @@ def enforce_schema(df: DataFrame, types: Mapping[str, object], strict: bool = Tr
     exprs = []
     for c in df.columns:
         if c in types:
-            exprs.append(F.col(c).try_cast(_type_name(types[c])).alias(c))
+            exprs.append(_cast(df, c, _type_name(types[c])).alias(c))
         else:
             exprs.append(F.col(c))
     return df.select(*exprs)

@@ -52,7 +52,7 @@ WITH t AS (
 p AS (SELECT *, CAST(try_strptime(earliest_cr_line, '%b-%Y') AS DATE) AS cr_date FROM t)
 SELECT l_orderkey, l_linenumber, earliest_cr_line,
        coalesce({_MB.format(a="ship", b="cr_date")}, 999.0) AS months_since_earliest,
-       coalesce(CAST(date_diff('month', date_trunc('month', cr_date), date_trunc('month', ship)) AS INTEGER), 999)
+       CAST(date_diff('month', date_trunc('month', cr_date), date_trunc('month', ship)) AS INTEGER)
          AS whole_months_since_earliest
 FROM p
 """)

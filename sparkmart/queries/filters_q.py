@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sparkmart.operators.filters import (
-    closed_range, half_open_range, in_dates, in_month, not_null, plausible,
+    in_month, in_month_half_open, in_month_range, in_months, not_null, plausible,
 )
 from sparkmart.operators.labels import grade_labels
 from sparkmart.queries.registry import query
@@ -38,7 +38,7 @@ SELECT * FROM (SELECT {OUT} FROM orders) WHERE snapshot_date BETWEEN DATE '1997-
 """)
 def q_closed_range(spark, sf_dir):
     """FLT-2."""
-    return _out(closed_range(_orders(spark, sf_dir), "snapshot_date", "1997-01-01", "1997-06-01"))
+    return _out(_orders(spark, sf_dir).where(in_month_range("o_orderdate", "1997-01-01", "1997-06-01")))
 
 
 @query("half_open_range", sql=f"""
@@ -46,7 +46,7 @@ SELECT * FROM (SELECT {OUT} FROM orders) WHERE snapshot_date >= DATE '1997-01-01
 """)
 def q_half_open_range(spark, sf_dir):
     """FLT-3."""
-    return _out(half_open_range(_orders(spark, sf_dir), "snapshot_date", "1997-01-01", "1997-06-01"))
+    return _out(_orders(spark, sf_dir).where(in_month_half_open("o_orderdate", "1997-01-01", "1997-06-01")))
 
 
 @query("date_in_list", sql=f"""
@@ -55,7 +55,7 @@ WHERE snapshot_date IN (DATE '1996-02-01', DATE '1998-12-01', DATE '2000-02-01')
 """)
 def q_date_in_list(spark, sf_dir):
     """FLT-5."""
-    return _out(in_dates(_orders(spark, sf_dir), "snapshot_date", ["1996-02-01", "1998-12-01", "2000-02-01"]))
+    return _out(_orders(spark, sf_dir).where(in_months("o_orderdate", ["1996-02-01", "1998-12-01", "2000-02-01"])))
 
 
 @query("range_filter", sql="""

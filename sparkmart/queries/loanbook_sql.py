@@ -61,7 +61,7 @@ cr AS (SELECT member_id, snapshot_date,
                                          ORDER BY count(*) DESC, delinq_raw LIMIT 1)) AS INTEGER) AS delinq_2yrs,
               CAST(coalesce(inq_raw, -1) AS INTEGER) AS inq_fi,
               coalesce(CAST(date_diff('month', cr, snapshot_date) AS DOUBLE), 999.0) AS months_since_earliest_cr_line,
-              coalesce(CAST(date_diff('month', cr, snapshot_date) AS INTEGER), 999) AS months_since_earliest_cr
+              CAST(date_diff('month', cr, snapshot_date) AS INTEGER) AS months_since_earliest_cr
        FROM cr0),
 dm0 AS (SELECT member_id, snapshot_date,
                upper(trim(coalesce(CASE WHEN c_mktsegment = 'BUILDING' THEN NULL

@@ -29,9 +29,9 @@ def q_profile(spark, sf_dir):
 WITH b AS (SELECT min(c_acctbal) AS lo, max(c_acctbal) AS hi FROM customer),
 x AS (SELECT least(CAST(floor((c_acctbal - lo) / (hi - lo) * 30) AS INTEGER) + 1, 30) AS bin, lo, hi
       FROM customer, b WHERE c_acctbal IS NOT NULL)
-SELECT bin, any_value(lo) + (bin - 1) * (any_value(hi) - any_value(lo)) / 30 AS lower,
-       any_value(lo) + bin * (any_value(hi) - any_value(lo)) / 30 AS upper, count(*) AS count
-FROM x GROUP BY bin
+SELECT g.bin, b.lo + (g.bin - 1) * (b.hi - b.lo) / 30 AS lower, b.lo + g.bin * (b.hi - b.lo) / 30 AS upper, count(x.bin) AS count
+FROM (SELECT CAST(unnest(generate_series(1, 30)) AS INTEGER) AS bin) g CROSS JOIN b LEFT JOIN x ON g.bin = x.bin
+GROUP BY g.bin, b.lo, b.hi
 """)
 def q_histogram(spark, sf_dir):
     """AGG-9: 30 equal-width bins of ``c_acctbal``."""

@@ -15,8 +15,22 @@ from pyspark.sql import types as T
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    """SRC-1: CSV with a header and an explicit schema (no ``inferSchema`` pass over the data)."""
-    return spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").csv(path)
+    """SRC-1: CSV with a header and an explicit schema (no ``inferSchema`` pass over the data).
+
+    Columns are taken by header name, whatever their order in the file; columns that the schema
+    does not name are dropped and a missing one is an error.  ``enforceSchema=false`` makes Spark
+    check every file's header against that order, so a file laid out otherwise fails loudly.
+    """
+    wanted = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    header = spark.read.option("header", True).csv(path).columns  # reads the first line only
+    missing = [f.name for f in wanted.fields if f.name not in header]
+    if missing:
+        raise ValueError(f"columns missing in {path}: {missing}")
+    types = {f.name: f.dataType for f in wanted.fields}
+    layout = T.StructType([T.StructField(c, types.get(c, T.StringType())) for c in header])
+    df = (spark.read.schema(layout).option("header", True).option("enforceSchema", False)
+          .option("mode", "PERMISSIVE").csv(path))
+    return df.select(*[f.name for f in wanted.fields])
 
 
 def read_store(spark: SparkSession, root: str, merge_schema: bool = False) -> DataFrame:

@@ -18,6 +18,8 @@ def run_layer(spark: SparkSession, source_root: str, schema: T.StructType, trans
     if the run is retried; readers of ``target_root`` see only committed files.  Returns the
     number of input rows and micro-batches of this run.
     """
+    # every batch's progress is kept: the default of 100 would lose the counts of longer runs
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "1000000")
     reader = spark.readStream.schema(schema).format(source_format)
     if source_format == "csv":
         reader = reader.option("header", True)
