@@ -32,6 +32,8 @@ LENGTH = 2048
 PER_SHARD = 4096
 KEY = 20250301
 ROUNDS = 6
+#: Largest number of encoding tasks whose prefix sums are broadcast (16 MB).
+SMALL = 1_000_000
 
 
 def feistel(i: np.ndarray, n: int, key: int = KEY, rounds: int = ROUNDS) -> np.ndarray:
@@ -82,7 +84,9 @@ def sequences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     stream = encode(docs, id_col, text_col, vocabulary)
     sums = stream.groupBy("task").agg(F.sum("n").alias("n"))  # one row per task of the encoding
     bases = sums.select("task", (F.sum("n").over(Window.orderBy("task")) - F.col("n")).alias("base"))
-    total = sums.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    total, n_tasks = sums.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
+    if n_tasks <= SMALL:  # 16 bytes a row; beyond that the join shuffles both sides
+        bases = F.broadcast(bases)
     enc = T.Encoder(T.load_vocabulary(vocabulary))
     width, pad = enc.dtype.itemsize, np.array([enc.eos], enc.dtype).tobytes()
     n_seq = -(-total // length)
