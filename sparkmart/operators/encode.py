@@ -1,23 +1,25 @@
 """Encoders (ENC-1..7).
 
-Fitting an encoder means fixing its vocabulary once (D12): one distributed ``distinct`` /
-``groupBy.count`` whose result is checked against ``max_values`` before it is collected, so a
-high-cardinality column fails loudly instead of pulling millions of names to the driver.
-Transforming is then a single projection of ``when``/``array_contains`` expressions, or a
-``pyspark.ml`` model for the indexed variants.
+Fitting an encoder means fixing its vocabulary once (D12).  ``count_values`` counts the values of all
+columns in one scan; ``number_values`` gives each value its slot; ``update_vocabularies`` keeps the
+``(column, value, slot)`` table next to a store, where slots never move and later windows only add
+values.  ``encode_slots`` applies such a table as a join, for vocabularies of any size.
+
+The wide forms (one 0/1 column per value) need the column *names* on the driver, as every frame's
+schema is; nothing else is collected.  They have no limit of their own: ``max_values`` is an optional
+guard that fails before an unexpectedly wide frame is built.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sparkmart.functions.text import slug
 from sparkmart.functions.util import as_col
-
-DEFAULT_MAX_VALUES = 1000
+from sparkmart.session import scratch_path
 
 
 class VocabularyTooLarge(ValueError):
@@ -38,26 +40,100 @@ def binary_flag(c, true_value) -> Column:
     return F.when(as_col(c) == F.lit(true_value), 1).otherwise(0)
 
 
-def _collect_bounded(values: DataFrame, col: str, max_values: int) -> list:
-    rows = values.limit(max_values + 1).collect()
-    if len(rows) > max_values:
+def count_values(df: DataFrame, cols: Iterable[str] = (), list_cols: Mapping[str, Column] | None = None,
+                 keep_empty: bool = False) -> DataFrame:
+    """``(column, value, n)`` of all columns in one scan, combined map-side; nulls are left out.
+
+    ``cols`` are taken as text; ``list_cols`` maps a name to an array column whose items are counted.
+    Blank values are left out too unless ``keep_empty`` (D14).
+    """
+    parts = [F.array(F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value"))) for c in cols]
+    for c, items in (list_cols or {}).items():
+        name = F.lit(c).alias("column")
+        rows = F.transform(items, lambda x: F.struct(name, x.cast("string").alias("value")))  # noqa: B023
+        parts.append(F.coalesce(rows, F.array().cast("array<struct<column:string,value:string>>")))
+    long = df.select(F.inline(F.concat(*parts))).where(F.col("value").isNotNull())
+    if not keep_empty:
+        long = long.where(F.trim("value") != "")
+    return long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
+def number_values(counts: DataFrame) -> DataFrame:
+    """``(column, value, slot)``: slots 0, 1, ... per column, by falling count, then by value.
+
+    A range sort and the running sum of its partitions' sizes, so that no column's values meet in one
+    task.  The sorted table is written once to the shared folder, which fixes the partitions.
+    """
+    spark = counts.sparkSession
+    path = scratch_path(spark, "vocabulary")
+    (counts.orderBy("column", F.desc("n"), "value").withColumn("at", F.monotonically_increasing_id())
+           .write.parquet(path))
+    placed = spark.read.parquet(path).withColumn("part", F.shiftright("at", 33))
+    before = Window.partitionBy("column").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = (placed.groupBy("column", "part").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("m"))
+             .withColumn("before", F.coalesce(F.sum("m").over(before), F.lit(0))))
+    return (placed.join(parts, ["column", "part"])
+            .select("column", "value", (F.col("before") + F.col("at") - F.col("first")).alias("slot")))
+
+
+def _path_exists(spark: SparkSession, path: str) -> bool:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+
+def update_vocabularies(counts: DataFrame, path: str) -> DataFrame:
+    """The stored ``(column, value, slot)`` table after adding the values of ``counts`` that it lacks.
+
+    Stored slots never move: new values get the slots after the last one of their column.
+    """
+    spark = counts.sparkSession
+    if not _path_exists(spark, path):
+        number_values(counts).write.mode("append").parquet(path)
+        return spark.read.parquet(path)
+    stored = spark.read.parquet(path)
+    last = stored.groupBy("column").agg((F.max("slot") + 1).alias("next"))
+    fresh = number_values(counts.join(stored.select("column", "value"), ["column", "value"], "left_anti"))
+    (fresh.join(last, "column", "left")
+          .select("column", "value", (F.col("slot") + F.coalesce("next", F.lit(0))).alias("slot"))
+          .write.mode("append").parquet(path))
+    return spark.read.schema(stored.schema).parquet(path)
+
+
+def vocabulary_values(vocabulary: DataFrame, col: str, max_values: int | None = None) -> list:
+    """The values of one column of a vocabulary table, sorted: the names of its wide columns."""
+    return _collect_names(vocabulary.where(F.col("column") == col).select("value"), col, max_values)
+
+
+def encode_slots(df: DataFrame, vocabulary: DataFrame, cols: Iterable[str]) -> DataFrame:
+    """``{c}_slot`` per column: the value's slot, null for null or unknown values.  Any vocabulary size;
+    AQE broadcasts a small vocabulary and splits a hot value's rows otherwise."""
+    out = df
+    for c in cols:
+        words = vocabulary.where(F.col("column") == c).select(F.col("value").alias("_value"), F.col("slot").alias(f"{c}_slot"))
+        out = out.join(words, out[c].cast("string") == F.col("_value"), "left").drop("_value")
+    return out
+
+
+def _collect_names(values: DataFrame, col: str, max_values: int | None) -> list:
+    rows = (values if max_values is None else values.limit(max_values + 1)).collect()
+    if max_values is not None and len(rows) > max_values:
         raise VocabularyTooLarge(f"{col}: more than {max_values} distinct values")
     return sorted(r[0] for r in rows)
 
 
-def fit_vocabulary(df: DataFrame, col: str, max_values: int = DEFAULT_MAX_VALUES) -> list:
-    """Distinct non-null, non-empty values of ``col`` (D14), size-checked, sorted."""
+def fit_vocabulary(df: DataFrame, col: str, max_values: int | None = None) -> list:
+    """Distinct non-null, non-empty values of ``col`` (D14), sorted."""
     c = F.col(col)
     vals = df.select(c).where(c.isNotNull() & (F.trim(c.cast("string")) != "")).distinct()
-    return _collect_bounded(vals, col, max_values)
+    return _collect_names(vals, col, max_values)
 
 
 def fit_list_vocabulary(df: DataFrame, col: str, pattern: str = r",\s*", strip_and: bool = False,
-                        max_values: int = DEFAULT_MAX_VALUES) -> list:
+                        max_values: int | None = None) -> list:
     """Distinct elements of a delimited text column (ENC-4 fit, AGG-3): ``split`` + ``explode``."""
     items = F.explode(split_list(F.col(col), pattern, strip_and)).alias("item")
     vals = df.select(items).where(F.col("item").isNotNull() & (F.trim("item") != "")).distinct()
-    return _collect_bounded(vals, col, max_values)
+    return _collect_names(vals, col, max_values)
 
 
 def split_list(c: Column, pattern: str = r",\s*", strip_and: bool = False) -> Column:
@@ -95,44 +171,35 @@ def multi_hot(df: DataFrame, col: str, vocabulary: Iterable, prefix: str | None
     return out.drop(col) if drop_source else out
 
 
-def check_cardinality(df: DataFrame, cols: Iterable[str], max_values: int = DEFAULT_MAX_VALUES) -> None:
-    """Raise if any column has clearly more than ``max_values`` distinct values.
-
-    One pass for all columns with HyperLogLog sketches (``approx_count_distinct``, 5% relative
-    error, fixed memory per column), before an indexer would collect the labels to the driver.
-    """
-    cols = list(cols)
-    if not cols:
-        return
-    row = df.agg(*[F.approx_count_distinct(c, 0.05).alias(c) for c in cols]).first()
-    for c in cols:
-        if row[c] > max_values * 1.15:
-            raise VocabularyTooLarge(f"{c}: about {row[c]} distinct values, limit {max_values}")
-
-
 def fit_indexed_one_hot(df: DataFrame, cols: Iterable[str], drop_last: bool = True,
-                        max_values: int = DEFAULT_MAX_VALUES):
-    """ENC-5/6 fit: ``StringIndexer(handleInvalid='keep')`` + ``OneHotEncoder`` per column.
+                        max_values: int | None = None):
+    """ENC-5/6 fit: string indexer (invalid kept) + ``OneHotEncoder`` over all columns.
 
-    Index order is frequency descending, then alphabetical; null and unseen values get the
-    extra last index.  Returns the fitted ``PipelineModel`` and ``{column: width}`` taken from
-    the fitted labels (not from a sampled row).
+    One scan counts the values of every column; index order is frequency descending, then
+    alphabetical; null and unseen values get the extra last index.  Returns the fitted
+    ``PipelineModel`` and ``{column: width}`` taken from the labels (not from a sampled row).
     """
-    from pyspark.ml import Pipeline
-    from pyspark.ml.feature import OneHotEncoder, StringIndexer
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.feature import OneHotEncoder, StringIndexerModel
 
     cols = list(cols)
-    check_cardinality(df, cols, max_values)
-    stages = [StringIndexer(inputCol=c, outputCol=f"{c}__idx", handleInvalid="keep",
-                            stringOrderType="frequencyDesc") for c in cols]
-    stages.append(OneHotEncoder(inputCols=[f"{c}__idx" for c in cols], outputCols=[f"{c}__vec" for c in cols],
-                                dropLast=drop_last, handleInvalid="keep"))
-    model = Pipeline(stages=stages).fit(df)
-    widths = {}
-    for c, stage in zip(cols, model.stages[:-1]):
-        n_labels = len(stage.labelsArray[0])
-        widths[c] = n_labels + 1 - (1 if drop_last else 0)
-    return model, widths
+    if not cols:
+        return PipelineModel([]), {}
+    counted: dict[str, list] = {c: [] for c in cols}
+    counts = count_values(df, cols, keep_empty=True)
+    if max_values is not None:
+        counts = counts.limit(max_values * len(cols) + 1)
+    for r in counts.collect():  # the labels become column names of the wide frame
+        counted[r["column"]].append((-r["n"], r["value"]))
+        if max_values is not None and len(counted[r["column"]]) > max_values:
+            raise VocabularyTooLarge(f"{r['column']}: more than {max_values} distinct values")
+    labels = [[v for _, v in sorted(counted[c])] for c in cols]
+    # one model per column: the Python form for several columns pads shorter label lists with nulls
+    indexer = PipelineModel([StringIndexerModel.from_labels(v, c, f"{c}__idx", handleInvalid="keep")
+                             for c, v in zip(cols, labels)])
+    encoder = OneHotEncoder(inputCols=[f"{c}__idx" for c in cols], outputCols=[f"{c}__vec" for c in cols],
+                            dropLast=drop_last, handleInvalid="keep").fit(indexer.transform(df))
+    return PipelineModel([indexer, encoder]), {c: len(v) + (0 if drop_last else 1) for c, v in zip(cols, labels)}
 
 
 def expand_indexed(model, widths: Mapping[str, int], df: DataFrame, drop_source: bool = True) -> DataFrame:

@@ -9,6 +9,7 @@ out: the dedupe is a map-side-combined aggregate.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -48,19 +49,29 @@ def left_chain(base: DataFrame, sides: Sequence[tuple], dedupe: bool = True) ->
 def outer_chain(frames: Sequence, keys: Sequence[str], drop_keys: bool = False, dedupe: bool = True) -> DataFrame:
     """JON-2: full outer joins on shared keys; ``USING`` keys come out coalesced.
 
-    Each frame is a DataFrame or ``(frame, unique)``.  Frames not known to be unique per key
-    are deduplicated first, so the join is 1:1 per key and never emits all pairs of a key
-    (a full outer join cannot be split by AQE's skew handling, so it must not fan out).
+    Each frame is a DataFrame or ``(frame, unique)``.  All rows of the first frame stay; the other
+    frames are made unique per key (unless known to be), so nothing multiplies.  A first frame that
+    may repeat keys is extended by a row for each key that only the others have, and the others are
+    left-joined to it: AQE can split a hot key of the left side there, which it cannot do in a full
+    outer join.  Null keys match nothing, as in any join: such rows stay on their own.
     Keys are kept by default (D18): a store without them cannot be joined to labels.
     """
     keys = list(keys)
-    prepared = []
-    for f in frames:
-        frame, unique = (f if isinstance(f, tuple) else (f, False))
-        prepared.append(dedupe_keys(frame, keys) if dedupe and not unique else frame)
-    out = prepared[0]
-    for f in prepared[1:]:
-        out = out.join(f, keys, "full")
+    pairs = [f if isinstance(f, tuple) else (f, False) for f in frames]
+    (base, base_unique), rest = pairs[0], pairs[1:]
+    sides = [dedupe_keys(f, keys) if dedupe and not unique else f for f, unique in rest]
+    if base_unique or not dedupe or not sides:
+        out = base
+        for f in sides:
+            out = out.join(f, keys, "full")
+        return out.drop(*keys) if drop_keys else out
+    whole = reduce(lambda a, b: a & b, [F.col(f"`{k}`").isNotNull() for k in keys])
+    seen = reduce(DataFrame.union, [f.select(*keys).where(whole) for f in sides]).distinct()
+    extra = seen.join(base.select(*keys).distinct(), keys, "left_anti")
+    out = left_chain(base.unionByName(extra, allowMissingColumns=True),
+                     [(f.where(whole), keys, True) for f in sides])
+    for f in sides:
+        out = out.unionByName(f.where(~whole), allowMissingColumns=True)
     return out.drop(*keys) if drop_keys else out
 
 

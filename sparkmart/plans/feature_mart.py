@@ -2,8 +2,8 @@
 
 PIP-3 (attributes), PIP-4 (clickstream), PIP-5 (financials), PIP-6 (gold features).
 Dirty numeric text is cleaned first and cast after (D2/D3); vocabularies for the one-hot and
-multi-hot columns are fitted once over the whole window (D12) so every snapshot has the same
-columns.
+multi-hot columns are stored beside the gold store and grow with each window (D12), so all its
+snapshots share one schema.
 """
 
 from __future__ import annotations
@@ -12,10 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sparkmart.functions.text import strip_to_decimal, strip_to_digits
-from sparkmart.operators.clean import cap_with_flag, null_sentinels
+from sparkmart.functions.text import slug, strip_to_decimal, strip_to_digits
+from sparkmart.operators.clean import cap_with_flag, dedupe_keys, null_sentinels
 from sparkmart.operators.encode import (
-    fit_list_vocabulary, fit_vocabulary, multi_hot, one_hot, ordinal_map,
+    VocabularyTooLarge, count_values, multi_hot, one_hot, ordinal_map, split_list, update_vocabularies,
 )
 from sparkmart.operators.features import guarded_ratio, history_months, valid_flag
 from sparkmart.operators.joins import left_chain
@@ -95,21 +95,38 @@ def silver_financials(df: DataFrame) -> DataFrame:
     return out.drop("Credit_History_Age", "Changed_Credit_Limit")
 
 
+def _value_counts(attributes: DataFrame, financials: DataFrame, strip_and: bool) -> DataFrame:
+    """Counts of the three encoded columns: one scan of the attributes, one of the financials."""
+    types = split_list(F.col("Type_of_Loan"), strip_and=strip_and)
+    return count_values(attributes, ["Occupation"]).unionByName(
+        count_values(financials, ["Payment_Behaviour"], {"Type_of_Loan": types}))
+
+
 def gold_features(loans: DataFrame, attributes: DataFrame, financials: DataFrame, clickstream: DataFrame,
-                  strip_and: bool = False, max_values: int = 1000) -> DataFrame:
+                  strip_and: bool = False, max_values: int | None = None,
+                  vocabulary: DataFrame | None = None) -> DataFrame:
     """PIP-6: loans LEFT JOIN encoded attributes LEFT JOIN encoded financials LEFT JOIN clickstream.
 
-    All three right sides are made unique on ``(Customer_ID, snapshot_date)`` inside the join
-    (D15).  Empty strings never get a column (D14).
+    The encoded columns are those of ``vocabulary`` (column, value), or of the values at hand without
+    one.  All three right sides are made unique on ``(Customer_ID, snapshot_date)`` (D15), before they are widened.
+    Empty strings never get a column (D14).
     """
-    attrs = attributes.withColumn("Has_Valid_Age", valid_flag("Age"))
-    occ = fit_vocabulary(attrs, "Occupation", max_values)
-    attrs = one_hot(attrs, "Occupation", occ)
-    beh = fit_vocabulary(financials, "Payment_Behaviour", max_values)
-    fin = one_hot(financials, "Payment_Behaviour", beh, prefix="payment_behaviour")
-    types = fit_list_vocabulary(fin, "Type_of_Loan", strip_and=strip_and, max_values=max_values)
-    fin = multi_hot(fin, "Type_of_Loan", types, prefix="loan_type", strip_and=strip_and)
-    return left_chain(loans, [(attrs, KEYS), (fin, KEYS), (clickstream, KEYS)], dedupe=True)
+    attrs = dedupe_keys(attributes.withColumn("Has_Valid_Age", valid_flag("Age")), KEYS)
+    fin = dedupe_keys(financials, KEYS)
+    if vocabulary is None:
+        vocabulary = _value_counts(attributes, financials, strip_and)
+    names: dict[str, list] = {"Occupation": [], "Payment_Behaviour": [], "Type_of_Loan": []}
+    rows = vocabulary.select("column", "value")
+    for r in (rows if max_values is None else rows.limit(3 * max_values + 1)).collect():
+        names[r["column"]].append(r["value"])  # they become column names
+    for c, values in names.items():
+        values.sort()
+        if max_values is not None and len(values) > max_values:
+            raise VocabularyTooLarge(f"{c}: more than {max_values} distinct values")
+    attrs = one_hot(attrs, "Occupation", names["Occupation"])
+    fin = one_hot(fin, "Payment_Behaviour", names["Payment_Behaviour"], prefix="payment_behaviour")
+    fin = multi_hot(fin, "Type_of_Loan", names["Type_of_Loan"], prefix="loan_type", strip_and=strip_and)
+    return left_chain(loans, [(attrs, KEYS, True), (fin, KEYS, True), (dedupe_keys(clickstream, KEYS), KEYS, True)])
 
 
 # ---- layer jobs over stored tables (bronze -> silver -> gold), one job per layer per window ----
@@ -154,13 +171,37 @@ def silver(spark: SparkSession, bronze_root: str, silver_root: str, start=None,
         write_snapshots(SILVER_FNS[name](df), f"{silver_root.rstrip('/')}/{name}", sort_by=("Customer_ID",))
 
 
+def vocabulary_path(gold_root: str) -> str:
+    """Where a gold store's vocabularies live: beside it, so that they are no snapshot of it."""
+    return gold_root.rstrip("/") + "_vocabulary"
+
+
 def gold(spark: SparkSession, silver_root: str, loans_root: str, gold_root: str, start=None, end=None,
          strip_and: bool = False) -> None:
-    """PIP-6 over the window; vocabularies are fitted once for the whole window (D12)."""
+    """PIP-6 over the window.  The store's vocabularies take in the window's new values first, so a later
+    window keeps every column of the earlier ones (D12); ``read_gold`` reads all windows as one schema."""
     def load(root):
         return read_window(spark, root, start, end)
 
     loans = load(loans_root)
     parts = {n: load(f"{silver_root.rstrip('/')}/{n}") for n in SOURCES}
-    out = gold_features(loans, parts["attributes"], parts["financials"], parts["clickstream"], strip_and=strip_and)
+    counts = _value_counts(parts["attributes"], parts["financials"], strip_and)
+    vocabulary = update_vocabularies(counts, vocabulary_path(gold_root))
+    out = gold_features(loans, parts["attributes"], parts["financials"], parts["clickstream"], strip_and=strip_and,
+                        vocabulary=vocabulary)
     write_snapshots(out, gold_root, sort_by=("Customer_ID",))
+
+
+def read_gold(spark: SparkSession, gold_root: str, start=None, end=None) -> DataFrame:
+    """The gold store with the columns of all its windows.  A row written before a value was known has
+    0 in that value's column if its side was found (another column of the side's encoding is not null)."""
+    df = read_window(spark, gold_root, start, end, merge_schema=True)
+    prefixes = {"Occupation": "Occupation", "Payment_Behaviour": "payment_behaviour", "Type_of_Loan": "loan_type"}
+    groups: dict[str, list] = {}
+    for r in spark.read.parquet(vocabulary_path(gold_root)).select("column", "value").collect():
+        name = f"{prefixes[r['column']]}_{slug(r['value'])}"
+        if name in df.columns and name not in groups.setdefault(r["column"], []):
+            groups[r["column"]].append(name)
+    filled = {c: F.when(F.coalesce(*[F.col(f"`{x}`") for x in cols]).isNotNull(), F.coalesce(F.col(f"`{c}`"), F.lit(0)))
+              for cols in groups.values() for c in cols}
+    return df.withColumns(filled)

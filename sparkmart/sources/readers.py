@@ -47,9 +47,9 @@ def read_snapshot(spark: SparkSession, root: str, snapshot_date, col: str = "sna
 
 
 def read_window(spark: SparkSession, root: str, start=None, end=None, dates: Iterable | None = None,
-                col: str = "snapshot_date") -> DataFrame:
+                col: str = "snapshot_date", merge_schema: bool = False) -> DataFrame:
     """SRC-7: snapshots inside ``[start, end]`` or in ``dates``; empty frame when none match."""
-    df = read_store(spark, root)
+    df = read_store(spark, root, merge_schema)
     if dates is not None:
         df = df.where(F.col(col).isin([F.lit(d).cast("date") for d in dates]))
     if start is not None:

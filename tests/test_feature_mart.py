@@ -125,3 +125,22 @@ def test_feature_mart_layers(spark, tmp_root, local_tmp):
     assert rows["L1"]["payment_behaviour_low"] == 1 and rows["L1"]["fe_20"] == 20
     assert rows["L2"]["Age"] == 40 and rows["L2"]["Annual_Income"] == 1000.5
     assert "Occupation_doctor" not in gold.columns  # outside the window
+
+    # a second window with other categories keeps the columns of the first, and both read as one schema
+    second = {"attributes": [("C4", "n", "20", "s", "Doctor", "2024-01-01")], "financials": [fin_row("C4", "2024-01-01", "Mid", "Student Loan")],
+              "clickstream": [tuple(range(1, 21)) + ("C4", "2024-01-01")]}
+    headers = {"attributes": ["Customer_ID", "Name", "Age", "SSN", "Occupation", "snapshot_date"], "financials": fin_cols,
+               "clickstream": [f"fe_{i}" for i in range(1, 21)] + ["Customer_ID", "snapshot_date"]}
+    fm.bronze(spark, {n: csv(n + "2", headers[n], rows) for n, rows in second.items()}, f"{root}/bronze")
+    fm.silver(spark, f"{root}/bronze", f"{root}/silver", "2024-01-01", "2024-01-01")
+    more = spark.createDataFrame([("L4", "C4", "2024-01-01"), ("L5", "none", "2024-01-01")],
+                                 "loan_id string, Customer_ID string, snapshot_date string")
+    write_snapshots(more.withColumn("snapshot_date", F.to_date("snapshot_date")), f"{root}/loans")
+    fm.gold(spark, f"{root}/silver", f"{root}/loans", f"{root}/gold", "2024-01-01", "2024-01-01")
+    both = fm.read_gold(spark, f"{root}/gold")
+    rows = {r["loan_id"]: r for r in both.collect()}
+    assert set(rows) == {"L1", "L2", "L4", "L5"}
+    assert rows["L4"]["Occupation_doctor"] == 1 and rows["L4"]["Occupation_lawyer"] == 0
+    assert rows["L1"]["Occupation_doctor"] == 0 and rows["L1"]["loan_type_student_loan"] == 0
+    assert rows["L5"]["Occupation_doctor"] is None  # no attributes row
+    assert set(gold.columns) <= set(both.columns)
