@@ -1,24 +1,24 @@
 """Classification metrics as distributed aggregates (MLD-7, MLD-8, MLD-9).
 
 ``roc_auc`` is exact (ties counted half, as the Mann-Whitney statistic) without a global
-sort: rows collapse to distinct ``(group, score)`` counts, scores are cut into ``buckets``
-ranges at approximate quantiles (bounded sketch), bucket totals are prefix-summed (a window per
-group over at most ``buckets + 1`` rows; without groups, on the driver over those few numbers),
-and the running negative count is finished with a window *inside* each bucket.  No single task ever sees more than one bucket of one group.
-
-The distinct-score table is materialised once with a reliable ``checkpoint`` (the shared
-``spark.checkpoint.dir``) so the quantile pass and the main pass do not both recompute the
-upstream joins; ``score_metrics`` derives count, positive rate, mean score and log loss from
-that same table, so monitoring needs one pass over the scored rows.
+sort: rows collapse to distinct ``(group, score)`` counts, which are range-sorted once into as many
+ranges as the session has shuffle partitions; range totals are prefix-summed and the running
+negative count is finished with a window *inside* each range (``operators.ordered``).
+
+The range-sorted table is written once with a reliable ``checkpoint`` (the shared
+``spark.checkpoint.dir``); ``score_metrics`` derives count, positive rate, mean score and log loss
+from that same table, so monitoring needs one pass over the scored rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sparkmart.operators.ordered import range_order, running_before
+
 EPS = 1e-15
 
 
@@ -31,64 +31,34 @@ def distinct_scores(df: DataFrame, score_col: str = "score", label_col: str = "l
               .agg(F.sum(y).alias("pos"), F.sum(1.0 - y).alias("neg")))
 
 
-def _materialise(df: DataFrame) -> DataFrame:
-    from sparkmart.session import shared_dir
-
-    shared_dir(df.sparkSession)  # make sure a reliable checkpoint folder is registered
-    return df.checkpoint(eager=True)
-
-
-def auc_from_distinct(dist: DataFrame, group_cols: Iterable[str] = (), buckets: int = 256) -> DataFrame:
-    from pyspark.ml.feature import Bucketizer
-
-    g = list(group_cols)
-    qs = [i / buckets for i in range(1, buckets)]
-    bounds = dist.agg(F.percentile_approx("s", qs, 10_000).alias("b")).first()["b"] or []
-    inner = sorted(set(float(b) for b in bounds)) or [0.0]
-    splits = [float("-inf")] + inner + [float("inf")]
-    dist = Bucketizer(splits=splits, inputCol="s", outputCol="bucket", handleInvalid="keep").transform(dist)
-
-    tot = dist.groupBy(*g, "bucket").agg(F.sum("neg").alias("bneg"))
-    wi = Window.partitionBy(*g, "bucket").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
-    dist = dist.withColumn("neg_before", F.coalesce(F.sum("neg").over(wi), F.lit(0.0)))
-    if g:
-        # prefix sums over each group's bucket totals (at most buckets + 1 rows per group)
-        wb = Window.partitionBy(*g).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-        tot = tot.withColumn("neg_before_bucket", F.coalesce(F.sum("bneg").over(wb), F.lit(0.0))).drop("bneg")
-        joined = dist.join(tot, [*g, "bucket"])
-    else:
-        # ungrouped: the bucket totals are a bounded statistic (<= buckets + 1 rows); prefix-sum them here
-        before, run = {}, 0.0
-        for r in sorted(tot.collect(), key=lambda r: r["bucket"]):
-            before[float(r["bucket"])] = run
-            run += r["bneg"]
-        lookup = F.create_map(*[x for k, v in before.items() for x in (F.lit(k), F.lit(v))]) if before else None
-        nb = F.coalesce(lookup[F.col("bucket")], F.lit(0.0)) if lookup is not None else F.lit(0.0)
-        joined = dist.withColumn("neg_before_bucket", nb)
-    contrib = F.col("pos") * (F.col("neg_before_bucket") + F.col("neg_before") + F.col("neg") / 2.0)
-    out = joined.groupBy(*g).agg(F.sum(contrib).alias("u"), F.sum("pos").alias("p"), F.sum("neg").alias("n"))
+def _auc(ranged: DataFrame, g: list[str]) -> DataFrame:
+    """AUC per group from ``range_order`` rows (group, s, pos, neg)."""
+    run = running_before(ranged, g, "s", "neg", "neg_before")
+    out = run.groupBy(*g).agg(F.sum(F.col("pos") * (F.col("neg_before") + F.col("neg") / 2.0)).alias("u"),
+                              F.sum("pos").alias("p"), F.sum("neg").alias("n"))
     auc = F.when((F.col("p") > 0) & (F.col("n") > 0), F.col("u") / (F.col("p") * F.col("n")))
     return out.select(*g, auc.alias("auc"), F.round(2 * auc - 1, 3).alias("gini"),
                       F.col("p").cast("bigint").alias("n_pos"), F.col("n").cast("bigint").alias("n_neg"))
 
 
+def _grouped(df: DataFrame, group_cols: Iterable[str]) -> tuple[DataFrame, list[str]]:
+    """``df`` with a group to partition by: its own, or one group of all rows."""
+    g = list(group_cols)
+    return (df, g) if g else (df.withColumn("_all", F.lit(0)), ["_all"])
+
+
 def roc_auc(df: DataFrame, score_col: str = "score", label_col: str = "label",
-            group_cols: Iterable[str] = (), buckets: int = 256, materialise: bool = True) -> DataFrame:
+            group_cols: Iterable[str] = (), buckets: int | None = None) -> DataFrame:
     """Per group: ``auc``, ``gini = round(2 auc - 1, 3)``, ``n_pos``, ``n_neg``."""
-    dist = distinct_scores(df, score_col, label_col, group_cols)
-    if materialise:
-        dist = _materialise(dist)
-    return auc_from_distinct(dist, group_cols, buckets)
+    df, g = _grouped(df, group_cols)
+    return _auc(range_order(distinct_scores(df, score_col, label_col, g), g, "s", buckets), g).drop("_all")
 
 
 def score_metrics(df: DataFrame, score_col: str = "score", label_col: str = "label",
-                  group_cols: Iterable[str] = (), buckets: int = 256) -> DataFrame:
+                  group_cols: Iterable[str] = (), buckets: int | None = None) -> DataFrame:
     """Per group: rows, positive rate, mean score, log loss and AUC from one distinct-score table."""
-    g = list(group_cols)
-    ungrouped = not g
-    if ungrouped:  # one synthetic group, so both halves join on a key
-        df, g = df.withColumn("_all", F.lit(0)), ["_all"]
-    dist = _materialise(distinct_scores(df, score_col, label_col, g))
+    df, g = _grouped(df, group_cols)
+    dist = range_order(distinct_scores(df, score_col, label_col, g), g, "s", buckets)
     p = F.least(F.greatest(F.col("s"), F.lit(EPS)), F.lit(1 - EPS))
     n = F.col("pos") + F.col("neg")
     sums = dist.groupBy(*g).agg(
@@ -98,9 +68,7 @@ def score_metrics(df: DataFrame, score_col: str = "score", label_col: str = "lab
                        (F.col("_pos") / F.col("_n")).alias("positive_rate"),
                        (F.col("_s") / F.col("_n")).alias("mean_score"),
                        (F.col("_ll") / F.col("_n")).alias("logloss"))
-    auc = auc_from_distinct(dist, g, buckets).select(*g, "auc")
-    out = base.join(auc, g, "left")
-    return out.drop("_all") if ungrouped else out
+    return base.join(_auc(dist, g).select(*g, "auc"), g, "left").drop("_all")
 
 
 def log_loss(df: DataFrame, score_col: str = "score", label_col: str = "label",

@@ -14,6 +14,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sparkmart.functions.hashing import unit_hash
+
 # fixed values: the reference's search space (xgboost names), mapped to GBTClassifier below
 SEARCH_SPACE = {
     "n_estimators": [25, 50],
@@ -73,6 +75,11 @@ def train_gbt(train: DataFrame, feature_cols: Sequence[str], label_col: str = "l
     return pipe.fit(train.withColumn(label_col, F.col(label_col).cast("double")))
 
 
+def mapped_space(space: Mapping[str, Sequence]) -> dict[str, Sequence]:
+    """The part of a search space that ``GBTClassifier`` can act on."""
+    return {k: v for k, v in space.items() if k in PARAM_MAP}
+
+
 def sample_space(space: Mapping[str, Sequence], n_iter: int, seed: int = 42) -> list[dict]:
     """Distinct random draws from a discrete space (at most its size), reproducible by seed."""
     keys = list(space)
@@ -91,16 +98,20 @@ def sample_space(space: Mapping[str, Sequence], n_iter: int, seed: int = 42) ->
 
 def random_search(train: DataFrame, feature_cols: Sequence[str], label_col: str = "label",
                   space: Mapping[str, Sequence] | None = None, n_iter: int = 100, folds: int = 3,
-                  seed: int = 42, parallelism: int | None = None):
+                  seed: int = 42, parallelism: int | None = None, key_col: str = "loan_id"):
     """MLD-6: ``n_iter`` sampled settings x ``folds``-fold CV, AUC on probabilities.
 
     Returns ``(best_pipeline_model, results)`` where ``results`` is a small DataFrame with one
-    row per draw: its settings (reference names) and the mean CV AUC.
+    row per draw: its settings (reference names) and the mean CV AUC.  Only settings that
+    ``GBTClassifier`` has are drawn, so all draws differ.  A row's fold is a hash of ``key_col`` and the
+    training rows are checkpointed once, so folds are the same for every setting and on a rerun.
     """
     from pyspark.ml.evaluation import BinaryClassificationEvaluator
     from pyspark.ml.tuning import CrossValidator
 
-    space = space or SEARCH_SPACE
+    from sparkmart.session import shared_dir
+
+    space = mapped_space(space or SEARCH_SPACE)
     draws = sample_space(space, n_iter, seed)
     pipe, gbt = make_pipeline(feature_cols, label_col, seed=88)
     grid = []
@@ -114,9 +125,12 @@ def random_search(train: DataFrame, feature_cols: Sequence[str], label_col: str
     # fits of different settings run concurrently (each fit is itself distributed); 8 in flight
     # keeps a cluster busy between the many small tree-growing jobs of one boosting run
     cv = CrossValidator(estimator=pipe, estimatorParamMaps=grid, evaluator=evaluator, numFolds=folds,
-                        seed=seed, parallelism=parallelism or min(len(grid), 8))
-    model = cv.fit(train.withColumn(label_col, F.col(label_col).cast("double")))
+                        foldCol="_fold", parallelism=parallelism or min(len(grid), 8))
     spark: SparkSession = train.sparkSession
+    shared_dir(spark)
+    fold = F.least(F.floor(unit_hash(key_col, seed) * folds), F.lit(folds - 1)).cast("int")
+    rows = train.withColumns({label_col: F.col(label_col).cast("double"), "_fold": fold})
+    model = cv.fit(rows.select(key_col, *feature_cols, label_col, "_fold").checkpoint(eager=True))
     rows = [(i, *[float(d[k]) for k in space], float(m)) for i, (d, m) in enumerate(zip(draws, model.avgMetrics))]
     schema = "draw int, " + ", ".join(f"{k} double" for k in space) + ", mean_cv_auc double"
     return model.bestModel, spark.createDataFrame(rows, schema)

@@ -60,3 +60,10 @@ def split_window(date: Column, train_date, oot_months: int = 2, train_months: in
     return (F.when(date.between(oot_start, F.date_sub(d, 1)), "oot")
              .when(date.between(tt_start, F.date_sub(oot_start, 1)), "train_test")
              .otherwise("outside"))
+
+
+def window_bounds(train_date: Column, oot_months: int = 2, train_months: int = 12) -> dict[str, Column]:
+    """First and last days of CAL-6's windows."""
+    oot_start = F.add_months(train_date, -oot_months)
+    return {"train_start": F.add_months(oot_start, -train_months), "train_end": F.date_sub(oot_start, 1),
+            "oot_start": oot_start, "oot_end": F.date_sub(train_date, 1)}

@@ -7,6 +7,8 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sparkmart.operators.ordered import exact_quantiles
+
 
 def snapshot_counts(df: DataFrame, date_col: str = "snapshot_date", spine: DataFrame | None = None) -> DataFrame:
     """AGG-1: rows per snapshot in one pass (not one ``count()`` action per date).
@@ -52,28 +54,24 @@ def grouped_mean(df: DataFrame, key: str, value, out: str = "mean") -> DataFrame
     return df.groupBy(key).agg(F.avg(value).alias(out))
 
 
-def numeric_profile(df: DataFrame, cols: Iterable[str], accuracy: int = 100_000) -> DataFrame:
+def numeric_profile(df: DataFrame, cols: Iterable[str]) -> DataFrame:
     """AGG-8: count, mean, sample stddev, min, quartiles, max per column; one row per column.
 
-    Quartiles use ``percentile_approx`` (a bounded-memory sketch; exact for fewer than
-    ``accuracy`` rows per column, relative rank error ``1/accuracy`` above), never an
-    exact percentile that holds every value of a column in one task.
+    Quartiles are exact at any size (``exact_quantiles``: counts in value order, no sketch and no
+    task that holds a column).
     """
     cols = list(cols)
     aggs = []
     for c in cols:
         x = F.col(c).cast("double")
         aggs += [F.count(x).alias(f"{c}__count"), F.avg(x).alias(f"{c}__mean"),
-                 F.stddev_samp(x).alias(f"{c}__stddev"), F.min(x).alias(f"{c}__min"),
-                 F.percentile_approx(x, [0.25, 0.5, 0.75], accuracy).alias(f"{c}__q"),
-                 F.max(x).alias(f"{c}__max")]
-    wide = df.agg(*aggs)
+                 F.stddev_samp(x).alias(f"{c}__stddev"), F.min(x).alias(f"{c}__min"), F.max(x).alias(f"{c}__max")]
     rows = F.inline(F.array(*[F.struct(
         F.lit(c).alias("column_name"), F.col(f"{c}__count").alias("count"), F.col(f"{c}__mean").alias("mean"),
-        F.col(f"{c}__stddev").alias("stddev"), F.col(f"{c}__min").alias("min"),
-        F.col(f"{c}__q")[0].alias("p25"), F.col(f"{c}__q")[1].alias("p50"), F.col(f"{c}__q")[2].alias("p75"),
-        F.col(f"{c}__max").alias("max")) for c in cols]))
-    return wide.select(rows)
+        F.col(f"{c}__stddev").alias("stddev"), F.col(f"{c}__min").alias("min"), F.col(f"{c}__max").alias("max")) for c in cols]))
+    out = df.agg(*aggs).select(rows).join(exact_quantiles(df, cols), "column_name", "left")
+    return out.select("column_name", "count", "mean", "stddev", "min",
+                      *[F.get("q", i).alias(p) for i, p in enumerate(("p25", "p50", "p75"))], "max")
 
 
 def histogram(df: DataFrame, col: str, bins: int = 30) -> DataFrame:
@@ -104,15 +102,17 @@ def class_balance(df: DataFrame, split_col: str = "split", label_col: str = "lab
                                      F.avg(F.col(label_col).cast("double")).alias("positive_rate"))
 
 
-def metrics_summary(metrics: DataFrame, group_col: str = "model_name", time_col: str = "created_at",
+def metrics_summary(metrics: DataFrame, group_col: str | None = "model_name", time_col: str = "created_at",
                     value_cols: Iterable[str] = ("auc_score", "f1_score", "accuracy")) -> DataFrame:
-    """AGG-12: mean of each metric per model and the latest run (``max_by`` on time)."""
+    """AGG-12: mean of each metric and the latest run (``max_by`` on time) per model; one row over all
+    models with ``group_col=None``."""
     value_cols = list(value_cols)
+    keys = [] if group_col is None else [group_col]
     latest = F.max_by(F.struct(time_col, *value_cols), F.col(time_col))
     aggs = [F.count(F.lit(1)).alias("runs")]
     aggs += [F.avg(c).alias(f"mean_{c}") for c in value_cols]
     aggs.append(latest.alias("latest"))
-    out = metrics.groupBy(group_col).agg(*aggs)
-    return out.select(group_col, "runs", *[f"mean_{c}" for c in value_cols],
+    out = metrics.groupBy(*keys).agg(*aggs)
+    return out.select(*keys, "runs", *[f"mean_{c}" for c in value_cols],
                       F.col(f"latest.{time_col}").alias(f"latest_{time_col}"),
                       *[F.col(f"latest.{c}").alias(f"latest_{c}") for c in value_cols])

@@ -18,6 +18,7 @@ from sparkmart.models.scale import fit_scaler
 from sparkmart.models.score import score
 from sparkmart.models.split import assign_windows, stratified_split
 from sparkmart.models.train import FIXED_PARAMS, gbt_params, random_search, run_record
+from sparkmart.operators.calendar import window_bounds
 from sparkmart.operators.joins import attach_features
 from sparkmart.sources.readers import read_window
 from sparkmart.sources.writers import append_rows, save_model, write_predictions
@@ -47,16 +48,23 @@ def train_job(spark: SparkSession, labels: DataFrame, features: DataFrame, featu
     from pyspark.ml.classification import GBTClassifier
     from pyspark.ml.feature import VectorAssembler
 
-    df = training_frame(labels, features, keys, train_date).withColumn("label", F.col("label").cast("double"))
+    # only the two windows are read and joined: the bounds reach both sides' scans
+    bounds = window_bounds(F.lit(str(train_date)).cast("date"))
+    used = F.col("snapshot_date").between(bounds["train_start"], bounds["oot_end"])
+    features = features.where(used) if "snapshot_date" in keys else features
+    df = training_frame(labels.where(used), features, keys, train_date).withColumn("label", F.col("label").cast("double"))
     tt = stratified_split(df.where(F.col("window_name") == "train_test"), key_col, "label", ratio, seed=88)
     train = tt.where(F.col("split") == "train")
     stats = fit_scaler(train, feature_cols)
     scaler = scaling_stage(stats)
     zcols = [f"{c}__z" for c in feature_cols]
     if search:
-        best, results = random_search(scaler.transform(train), zcols, "label", n_iter=n_iter, folds=3)
+        best, results = random_search(scaler.transform(train), zcols, "label", n_iter=n_iter, folds=3, key_col=key_col)
         fitted = PipelineModel(stages=[scaler, *best.stages])
-        params = {f"draw_{r['draw']}_cv_auc": r["mean_cv_auc"] for r in results.collect()}  # n_iter rows
+        draws = results.collect()  # n_iter rows
+        params = {f"draw_{r['draw']}_cv_auc": r["mean_cv_auc"] for r in draws}
+        won = max(draws, key=lambda r: (r["mean_cv_auc"], -r["draw"])).asDict()
+        params |= {f"best_{k}": v for k, v in won.items()}
     else:
         params = dict(params or FIXED_PARAMS)
         gbt = GBTClassifier(featuresCol="features", labelCol="label", seed=88, **gbt_params(params))
@@ -70,13 +78,16 @@ def train_job(spark: SparkSession, labels: DataFrame, features: DataFrame, featu
     from sparkmart.session import shared_dir
     shared_dir(spark)
     scored = scored.checkpoint(eager=True)
-    aucs = {r["split"]: r["auc"] for r in roc_auc(scored, "score", "label", ["split"], materialise=False).collect()}
+    aucs = {r["split"]: r["auc"] for r in roc_auc(scored, "score", "label", ["split"]).collect()}
     fa = f1_accuracy(scored.where(F.col("split") == "test"), "score", "label").first()
-    sizes = {r["split"]: r["count"] for r in scored.groupBy("split").count().collect()}
+    seen = scored.groupBy("split").agg(F.count(F.lit(1)).alias("n"), F.avg("label").alias("rate")).collect()
+    sizes = {r["split"]: r["n"] for r in seen}
     results = {f"auc_{k}": v for k, v in aucs.items() if v is not None}
     results.update({f"gini_{k}": round(2 * v - 1, 3) for k, v in aucs.items() if v is not None})
+    results.update({f"positive_rate_{r['split']}": r["rate"] for r in seen})
     results.update({"f1_score": fa["f1_score"], "accuracy": fa["accuracy"]})
     record = run_record(spark, model_name, train_date, sizes, results, {str(k): v for k, v in params.items()})
+    record = record.withColumns(bounds)
     if metrics_root:
         append_rows(record, metrics_root)
     return fitted, record

@@ -8,7 +8,9 @@ dirty text made by concatenation - the same expressions appear in the oracle SQL
 * financials: income as ``"1234.56_"``, loan counts with ``_`` and values above the cap,
   ``Credit_Mix`` / ``Payment_of_Min_Amount`` / ``Payment_Behaviour`` codes with sentinels,
   ``"N Years and M Months"`` history text, and a comma list of loan types;
-* clickstream: ``fe_1..fe_5`` line counts per customer and ship month (``fe_6..fe_20`` null).
+* clickstream: ``fe_1..fe_20`` line counts per customer and ship month, by flag, line number and quantity.
+
+The base is every installment row of the loan book, and every column of the gold store is returned.
 """
 
 from __future__ import annotations
@@ -16,7 +18,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sparkmart.operators.features import days_past_due
-from sparkmart.operators.labels import default_label
 from sparkmart.plans import feature_mart as fm
 from sparkmart.queries.loanbook import SILVER_SQL, loan_book
 from sparkmart.queries.registry import query
@@ -73,6 +74,13 @@ def raw_extracts(spark, sf_dir):
         F.col("o_custkey").cast("string").alias("Customer_ID"),
         F.concat(F.format_string("%.2f", F.col("total")), F.lit("_")).alias("Annual_Income"),
         F.floor(F.col("total") / 12).cast("bigint").cast("string").alias("Monthly_Inhand_Salary"),
+        F.concat(F.col("n_orders").cast("string"), F.lit(".0")).alias("Num_Bank_Accounts"),
+        (nk % 10).cast("string").alias("Num_Credit_Card"),
+        F.when(st != "P", (nk + F.col("n_orders")).cast("string")).alias("Interest_Rate"),
+        (F.coalesce("n_late", F.lit(0)) * 5 - 10).cast("string").alias("Delay_from_due_date"),
+        F.coalesce("n_lines", F.lit(0)).cast("string").alias("Num_Credit_Inquiries"),
+        F.floor(F.col("total") / 1000).cast("bigint").cast("string").alias("Credit_Utilization_Ratio"),
+        F.floor(F.col("total") / 36).cast("bigint").cast("string").alias("Monthly_Balance"),
         F.concat(F.lit("__"), F.floor(F.col("total") / 100).cast("bigint").cast("string"), F.lit("__"))
          .alias("Amount_invested_monthly"),
         F.concat((F.coalesce(F.col("n_lines"), F.lit(0)) * 4).cast("string"),
@@ -97,19 +105,23 @@ def raw_extracts(spark, sf_dir):
                .agg(F.count(F.lit(1)).alias("fe_1"), F.count_if(F.col("l_returnflag") == "R").alias("fe_2"),
                     F.count_if(F.col("l_returnflag") == "A").alias("fe_3"),
                     F.count_if(F.col("l_returnflag") == "N").alias("fe_4"),
-                    F.count_if(F.col("l_linestatus") == "F").alias("fe_5"))
-               .select("Customer_ID", "snapshot_date", *[F.col(f"fe_{i}") for i in range(1, 6)],
-                       *[F.lit(None).cast("string").alias(f"fe_{i}") for i in range(6, 21)]))
+                    F.count_if(F.col("l_linestatus") == "F").alias("fe_5"),
+                    *[F.count_if(F.col("l_linenumber") == i).alias(f"fe_{5 + i}") for i in range(1, 8)],
+                    *[F.count_if(F.col("l_quantity") > 5 * i).alias(f"fe_{12 + i}") for i in range(1, 9)]))
     return attrs, fin, click
 
 
-OUT_COLS = (["loan_id", "Customer_ID", "snapshot_date", "Age", "Has_Valid_Age"]
-            + [f"Occupation_{_slug(v)}" for v in OCC]
-            + ["Annual_Income", "Num_of_Loan", "Num_of_Loan_Overcap_Flag", "Credit_Mix", "Payment_of_Min_Amount",
-               "Credit_History_in_Months", "Debt_to_income", "Delayed_payment_ratio", "Investment_rate"]
+FIN_COLS = ["Annual_Income", "Monthly_Inhand_Salary", "Num_Bank_Accounts", "Num_Credit_Card", "Interest_Rate", "Num_of_Loan",
+            "Num_of_Loan_Overcap_Flag", "Delay_from_due_date", "Num_of_Delayed_Payment", "Num_Credit_Inquiries", "Credit_Mix",
+            "Outstanding_Debt", "Credit_Utilization_Ratio", "Payment_of_Min_Amount", "Total_EMI_per_month",
+            "Amount_invested_monthly", "Monthly_Balance", "credit_history_yrs", "credit_history_mths",
+            "Credit_History_in_Months"]
+OUT_COLS = (["loan_id", "installment_num", "Customer_ID", "snapshot_date", "dpd", "Age", "Has_Valid_Age"]
+            + [f"Occupation_{_slug(v)}" for v in OCC] + FIN_COLS
+            + ["Debt_to_income", "Loan_to_income", "Delayed_payment_ratio", "Investment_rate"]
             + [f"payment_behaviour_{_slug(v)}" for v in BEH]
             + [f"loan_type_{_slug(v)}" for v in TYPES]
-            + [f"fe_{i}" for i in range(1, 6)])
+            + [f"fe_{i}" for i in range(1, 21)])
 
 
 def _sql():
@@ -121,11 +133,15 @@ def _sql():
         f" AS loan_type_{_slug(v)}" for v in TYPES)
     occ_cols = ", ".join(f"a.Occupation_{_slug(v)}" for v in OCC)
     beh_cols = ", ".join(f"f.payment_behaviour_{_slug(v)}" for v in BEH)
+    fin_cols = ", ".join(f"f.{c}" for c in FIN_COLS)
+    click = ", ".join([f"count(*) FILTER (WHERE l.l_linenumber = {i}) AS fe_{5 + i}" for i in range(1, 8)]
+                      + [f"count(*) FILTER (WHERE l.l_quantity > {5 * i}) AS fe_{12 + i}" for i in range(1, 9)])
+    click_cols = ", ".join(f"CAST(k.fe_{i} AS INTEGER) AS fe_{i}" for i in range(1, 21))
     typ_cols = ", ".join(f"f.loan_type_{_slug(v)}" for v in TYPES)
     return f"""
 WITH s AS ({SILVER_SQL}),
-loans AS (SELECT CAST(loan_id AS BIGINT) AS loan_id, CAST(Customer_ID AS VARCHAR) AS Customer_ID, snapshot_date
-          FROM s WHERE mob = 6),
+loans AS (SELECT CAST(loan_id AS BIGINT) AS loan_id, installment_num, CAST(Customer_ID AS VARCHAR) AS Customer_ID, snapshot_date,
+                 dpd FROM s),
 items AS (SELECT o.o_custkey, CAST(date_trunc('month', o.o_orderdate) AS DATE) AS snapshot_date, l.l_quantity,
                  l.l_extendedprice,
                  CASE WHEN l.l_linestatus = 'F' THEN 'and ' ELSE '' END ||
@@ -155,6 +171,13 @@ f0 AS (SELECT CAST(o_custkey AS VARCHAR) AS Customer_ID, snapshot_date,
               CAST(floor(total / 100) AS DOUBLE) AS Amount_invested_monthly,
               coalesce(n_lines, 0) * 4 AS loans_raw,
               CAST(n_late AS INTEGER) AS Num_of_Delayed_Payment,
+              CAST(n_orders AS INTEGER) AS Num_Bank_Accounts, CAST(c_nationkey % 10 AS INTEGER) AS Num_Credit_Card,
+              CAST(CASE WHEN status <> 'P' THEN c_nationkey + n_orders END AS INTEGER) AS Interest_Rate,
+              CAST(coalesce(n_late, 0) * 5 - 10 AS INTEGER) AS Delay_from_due_date,
+              CAST(coalesce(n_lines, 0) AS DOUBLE) AS Num_Credit_Inquiries,
+              floor(total / 1000) AS Credit_Utilization_Ratio, floor(total / 24) AS Total_EMI_per_month,
+              floor(total / 36) AS Monthly_Balance,
+              CAST(n_orders AS INTEGER) AS credit_history_yrs, CAST(coalesce(n_late, 0) AS INTEGER) AS credit_history_mths,
               CASE prio WHEN '1-URGENT' THEN 2 WHEN '2-HIGH' THEN 1 WHEN '3-MEDIUM' THEN 0 END AS Credit_Mix,
               CASE status WHEN 'F' THEN 1 WHEN 'O' THEN 0 END AS Payment_of_Min_Amount,
               CASE status WHEN 'P' THEN NULL WHEN 'F' THEN 'High_spent_Large' ELSE 'Low_spent Small' END AS Payment_Behaviour,
@@ -167,17 +190,17 @@ f AS (SELECT *, CAST(CASE WHEN loans_raw > 20 THEN 20 ELSE loans_raw END AS INTE
 k AS (SELECT CAST(o.o_custkey AS VARCHAR) AS Customer_ID, CAST(date_trunc('month', l.l_shipdate) AS DATE) AS snapshot_date,
              count(*) AS fe_1, count(*) FILTER (WHERE l.l_returnflag = 'R') AS fe_2,
              count(*) FILTER (WHERE l.l_returnflag = 'A') AS fe_3, count(*) FILTER (WHERE l.l_returnflag = 'N') AS fe_4,
-             count(*) FILTER (WHERE l.l_linestatus = 'F') AS fe_5
+             count(*) FILTER (WHERE l.l_linestatus = 'F') AS fe_5,
+             {click}
       FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey GROUP BY ALL)
-SELECT loans.loan_id, loans.Customer_ID, loans.snapshot_date, a.Age, a.Has_Valid_Age, {occ_cols},
-       f.Annual_Income, f.Num_of_Loan, f.Num_of_Loan_Overcap_Flag, f.Credit_Mix, f.Payment_of_Min_Amount,
-       f.Credit_History_in_Months,
+SELECT loans.loan_id, loans.installment_num, loans.Customer_ID, loans.snapshot_date, loans.dpd, a.Age, a.Has_Valid_Age, {occ_cols},
+       {fin_cols},
+       f.Total_EMI_per_month / (f.Monthly_Inhand_Salary + 1) AS Loan_to_income,
        f.Outstanding_Debt / (f.Annual_Income + 1) AS Debt_to_income,
        f.Num_of_Delayed_Payment / (f.Num_of_Loan + 1) AS Delayed_payment_ratio,
        f.Amount_invested_monthly / (f.Monthly_Inhand_Salary + 1) AS Investment_rate,
        {beh_cols}, {typ_cols},
-       CAST(k.fe_1 AS INTEGER) AS fe_1, CAST(k.fe_2 AS INTEGER) AS fe_2, CAST(k.fe_3 AS INTEGER) AS fe_3,
-       CAST(k.fe_4 AS INTEGER) AS fe_4, CAST(k.fe_5 AS INTEGER) AS fe_5
+       {click_cols}
 FROM loans LEFT JOIN a ON loans.Customer_ID = a.Customer_ID AND loans.snapshot_date = a.snapshot_date
            LEFT JOIN f ON loans.Customer_ID = f.Customer_ID AND loans.snapshot_date = f.snapshot_date
            LEFT JOIN k ON loans.Customer_ID = k.Customer_ID AND loans.snapshot_date = k.snapshot_date
@@ -187,7 +210,7 @@ FROM loans LEFT JOIN a ON loans.Customer_ID = a.Customer_ID AND loans.snapshot_d
 @query("feature_mart_gold", sql=_sql())
 def q_feature_mart_gold(spark, sf_dir):
     """PIP-3..6: silver attributes / financials / clickstream from raw extracts, then the gold
-    feature store (one-hot, multi-hot, valid-age flag) left-joined onto the mob-6 loans."""
+    feature store (one-hot, multi-hot, valid-age flag) left-joined onto every loan row."""
     from sparkmart.session import scratch_path
     from sparkmart.sources.readers import read_store
     from sparkmart.sources.writers import write_snapshots
@@ -199,10 +222,9 @@ def q_feature_mart_gold(spark, sf_dir):
     for name, df in silver.items():  # the silver layer is a stored table; gold reads it back
         write_snapshots(df, f"{root}/silver_{name}", sort_by=("Customer_ID",))
     attrs, fin, click = (read_store(spark, f"{root}/silver_{n}") for n in silver)
-    loans = default_label(days_past_due(loan_book(spark, sf_dir)), 30, 6).select(
-        "loan_id", F.col("Customer_ID").cast("string").alias("Customer_ID"), "snapshot_date")
+    loans = days_past_due(loan_book(spark, sf_dir)).select(
+        "loan_id", "installment_num", F.col("Customer_ID").cast("string").alias("Customer_ID"), "snapshot_date", "dpd")
     gold = fm.gold_features(loans, attrs, fin, click)
-    missing = [c for c in OUT_COLS if c not in gold.columns]
-    if missing:
-        raise AssertionError(f"gold feature store lacks {missing}")
+    if set(OUT_COLS) != set(gold.columns):
+        raise AssertionError(f"gold feature store has other columns: {sorted(set(OUT_COLS) ^ set(gold.columns))}")
     return gold.select(*OUT_COLS)

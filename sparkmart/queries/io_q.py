@@ -71,9 +71,9 @@ def q_write_read_roundtrip(spark, sf_dir):
 
 @query("metrics_append", sql="""
 SELECT 'model_' || o_orderpriority AS model_name, CAST(date_trunc('month', o_orderdate) AS DATE) AS created_at,
-       floor(avg(o_totalprice) / 600000.0 * 1024.0) / 1024.0 AS auc_score,
-       floor(avg(CASE WHEN o_orderstatus = 'F' THEN 1.0 ELSE 0.0 END) * 1024.0) / 1024.0 AS f1_score,
-       floor(avg(CASE WHEN o_orderstatus = 'O' THEN 1.0 ELSE 0.0 END) * 1024.0) / 1024.0 AS accuracy
+       round(avg(o_totalprice) / 600000.0, 6) AS auc_score,
+       round(avg(CASE WHEN o_orderstatus = 'F' THEN 1.0::DOUBLE ELSE 0.0 END), 6) AS f1_score,
+       round(avg(CASE WHEN o_orderstatus = 'O' THEN 1.0::DOUBLE ELSE 0.0 END), 6) AS accuracy
 FROM orders GROUP BY ALL
 """)
 def q_metrics_append(spark, sf_dir):
@@ -82,7 +82,7 @@ def q_metrics_append(spark, sf_dir):
     root = scratch_path(spark, "metrics")
     append_rows(runs.where(F.col("created_at") < F.lit("1998-01-01").cast("date")), root)
     append_rows(runs.where(F.col("created_at") >= F.lit("1998-01-01").cast("date")), root)
-    return read_metrics(spark, root)
+    return read_metrics(spark, root).withColumns({c: F.round(c, 6) for c in ("auc_score", "f1_score", "accuracy")})
 
 
 @query("prediction_store", sql="""

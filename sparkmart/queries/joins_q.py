@@ -138,3 +138,23 @@ def q_feature_label_inner(spark, sf_dir):
     out = inner_with_suffixes(labels, feats, ["Customer_ID"], latest_by="snapshot_date")
     return out.select("loan_id", "Customer_ID", "loan_start_date", "label", "snapshot_date_x",
                       "snapshot_date_y", "n_orders", "spend")
+
+
+@query("feature_label_all", sql=f"""
+WITH s AS ({SILVER_SQL}),
+lab AS (SELECT Customer_ID, loan_start_date, loan_id, CAST(CASE WHEN dpd >= 30 THEN 1 ELSE 0 END AS INTEGER) AS label, snapshot_date
+        FROM s WHERE mob = 6),
+one AS (SELECT * FROM lab QUALIFY row_number() OVER (PARTITION BY Customer_ID, loan_start_date ORDER BY loan_id, label, snapshot_date) = 1)
+SELECT f.loan_id AS loan_id_x, one.loan_id AS loan_id_y, f.Customer_ID, f.loan_start_date, f.installment_num, f.overdue_amt,
+       f.snapshot_date AS snapshot_date_x, one.snapshot_date AS snapshot_date_y, one.label
+FROM s f JOIN one ON f.Customer_ID = one.Customer_ID AND f.loan_start_date = one.loan_start_date
+""")
+def q_feature_label_all(spark, sf_dir):
+    """JON-4: every feature row INNER JOIN its label on (customer, loan start); the labels are the
+    unique side (of several for a key the least row), so the join is N:1."""
+    book = loan_book(spark, sf_dir)
+    labels = default_label(days_past_due(book), 30, 6, keep_start=True).drop("label_def")
+    feats = book.drop("due_amt")
+    out = inner_with_suffixes(feats, labels, ["Customer_ID", "loan_start_date"])
+    return out.select("loan_id_x", "loan_id_y", "Customer_ID", "loan_start_date", "installment_num", "overdue_amt",
+                      "snapshot_date_x", "snapshot_date_y", "label")

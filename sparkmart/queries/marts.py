@@ -72,12 +72,12 @@ def q_snapshot_counts(spark, sf_dir):
 WITH s AS ({SILVER_SQL})
 SELECT snapshot_date, CAST(count(*) AS BIGINT) AS loans, CAST(sum(CASE WHEN dpd >= 30 THEN 1 ELSE 0 END) AS BIGINT) AS bad,
        '30dpd_6mob' AS label_def
-FROM s WHERE mob = 6 AND snapshot_date BETWEEN DATE '1996-01-01' AND DATE '2000-12-01'
+FROM s WHERE mob = 6
 GROUP BY snapshot_date
 """)
 def q_label_mart_backfill(spark, sf_dir):
     """PIP-1/2/7/13: the loan book landed as a raw CSV extract, then bronze -> silver -> gold label
-    store for every month of 1996-2000 in one job per layer; labels counted per snapshot."""
+    store for every month of the book in one job per layer; labels counted per snapshot."""
     from sparkmart.plans import label_mart
     from sparkmart.session import scratch_path
 
@@ -91,7 +91,8 @@ def q_label_mart_backfill(spark, sf_dir):
     root = scratch_path(spark, "label_mart")
     source = f"{root}/source_lms_loan_daily"
     book.write.mode("overwrite").option("header", True).csv(source)
-    paths = label_mart.backfill(spark, source, root, "1996-01-15", "2000-12-01")
+    span = book.agg(F.min("snapshot_date").alias("lo"), F.max("snapshot_date").alias("hi")).first()
+    paths = label_mart.backfill(spark, source, root, span["lo"], span["hi"])
     gold = spark.read.parquet(paths["gold_label_store"])
     return gold.groupBy("snapshot_date").agg(
         F.count(F.lit(1)).alias("loans"), F.sum("label").cast("bigint").alias("bad"), F.max("label_def").alias("label_def"))

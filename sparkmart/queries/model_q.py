@@ -187,31 +187,47 @@ def _metric_runs(spark, sf_dir):
     o = table(spark, sf_dir, "orders")
     return (o.groupBy(F.concat(F.lit("model_"), F.col("o_orderpriority")).alias("model_name"),
                       F.trunc(F.col("o_orderdate").cast("date"), "MM").alias("created_at"))
-             .agg(_dyadic(F.avg("o_totalprice") / 600000.0).alias("auc_score"),
-                  _dyadic(F.avg(F.when(F.col("o_orderstatus") == "F", 1.0).otherwise(0.0))).alias("f1_score"),
-                  _dyadic(F.avg(F.when(F.col("o_orderstatus") == "O", 1.0).otherwise(0.0))).alias("accuracy")))
+             .agg((F.avg("o_totalprice") / 600000.0).alias("auc_score"),
+                  F.avg(F.when(F.col("o_orderstatus") == "F", 1.0).otherwise(0.0)).alias("f1_score"),
+                  F.avg(F.when(F.col("o_orderstatus") == "O", 1.0).otherwise(0.0)).alias("accuracy")))
 
 
-def _dyadic(c):
-    # metric values on a 1/1024 grid: exactly representable, so means do not depend on summation order
-    return F.floor(c * 1024.0) / 1024.0
-
-
-@query("metrics_summary", sql="""
+_RUNS_SQL = """
 WITH r AS (SELECT 'model_' || o_orderpriority AS model_name, CAST(date_trunc('month', o_orderdate) AS DATE) AS created_at,
-                  floor(avg(o_totalprice) / 600000.0 * 1024.0) / 1024.0 AS auc_score,
-                  floor(avg(CASE WHEN o_orderstatus = 'F' THEN 1.0 ELSE 0.0 END) * 1024.0) / 1024.0 AS f1_score,
-                  floor(avg(CASE WHEN o_orderstatus = 'O' THEN 1.0 ELSE 0.0 END) * 1024.0) / 1024.0 AS accuracy
+                  avg(o_totalprice) / 600000.0 AS auc_score,
+                  avg(CASE WHEN o_orderstatus = 'F' THEN 1.0::DOUBLE ELSE 0.0 END) AS f1_score,
+                  avg(CASE WHEN o_orderstatus = 'O' THEN 1.0::DOUBLE ELSE 0.0 END) AS accuracy
            FROM orders GROUP BY ALL)
-SELECT model_name, count(*) AS runs, avg(auc_score) AS mean_auc_score, avg(f1_score) AS mean_f1_score,
-       avg(accuracy) AS mean_accuracy, max(created_at) AS latest_created_at,
-       arg_max(auc_score, created_at) AS latest_auc_score, arg_max(f1_score, created_at) AS latest_f1_score,
-       arg_max(accuracy, created_at) AS latest_accuracy
+"""
+_METRICS = ("auc_score", "f1_score", "accuracy")
+
+
+def _rounded(summary, *keys):
+    return summary.select(*keys, "runs", "latest_created_at",
+                          *[F.round(f"{k}_{m}", 6).alias(f"{k}_{m}") for k in ("mean", "latest") for m in _METRICS])
+
+
+@query("metrics_summary", sql=_RUNS_SQL + """
+SELECT model_name, count(*) AS runs, max(created_at) AS latest_created_at,
+       round(avg(auc_score), 6) AS mean_auc_score, round(avg(f1_score), 6) AS mean_f1_score, round(avg(accuracy), 6) AS mean_accuracy,
+       round(arg_max(auc_score, created_at), 6) AS latest_auc_score, round(arg_max(f1_score, created_at), 6) AS latest_f1_score,
+       round(arg_max(accuracy, created_at), 6) AS latest_accuracy
 FROM r GROUP BY model_name
 """)
 def q_metrics_summary(spark, sf_dir):
     """AGG-12 / SRC-8: per model, mean metrics over runs and the latest run's values."""
-    return metrics_summary(_metric_runs(spark, sf_dir))
+    return _rounded(metrics_summary(_metric_runs(spark, sf_dir)), "model_name")
+
+
+@query("metrics_overall", sql=_RUNS_SQL + """
+SELECT count(*) AS runs, max(created_at) AS latest_created_at, round(avg(auc_score), 6) AS mean_auc_score,
+       round(avg(f1_score), 6) AS mean_f1_score, round(avg(accuracy), 6) AS mean_accuracy
+FROM r
+""")
+def q_metrics_overall(spark, sf_dir):
+    """AGG-12: mean metrics over the runs of all models (which model ran last is a tie, so not returned)."""
+    out = _rounded(metrics_summary(_metric_runs(spark, sf_dir), group_col=None))
+    return out.drop(*[f"latest_{m}" for m in _METRICS])
 
 
 def _train_scaled(spark, sf_dir):
