@@ -13,7 +13,7 @@ def test_quantiles_above_100000_rows(spark):
     cols = ["l_extendedprice", "l_quantity"]
     got = {r["column_name"]: list(r["q"]) for r in exact_quantiles(spark.read.parquet(path), cols).collect()}
     sql = ", ".join(f"quantile_disc({c}, [0.25, 0.5, 0.75])" for c in cols)
-    row = duckdb.sql(f"SELECT count(*), {sql} FROM '{path}'").fetchone()
+    row = duckdb.connect().execute(f"SELECT count(*), {sql} FROM '{path}'").fetchone()
     assert row[0] > 100_000
     assert got == {c: [float(x) for x in v] for c, v in zip(cols, row[1:])}
 
