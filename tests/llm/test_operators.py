@@ -242,3 +242,9 @@ def test_empty_tables(spark, empty):
     assert quality_rules.report(empty).count() == 0 and quality_rules.keep_good(empty).count() == 0
     assert near_dedup.classes(empty).count() == 0 and near_dedup.deduplicate(empty).count() == 0
     assert training_order.sequences(empty).count() == 0
+
+
+def test_line_dedup_of_single_lines(spark):
+    rows = [(1, "a b\nlicense text\nc"), (2, "x\n license text\ny"), (3, "license text")]
+    got = {r["doc_id"]: r["kept"] for r in line_dedup.deduplicate(spark.createDataFrame(rows, "doc_id long, text string"), run=1).collect()}
+    assert got == {1: "a b\nlicense text\nc", 2: "x\ny", 3: ""}
