@@ -16,14 +16,14 @@ from sparkmart.session import scratch_path, shared_dir
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def land(df: DataFrame, name: str) -> DataFrame:
+def land(df: DataFrame, name: str, **options: str) -> DataFrame:
     """Write a small intermediate table once to the cluster's shared folder and read it back.
 
     Cuts the lineage without ``localCheckpoint``: the files outlive any executor.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -1,8 +1,10 @@
 """MinHash near-dedup: improved consistent weighted sampling (ICWS) over TF-IDF word shingles.
 
 1. Exact copies collapse to one *node* per distinct text (128-bit digest).
-2. Document frequencies of all shingles go into a count array of ``SKETCH`` cells (fixed size, so it
-   may be broadcast); a shingle's weight is ``tf * ln(SMOOTH + n_docs / df)``.  The additive term
+2. Document frequencies are counted exactly per 64-bit shingle: each *chunk* of rows sends its
+   distinct shingles with partial counts to buckets of the hash range, a bucket adds them up and
+   returns to every chunk the frequencies above 1 of its own shingles (all others are 1).  A
+   shingle's weight is ``tf * ln(SMOOTH + n_docs / df)``.  The additive term
    keeps a very large group of near copies from erasing the weight of its own shared shingles.
 3. Each node gets ``BANDS * ROWS`` ICWS samples (Ioffe 2010), banded into ``BANDS`` keys.
 4. Nodes that share a band key are candidates.  They are not expanded into all pairs: every node is
@@ -17,7 +19,7 @@
 Shingles are five words; a text of one to four words is one shingle of all its words; empty and null
 texts have none and only meet each other as exact copies.  Repeated rows share a class.
 Every stage between Python passes is a DataFrame join or a partially aggregated group; intermediate
-tables (signatures, bucket members, candidate texts) are landed in the shared folder.
+tables (texts, frequencies, signatures, bucket members, candidate shingles) are landed in the shared folder.
 """
 
 from __future__ import annotations
@@ -36,8 +38,9 @@ from sparkmart.llm.components import components
 SHINGLE = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 16, 4
-SKETCH = 1 << 18
-SEGMENT = 1 << 13
+#: Rows of a chunk (a power of two, as bits of the row id), and shingles of a bucket of the hash range, about.
+CHUNK_BITS = 6
+BUCKET_SHINGLES = 2_000_000
 SMOOTH = 1000.0
 PROBES = 8
 _TABLE = 1 << 14
@@ -60,43 +63,128 @@ def row_shingles(batch: pa.RecordBatch, column: str):
 
 # --- document frequencies -------------------------------------------------------------------
 
-def count_frequencies(base: DataFrame) -> tuple[np.ndarray, int]:
-    """(df per sketch cell, number of rows): dense partial counts per task, summed per segment."""
-    def count(batches):
-        total, rows = np.zeros(SKETCH, np.int64), 0
-        for batch in batches:
-            for part in K.slices(batch, "text"):
-                h, first = row_shingles(part, "text")
-                row = np.repeat(np.arange(part.num_rows), np.diff(first))
-                cell = np.unique(row * SKETCH + (h & K.U64(SKETCH - 1)).astype(np.int64)) & (SKETCH - 1)
-                total += np.bincount(cell, minlength=SKETCH)
-                rows += part.num_rows
-        segs = np.arange(SKETCH // SEGMENT)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(segs, pa.int32()), pa.array([total[s * SEGMENT:(s + 1) * SEGMENT].astype(np.int64).tobytes() for s in segs], pa.binary()),
-             pa.array([rows if s == 0 else 0 for s in segs], pa.int64())], names=["seg", "counts", "n"])
+def _pack(u: np.ndarray) -> bytes:
+    """Sorted shingles as compressed differences, byte plane by byte plane."""
+    return pa.compress(np.diff(u, prepend=K.U64(0)).view(np.uint8).reshape(-1, 8).T.tobytes(), codec="zstd", asbytes=True)
 
-    def add(key, pdf):
-        import pandas as pd
-        total = sum((np.frombuffer(b, np.int64) for b in pdf["counts"]), np.zeros(SEGMENT, np.int64))
-        return pd.DataFrame({"seg": [key[0]], "counts": [total.tobytes()], "n": [int(pdf["n"].sum())]})
 
-    schema = "seg int, counts binary, n long"
-    parts = (base.select("text").mapInArrow(count, schema).groupBy("seg").applyInPandas(add, schema).collect())
-    total = np.zeros(SKETCH, np.int64)
-    for p in parts:  # SKETCH / SEGMENT rows, whatever the input
-        total[p["seg"] * SEGMENT:(p["seg"] + 1) * SEGMENT] = np.frombuffer(p["counts"], np.int64)
-    return total, sum(p["n"] for p in parts)
+def _unpack(data: bytes, n: int) -> np.ndarray:
+    planes = np.frombuffer(pa.decompress(data, decompressed_size=8 * n, codec="zstd", asbytes=True), np.uint8).reshape(8, n)
+    return np.cumsum(np.ascontiguousarray(planes.T).view(K.U64).ravel(), dtype=K.U64)
 
 
-def idf_weights(counts: np.ndarray, n_docs: int) -> np.ndarray:
-    return np.log(SMOOTH + max(n_docs, 1) / np.maximum(counts, 1)).astype(np.float32)
+def _chunk_parts(base: DataFrame, buckets: int) -> DataFrame:
+    """(chunk, bucket, shingles, counts) of (rid, text): a chunk's distinct shingles, packed, with the number of its rows that have each."""
+    def split(batches):
+        for batch in batches:
+            for part in K.slices(batch, "text"):
+                h, first = row_shingles(part, "text")
+                chunk = part.column("rid").to_numpy() >> CHUNK_BITS
+                edges = np.concatenate(([0], np.flatnonzero(np.diff(chunk)) + 1, [len(chunk)]))
+                cols = [], [], [], []
+                for lo, hi in zip(edges[:-1], edges[1:]):
+                    own = [np.unique(h[first[i]:first[i + 1]]) for i in range(lo, hi)]  # a row counts once
+                    u, n = np.unique(np.concatenate(own), return_counts=True)
+                    at = (u >> K.U64(32)) * K.U64(buckets) >> K.U64(32)  # grows with u
+                    cut = np.searchsorted(at, np.arange(buckets + 1, dtype=K.U64))
+                    for k in np.flatnonzero(np.diff(cut)).tolist():
+                        x = slice(cut[k], cut[k + 1])
+                        for col, value in zip(cols, (int(chunk[lo]), k, _pack(u[x]), n[x].astype(np.uint32).tobytes())):
+                            col.append(value)
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.binary(), pa.binary()))],
+                                                 names=["chunk", "bucket", "shingles", "counts"])
+
+    return base.select("rid", "text").mapInArrow(split, "chunk long, bucket long, shingles binary, counts binary")
+
+
+def count_frequencies(base: DataFrame) -> DataFrame:
+    """(chunk, shingles, counts) of (rid, text): the shingles of a chunk that are in two rows or more of
+    the whole table, with the number of these rows."""
+    spark = base.sparkSession
+    size = base.agg(F.sum(F.length("text"))).first()[0] or 0
+    buckets = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")), size // (5 * BUCKET_SHINGLES))
+
+    def add(batches):
+        names = ["chunk", "shingles", "counts"]
+        current, held = None, []
+
+        def close():
+            u = np.concatenate([_unpack(x, len(n) // 4) for _, x, n in held])
+            n = np.concatenate([np.frombuffer(x, np.uint32) for _, _, x in held]).astype(np.int64)
+            order = np.argsort(u, kind="stable")
+            runs = np.flatnonzero(np.concatenate(([True], u[order[1:]] != u[order[:-1]])))
+            df = np.empty(len(u), np.int64)
+            df[order] = np.repeat(np.add.reduceat(n[order], runs), np.diff(np.append(runs, len(u))))
+            at, out = 0, []
+            for chunk, _, x in held:
+                stop = at + len(x) // 4
+                often = df[at:stop] > 1
+                if often.any():
+                    out.append((chunk, _pack(u[at:stop][often]), np.minimum(df[at:stop][often], 0xFFFFFFFF).astype(np.uint32).tobytes()))
+                at = stop
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], t) for k, t in enumerate((pa.int64(), pa.binary(), pa.binary()))], names=names)
 
+        for batch in batches:
+            for bucket, *row in zip(*(batch.column(c).to_pylist() for c in ("bucket", *names))):
+                if bucket != current:
+                    if held:
+                        yield close()
+                    current = bucket
+                held.append(row)
+        if held:
+            yield close()
+
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = _chunk_parts(base, buckets).repartition(tasks, "bucket").sortWithinPartitions("bucket")
+    return parts.mapInArrow(add, "chunk long, shingles binary, counts binary")
+
+
+def with_frequencies(rows: DataFrame, often: DataFrame, give, schema: str) -> DataFrame:
+    """``give(part, df)`` for slices of (rid, h1, h2, text): ``df(u)`` are the frequencies of sorted distinct
+    shingles of the slice's chunk.  ``give`` yields batches of ``schema``."""
+    text = rows.select(F.shiftright("rid", CHUNK_BITS).alias("chunk"), "rid", "id", "h1", "h2", "text",
+                       F.lit(None).cast("binary").alias("shingles"), F.lit(None).cast("binary").alias("counts"))
+    table = often.select("chunk", *[F.lit(None).cast("long").alias(c) for c in ("rid", "id", "h1", "h2")],
+                         F.lit(None).cast("string").alias("text"), "shingles", "counts")
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def run(batches):
+        current, tables, known = None, [], None
+
+        def lookup(u):
+            k, n = known
+            out = np.ones(len(u), np.int64)
+            if len(k) and len(u):
+                at = np.minimum(np.searchsorted(k, u), len(k) - 1)
+                hit = k[at] == u
+                out[hit] = n[at[hit]]
+            return out
 
-def weighted(h: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct shingles of one text and their TF-IDF weights."""
-    u, tf = np.unique(h, return_counts=True)
-    return u, tf * idf[(u & K.U64(SKETCH - 1)).astype(np.int64)]
+        for batch in batches:
+            chunk, is_text = batch.column("chunk").to_numpy(), np.asarray(batch.column("rid").is_valid())
+            edges = np.concatenate(([0], np.flatnonzero((np.diff(chunk) != 0) | (np.diff(is_text) != 0)) + 1, [len(chunk)])) if len(chunk) else [0]
+            for lo, hi in zip(edges[:-1], edges[1:]):
+                if chunk[lo] != current:
+                    current, tables, known = chunk[lo], [], None
+                piece = batch.slice(lo, hi - lo)
+                if not is_text[lo]:
+                    tables += zip(piece.column("shingles").to_pylist(), piece.column("counts").to_pylist())
+                    continue
+                if known is None:  # the tables come first
+                    u = np.concatenate([np.zeros(0, K.U64), *[_unpack(x, len(n) // 4) for x, n in tables]])
+                    n = np.concatenate([np.zeros(0, np.int64), *[np.frombuffer(x, np.uint32).astype(np.int64) for _, x in tables]])
+                    u, first = np.unique(u, return_index=True)  # a chunk cut by slices names a shingle more than once
+                    known = u, n[first]
+                for part in K.slices(piece, "text"):
+                    yield from give(part, lookup)
+
+    return (text.union(table).repartition(tasks, "chunk").sortWithinPartitions("chunk", F.col("rid").isNotNull(), "rid")
+            .mapInArrow(run, schema))
+
+
+def idf_weights(df: np.ndarray, n_docs: int) -> np.ndarray:
+    return np.log(SMOOTH + max(n_docs, 1) / df)
 
 
 # --- ICWS signatures ------------------------------------------------------------------------
@@ -140,47 +228,72 @@ def band_keys(samples: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return key
 
 
-def signatures(base: DataFrame, idf, bands: int, rows: int) -> DataFrame:
-    """(id, h1, h2, total, bands) per row of (id, text, h1, h2); ``idf`` is a Spark broadcast."""
-    def sign(batches):
-        for batch in batches:
-            for part in K.slices(batch, "text"):
-                h, first = row_shingles(part, "text")
-                keys, totals = [], []
-                for i in range(part.num_rows):
-                    u, w = weighted(h[first[i]:first[i + 1]], idf.value)
-                    keys.append(K.signed(band_keys(icws(u, w, bands * rows), bands, rows)) if len(u) else np.zeros(0, np.int64))
-                    totals.append(float(w.sum()))
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("id"), part.column("h1"), part.column("h2"), pa.array(totals, pa.float64()),
-                     pa.array(keys, pa.list_(pa.int64()))], names=["id", "h1", "h2", "total", "bands"])
+def signatures(base: DataFrame, often: DataFrame, n_docs: int, bands: int, rows: int) -> DataFrame:
+    """(rid, id, h1, h2, total, bands) per row of (rid, id, text, h1, h2)."""
+    def sign(part, df):
+        h, first = row_shingles(part, "text")
+        keys, totals = [], []
+        for i in range(part.num_rows):
+            u, tf = np.unique(h[first[i]:first[i + 1]], return_counts=True)
+            w = tf * idf_weights(df(u), n_docs)
+            keys.append(K.signed(band_keys(icws(u, w, bands * rows), bands, rows)) if len(u) else np.zeros(0, np.int64))
+            totals.append(float(w.sum()))
+        yield pa.RecordBatch.from_arrays(
+            [*(part.column(c) for c in ("rid", "id", "h1", "h2")), pa.array(totals, pa.float64()),
+             pa.array(keys, pa.list_(pa.int64()))], names=["rid", "id", "h1", "h2", "total", "bands"])
 
-    return base.mapInArrow(sign, "id long, h1 long, h2 long, total double, bands array<long>")
+    return with_frequencies(base, often, sign, "rid long, id long, h1 long, h2 long, total double, bands array<long>")
 
 
 # --- verification ---------------------------------------------------------------------------
 
-def verify(pairs: DataFrame, texts: DataFrame, idf, threshold: float) -> DataFrame:
+def _features(h: np.ndarray, df) -> tuple[np.ndarray, np.ndarray]:
+    """A text's shingles as a plain set in order, and their frequencies: the k-th copy of a shingle is a
+    feature of its own, so that the weight of the common features is the sum of minima."""
+    u, tf = np.unique(h, return_counts=True)
+    n = df(u)
+    if tf.max(initial=1) > 1:
+        nth = np.arange(tf.sum()) - np.repeat(np.cumsum(tf) - tf, tf)
+        u, n = np.repeat(u, tf), np.repeat(n, tf)
+        u = np.where(nth > 0, K.mix(u + nth.astype(K.U64) * K.U64(0x9E3779B97F4A7C15)), u)
+        order = np.argsort(u)
+        u, n = u[order], n[order]
+    return u, n
+
+
+def features(texts: DataFrame, often: DataFrame) -> DataFrame:
+    """(node, features, counts) of (rid, id, text, h1, h2): see ``_features``, as bytes."""
+    def give(part, df):
+        h, first = row_shingles(part, "text")
+        found = [_features(h[first[i]:first[i + 1]], df) for i in range(part.num_rows)]
+        yield pa.RecordBatch.from_arrays(
+            [part.column("rid"), pa.array([u.tobytes() for u, _ in found], pa.binary()),
+             pa.array([n.astype(np.uint32).tobytes() for _, n in found], pa.binary())], names=["node", "features", "counts"])
+
+    return with_frequencies(texts, often, give, "node long, features binary, counts binary")
+
+
+def _weighted(feats: bytes, counts: bytes, n_docs: int) -> tuple[np.ndarray, np.ndarray]:
+    return np.frombuffer(feats, K.U64), idf_weights(np.frombuffer(counts, np.uint32), n_docs)
+
+
+def verify(pairs: DataFrame, feats: DataFrame, n_docs: int, threshold: float) -> DataFrame:
     """(a, b) of the pairs whose weighted Jaccard similarity reaches the threshold."""
     def check(batches):
         for batch in batches:
-            for part in K.slices(batch, "ta", K.CHUNK_BYTES // 2):
-                ha, fa = row_shingles(part, "ta")
-                hb, fb = row_shingles(part, "tb")
-                keep, last, held = [], None, None
-                for i, a in enumerate(part.column("a").to_pylist()):
-                    if a != last:
-                        last, held = a, weighted(ha[fa[i]:fa[i + 1]], idf.value)
-                    (u, w), (v, x) = held, weighted(hb[fb[i]:fb[i + 1]], idf.value)
-                    _, p, q = np.intersect1d(u, v, assume_unique=True, return_indices=True)
-                    low = np.minimum(w[p], x[q]).sum()
-                    keep.append(bool(low >= (threshold - 1e-9) * (w.sum() + x.sum() - low)))
-                mask = pa.array(keep, pa.bool_())
-                yield pa.RecordBatch.from_arrays([part.column("a").filter(mask), part.column("b").filter(mask)], names=["a", "b"])
-
-    left = texts.select(F.col("node").alias("a"), F.col("text").alias("ta"))
-    right = texts.select(F.col("node").alias("b"), F.col("text").alias("tb"))
-    return (pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb")
+            keep, last, held = [], None, None
+            for a, *x in zip(*(batch.column(c) for c in ("a", "fa", "na", "fb", "nb"))):
+                fa, na, fb, nb = (v.as_buffer() for v in x)
+                if a.as_py() != last:
+                    last, held = a.as_py(), _weighted(fa, na, n_docs)
+                (u, w), (v, y) = held, _weighted(fb, nb, n_docs)
+                low = w[np.intersect1d(u, v, assume_unique=True, return_indices=True)[1]].sum()
+                keep.append(bool(low >= (threshold - 1e-9) * (w.sum() + y.sum() - low)))
+            mask = pa.array(keep, pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column("a").filter(mask), batch.column("b").filter(mask)], names=["a", "b"])
+
+    side = lambda n: feats.select(F.col("node").alias(n), F.col("features").alias("f" + n), F.col("counts").alias("n" + n))
+    return (pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "fa", "na", "fb", "nb")
             .mapInArrow(check, "a long, b long"))
 
 
@@ -203,10 +316,11 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thresh
     h1, h2 = digest(F.col(text_col))
     base = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"),
                        h1.alias("h1"), h2.alias("h2"))
-    counts, n_docs = count_frequencies(base)
-    idf = spark.sparkContext.broadcast(idf_weights(counts, n_docs))
+    base = land(base.withColumn("rid", F.monotonically_increasing_id()), "near-base", compression="zstd")
+    n_docs = base.count()
+    often = land(count_frequencies(base), "near-often")
 
-    sig = land(signatures(base, idf, bands, rows).withColumn("rid", F.monotonically_increasing_id()), "near-sig")
+    sig = land(signatures(base, often, n_docs, bands, rows), "near-sig")
     node = sig.groupBy("h1", "h2").agg(F.min("rid").alias("node"))
     named = sig.join(node, ["h1", "h2"])
     nodes = land(named.where("rid = node").select("node", "h1", "h2", "total", "bands"), "near-nodes")
@@ -216,19 +330,18 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thresh
               .where("m > 1").drop("m"))
     members = land(keyed.join(shared, ["band", "key"]), "near-members")
 
-    wanted = members.select("node").distinct().join(nodes.select("node", "h1", "h2"), "node")
-    texts = land(base.select("text", "h1", "h2").join(wanted, ["h1", "h2"]).select("node", "text")
-                 .dropDuplicates(["node"]), "near-texts")
+    wanted = members.select(F.col("node").alias("rid")).distinct()
+    feats = land(features(base.join(wanted, "rid"), often), "near-features")
 
     done = land(members.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct(), "near-pairs")
-    links = land(verify(done, texts, idf, threshold), "near-links")
+    links = land(verify(done, feats, n_docs, threshold), "near-links")
     weight = nodes.select("node", "total")
     placed, main = _mixed_buckets(members, components(links, "near-comp"))
     pairs = land(_probe_pairs(placed, main, weight, threshold).join(done, ["a", "b"], "left_anti"), "near-pairs")
-    links = land(links.union(verify(pairs, texts, idf, threshold)), "near-links")
+    links = land(links.union(verify(pairs, feats, n_docs, threshold)), "near-links")
 
     placed, main = _mixed_buckets(members, components(links, "near-comp"))
-    links = land(links.union(_rest(land(placed, "near-placed"), main, weight, texts, idf, threshold)), "near-links")
+    links = land(links.union(_rest(land(placed, "near-placed"), main, weight, feats, n_docs, threshold)), "near-links")
 
     comp = components(links, "near-comp")
     degree = (links.select(F.col("a").alias("node")).union(links.select(F.col("b").alias("node")))
@@ -266,17 +379,6 @@ def _probe_pairs(placed: DataFrame, main: DataFrame, weight: DataFrame, threshol
             .where(F.least("w_a", "w_b") >= (threshold - 1e-9) * F.greatest("w_a", "w_b")).select("a", "b"))
 
 
-def _features(h: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A text's shingles as a plain set: the k-th copy of a shingle is a feature of its own, so that the
-    weight of the common features is the sum of minima."""
-    u, tf = np.unique(h, return_counts=True)
-    w = idf[(u & K.U64(SKETCH - 1)).astype(np.int64)].astype(np.float64)
-    if tf.max() == 1:
-        return u, w
-    nth = np.arange(tf.sum()) - np.repeat(np.cumsum(tf) - tf, tf)
-    return K.mix(np.repeat(u, tf) + nth.astype(K.U64) * K.U64(0x9E3779B97F4A7C15)), np.repeat(w, tf)
-
-
 def block_links(left: list, right: list, threshold: float) -> list[tuple[int, int]]:
     """Links that join components, of all pairs (left, right); items are (node, comp, features, weights).
 
@@ -312,7 +414,7 @@ def block_links(left: list, right: list, threshold: float) -> list[tuple[int, in
     return out
 
 
-def _rest(placed: DataFrame, main: DataFrame, weight: DataFrame, texts: DataFrame, idf, threshold: float) -> DataFrame:
+def _rest(placed: DataFrame, main: DataFrame, weight: DataFrame, feats: DataFrame, n_docs: int, threshold: float) -> DataFrame:
     """(a, b): the links across components within the mixed buckets, found in blocks.
 
     A block holds texts of about ``BLOCK_WEIGHT`` total weight (or one longer text); each task group
@@ -328,8 +430,8 @@ def _rest(placed: DataFrame, main: DataFrame, weight: DataFrame, texts: DataFram
     numbers = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
     left = rows.where("outside").select(*bucket, block("na", 1).alias("i"), F.explode(numbers("nb")).alias("j"), F.lit(True).alias("left"), "node", "comp")
     right = rows.select(*bucket, F.explode(numbers("na")).alias("i"), block("nb", 2).alias("j"), F.lit(False).alias("left"), "node", "comp")
-    work = (left.union(right).withColumn("group", F.xxhash64(*bucket, "i", "j")).join(texts, "node")
-            .select("group", "left", "node", "comp", "text"))
+    work = (left.union(right).withColumn("group", F.xxhash64(*bucket, "i", "j")).join(feats, "node")
+            .select("group", "left", "node", "comp", "features", "counts"))
     spark = placed.sparkSession
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
 
@@ -344,13 +446,11 @@ def _rest(placed: DataFrame, main: DataFrame, weight: DataFrame, texts: DataFram
             right.clear()
 
         for batch in batches:
-            for part in K.slices(batch, "text"):
-                h, first = row_shingles(part, "text")
-                for n, (group, is_left, node, comp) in enumerate(zip(*(part.column(c).to_pylist() for c in ("group", "left", "node", "comp")))):
-                    if group != current:
-                        close()
-                        current = group
-                    (left if is_left else right).append((node, comp, *_features(h[first[n]:first[n + 1]], idf.value)))
+            for group, is_left, node, comp, f, n in zip(*(batch.column(c) for c in ("group", "left", "node", "comp", "features", "counts"))):
+                if group.as_py() != current:
+                    close()
+                    current = group.as_py()
+                (left if is_left.as_py() else right).append((node.as_py(), comp.as_py(), *_weighted(f.as_py(), n.as_py(), n_docs)))
         close()
         yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], names=names)
 

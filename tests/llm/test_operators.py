@@ -244,6 +244,18 @@ def test_empty_tables(spark, empty):
     assert training_order.sequences(empty).count() == 0
 
 
+def test_near_dedup_counts_every_shingle_on_its_own(spark):
+    """A pair at 0.798 under exact document frequencies, amid 900,000 shingles that share cells of any fixed table."""
+    rng = np.random.default_rng(7)
+    fresh = lambda n: " ".join(f"{x:x}" for x in rng.integers(0, 1 << 60, n))
+    shared = fresh(807)
+    rows = [(0, shared + " " + fresh(98)), (1, shared + " " + fresh(99))] + [(i, fresh(1500)) for i in range(2, 602)]
+    want = brute.near_classes(rows[:2] + [(i, "") for i in range(2, 602)])  # the other texts only add to n
+    assert [0] in want and [1] in want
+    got = near_dedup.classes(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).where("doc_id < 2").collect()
+    assert sorted(r["class_id"] for r in got) == [0, 1]
+
+
 def test_line_dedup_of_single_lines(spark):
     rows = [(1, "a b\nlicense text\nc"), (2, "x\n license text\ny"), (3, "license text")]
     got = {r["doc_id"]: r["kept"] for r in line_dedup.deduplicate(spark.createDataFrame(rows, "doc_id long, text string"), run=1).collect()}
