@@ -12,8 +12,9 @@ Jensen-Shannon distance (base 2, 0..1) to any reference is above ``MAX_CHAR`` (t
 ``CHAR_GUARD`` characters or more) or ``MAX_WORD`` (texts of ``WORD_GUARD`` words or more): shorter
 texts have too few counts for a verdict.
 
-DataFrame functions only.  The references (languages x (7 + 2 * TOP_WORDS) numbers) are the only
-thing that reaches the driver; ``MAX_LANGUAGES``, the languages with most documents, bounds them.  Null texts
+DataFrame functions only.  Every language has its reference: they are a landed table, of which one
+block of about ``BLOCK_LANGUAGES`` languages at a time reaches the driver; more than one block is scored in
+as many passes, with the least distance so far in each row.  Null texts
 count as empty: no words, so they fail the base rules.  Null languages build no reference; without
 any reference the base rules alone decide.  Ids may be null or repeated: nothing is keyed by them.
 """
@@ -40,7 +41,8 @@ STOPS = ".,;:!?"
 BINS = 2000
 CHAR_GUARD, WORD_GUARD = 300, 50
 MAX_CHAR, MAX_WORD = 0.20, 0.60
-MAX_LANGUAGES = 256
+#: Languages (and, times TOP_WORDS, common words) that one pass takes, about.
+BLOCK_LANGUAGES = 256
 #: Character classes, counted in what is left of a text without PLAIN; "space" and "lower" are the rest.
 PLAIN = r"[a-z\x20\n]+"
 CLASSES = {
@@ -96,6 +98,21 @@ def _covered(hashes: Column, span: int) -> Column:
         F.transform(p, lambda x, k: F.least(F.lit(span), F.coalesce(F.get(p, k + 1) - x, F.lit(span)))), F.lit(0), lambda a, x: a + x)), 1)
 
 
+def _hits(words: Column, known: list[str]) -> Column:
+    if not known:
+        return F.array().cast("array<string>")
+    return F.sort_array(F.filter(F.transform(F.filter(words, lambda w: w.isin(_spellings(known))), _bare), lambda w: w.isin(known)))
+
+
+def _measure_all(docs: DataFrame, parts: list[int], known_of, prefix: str, text_col: str = "text") -> DataFrame:
+    """``measure`` with the common words of all ``parts``, a pass for each part after the first."""
+    df, hits = measure(docs, known_of(parts[0]) if parts else [], prefix, text_col), f"{prefix}hits"
+    for k in parts[1:]:
+        more = _hits(words_of(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))), known_of(k))
+        df = land(df.withColumn(hits, F.sort_array(F.concat(F.col(f"`{hits}`"), more))), "quality-hits")
+    return df
+
+
 def measure(docs: DataFrame, known: list[str], prefix: str, text_col: str = "text") -> DataFrame:
     """``docs`` plus working columns named by ``prefix``: base counts, class counts ``c0..`` and the
     sorted common words.
@@ -111,7 +128,7 @@ def measure(docs: DataFrame, known: list[str], prefix: str, text_col: str = "tex
                    F.length(F.array_join(words, "")).cast("long").alias(f"{p}word_chars"))
     lines = F.filter(F.split(text, "\n", -1), lambda s: s.rlike(WORD))
     dup = let(lines, lambda a: F.size(a) - F.size(F.array_distinct(a)))
-    hits = F.sort_array(F.transform(F.filter(words, lambda w: w.isin(_spellings(known))), _bare)) if known else F.array().cast("array<string>")
+    hits = _hits(words, known)
     return df.select(
         *own, F.size(words).cast("long").alias(f"{p}n_words"), chars, n_chars, _left(rare, r"[^#*$%&|<>]+").cast("long").alias(f"{p}n_symbols"),
         dup.cast("long").alias(f"{p}n_dup_lines"), _repeat_words(words).cast("long").alias(f"{p}n_repeat_words"), hits.alias(f"{p}hits"),
@@ -120,55 +137,76 @@ def measure(docs: DataFrame, known: list[str], prefix: str, text_col: str = "tex
 
 # --- references -----------------------------------------------------------------------------
 
-def common_words(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> dict[str, dict[str, float]]:
-    """For each language the ``TOP_WORDS`` most frequent short words of all its documents, with their
-    share of all its words."""
+def common_words(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """Landed (lang, word, k, n): for each language the ``TOP_WORDS`` most frequent short words of all its
+    documents with their counts, the count of all its words, and a row with the empty word."""
     base = docs.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).where("lang is not null and text is not null")
     word = F.when(F.length("w") <= SHORT + 1, _bare(F.col("w")))
     word = F.when((F.length(word) <= SHORT) & (word != ""), word).otherwise(F.lit(""))  # the empty word counts all others
     counts = (base.select("lang", F.explode(words_of(F.col("text"))).alias("w")).select("lang", "w", word.alias("word"))
               .groupBy("lang", "word").agg(F.count(F.lit(1)).alias("k")))
     counts = land(counts, "common-words")
-    langs = {r["lang"]: r["n"] for r in counts.groupBy("lang").agg(F.sum("k").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()}
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("k"), "word"))
-    out: dict[str, dict[str, float]] = {k: {} for k in langs}
-    for x in (counts.where((F.col("word") != "") & F.col("lang").isin(list(langs))).withColumn("rank", rank)
-              .where(F.col("rank") <= TOP_WORDS).collect()):  # MAX_LANGUAGES * TOP_WORDS rows at most
-        out[x["lang"]][x["word"]] = x["k"] / langs[x["lang"]]
-    return {k: dict(sorted(v.items())) for k, v in sorted(out.items())}
+    top = counts.where("word <> ''").withColumn("rank", rank).where(F.col("rank") <= TOP_WORDS).select("lang", "word", "k")
+    total = counts.groupBy("lang").agg(F.sum("k").alias("n"))
+    rest = total.select("lang", F.lit("").alias("word"), F.lit(0).cast("long").alias("k"))
+    return land(top.union(rest).join(total, "lang"), "common-top")
+
+
+class References:
+    """All languages' references as a landed table (lang, bins, words), read in blocks.
+
+    ``known_of(part)`` is one part of the distinct common words, ``block(i)`` the references of one block."""
+
+    def __init__(self, common: DataFrame):
+        self.common = common
+        self.distinct = land(common.where("word <> ''").select("word").distinct(), "known-words")
+        self.parts = list(range(max(1, math.ceil(self.distinct.count() / (BLOCK_LANGUAGES * TOP_WORDS)))))
+        self.blocks: list[int] = []
+
+    def known_of(self, part: int) -> list[str]:
+        return sorted(r[0] for r in self.distinct.where(F.pmod(F.xxhash64("word"), F.lit(len(self.parts))) == part).collect())
 
+    def add_classes(self, counts: DataFrame) -> References:
+        words = (self.common.groupBy("lang").agg(F.collect_list(F.when(F.col("word") != "", F.struct("word", (F.col("k") / F.col("n")).alias("share")))).alias("words")))
+        self.table = land(class_medians(counts).join(words, "lang"), "quality-references")
+        self.blocks = list(range(math.ceil(self.table.count() / BLOCK_LANGUAGES)))
+        return self
 
-def class_medians(counts: DataFrame, langs: list[str]) -> dict[str, list[float]]:
-    """For each language the median share of each character class, scaled to sum 1.
+    def block(self, i: int) -> list[dict]:
+        out = []
+        for r in self.table.where(F.pmod(F.xxhash64("lang"), F.lit(len(self.blocks))) == i).collect():
+            shares = [x / BINS for x in r["bins"]]
+            if sum(shares):
+                out.append({"lang": r["lang"], "classes": [x / sum(shares) for x in shares], "words": dict(sorted((w["word"], w["share"]) for w in r["words"]))})
+        return sorted(out, key=lambda r: r["lang"])
+
+
+def class_medians(counts: DataFrame) -> DataFrame:
+    """(lang, bins): for each language the median share of each character class, in steps of ``BINS``.
 
     ``counts``: lang, n_chars, c0.. per document.  One histogram of ``BINS`` cells per language and
     class gives the medians at that step, whatever the size.
     """
     k = len(CLASSES) + 2
     bins = F.array(*[F.floor(F.col(f"c{i}") * BINS / F.col("n_chars")) for i in range(k)])
-    cells = (counts.where(F.col("lang").isin(langs) & (F.col("n_chars") > 0)).select("lang", F.posexplode(bins).alias("class", "bin"))
+    cells = (counts.where("lang is not null and n_chars > 0").select("lang", F.posexplode(bins).alias("class", "bin"))
              .groupBy("lang", "class", "bin").agg(F.count(F.lit(1)).alias("docs")))
     own = Window.partitionBy("lang", "class")
     half = cells.select("lang", "class", "bin", F.sum("docs").over(own.orderBy("bin")).alias("upto"), F.sum("docs").over(own).alias("all"))
-    out: dict[str, list[float]] = {}
-    for r in half.where("upto * 2 >= all").groupBy("lang", "class").agg(F.min("bin").alias("bin")).collect():
-        out.setdefault(r["lang"], [0.0] * k)[r["class"]] = r["bin"] / BINS
-    return {lang: [x / sum(v) for x in v] for lang, v in out.items() if sum(v)}
+    median = half.where("upto * 2 >= all").groupBy("lang", "class").agg(F.min("bin").alias("bin"))
+    return median.groupBy("lang").agg(F.transform(F.array_sort(F.collect_list(F.struct("class", "bin"))), lambda x: x["bin"]).alias("bins"))
 
 
-def references(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> list[dict]:
+def references(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> References:
     """Per language: ``classes`` (shares of the character classes) and ``words`` (shares of its common words)."""
-    common = common_words(docs, text_col, lang_col)
+    refs = References(common_words(docs, text_col, lang_col))
     text = F.col("text")
     counts = (docs.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).where("lang is not null and text is not null")
               .select("lang", F.length(text).alias("n_chars"), F.length(F.array_join(words_of(text), "")).alias("word_chars"),
                       F.regexp_replace(text, PLAIN, "").alias("rare")))
     counts = counts.select("lang", "n_chars", *[c.alias(f"c{i}") for i, c in enumerate(_class_counts(F.col("rare"), F.col("n_chars"), F.col("word_chars")))])
-    return _join_references(common, class_medians(counts, list(common)) if common else {})
-
-
-def _join_references(common: dict, medians: dict) -> list[dict]:
-    return [{"lang": k, "classes": medians[k], "words": common[k]} for k in sorted(medians)]
+    return refs.add_classes(counts)
 
 
 def _distance(twice_nats: Column) -> Column:
@@ -199,13 +237,15 @@ def word_distances(hits: Column, n_words: Column, refs: list[dict]) -> Column:
     """
     known = sorted({w for r in refs for w in r["words"]})
     if not known:
-        return F.array(*[F.lit(0.0) for _ in refs])
+        known = [""]  # never met
     value = lambda w: [float(r["words"].get(w, 0.0)) for r in refs]
     shares = F.create_map(*[x for w in known for x in (F.lit(w), F.array(
         *[F.lit(q) for q in value(w)], *[F.lit(q * math.log(q) if q > 0 else 0.0) for q in value(w)]))])
 
+    none = F.array(*[F.lit(0.0)] * (2 * len(refs)))  # a common word of other blocks only
+
     def runs(h, starts, total):
-        return F.transform(starts, lambda i, k: F.struct(shares[F.get(h, i)].alias("q"),
+        return F.transform(starts, lambda i, k: F.struct(F.coalesce(shares[F.get(h, i)], none).alias("q"),
                                                          ((F.coalesce(F.get(starts, k + 1), F.size(h)) - i) / total).alias("p")))
 
     def distances(e):
@@ -226,38 +266,54 @@ def word_distances(hits: Column, n_words: Column, refs: list[dict]) -> Column:
                                    lambda t: let(firsts(h), lambda s: let(runs(h, s, t), distances))))
 
 
-def _verdict(measured: DataFrame, own: list[Column], refs: list[dict], p: str, max_char: float, max_word: float) -> DataFrame:
+def _least(measured: DataFrame, blocks: list[int], block_of, p: str) -> DataFrame:
+    """``measured`` with the least distances ``char`` and ``word`` to the references of all blocks."""
     col = lambda c: F.col(f"`{p}{c}`")
-    base = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     total = F.greatest(col("n_chars"), F.lit(1)).cast("double")
     counts = [col(f"c{i}") for i in range(len(CLASSES) + 2)]
-    char = F.array_min(F.array(*[char_distance(counts, total, r) for r in refs])) if refs else F.lit(0.0)
-    word = F.array_min(word_distances(col("hits"), col("n_words"), refs)) if refs else F.lit(0.0)
+    df, done = measured, False
+    for i in blocks:
+        refs = block_of(i)
+        if not refs:
+            continue
+        char = F.array_min(F.array(*[char_distance(counts, total, r) for r in refs]))
+        word = F.array_min(word_distances(col("hits"), col("n_words"), refs))
+        if done:
+            char, word, df = F.least(col("char"), char), F.least(col("word"), word), land(df, "quality-least")
+        df, done = df.withColumns({f"{p}char": char, f"{p}word": word}), True
+    return df if done else df.withColumns({f"{p}char": F.lit(0.0), f"{p}word": F.lit(0.0)})
+
+
+def _verdict(measured: DataFrame, own: list[Column], blocks: list[int], block_of, p: str, max_char: float, max_word: float) -> DataFrame:
+    col = lambda c: F.col(f"`{p}{c}`")
+    base = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     failed = (col("n_words") < MIN_WORDS) | (100 * col("n_repeat_words") > MAX_REPEAT * col("n_words"))
-    df = measured.select(*own, *[col(c) for c in base], col("n_chars"), failed.alias(f"{p}failed"), char.alias(f"{p}char"), word.alias(f"{p}word"))
+    df = _least(measured, blocks, block_of, p)
+    df = df.select(*own, *[col(c) for c in base], col("n_chars"), failed.alias(f"{p}failed"), col("char"), col("word"))
     far = ((col("n_chars") >= CHAR_GUARD) & (col("char") > max_char)) | ((col("n_words") >= WORD_GUARD) & (col("word") > max_word))
     return df.select(*own, F.struct(*[col(c).alias(c) for c in base], col("failed").alias("base_failed"), col("char").alias("char_distance"),
                                     col("word").alias("word_distance"), (~col("failed") & ~far).alias("kept")).alias(f"{p}quality"))
 
 
-def judge(docs: DataFrame, refs: list[dict], text_col: str = "text", max_char: float = MAX_CHAR, max_word: float = MAX_WORD) -> DataFrame:
+def judge(docs: DataFrame, refs: References | list[dict], text_col: str = "text", max_char: float = MAX_CHAR, max_word: float = MAX_WORD) -> DataFrame:
     """``docs`` plus one struct column, the last: base counts, base_failed, char_distance, word_distance, kept."""
     p = free_prefix(docs, "q_")
-    known = sorted({w for r in refs for w in r["words"]})
-    return _verdict(measure(docs, known, p, text_col), own_columns(docs), refs, p, max_char, max_word)
+    if isinstance(refs, References):
+        measured, blocks, block_of = _measure_all(docs, refs.parts, refs.known_of, p, text_col), refs.blocks, refs.block
+    else:
+        measured, blocks, block_of = measure(docs, sorted({w for r in refs for w in r["words"]}), p, text_col), [0], lambda i: refs
+    return _verdict(measured, own_columns(docs), blocks, block_of, p, max_char, max_word)
 
 
 def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
            max_char: float = MAX_CHAR, max_word: float = MAX_WORD) -> DataFrame:
     """One row per document: id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
     char_distance, word_distance, kept.  The counts are landed once and serve references and verdicts."""
-    common = common_words(docs, text_col, lang_col)
+    refs = References(common_words(docs, text_col, lang_col))
     base = docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
-    counts = measure(base, sorted({w for v in common.values() for w in v}), "q_").drop("text")
-    counts = land(counts, "quality-counts")
-    plain = counts.where("lang is not null").select("lang", F.col("q_n_chars").alias("n_chars"), *[F.col(f"q_c{i}").alias(f"c{i}") for i in range(len(CLASSES) + 2)])
-    refs = _join_references(common, class_medians(plain, list(common)) if common else {})
-    df = _verdict(counts, [F.col("id")], refs, "q_", max_char, max_word)
+    counts = land(_measure_all(base, refs.parts, refs.known_of, "q_").drop("text"), "quality-counts")
+    refs.add_classes(counts.where("lang is not null").select("lang", F.col("q_n_chars").alias("n_chars"), *[F.col(f"q_c{i}").alias(f"c{i}") for i in range(len(CLASSES) + 2)]))
+    df = _verdict(counts, [F.col("id")], refs.blocks, refs.block, "q_", max_char, max_word)
     return df.select(F.col("id").alias(id_col), f"{df.columns[-1]}.*")
 
 

@@ -260,3 +260,19 @@ def test_line_dedup_of_single_lines(spark):
     rows = [(1, "a b\nlicense text\nc"), (2, "x\n license text\ny"), (3, "license text")]
     got = {r["doc_id"]: r["kept"] for r in line_dedup.deduplicate(spark.createDataFrame(rows, "doc_id long, text string"), run=1).collect()}
     assert got == {1: "a b\nlicense text\nc", 2: "x\ny", 3: ""}
+
+
+def test_quality_references_of_every_language(spark, monkeypatch):
+    """Blocks of a few languages give what one block of all gives, and no language goes without a reference."""
+    rng = np.random.default_rng(4)
+    rows = []
+    for k in range(12):
+        own = ["".join(chr(97 + (2 * k + int(x)) % 26) for x in rng.integers(0, 6, 4)) for _ in range(15)]
+        rows += [(10 * k + j, " ".join(own[i] for i in rng.integers(0, 15, 120)), f"l{k:02d}") for j in range(4)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    whole = {r["doc_id"]: r for r in quality_rules.report(df).collect()}
+    monkeypatch.setattr(quality_rules, "BLOCK_LANGUAGES", 2)
+    cut = {r["doc_id"]: r for r in quality_rules.report(df).collect()}
+    assert all(cut[i]["word_distance"] == pytest.approx(whole[i]["word_distance"]) and cut[i]["kept"] == r["kept"] for i, r in whole.items())
+    assert all(r["word_distance"] < 0.3 for r in cut.values())
+    assert quality_rules.keep_good(df).count() == sum(r["kept"] for r in whole.values())
