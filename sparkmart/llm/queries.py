@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from sparkmart.llm import (decontaminate, language_id, line_dedup, mixing, near_dedup, quality_rules, secret_scan,
-                           substring_dedup, token_counts, training_order)
+                           substring_dedup, token_alignment, token_counts, training_order)
 from sparkmart.llm.common import read_documents, scratch_path
 from sparkmart.llm.oracle import ORACLE_SQL
 
@@ -58,7 +58,12 @@ def op10_training_order(spark, sf_dir):
     return training_order.sequences(read_documents(spark, sf_dir))
 
 
+def op11_token_alignment(spark, sf_dir):
+    """Alignment of every document's tokens by two tokenizers, with corpus counts of the linked id pairs."""
+    return token_alignment.align(read_documents(spark, sf_dir))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_token_counts, op2_secret_scan, op3_line_dedup, op4_mixing, op5_substring_dedup, op6_language_id,
-    op7_decontamination, op8_quality_rules, op9_near_dedup, op10_training_order)}
+    op7_decontamination, op8_quality_rules, op9_near_dedup, op10_training_order, op11_token_alignment)}
 ORACLES = {k: v for k, v in ORACLE_SQL.items() if k in QUERIES}

@@ -94,3 +94,54 @@ def near_classes(rows, threshold=0.8):
     for k, t in enumerate(texts):
         out.setdefault(root(k), []).extend(sets[t])
     return sorted(sorted(v) for v in out.values())
+
+
+def alignment(rows):
+    """op11's rows (id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256): whole texts, decoded bytes only."""
+    import sentencepiece
+    from tokenizers import Tokenizer
+
+    from sparkmart.llm.token_alignment import A_VOCABULARY, B_VOCABULARY
+
+    a, b = Tokenizer.from_file(A_VOCABULARY), sentencepiece.SentencePieceProcessor(model_file=B_VOCABULARY)
+    a.encode_special_tokens = True
+    latin = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    alphabet = {chr(x): x for x in latin}
+    alphabet |= {chr(256 + i): x for i, x in enumerate(x for x in range(256) if x not in latin)}
+
+    def ends(tokens):
+        out, at = [], 0
+        for t in tokens:
+            out.append((at, at + len(t)))
+            at += len(t)
+        return out
+
+    docs, count = [], Counter()
+    for i, text in rows:
+        e = a.encode(" " + text, add_special_tokens=False) if text else None
+        ids = (e.ids, b.encode(text)) if text else ([], [])
+        ta = [bytes(alphabet[c] for c in t) for t in e.tokens] if text else []
+        tb = [bytes([int(p[3:5], 16)]) if b.is_byte(k) else p.replace("▁", " ").encode() for k in ids[1] for p in [b.id_to_piece(k)]]
+        if not text or not b"".join(ta) == b"".join(tb) == (" " + text).encode():
+            docs.append((i, [], [], [], []))
+            continue
+        sa, sb, links, j = ends(ta), ends(tb), [], 0
+        for k, (lo, hi) in enumerate(sa):
+            while sb[j][1] <= lo:
+                j += 1
+            m = j
+            while m < len(sb) and sb[m][0] < hi:
+                links.append((ids[0][k], ids[1][m]))
+                m += 1
+        cuts = sorted({x for _, x in sa} & {x for _, x in sb})
+        groups, lo = [], 0
+        for hi in cuts:
+            groups.append("|".join(",".join(str(t) for t, (s, _) in zip(*side) if lo <= s < hi) for side in ((ids[0], sa), (ids[1], sb))))
+            lo = hi
+        docs.append((i, ids[0], ids[1], groups, links))
+        count.update(set(links))
+    top = {}
+    for (x, _), n in count.items():
+        top[x] = max(top.get(x, 0), n)
+    return [(i, len(x), len(y), len(g), len(k), sum(count[p] == top[p[0]] for p in k), sum(count[p] for p in k), sha(";".join(g)) if g else "")
+            for i, x, y, g, k in docs]
