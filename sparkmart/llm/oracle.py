@@ -51,3 +51,27 @@ SELECT d.doc_id, coalesce(n_lines, 0)::BIGINT AS n_lines, coalesce(n_removed, 0)
        sha256(coalesce(kept, '')) AS kept_sha256
 FROM documents d LEFT JOIN c USING (doc_id) LEFT JOIN s USING (doc_id) LEFT JOIN k USING (doc_id)
 """
+
+#: Every prefix as a list of turns; crc32 by its bit rule (-1: one shift, others: a byte mixed in).
+ORACLE_SQL["op13_conversation_trie"] = r"""
+WITH t AS (
+  SELECT conv_id, list(struct_pack(r := coalesce(role, ''), x := coalesce(text, '')) ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS own
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+b AS (SELECT conv_id, flatten(list_transform(string_split(conv_id::VARCHAR, ''), lambda c: [ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1])) AS steps FROM t),
+h AS (SELECT conv_id, xor(list_reduce(list_concat([4294967295::BIGINT], steps), lambda a, s:
+             CASE WHEN s >= 0 THEN xor(a, s) WHEN a % 2 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END), 4294967295::BIGINT) % 4 AS h FROM b),
+p AS (SELECT t.conv_id, list_concat(coalesce(z.own, [])[1:h.h], t.own[h.h + 1:]) AS path
+      FROM t JOIN h USING (conv_id) LEFT JOIN t z ON z.conv_id = t.conv_id - t.conv_id % 20),
+m AS (SELECT conv_id, path[1:d] AS node, d, d = len(path) AS ends FROM (SELECT conv_id, path, unnest(range(0, len(path) + 1)) AS d FROM p)),
+n AS (SELECT node, d, min(conv_id) AS conv_id, count(*) AS n_convs,
+             sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256,
+             CASE WHEN d = 0 THEN 0 ELSE (count(*) - 1) * len(regexp_extract_all(node[d].x, '[^\x20\x09-\x0D]+')) END AS own_saved
+      FROM m GROUP BY node, d),
+k AS (SELECT node[1:d - 1] AS node, count(*) AS n_children FROM n WHERE d > 0 GROUP BY 1),
+f AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN k USING (node)),
+u AS (SELECT up AS node, sum(own_saved) AS saved_tokens, count(*) FILTER (n_children = 0) AS n_leaves
+      FROM (SELECT node[1:unnest(range(0, d + 1))] AS up, own_saved, n_children FROM f) GROUP BY up)
+SELECT f.conv_id, f.d::BIGINT AS depth, q.conv_id AS parent_conv_id, f.n_convs::BIGINT AS n_convs, f.n_children::BIGINT AS n_children,
+       u.n_leaves::BIGINT AS n_leaves, u.saved_tokens::BIGINT AS saved_tokens, f.ends_sha256
+FROM f JOIN u ON u.node = f.node LEFT JOIN f q ON q.node = f.node[1:f.d - 1] AND q.d = f.d - 1 AND f.d > 0
+"""

@@ -145,3 +145,28 @@ def alignment(rows):
         top[x] = max(top.get(x, 0), n)
     return [(i, len(x), len(y), len(g), len(k), sum(count[p] == top[p[0]] for p in k), sum(count[p] for p in k), sha(";".join(g)) if g else "")
             for i, x, y, g, k in docs]
+
+
+def trie(rows):
+    """op13's rows (conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256) of (conv_id, turn, role, text)."""
+    import zlib
+
+    own = {}
+    for c, turn, role, text in rows:
+        if c is not None:
+            own.setdefault(c, []).append((turn is not None, turn or 0, role or "", text or ""))
+    own = {c: [(r, x) for _, _, r, x in sorted(v)] for c, v in own.items()}
+    members, ends = {}, {}
+    for c, turns in own.items():
+        h = zlib.crc32(str(c).encode()) % 4
+        path = tuple(own.get(c - int(math.fmod(c, 20)), [])[:h] + turns[h:])
+        ends.setdefault(path, []).append(c)
+        for d in range(len(path) + 1):
+            members.setdefault(path[:d], []).append(c)
+    children, leaves, saved = Counter(p[:-1] for p in members if p), Counter(), Counter()
+    for p, m in members.items():
+        for d in range(len(p) + 1):
+            leaves[p[:d]] += not children[p]
+            saved[p[:d]] += (len(m) - 1) * len(words(p[-1][1])) if p else 0
+    return [(min(m), len(p), min(members[p[:-1]]) if p else None, len(m), children[p], leaves[p], saved[p],
+             sha(",".join(map(str, sorted(ends.get(p, [])))))) for p, m in members.items()]
