@@ -27,6 +27,18 @@ def land(df: DataFrame, name: str, **options: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def join_counted(left: DataFrame, counted: DataFrame, on: list[str], how: str = "inner", limit: int = 10_000) -> DataFrame:
+    """``left`` joined with one row per key that knows its number ``n`` of rows in ``left``.
+
+    Keys with more than a ``limit``-th of all these rows are fewer than ``limit``, so they are broadcast;
+    the others are joined by a shuffle, where no key is hot.  ``counted`` is read several times: land it.
+    """
+    cut = (counted.agg(F.sum("n")).first()[0] or 0) // limit
+    hot = counted.where(F.col("n") > cut)
+    rest = left.join(F.broadcast(hot.select(*on)), on, "left_anti").join(counted.where(F.col("n") <= cut), on, how)
+    return left.join(F.broadcast(hot), on).unionByName(rest)
+
+
 def ship_package(spark: SparkSession) -> None:
     """Let the Python workers import this package: a zip of its modules, put in the shared folder
     and registered with ``addPyFile`` once per Spark context."""
@@ -89,4 +101,4 @@ def free_name(df: DataFrame, stem: str) -> str:
     return name
 
 
-__all__ = ["WORD", "land", "ship_package", "read_documents", "digest", "let", "words_of", "free_name", "free_prefix", "own_columns", "scratch_path", "shared_dir"]
+__all__ = ["WORD", "join_counted", "land", "ship_package", "read_documents", "digest", "let", "words_of", "free_name", "free_prefix", "own_columns", "scratch_path", "shared_dir"]

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from sparkmart.llm import (conversation_trie, decontaminate, language_id, line_dedup, mixing, near_dedup, quality_rules, secret_scan,
-                           substring_dedup, token_alignment, token_counts, training_order)
+                           substring_dedup, suffix_dedup, token_alignment, token_counts, training_order)
 from sparkmart.llm.common import read_documents, scratch_path
 from sparkmart.llm.oracle import ORACLE_SQL
 
@@ -63,6 +63,11 @@ def op11_token_alignment(spark, sf_dir):
     return token_alignment.align(read_documents(spark, sf_dir))
 
 
+def op12_suffix_dedup(spark, sf_dir):
+    """Bytes covered by 200-byte strings that occur anywhere else, removed."""
+    return suffix_dedup.remove_repeats(read_documents(spark, sf_dir))
+
+
 def op13_conversation_trie(spark, sf_dir):
     """Prefix trie of all rebuilt conversations."""
     return conversation_trie.trie(read_documents(spark, sf_dir, "conversations"))
@@ -71,5 +76,5 @@ def op13_conversation_trie(spark, sf_dir):
 QUERIES = {f.__name__: f for f in (
     op1_token_counts, op2_secret_scan, op3_line_dedup, op4_mixing, op5_substring_dedup, op6_language_id,
     op7_decontamination, op8_quality_rules, op9_near_dedup, op10_training_order, op11_token_alignment,
-    op13_conversation_trie)}
+    op12_suffix_dedup, op13_conversation_trie)}
 ORACLES = {k: v for k, v in ORACLE_SQL.items() if k in QUERIES}

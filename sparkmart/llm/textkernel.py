@@ -99,6 +99,11 @@ def find_words(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return starts, ends, np.searchsorted(starts, off)
 
 
+def byte_values(data: np.ndarray) -> np.ndarray:
+    """A 64-bit value for each byte, for ``Grams`` over bytes."""
+    return _BYTE_VALUE[data]
+
+
 def hash_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """64-bit hash of each word."""
     if len(starts) == 0:
@@ -110,7 +115,7 @@ def hash_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
 
 
 class Grams:
-    """Hashes of any run of words of a slice: ``grams(start, stop)`` over word indexes."""
+    """Hashes of any run of words (or bytes) of a slice: ``grams(start, stop)`` over their indexes."""
 
     def __init__(self, words: np.ndarray):
         self.up, self.down = _WORD_POW.get(len(words) + 1)

@@ -170,3 +170,21 @@ def trie(rows):
             saved[p[:d]] += (len(m) - 1) * len(words(p[-1][1])) if p else 0
     return [(min(m), len(p), min(members[p[:-1]]) if p else None, len(m), children[p], leaves[p], saved[p],
              sha(",".join(map(str, sorted(ends.get(p, [])))))) for p, m in members.items()]
+
+
+def byte_repeats(rows, window=200):
+    """op12's rows (id, n_bytes, n_removed, n_spans, kept_sha256)."""
+    docs = [(i, (t or "").encode()) for i, t in rows]
+    count = Counter(b[s:s + window] for _, b in docs for s in range(len(b) - window + 1))
+    out = []
+    for i, b in docs:
+        kept, spans, gone_to, at = bytearray(), 0, 0, 0
+        starts = [s for s in range(len(b) - window + 1) if count[b[s:s + window]] > 1]
+        for s in starts:
+            if s > gone_to or not spans:
+                kept += b[gone_to:s]
+                spans += 1
+            gone_to = s + window
+        kept += b[gone_to:]
+        out.append((i, len(b), len(b) - len(kept), spans, hashlib.sha256(kept).hexdigest()))
+    return out
