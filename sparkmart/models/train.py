@@ -1,9 +1,9 @@
 """Model fitting (MLD-5, MLD-6, MLD-13) with ``pyspark.ml``.
 
-The reference fits xgboost on a pandas frame on the driver.  Here the same job is a
-``Pipeline`` of ``VectorAssembler`` + ``GBTClassifier`` fitted on the distributed training
-split; the random search is a sampled ``ParamGridBuilder`` grid under ``CrossValidator``
-(3 folds, fits in parallel), scored on probabilities (D20).
+The reference fits boosted trees on a pandas frame on the driver.  Here the fixed setting is a
+``Pipeline`` of ``VectorAssembler`` + ``GBTClassifier`` fitted on the distributed training split; the
+random search, whose space has L1 and L2 penalties and columns per tree, grows all settings and
+folds together (``models/boosting``) and is scored on probabilities (D20).
 """
 
 from __future__ import annotations
@@ -15,8 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkmart.functions.hashing import unit_hash
+from sparkmart.session import shared_dir
 
-# fixed values: the reference's search space (xgboost names), mapped to GBTClassifier below
+# fixed values: the reference's search space (xgboost names)
 SEARCH_SPACE = {
     "n_estimators": [25, 50],
     "max_depth": [2, 3],
@@ -30,7 +31,7 @@ SEARCH_SPACE = {
 }
 FIXED_PARAMS = {"n_estimators": 100, "max_depth": 5}
 
-# xgboost name -> GBTClassifier param; reg_alpha / reg_lambda have no counterpart
+# xgboost name -> GBTClassifier param of the fixed setting; reg_alpha / reg_lambda have no counterpart there
 PARAM_MAP = {
     "n_estimators": "maxIter",
     "max_depth": "maxDepth",
@@ -98,42 +99,36 @@ def sample_space(space: Mapping[str, Sequence], n_iter: int, seed: int = 42) ->
 
 def random_search(train: DataFrame, feature_cols: Sequence[str], label_col: str = "label",
                   space: Mapping[str, Sequence] | None = None, n_iter: int = 100, folds: int = 3,
-                  seed: int = 42, parallelism: int | None = None, key_col: str = "loan_id"):
-    """MLD-6: ``n_iter`` sampled settings x ``folds``-fold CV, AUC on probabilities.
+                  seed: int = 42, key_col: str = "loan_id", max_bins: int = 32):
+    """MLD-6: ``n_iter`` distinct settings of the whole space x ``folds``-fold CV, AUC on probabilities (D20).
 
-    Returns ``(best_pipeline_model, results)`` where ``results`` is a small DataFrame with one
-    row per draw: its settings (reference names) and the mean CV AUC.  Only settings that
-    ``GBTClassifier`` has are drawn, so all draws differ.  A row's fold is a hash of ``key_col`` and the
-    training rows are checkpointed once, so folds are the same for every setting and on a rerun.
+    Returns ``(best_pipeline_model, results)``: the best setting fitted on all rows, and a small
+    DataFrame with one row per draw: its setting and the mean AUC over the folds.  All settings and
+    folds grow in the same passes (``models/boosting``).  A row's fold is a hash of ``key_col``, so folds
+    are the same for every setting and on a rerun.
     """
-    from pyspark.ml.evaluation import BinaryClassificationEvaluator
-    from pyspark.ml.tuning import CrossValidator
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.feature import VectorAssembler
 
-    from sparkmart.session import shared_dir
+    from sparkmart.models import boosting
+    from sparkmart.models.metrics import roc_auc
 
-    space = mapped_space(space or SEARCH_SPACE)
+    space = space or SEARCH_SPACE
     draws = sample_space(space, n_iter, seed)
-    pipe, gbt = make_pipeline(feature_cols, label_col, seed=88)
-    grid = []
-    for d in draws:
-        pm = {}
-        for name, v in gbt_params(d).items():
-            pm[gbt.getParam(name)] = v
-        grid.append(pm)
-    evaluator = BinaryClassificationEvaluator(labelCol=label_col, rawPredictionCol="probability",
-                                              metricName="areaUnderROC")
-    # fits of different settings run concurrently (each fit is itself distributed); 8 in flight
-    # keeps a cluster busy between the many small tree-growing jobs of one boosting run
-    cv = CrossValidator(estimator=pipe, estimatorParamMaps=grid, evaluator=evaluator, numFolds=folds,
-                        foldCol="_fold", parallelism=parallelism or min(len(grid), 8))
     spark: SparkSession = train.sparkSession
     shared_dir(spark)
     fold = F.least(F.floor(unit_hash(key_col, seed) * folds), F.lit(folds - 1)).cast("int")
-    rows = train.withColumns({label_col: F.col(label_col).cast("double"), "_fold": fold})
-    model = cv.fit(rows.select(key_col, *feature_cols, label_col, "_fold").checkpoint(eager=True))
-    rows = [(i, *[float(d[k]) for k in space], float(m)) for i, (d, m) in enumerate(zip(draws, model.avgMetrics))]
+    rows = train.select(key_col, *feature_cols, label_col).withColumn("_fold", fold).checkpoint(eager=True)
+    growth = boosting.grow(rows, feature_cols, label_col, draws, key_col, "_fold", folds, max_bins=max_bins)
+    scored = growth.held_out().withColumn("draw", F.floor(F.col("model") / folds).cast("int"))
+    aucs = roc_auc(scored, "score", "label", ["draw", "fold"]).groupBy("draw").agg(F.avg("auc").alias("auc"))
+    mean = {r["draw"]: r["auc"] for r in aucs.collect()}  # n_iter rows
+    won = max(range(len(draws)), key=lambda i: (mean.get(i) or 0.0, -i))
+    model = boosting.fit(rows, feature_cols, label_col, draws[won], key_col)
+    best = PipelineModel(stages=[VectorAssembler(inputCols=list(feature_cols), outputCol="features", handleInvalid="error"), model])
+    out = [(i, *[float(d[k]) for k in space], mean.get(i)) for i, d in enumerate(draws)]
     schema = "draw int, " + ", ".join(f"{k} double" for k in space) + ", mean_cv_auc double"
-    return model.bestModel, spark.createDataFrame(rows, schema)
+    return best, spark.createDataFrame(out, schema)
 
 
 def run_record(spark: SparkSession, model_name: str, train_date, sizes: Mapping[str, int],
