@@ -4,9 +4,9 @@
 a tree is grown from sums of the logistic loss's gradients ``g = p - y`` and hessians ``h = p (1 - p)``:
 
 * features are cut into at most ``MAX_BINS`` bins at quantiles;
-* per level, every task adds its rows' g and h by (model, node, feature, bin); the grouped sums, the
-  running sums over bins and the best split of each node are one Spark job, and only the best split per
-  open node comes to the driver, which holds the trees;
+* per level, every task adds its rows' g and h by (model, node, feature, bin); a shuffle on (model, node)
+  brings a node's partial sums together, where they are added and the best split is found from running
+  sums over the bins.  Only the best split per open node comes to the driver, which holds the trees;
 * with ``T(G) = sign(G) * max(|G| - reg_alpha, 0)`` a leaf weighs ``-T(G) / (H + reg_lambda)``, and a split
   gains the children's ``T(G)^2 / (H + reg_lambda)`` less the parent's; it is made if it gains more than
   nothing and at least ``gamma``, and if both children's H reach ``min_child_weight``;
@@ -32,7 +32,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkmart.session import scratch_path
@@ -132,9 +132,7 @@ class _Growth:
         column = lambda k: np.array([float(m.setting[k]) for m in models])
         self.rate, self.share = column("learning_rate"), column("subsample")
         self.fold = np.array([m.fold for m in models])
-        self.penalties = state.sparkSession.createDataFrame(
-            [(i, *(float(m.setting[k]) for k in ("reg_alpha", "reg_lambda", "gamma", "min_child_weight"))) for i, m in enumerate(models)],
-            "model int, alpha double, lambda double, gamma double, least double")
+        self.penalties = np.stack([column(k) for k in ("reg_alpha", "reg_lambda", "gamma", "min_child_weight")], 1)
 
     def _columns(self, tree: int) -> np.ndarray:
         """Columns of each model's tree: bool matrix (model, feature), drawn by the setting alone."""
@@ -145,7 +143,7 @@ class _Growth:
         return out
 
     def _histograms(self, block: np.ndarray, level: int, tree, columns, seeds) -> DataFrame:
-        """(model, node, feature, bin, g, h): sums of a block of models at a level, partial per task."""
+        """(model, node, sums): a task's sums of g and h by feature and bin, for a block of models at a level."""
         first, width = 2**level - 1, 2**level
         n_bins = max(len(e) for e in self.edges) + 1
         f_count, depth, fresh, scale = self.n_features, self.depth, self.fresh, self.scale
@@ -170,37 +168,53 @@ class _Growth:
                         if columns[:, f].any():
                             total[0] += np.bincount(at, g, total.shape[1]).astype(np.int64)
                             total[1] += np.bincount(at, h, total.shape[1]).astype(np.int64)
-            at = np.flatnonzero(total[1].reshape(shape) * columns[:, None, :, None])
-            m, n, f, b = np.unravel_index(at, shape)
+            every = (total.reshape(2, *shape) * columns[:, None, :, None]).transpose(1, 2, 0, 3, 4)
+            m, n = np.nonzero(every[:, :, 1].any(axis=(2, 3)))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(block[m].astype(np.int32)), pa.array((n + first).astype(np.int32)), pa.array(f.astype(np.int32)),
-                 pa.array(b.astype(np.int32)), pa.array(total[0][at]), pa.array(total[1][at])],
-                names=["model", "node", "feature", "bin", "g", "h"])
+                [pa.array(block[m].astype(np.int32)), pa.array((n + first).astype(np.int32)),
+                 pa.array([every[i, j].tobytes() for i, j in zip(m, n)], pa.binary())], names=["model", "node", "sums"])
 
-        return (self.state.mapInArrow(add, "model int, node int, feature int, bin int, g long, h long")
-                .groupBy("model", "node", "feature", "bin").agg(F.sum("g").alias("g"), F.sum("h").alias("h")))
+        return self.state.mapInArrow(add, "model int, node int, sums binary")
 
     def _best(self, histograms: DataFrame):
-        """Per open node: its G and H, and its best split (null if there is none)."""
-        each = Window.partitionBy("model", "node", "feature")
-        below = each.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
-        unit = lambda c: F.col(c) / F.lit(self.scale)
-        sums = histograms.select("model", "node", "feature", "bin", F.sum("g").over(below).alias("gl"), F.sum("h").over(below).alias("hl"),
-                                 F.sum("g").over(each).alias("gt"), F.sum("h").over(each).alias("ht"))
-        x = sums.join(F.broadcast(self.penalties), "model").select(
-            "model", "node", "feature", "bin", "gt", "ht", "gamma", "least", "alpha", "lambda", unit("gl").alias("gl"), unit("hl").alias("hl"),
-            unit("gt").alias("g"), unit("ht").alias("h"), ((F.col("gt") - F.col("gl")) / F.lit(self.scale)).alias("gr"),
-            ((F.col("ht") - F.col("hl")) / F.lit(self.scale)).alias("hr"))
-
-        def worth(g, h):
-            cut = F.greatest(F.abs(F.col(g)) - F.col("alpha"), F.lit(0.0))
-            return F.try_divide(cut * cut, F.col(h) + F.col("lambda"))
-
-        gain = worth("gl", "hl") + worth("gr", "hr") - worth("g", "h")
-        fits = (F.least("hl", "hr") >= F.col("least")) & (F.least("hl", "hr") > 0) & (gain > 1e-6) & (gain >= F.col("gamma"))
-        # Equal gains up to rounding: the first feature, then the least bin.
-        split = F.when(fits, F.struct(F.round(gain, 9).alias("gain"), (-F.col("feature")).alias("f"), (-F.col("bin")).alias("b"), "gl", "hl", "gr", "hr"))
-        return x.groupBy("model", "node").agg(F.max("g").alias("g"), F.max("h").alias("h"), F.max(split).alias("split")).collect()
+        """Per open node: its G and H, and its best split (``feature`` -1 if there is none)."""
+        scale, shape, penalties = self.scale, (2, self.n_features, -1), self.penalties
+
+        def choose(batches):
+            sums = {}
+            for batch in batches:
+                for key, packed in zip(zip(*(batch.column(c).to_pylist() for c in ("model", "node"))), batch.column("sums").to_pylist()):
+                    part = np.frombuffer(packed, np.int64).reshape(shape)
+                    sums[key] = sums[key] + part if key in sums else part
+            if not sums:
+                return
+            model, node = (np.array(x, np.int32) for x in zip(*sums))
+            every = np.stack(list(sums.values()))
+            below = np.cumsum(every, axis=3)
+            whole = below[:, :, :, -1]
+            most = whole[:, 1].argmax(axis=1)  # a drawn column; the others have no sums
+            at = np.arange(len(model))
+            total = (whole[at, :, most] / scale).T[:, :, None, None]
+            left, right = below / scale, (whole[:, :, :, None] - below) / scale
+            alpha, lambda_, gamma, least = (penalties[model, i][:, None, None] for i in range(4))
+
+            def worth(g, h):
+                top = np.maximum(np.abs(g) - alpha, 0) ** 2
+                return np.divide(top, h + lambda_, out=np.zeros(np.broadcast(top, h).shape), where=h + lambda_ > 0)
+
+            gain = worth(left[:, 0], left[:, 1]) + worth(right[:, 0], right[:, 1]) - worth(*total)
+            lighter = np.minimum(left[:, 1], right[:, 1])
+            fits = (lighter >= least) & (lighter > 0) & (gain > 1e-6) & (gain >= gamma)
+            # Equal gains up to rounding: the first feature, then the least bin.
+            place = np.where(fits, np.round(gain, 9), -1.0).reshape(len(model), -1).argmax(axis=1)
+            f, b = np.divmod(place, every.shape[3])
+            parts = [total[0].ravel(), total[1].ravel(), left[at, 0, f, b], left[at, 1, f, b], right[at, 0, f, b], right[at, 1, f, b]]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(model), pa.array(node), pa.array(np.where(fits[at, f, b], f, -1).astype(np.int32)), pa.array(b.astype(np.int32)),
+                 *map(pa.array, parts)], names=["model", "node", "feature", "bin", "g", "h", "gl", "hl", "gr", "hr"])
+
+        return histograms.repartition("model", "node").mapInArrow(
+            choose, "model int, node int, feature int, bin int, g double, h double, gl double, hl double, gr double, hr double").collect()
 
     def add_tree(self, number: int) -> None:
         """Grow the next tree of every model that still has trees to grow."""
@@ -218,14 +232,14 @@ class _Growth:
             for i in range(0, len(growing), per_pass):
                 block = growing[i:i + per_pass]
                 for r in self._best(self._histograms(block, level, (feature, cut, weight), columns, seeds)):
-                    m, node, s = r["model"], r["node"], r["split"]
+                    m, node = r["model"], r["node"]
                     if (m, node) not in now:
                         continue
                     if level == 0:
                         weight[m, 0] = self._weight(m, r["g"], r["h"])
-                    if s is not None:
-                        feature[m, node], cut[m, node] = -s["f"], -s["b"]
-                        for child, g, h in ((2 * node + 1, s["gl"], s["hl"]), (2 * node + 2, s["gr"], s["hr"])):
+                    if r["feature"] >= 0:
+                        feature[m, node], cut[m, node] = r["feature"], r["bin"]
+                        for child, g, h in ((2 * node + 1, r["gl"], r["hl"]), (2 * node + 2, r["gr"], r["hr"])):
                             weight[m, child] = self._weight(m, g, h)
                             open_.add((m, child))
             if not open_:

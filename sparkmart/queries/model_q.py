@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sparkmart.functions.hashing import unit_hash
+from sparkmart.models import boosting
 from sparkmart.models.metrics import f1_accuracy, log_loss, roc_auc
 from sparkmart.models.monitor import monitor
 from sparkmart.models.scale import apply_scaler, fit_scaler
@@ -38,6 +39,15 @@ lab AS (SELECT loan_id, Customer_ID, loan_start_date, CAST(CASE WHEN dpd >= 30 T
                snapshot_date FROM s WHERE mob = 6)
 """
 
+_WINDOWS_SQL = _LABELS_SQL.rstrip() + f""",
+w AS (SELECT *, CASE
+    WHEN snapshot_date BETWEEN CAST(DATE '{TRAIN_DATE}' - INTERVAL 2 MONTH AS DATE) AND DATE '{TRAIN_DATE}' - 1 THEN 'oot'
+    WHEN snapshot_date BETWEEN CAST(DATE '{TRAIN_DATE}' - INTERVAL 14 MONTH AS DATE)
+                           AND CAST(DATE '{TRAIN_DATE}' - INTERVAL 2 MONTH AS DATE) - 1 THEN 'train_test'
+    ELSE 'outside' END AS window_name FROM lab),
+f AS (SELECT DISTINCT o_custkey AS Customer_ID, CAST(date_trunc('month', o_orderdate) AS DATE) AS snapshot_date FROM orders)
+"""
+
 _DOC_SCORES = """(SELECT d.doc_id, d.n_chars / (d.n_chars + 2000.0) AS score, l.quality AS label
                   FROM documents d JOIN labels l ON d.doc_id = l.doc_id)"""
 
@@ -247,40 +257,78 @@ def q_gbt_score(spark, sf_dir):
 
 @query("cv_search")
 def q_cv_search(spark, sf_dir):
-    """MLD-6: random search (10 draws, the notebook's setting) x 3-fold CV; one row per draw."""
+    """MLD-6: random search (100 draws of the whole space) x 3-fold CV; one row per draw."""
     df, _ = _train_scaled(spark, sf_dir)
     train = stratified_split(df.where(F.col("window_name") == "train_test"), "loan_id", "label", 0.8, seed=88)
-    _, results = random_search(train.where(F.col("split") == "train"), FEATURES, "label", n_iter=10, folds=3)
+    _, results = random_search(train.where(F.col("split") == "train"), FEATURES, "label", n_iter=100, folds=3)
     return results
 
 
-@query("model_save_load")
+STUMP = {"n_estimators": 1, "max_depth": 1, "learning_rate": 0.1, "reg_alpha": 0.1, "reg_lambda": 1.5, "min_child_weight": 3}
+
+
+@query("boosted_stump", sql=_WINDOWS_SQL .rstrip() + """,
+t AS (SELECT loan_id, label, coalesce(c_nationkey, -1)::DOUBLE AS c_nationkey, CASE WHEN f.Customer_ID IS NULL THEN 1 ELSE 0 END::DOUBLE AS spend_missing
+      FROM w LEFT JOIN customer ON c_custkey = w.Customer_ID LEFT JOIN f ON f.Customer_ID = w.Customer_ID AND f.snapshot_date = w.snapshot_date
+      WHERE window_name = 'train_test'),
+p AS (SELECT avg(label::DOUBLE) AS p FROM t),
+x AS (SELECT 0 AS k, 'c_nationkey' AS feature, c_nationkey AS v, p - label AS g, p * (1 - p) AS h FROM t, p
+      UNION ALL SELECT 1, 'spend_missing', spend_missing, p - label, p * (1 - p) FROM t, p),
+b AS (SELECT k, feature, v, sum(g) AS g, sum(h) AS h, count(*) AS n FROM x GROUP BY ALL),
+c AS (SELECT *, sum(g) OVER e AS gl, sum(h) OVER e AS hl, sum(n) OVER e AS nl, sum(g) OVER d AS gt, sum(h) OVER d AS ht, sum(n) OVER d AS nt
+      FROM b WINDOW d AS (PARTITION BY k), e AS (PARTITION BY k ORDER BY v)),
+z AS (SELECT *, pow(greatest(abs(gl) - 0.1, 0), 2) / (hl + 1.5) + pow(greatest(abs(gt - gl) - 0.1, 0), 2) / (ht - hl + 1.5)
+                - pow(greatest(abs(gt) - 0.1, 0), 2) / (ht + 1.5) AS gain FROM c WHERE nl < nt AND least(hl, ht - hl) >= 3),
+r AS (SELECT * FROM z WHERE gain > 1e-6 ORDER BY round(gain, 9) DESC, k, v LIMIT 1)
+SELECT 1 AS node, feature, v AS threshold, nl::BIGINT AS rows, round(-sign(gl) * greatest(abs(gl) - 0.1, 0) / (hl + 1.5) * 0.1, 6) AS weight FROM r
+UNION ALL
+SELECT 2, feature, v, (nt - nl)::BIGINT, round(-sign(gt - gl) * greatest(abs(gt - gl) - 0.1, 0) / (ht - hl + 1.5) * 0.1, 6) FROM r
+""")
+def q_boosted_stump(spark, sf_dir):
+    """MLD-5/6: both leaves of a penalised one-level tree over all training rows, by grouped gradients and hessians."""
+    names = ["c_nationkey", "spend_missing"]
+    rows = (model_frame(spark, sf_dir).where(F.col("window_name") == "train_test")
+            .select("loan_id", "label", *[F.coalesce(F.col(c).cast("double"), F.lit(-1.0)).alias(c) for c in names]))
+    grown = boosting.grow(rows, names, "label", [STUMP], "loan_id")
+    tree = grown.models[0].trees[0]
+    if tree.feature[0] < 0:
+        return spark.createDataFrame([], "node int, feature string, threshold double, rows long, weight double")
+    name, cut = names[tree.feature[0]], float(grown.edges[tree.feature[0]][tree.bin[0]])
+    weight = F.create_map(*[F.lit(x) for i in (1, 2) for x in (i, round(float(tree.weight[i]), 6))])
+    return (rows.groupBy(F.when(F.col(name) <= cut, 1).otherwise(2).alias("node")).agg(F.count(F.lit(1)).alias("rows"))
+            .select("node", F.lit(name).alias("feature"), F.lit(cut).alias("threshold"), "rows", weight[F.col("node")].alias("weight")))
+
+
+@query("model_save_load", sql=_WINDOWS_SQL + """
+SELECT window_name, count(*) AS rows, count(*) AS same, count(*) AS in_range FROM w GROUP BY window_name
+""")
 def q_model_save_load(spark, sf_dir):
-    """SNK-9: fit, save to the shared folder, load, and score again; both scores side by side."""
+    """SNK-9: the fixed model fitted, saved to the shared folder and loaded; every labelled row scored by both.
+
+    Per window: rows, rows with equal scores, and rows whose score is a probability."""
     df, _ = _train_scaled(spark, sf_dir)
-    model = train_gbt(df.where(F.col("window_name") == "train_test"), FEATURES, "label",
-                      params={"n_estimators": 20, "max_depth": 3})
+    df = df.select("loan_id", "window_name", "label", *FEATURES)
+    model = train_gbt(df.where(F.col("window_name") == "train_test"), FEATURES, "label")
     path = scratch_path(spark, "model")
     save_model(model, path)
-    again = load_model(path)
-    oot = df.where(F.col("window_name") == "oot")
-    keys = ["loan_id", "Customer_ID", "snapshot_date"]
-    a = score(model, oot, keys, "m").withColumnRenamed("score", "score_before").drop("model_name")
-    b = score(again, oot, keys, "m").withColumnRenamed("score", "score_after").drop("model_name")
-    return dedupe_scores(a, keys).join(dedupe_scores(b, keys), keys).withColumn(
-        "same", F.col("score_before") == F.col("score_after"))
-
-
-def dedupe_scores(df, keys):
-    from sparkmart.operators.clean import dedupe_keys
-    return dedupe_keys(df, keys)
-
-
-@query("model_lifecycle")
+    before = score(model, df, ["window_name", *FEATURES], "m").withColumnRenamed("score", "before").drop("model_name")
+    both = score(load_model(path), before, ["window_name", "before"], "m")
+    return both.groupBy("window_name").agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("score") == F.col("before")).alias("same"),
+                                           F.count_if(F.col("score").between(0, 1)).alias("in_range"))
+
+
+@query("model_lifecycle", sql=_WINDOWS_SQL + f"""
+SELECT 'gbt_30dpd_6mob' AS model_name, DATE '{TRAIN_DATE}' AS snapshot_date, 'train' AS kind, count(*) AS rows, true AS valid
+FROM w WHERE window_name <> 'outside'
+UNION ALL
+SELECT 'gbt_30dpd_6mob', snapshot_date, 'monitor', count(*), true
+FROM w JOIN f USING (Customer_ID, snapshot_date) WHERE window_name = 'oot' GROUP BY snapshot_date
+""")
 def q_model_lifecycle(spark, sf_dir):
-    """PIP-14/15/16: train job (fixed GBT, scaler inside the saved pipeline, run record) ->
+    """PIP-14/15/16: train job (search of 100 settings, scaler inside the saved pipeline, run record) ->
     scoring of the out-of-time snapshots into the prediction store -> monitoring against the
-    realised labels; returns the metrics log (one training row + one row per monitored snapshot)."""
+    realised labels; from the metrics log one training row and one row per monitored snapshot: its
+    rows, and whether all its metrics are in their range."""
     from sparkmart.plans.model_jobs import monitor_job, score_job, train_job
 
     attrs = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("Customer_ID"), "c_acctbal", "c_nationkey")
@@ -288,12 +336,16 @@ def q_model_lifecycle(spark, sf_dir):
     labels = loan_labels(spark, sf_dir)
     root = scratch_path(spark, "model_lifecycle")
     keys = ["Customer_ID", "snapshot_date"]
-    train_job(spark, labels, feats, FEATURES, TRAIN_DATE, f"{root}/model", f"{root}/metrics", keys=keys,
-              model_name="gbt_30dpd_6mob", search=False)
+    train_job(spark, labels, feats, FEATURES, TRAIN_DATE, f"{root}/model", f"{root}/metrics", keys=keys, model_name="gbt_30dpd_6mob")
     oot = assign_windows(feats, TRAIN_DATE).where(F.col("window_name") == "oot")
     score_job(spark, f"{root}/model", oot, keys, "gbt_30dpd_6mob", f"{root}/predictions")
     monitor_job(spark, f"{root}/predictions", labels, keys, f"{root}/metrics", model_name="gbt_30dpd_6mob")
     log = spark.read.option("mergeSchema", True).parquet(f"{root}/metrics")
+    train = F.col("inference_count").isNull()
+    unit = ["auc_train", "auc_test", "auc_oot", "accuracy", "f1_score", "auc_score", "mean_score", "positive_rate"]
+    valid = (F.coalesce("auc_train", "mean_score").isNotNull() & (F.coalesce("logloss", F.lit(0.0)) >= 0)
+             & F.forall(F.array(*unit), lambda v: v.isNull() | v.between(0, 1)))
     return log.select("model_name", F.coalesce("snapshot_date", "train_date").alias("snapshot_date"),
-                      F.when(F.col("inference_count").isNull(), "train").otherwise("monitor").alias("kind"),
-                      "auc_train", "auc_test", "auc_oot", "inference_count", "auc_score", "logloss")
+                      F.when(train, "train").otherwise("monitor").alias("kind"),
+                      F.when(train, F.col("rows_train") + F.col("rows_test") + F.col("rows_oot")).otherwise(F.col("inference_count")).alias("rows"),
+                      valid.alias("valid"))
