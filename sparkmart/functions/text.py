@@ -10,15 +10,22 @@ from pyspark.sql import functions as F
 from sparkmart.functions.util import as_col
 
 
+#: A lone number written with an exponent, between other characters.
+_EXPONENT = r"^[^0-9.]*([0-9]*\.?[0-9]+[eE][+-]?[0-9]+)[^0-9]*$"
+
+
 def strip_to_digits(c, to: str = "int") -> Column:
     """Keep only ``0-9`` and cast with ``try_cast`` (CLN-2).
 
     The minus sign counts as noise, as in the reference (``"-25"`` -> 25).  Casting happens on
     the cleaned text, so ``"23_"`` gives 23 instead of null.  A decimal part is dropped first
-    (``"4.0"`` -> 4, not 40).
+    (``"4.0"`` -> 4, not 40), and a number written with an exponent is its value without the fraction
+    (``"2.5e3"`` -> 2500).
     """
-    text = F.regexp_replace(as_col(c).cast("string"), r"\.[0-9]*(?=[^0-9.]*$)", "")
-    return F.regexp_replace(text, r"[^0-9]", "").try_cast(to)
+    text = as_col(c).cast("string")
+    power = F.regexp_extract(text, _EXPONENT, 1)
+    whole = F.regexp_replace(text, r"\.[0-9]*(?=[^0-9.]*$)", "")
+    return F.when(power != "", power.try_cast("double").try_cast(to)).otherwise(F.regexp_replace(whole, r"[^0-9]", "").try_cast(to))
 
 
 def strip_to_decimal(c, to: str = "double") -> Column:
@@ -27,7 +34,7 @@ def strip_to_decimal(c, to: str = "double") -> Column:
     A number written with an exponent (``"1.25E7"``, as doubles of 1e7 and more are) keeps it.
     """
     text = as_col(c).cast("string")
-    power = F.regexp_extract(text, r"^[^0-9.]*([0-9]*\.?[0-9]+[eE][+-]?[0-9]+)[^0-9]*$", 1)
+    power = F.regexp_extract(text, _EXPONENT, 1)
     return F.coalesce(power.try_cast(to), F.regexp_replace(text, r"[^0-9.]", "").try_cast(to))
 
 

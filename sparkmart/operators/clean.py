@@ -101,8 +101,9 @@ def fit_modes(df: DataFrame, cols: Iterable[str]) -> dict[str, object]:
     One scan: each row is unpivoted to ``(column, value)`` pairs, counted with a partial
     (map-side) aggregation - a value holding a third of all rows collapses before the
     shuffle - and reduced per column with ``min(struct(-count, value))``, which is also
-    associative, so no column is ever gathered into one task.  Values travel as a sortable
-    pair (double for numbers, text otherwise) and are cast back to the column type.
+    associative, so no column is ever gathered into one task.  A value travels in the field of its
+    kind (whole numbers as long, so that none is rounded; fractions as double; the rest, and the exact
+    digits of decimals, as text) and comes back as the column's own type.
     """
     cols = list(cols)
     if not cols:
@@ -110,22 +111,22 @@ def fit_modes(df: DataFrame, cols: Iterable[str]) -> dict[str, object]:
     fields = {f.name: f.dataType for f in df.schema.fields}
     pairs = []
     for i, c in enumerate(cols):
-        numeric = isinstance(fields[c], T.NumericType)
-        pairs.append(F.struct(
-            F.lit(i).alias("i"),
-            (F.col(c).cast("double") if numeric else F.lit(None).cast("double")).alias("num"),
-            (F.lit(None).cast("string") if numeric else F.col(c).cast("string")).alias("txt"),
-            F.col(c).isNull().alias("is_null")))
+        dt = fields[c]
+        kinds = {"whole": isinstance(dt, T.IntegralType), "real": isinstance(dt, (T.FractionalType)), "txt": not isinstance(dt, T.IntegralType)
+                 and not isinstance(dt, (T.DoubleType, T.FloatType))}
+        types = {"whole": "bigint", "real": "double", "txt": "string"}
+        pairs.append(F.struct(F.lit(i).alias("i"), *[(F.col(c) if on else F.lit(None)).cast(types[k]).alias(k) for k, on in kinds.items()],
+                              F.col(c).isNull().alias("is_null")))
     counted = (df.select(F.inline(F.array(*pairs)))
                  .where(~F.col("is_null"))
-                 .groupBy("i", "num", "txt").count())
+                 .groupBy("i", "whole", "real", "txt").count())
     best = (counted.groupBy("i")
-                   .agg(F.min(F.struct((-F.col("count")).alias("neg"), "num", "txt")).alias("m"))
-                   .select("i", "m.num", "m.txt"))
+                   .agg(F.min(F.struct((-F.col("count")).alias("neg"), "whole", "real", "txt")).alias("m"))
+                   .select("i", "m.whole", "m.real", "m.txt"))
     out: dict[str, object] = {c: None for c in cols}
     for r in best.collect():  # at most len(cols) rows
         c = cols[r["i"]]
-        out[c] = r["num"] if isinstance(fields[c], T.NumericType) else r["txt"]
+        out[c] = next(r[k] for k in ("whole", "txt", "real") if r[k] is not None)
     return out
 
 

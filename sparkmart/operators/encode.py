@@ -114,6 +114,39 @@ def encode_slots(df: DataFrame, vocabulary: DataFrame, cols: Iterable[str]) -> D
     return out
 
 
+def encode_sparse(df: DataFrame, vocabulary: DataFrame, cols: Iterable[str], keys: Iterable[str],
+                  out_col: str = "features") -> DataFrame:
+    """ENC-5/6 for vocabularies of any size: ``keys`` and one sparse vector per row.
+
+    The columns stand side by side in the vector, each with its slots and one more for null and unknown
+    values.  The driver knows only how many slots each column has.  (column, value) pairs are joined
+    with the vocabulary and gathered per row, ``len(cols)`` indices each; the rows are written once to the
+    shared folder, which also gives them the vector type.  ``keys`` must tell the rows apart.
+    """
+    from pyspark.ml.linalg import VectorUDT
+    from pyspark.sql import types as T
+
+    spark, cols, keys = df.sparkSession, list(cols), list(keys)
+    widths = {r["column"]: r["n"] for r in vocabulary.where(F.col("column").isin(cols)).groupBy("column")
+              .agg((F.max("slot") + 1).alias("n")).collect()}  # a row per column
+    offset, size = {}, 0
+    for c in cols:
+        offset[c], size = size, size + widths.get(c, 0) + 1
+    pairs = F.array(*[F.struct(F.lit(c).alias("_column"), F.col(c).cast("string").alias("_value"), F.lit(offset[c]).alias("_at"),
+                               F.lit(offset[c] + widths.get(c, 0)).alias("_unknown")) for c in cols])
+    long = df.select(*keys, F.inline(pairs))
+    words = vocabulary.select(F.col("column").alias("_column"), F.col("value").alias("_value"), "slot")
+    index = F.coalesce(F.col("_at") + F.col("slot"), F.col("_unknown")).cast("int")
+    rows = (long.join(words, ["_column", "_value"], "left").groupBy(*keys)
+            .agg(F.sort_array(F.collect_list(index)).alias("indices")))
+    vector = F.struct(F.lit(0).cast("tinyint").alias("type"), F.lit(size).alias("size"), F.col("indices"),
+                      F.transform("indices", lambda _: F.lit(1.0)).alias("values"))
+    path = scratch_path(spark, "sparse")
+    rows.select(*keys, vector.alias(out_col)).write.parquet(path)
+    schema = T.StructType([*[T.StructField(k, df.schema[k].dataType) for k in keys], T.StructField(out_col, VectorUDT())])
+    return spark.read.schema(schema).parquet(path)
+
+
 def _collect_names(values: DataFrame, col: str, max_values: int | None) -> list:
     rows = (values if max_values is None else values.limit(max_values + 1)).collect()
     if max_values is not None and len(rows) > max_values:

@@ -85,20 +85,15 @@ def not_null(df: DataFrame, *cols: str) -> DataFrame:
 
 
 def range_with_fallback(df: DataFrame, col: str, start, end) -> DataFrame:
-    """FLT-4: ``[start, end)``; if that is empty, the part of ``[start, end - 1 day]`` that the
-    store covers (``[max(first, start), min(last, end - 1)]``); raise if still empty.
+    """FLT-4: the part of ``[start, end)`` that the store covers; raise if there is none.
 
-    Costs at most two cheap actions (``isEmpty`` is a limit-1 job; the bounds a one-row agg).
+    A range that runs past the store's first or last day is met by the days it shares with the store;
+    an empty range shares none, so nothing is left to fall back on and the error names the coverage.
+    ``isEmpty`` is a limit-1 job; the bounds are read for the message only.
     """
     picked = half_open_range(df, col, start, end)
-    if not picked.isEmpty():
-        return picked
-    b = df.agg(F.min(F.col(col).cast("date")).alias("lo"), F.max(F.col(col).cast("date")).alias("hi")).first()
-    if b["lo"] is None:
-        raise ValueError("store is empty")
-    lo = F.greatest(F.lit(b["lo"]), _d(start))
-    hi = F.least(F.lit(b["hi"]), F.date_sub(_d(end), 1))
-    picked = df.where(F.col(col).between(lo, hi))
     if picked.isEmpty():
-        raise ValueError(f"no data in [{start}, {end}) or its overlap with [{b['lo']}, {b['hi']}]")
+        b = df.agg(F.min(F.col(col).cast("date")).alias("lo"), F.max(F.col(col).cast("date")).alias("hi")).first()
+        held = "the store is empty" if b["lo"] is None else f"the store covers [{b['lo']}, {b['hi']}]"
+        raise ValueError(f"no data in [{start}, {end}): {held}")
     return picked

@@ -2,8 +2,9 @@
 
 PIP-8 (silver processors), PIP-9 (silver dispatch + write), PIP-10 (gold processors),
 PIP-11 (grade label store), PIP-12 (feature store).  Keys are ``(member_id, snapshot_date)``.
-Mean and mode imputation is fitted on ``fit_window`` (default: the requested window), not on
-all snapshots (D10).
+Means, modes and vocabularies are fitted on one window (default: the requested one), not on all
+snapshots (D10).  With a ``stages_root`` they are saved there as ``pyspark.ml`` stages at first use; later
+windows are imputed and encoded by the saved ones, so all windows of a store have one schema.
 """
 
 from __future__ import annotations
@@ -14,18 +15,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkmart.functions.dates import to_date_col
-from sparkmart.operators.clean import (
-    fill_constant, fill_mean, fill_mode, missing_flags, normalise_text_cols,
-)
-from sparkmart.operators.encode import (
-    binary_flag, expand_indexed, fit_indexed_one_hot, ordinal_map, top_k_bucket,
-)
+from sparkmart.models.stages import CategoryEncoder, MeanImputer, ModeImputer, fit_or_load
+from sparkmart.operators.clean import fill_constant, missing_flags, normalise_text_cols
+from sparkmart.operators.encode import binary_flag, ordinal_map
 from sparkmart.operators.features import months_since, tenure_years, term_number, whole_months_since
 from sparkmart.operators.joins import outer_chain
 from sparkmart.operators.labels import grade_labels
 from sparkmart.operators.schema import cast_to_double, enforce_schema, schema_audit
-from sparkmart.sources.readers import read_window
-from sparkmart.sources.writers import write_snapshots, write_table
+from sparkmart.sources.readers import read_csv, read_window
+from sparkmart.sources.writers import write_snapshots
 
 KEYS = ["member_id", "snapshot_date"]
 
@@ -107,7 +105,11 @@ def _present(df: DataFrame, cols: Iterable[str]) -> list[str]:
 
 # ---- silver processors (PIP-8) -------------------------------------------------------------
 
-def silver_credit_history(df: DataFrame, fit_df: DataFrame | None = None) -> DataFrame:
+def _stage_path(stages_root: str | None, name: str) -> str | None:
+    return f"{stages_root.rstrip('/')}/{name}" if stages_root else None
+
+
+def silver_credit_history(df: DataFrame, fit_df: DataFrame | None = None, stages_root: str | None = None) -> DataFrame:
     df = _keys(df).drop(*CREDIT_DROP)
     df = enforce_schema(df, {c: "int" for c in CREDIT_INTS}, strict=False)
     df = missing_flags(df, ["mort_acc"]) if "mort_acc" in df.columns else df
@@ -115,8 +117,8 @@ def silver_credit_history(df: DataFrame, fit_df: DataFrame | None = None) -> Dat
     df = df.withColumns({"earliest_cr_line": cr,
                          "months_since_earliest_cr_line": months_since(cr, F.col("snapshot_date"))})
     mode_cols = _present(df, CREDIT_FILL_MODE)
-    df = fill_mode(df, mode_cols, fit_df=None if fit_df is None else
-                   enforce_schema(_keys(fit_df), {c: "int" for c in mode_cols}, strict=False))
+    fit = df if fit_df is None else enforce_schema(_keys(fit_df), {c: "int" for c in mode_cols}, strict=False)
+    df = fit_or_load(df.sparkSession, _stage_path(stages_root, "credit_modes"), [ModeImputer(settings={"cols": mode_cols})], fit).transform(df)
     df = fill_constant(df, {c: -1 for c in _present(df, CREDIT_FILL_NEG1)})
     return fill_constant(df, {c: 0 for c in _present(df, CREDIT_FILL_ZERO)})
 
@@ -129,13 +131,14 @@ def silver_demographic(df: DataFrame) -> DataFrame:
     return fill_constant(df, {c: "MISSING" for c in _present(df, ["emp_length", "home_ownership"])})
 
 
-def silver_financial(df: DataFrame, fit_df: DataFrame | None = None) -> DataFrame:
+def silver_financial(df: DataFrame, fit_df: DataFrame | None = None, stages_root: str | None = None) -> DataFrame:
     df = _keys(df).drop(*FIN_DROP)
     types = {c: "double" for c in FIN_DOUBLES} | {c: "int" for c in FIN_INTS if not c.endswith("_missing")}
     df = enforce_schema(df, types, strict=False)
     df = missing_flags(df, _present(df, FIN_FLAG))
-    fit = None if fit_df is None else enforce_schema(_keys(fit_df), types, strict=False)
-    df = fill_mean(df, _present(df, ["dti"]), fit_df=fit)
+    fit = df if fit_df is None else enforce_schema(_keys(fit_df), types, strict=False)
+    means = MeanImputer(settings={"cols": _present(df, ["dti"])})
+    df = fit_or_load(df.sparkSession, _stage_path(stages_root, "financial_means"), [means], fit).transform(df)
     df = fill_constant(df, {c: 0 for c in _present(df, FIN_FILL_ZERO)})
     return fill_constant(df, {c: -1 for c in _present(df, FIN_FILL_NEG1)})
 
@@ -152,12 +155,14 @@ SILVER = {"credit_history": silver_credit_history, "demographic": silver_demogra
 
 
 def silver_processing(raw: dict[str, DataFrame], output_root: str, dates: Iterable | None = None,
-                      fit_dates: Iterable | None = None) -> None:
+                      fit_dates: Iterable | None = None, stages_root: str | None = None) -> dict[str, int]:
     """PIP-9: run each processor over the window and write it partitioned by snapshot, sorted by key.
 
     ``raw`` maps category -> raw frame (e.g. ``read_csv`` of each extract).  Imputation
-    statistics come from ``fit_dates`` (default: the same window).
+    statistics come from ``stages_root`` if saved there, else from ``fit_dates`` (default: the same
+    window).  Returns the rows written per category.
     """
+    written = {}
     for category, proc in SILVER.items():
         if category not in raw:
             continue
@@ -167,8 +172,33 @@ def silver_processing(raw: dict[str, DataFrame], output_root: str, dates: Iterab
         fit = df
         if fit_dates is not None:
             fit = _keys(raw[category]).where(F.col("snapshot_date").isin([F.lit(d).cast("date") for d in fit_dates]))
-        out = proc(df, fit) if category in ("credit_history", "financial") else proc(df)
-        write_snapshots(out, f"{output_root.rstrip('/')}/{category}", sort_by=("member_id",))
+        out = proc(df, fit, stages_root) if category in ("credit_history", "financial") else proc(df)
+        written[category] = write_snapshots(out, f"{output_root.rstrip('/')}/{category}", sort_by=("member_id",))
+    return written
+
+
+def read_extracts(spark: SparkSession, data_dir: str) -> dict[str, DataFrame]:
+    """The extracts ``features_{category}.csv`` that a directory holds, every column as text; the
+    processors give the columns their types."""
+    from sparkmart.operators.encode import _path_exists
+
+    raw = {}
+    for category in SILVER:
+        path = f"{data_dir.rstrip('/')}/features_{category}.csv"
+        if _path_exists(spark, path):
+            header = spark.read.option("header", True).csv(path).columns  # the first line only
+            raw[category] = read_csv(spark, path, ", ".join(f"`{c}` string" for c in header))
+    return raw
+
+
+def silver_from_directory(spark: SparkSession, data_dir: str, output_root: str, dates: Iterable | None = None,
+                          fit_dates: Iterable | None = None, stages_root: str | None = None) -> dict[str, int]:
+    """PIP-9 from a directory of CSV extracts; an extract that is not there is an error."""
+    raw = read_extracts(spark, data_dir)
+    missing = [c for c in SILVER if c not in raw]
+    if missing:
+        raise FileNotFoundError(f"no extract of {missing} in {data_dir}")
+    return silver_processing(raw, output_root, dates, fit_dates, stages_root)
 
 
 # ---- gold processors (PIP-10) --------------------------------------------------------------
@@ -179,33 +209,32 @@ def gold_credit_history(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return df, schema_audit(df, keys=KEYS)
 
 
-def gold_demographic(df: DataFrame) -> DataFrame:
+def gold_demographic(df: DataFrame, stages_root: str | None = None) -> DataFrame:
     df = df.drop("emp_title", "emp_length", "addr_state", "zip_code")
-    cols = _present(df, GOLD_DEMO_OHE)
-    model, widths = fit_indexed_one_hot(df, cols, drop_last=True)
-    return expand_indexed(model, widths, df)
+    stages = [CategoryEncoder.over(_present(df, GOLD_DEMO_OHE))]
+    return fit_or_load(df.sparkSession, _stage_path(stages_root, "gold_demographic"), stages, df).transform(df)
 
 
 def gold_financial(df: DataFrame) -> DataFrame:
     return cast_to_double(df, KEYS)
 
 
-def gold_loan_terms(df: DataFrame) -> DataFrame:
+def gold_loan_terms(df: DataFrame, stages_root: str | None = None) -> DataFrame:
     df = df.drop("issue_d", "sub_grade").withColumns({
         "term": term_number("term"), "grade": ordinal_map("grade", GRADE_CODES)})
-    cols = _present(df, GOLD_TERMS_OHE)
-    model, widths = fit_indexed_one_hot(df, cols, drop_last=True)
-    return expand_indexed(model, widths, df)
+    stages = [CategoryEncoder.over(_present(df, GOLD_TERMS_OHE))]
+    return fit_or_load(df.sparkSession, _stage_path(stages_root, "gold_loan_terms"), stages, df).transform(df)
 
 
-def gold_processing(spark: SparkSession, silver_root: str, gold_root: str, start=None, end=None) -> DataFrame | None:
+def gold_processing(spark: SparkSession, silver_root: str, gold_root: str, start=None, end=None, dates: Iterable | None = None,
+                    stages_root: str | None = None) -> DataFrame | None:
     """PIP-10: the four gold processors over the window; returns the credit-history audit."""
     audit = None
     procs = {"credit_history": gold_credit_history, "demographic": gold_demographic,
              "financial": gold_financial, "loan_terms": gold_loan_terms}
     for category, proc in procs.items():
-        df = read_window(spark, f"{silver_root.rstrip('/')}/{category}", start, end)
-        out = proc(df)
+        df = read_window(spark, f"{silver_root.rstrip('/')}/{category}", start, end, dates)
+        out = proc(df, stages_root) if category in ("demographic", "loan_terms") else proc(df)
         if isinstance(out, tuple):
             out, audit = out
         write_snapshots(out, f"{gold_root.rstrip('/')}/{category}", sort_by=("member_id",))
@@ -215,9 +244,9 @@ def gold_processing(spark: SparkSession, silver_root: str, gold_root: str, start
 # ---- label store and feature store (PIP-11, PIP-12) ----------------------------------------
 
 def gold_label_store(spark: SparkSession, silver_root: str, output_path: str, start=None, end=None) -> None:
-    """PIP-11: ``(id, snapshot_date, grade)`` for loans with a grade."""
+    """PIP-11: ``(id, snapshot_date, grade)`` for loans with a grade, partitioned by snapshot."""
     terms = read_window(spark, f"{silver_root.rstrip('/')}/loan_terms", start, end)
-    write_table(grade_labels(terms, "id", "grade"), output_path)
+    write_snapshots(grade_labels(terms, "id", "grade"), output_path)
 
 
 def fs_credit(df: DataFrame) -> DataFrame:
@@ -228,20 +257,15 @@ def fs_credit(df: DataFrame) -> DataFrame:
               .drop("earliest_cr_line"))
 
 
-def fs_demographic(df: DataFrame, k: int = EMP_TITLE_TOP) -> DataFrame:
+def fs_demographic(df: DataFrame, k: int = EMP_TITLE_TOP, stages_root: str | None = None) -> DataFrame:
     df = enforce_schema(_keys(df), {c: "string" for c in DEMO_STRINGS} | {"annual_inc": "double"}, strict=False)
     df = normalise_text_cols(df, ["emp_title"])  # normalise before counting (D16)
-    df = top_k_bucket(df, "emp_title", k, out_col="emp_title_limited")
-    model, widths = fit_indexed_one_hot(df, ["emp_title_limited"], drop_last=True)
-    df = expand_indexed(model, widths, df).withColumnsRenamed(
-        {f"emp_title_limited_{i}": f"emp_title_ohe_{i}" for i in range(widths["emp_title_limited"])})
     if "emp_length" in df.columns:
         df = df.withColumn("emp_length", tenure_years("emp_length"))
-    cols = _present(df, DEMO_OHE)
-    model, widths = fit_indexed_one_hot(df, cols, drop_last=True)
-    df = expand_indexed(model, widths, df, drop_source=False)
-    df = df.withColumnsRenamed({f"{c}_{i}": f"{c}_ohe_{i}" for c, w in widths.items() for i in range(w)})
-    return df.drop("earliest_cr_line", "emp_title", "zip_code", *DEMO_OHE)
+    cols = ["emp_title", *_present(df, DEMO_OHE)]
+    stages = [CategoryEncoder.over(cols, top={"emp_title": k}, names={c: f"{c}_ohe_{{}}" for c in cols})]
+    df = fit_or_load(df.sparkSession, _stage_path(stages_root, "store_demographic"), stages, df).transform(df)
+    return df.drop("earliest_cr_line", "zip_code")
 
 
 def fs_financial(df: DataFrame) -> DataFrame:
@@ -249,27 +273,27 @@ def fs_financial(df: DataFrame) -> DataFrame:
     return enforce_schema(_keys(df), types, strict=False)
 
 
-def fs_loan_terms(df: DataFrame) -> DataFrame:
+def fs_loan_terms(df: DataFrame, stages_root: str | None = None) -> DataFrame:
     df = enforce_schema(_keys(df), {c: "double" for c in TERMS_DOUBLES} | {c: "string" for c in TERMS_STRINGS},
                         strict=False)
-    cols = _present(df, TERMS_OHE)
-    model, widths = fit_indexed_one_hot(df, cols, drop_last=False)
-    df = expand_indexed(model, widths, df)
+    stages = [CategoryEncoder.over(_present(df, TERMS_OHE), drop_last=False)]
+    df = fit_or_load(df.sparkSession, _stage_path(stages_root, "store_loan_terms"), stages, df).transform(df)
     return df.drop("issue_d", "id", "grade", "sub_grade")
 
 
 def feature_store(spark: SparkSession, silver_root: str, output_path: str | None = None, start=None, end=None,
-                  dates: Iterable | None = None, drop_keys: bool = False) -> DataFrame:
+                  dates: Iterable | None = None, drop_keys: bool = False, stages_root: str | None = None) -> DataFrame:
     """PIP-12: four engineered categories, full outer on ``(member_id, snapshot_date)``.
 
-    Keys are kept unless ``drop_keys`` (D18); the window is optional (D17).
+    Keys are kept unless ``drop_keys`` (D18); the window is optional (D17).  The store is partitioned by
+    snapshot while it has its keys.
     """
     def load(cat):
         return read_window(spark, f"{silver_root.rstrip('/')}/{cat}", start, end, dates)
 
-    frames = [fs_loan_terms(load("loan_terms")), fs_demographic(load("demographic")),
+    frames = [fs_loan_terms(load("loan_terms"), stages_root), fs_demographic(load("demographic"), stages_root=stages_root),
               fs_financial(load("financial")), fs_credit(load("credit_history"))]
     out = outer_chain(frames, KEYS, drop_keys=drop_keys)
     if output_path:
-        write_table(out, output_path)
+        write_snapshots(out, output_path, partition_cols=() if drop_keys else ("snapshot_date",))
     return out

@@ -19,7 +19,8 @@ from sparkmart.models.score import score
 from sparkmart.models.split import assign_windows, stratified_split
 from sparkmart.models.train import FIXED_PARAMS, gbt_params, random_search, run_record
 from sparkmart.operators.calendar import window_bounds
-from sparkmart.operators.joins import attach_features
+from sparkmart.operators.filters import range_with_fallback
+from sparkmart.operators.joins import attach_features, inner_with_suffixes
 from sparkmart.sources.readers import read_window
 from sparkmart.sources.writers import append_rows, save_model, write_predictions
 
@@ -93,6 +94,42 @@ def train_job(spark: SparkSession, labels: DataFrame, features: DataFrame, featu
     return fitted, record
 
 
+def simple_train_job(spark: SparkSession, labels: DataFrame, features: DataFrame, feature_cols: Sequence[str], start, end,
+                     model_path: str, metrics_root: str | None = None, keys=("Customer_ID", "snapshot_date"), date_col: str = "snapshot_date",
+                     model_name: str = "credit_model", ratio: float = 0.75, key_col: str = "loan_id"):
+    """PIP-14, the simpler form: ``[start, end)`` of both stores (FLT-4), inner join (JON-4), 75/25 split
+    stratified by label (MLD-3), scaling fitted on train (MLD-4), the fixed model (MLD-5), AUC, F1 and
+    accuracy on test (MLD-7/8), model saved and one metrics row appended (SNK-8/9).  Returns both."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import GBTClassifier
+    from pyspark.ml.feature import VectorAssembler
+
+    from sparkmart.session import shared_dir
+
+    labels, features = (range_with_fallback(df, date_col, start, end) for df in (labels, features))
+    df = inner_with_suffixes(labels, features, keys).withColumn("label", F.col("label").cast("double"))
+    shared_dir(spark)
+    # the split, the scaler, the model and the metrics all read the joined rows: write them once
+    rows = stratified_split(df.select(key_col, "label", *feature_cols), key_col, "label", ratio, seed=42).checkpoint(eager=True)
+    train = rows.where(F.col("split") == "train")
+    stats = fit_scaler(train, feature_cols)
+    gbt = GBTClassifier(featuresCol="features", labelCol="label", seed=88, **gbt_params(FIXED_PARAMS))
+    assembler = VectorAssembler(inputCols=[f"{c}__z" for c in feature_cols], outputCol="features")
+    fitted = Pipeline(stages=[scaling_stage(stats), assembler, gbt]).fit(train)
+    save_model(fitted, model_path)
+    scored = score(fitted, rows.where(F.col("split") == "test"), [key_col, "label"], model_name).checkpoint(eager=True)
+    sizes = {r["split"]: r["n"] for r in rows.groupBy("split").agg(F.count(F.lit(1)).alias("n")).collect()}
+    fa = f1_accuracy(scored, "score", "label").first()
+    auc = roc_auc(scored, "score", "label").first()
+    out = spark.createDataFrame(
+        [(model_name, auc["auc"] if auc else None, fa["f1_score"], fa["accuracy"], sizes.get("train", 0), sizes.get("test", 0), str(start), str(end))],
+        "model_name string, auc_score double, f1_score double, accuracy double, rows_train long, rows_test long, start_date string, end_date string"
+    ).withColumns({"start_date": F.to_date("start_date"), "end_date": F.to_date("end_date"), "created_at": F.current_timestamp()})
+    if metrics_root:
+        append_rows(out, metrics_root)
+    return fitted, out
+
+
 def score_job(spark: SparkSession, model_path: str, features: DataFrame, keys: Sequence[str], model_name: str,
               predictions_root: str | None = None, start=None, end=None) -> DataFrame:
     """PIP-15 / MLD-10/11: score every snapshot of the window in one transform; write by model + snapshot."""

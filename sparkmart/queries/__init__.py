@@ -10,5 +10,5 @@ from __future__ import annotations
 from sparkmart.queries.registry import REGISTRY, query  # noqa: F401
 from sparkmart.queries import (  # noqa: F401  (import registers the queries)
     marts, calendar_q, filters_q, schema_q, clean_q, features_q, encode_q, joins_q,
-    profile_q, model_q, io_q, feature_mart_q, loanbook_q,
+    profile_q, model_q, io_q, feature_mart_q, loanbook_q, loanbook_rows_q,
 )

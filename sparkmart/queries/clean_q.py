@@ -49,6 +49,25 @@ def q_strip_to_int(spark, sf_dir):
     return strip_numeric(c, int_cols=["name_number", "nation_code", "signed_code"])
 
 
+_EXPONENT_SQL = "substr(o_orderkey::VARCHAR, 1, 1) || '.' || substr(o_orderkey::VARCHAR, 2) || '5E' || (length(o_orderkey::VARCHAR) - 1)::VARCHAR"
+
+
+@query("strip_exponent", sql=f"""
+SELECT o_orderkey, {_EXPONENT_SQL} AS raw, o_orderkey::INTEGER AS whole, CAST(o_orderkey + 0.5 AS DOUBLE) AS real,
+       CAST(o_orderkey AS INTEGER) * 10 AS marked
+FROM orders
+""")
+def q_strip_exponent(spark, sf_dir):
+    """CLN-2/3: numbers written with an exponent (``"1.2345E3"``, ``"$1.234e4_"``), as doubles of 1e7 and more are."""
+    key = F.col("o_orderkey").cast("string")
+    digits = F.concat(F.substring(key, 1, 1), F.lit("."), F.substring(key, 2, 30))
+    o = table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.concat(digits, F.lit("5E"), (F.length(key) - 1).cast("string")).alias("raw"),
+        F.concat(F.lit("$"), digits, F.lit("0e"), F.length(key).cast("string"), F.lit("_")).alias("marked"))
+    o = o.withColumns({"whole": F.col("raw"), "real": F.col("raw")})
+    return strip_numeric(o, int_cols=["whole", "marked"], decimal_cols=["real"])
+
+
 @query("strip_to_decimal", sql="""
 SELECT c_custkey,
        TRY_CAST(regexp_replace('$' || printf('%.2f', c_acctbal) || '_', '[^0-9.]', '', 'g') AS DOUBLE) AS balance,
@@ -88,6 +107,22 @@ def q_fill_constant(spark, sf_dir):
     return fill_constant(df, {"quality": -1, "toxic": 0, "labelled_lang": "MISSING"})
 
 
+_WIDE = "CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE 9007199254740993 + 2 * (o_custkey % 3) END"
+_EXACT = "CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE CAST(o_custkey % 7 AS DECIMAL(20, 6)) + CAST('12345678901234.000001' AS DECIMAL(20, 6)) END"
+
+
+@query("fill_mode_exact", sql=f"""
+WITH t AS (SELECT o_orderkey, {_WIDE} AS wide, {_EXACT} AS amount FROM orders)
+SELECT o_orderkey, coalesce(wide, (SELECT wide FROM t WHERE wide IS NOT NULL GROUP BY wide ORDER BY count(*) DESC, wide LIMIT 1)) AS wide,
+       CAST(coalesce(amount, (SELECT amount FROM t WHERE amount IS NOT NULL GROUP BY amount ORDER BY count(*) DESC, amount LIMIT 1)) AS VARCHAR) AS amount
+FROM t
+""")
+def q_fill_mode_exact(spark, sf_dir):
+    """CLN-8: modes of whole numbers beyond 2**53 and of decimals keep every digit."""
+    t = table(spark, sf_dir, "orders").select("o_orderkey", F.expr(_WIDE).alias("wide"), F.expr(_EXACT).cast("decimal(20,6)").alias("amount"))
+    return fill_mode(t, ["wide", "amount"]).withColumn("amount", F.col("amount").cast("string"))
+
+
 @query("fill_all_numeric", sql=f"""
 SELECT doc_id, lang, coalesce(n_chars, 0) AS n_chars, coalesce(quality, 0) AS quality, coalesce(toxic, 0) AS toxic
 FROM {DOCS_LABELS}

@@ -13,10 +13,10 @@ from sparkmart.queries.model_q import _metric_runs, _order_scores, loan_labels
 from sparkmart.queries.registry import query
 from sparkmart.session import scratch_path
 from sparkmart.sources.readers import (
-    read_csv, read_metrics, read_predictions, read_snapshot, read_store, read_window,
+    read_csv, read_csv_checked, read_metrics, read_predictions, read_snapshot, read_store, read_window,
 )
 from sparkmart.sources.tables import table
-from sparkmart.sources.writers import append_rows, write_predictions, write_snapshots
+from sparkmart.sources.writers import append_rows, write_bucketed, write_predictions, write_snapshots
 
 CUSTOMER_CSV = T.StructType([
     T.StructField("c_custkey", T.LongType()),
@@ -101,3 +101,52 @@ def q_prediction_store(spark, sf_dir):
     back = read_predictions(spark, root, model_name="price_model")
     return back.groupBy("snapshot_date").agg(F.count(F.lit(1)).alias("rows"),
                                              F.round(F.avg("score"), 9).alias("mean_score"))
+
+
+@query("csv_quarantine", sql="""
+SELECT CASE WHEN c_custkey % 7 = 0 OR c_custkey % 11 = 0 THEN 'rejected' ELSE 'landed' END AS kind, count(*) AS rows,
+       CAST(sum(CASE WHEN c_custkey % 7 <> 0 AND c_custkey % 11 <> 0 THEN c_nationkey END) AS BIGINT) AS nation_sum
+FROM customer GROUP BY 1
+""")
+def q_csv_quarantine(spark, sf_dir):
+    """SRC-1: malformed numbers and short lines go to the reject table; every line is landed or rejected."""
+    path, key = scratch_path(spark, "quarantine"), F.col("c_custkey")
+    bad = F.when(key % 7 == 0, F.lit("12x")).otherwise(F.col("c_nationkey").cast("string"))
+    line = F.concat_ws(",", key.cast("string"), F.col("c_acctbal").cast("string"), F.when(key % 11 != 0, bad))
+    c = table(spark, sf_dir, "customer").select(line.alias("line")).repartition(3)
+    c.sparkSession.createDataFrame([("c_custkey,c_acctbal,c_nationkey",)], "line string").write.text(f"{path}/header")
+    c.write.text(f"{path}/body")
+    lines = spark.read.text([f"{path}/header", f"{path}/body"])
+    # one file with one header line, as an extract has
+    lines.orderBy(F.when(F.col("value").startswith("c_custkey"), 0).otherwise(1)).coalesce(1).write.text(f"{path}/extract")
+    rows, rejects = read_csv_checked(spark, f"{path}/extract", "c_custkey long, c_acctbal double, c_nationkey int")
+    landed = rows.agg(F.lit("landed").alias("kind"), F.count(F.lit(1)).alias("rows"), F.sum("c_nationkey").alias("nation_sum"))
+    return landed.unionByName(rejects.agg(F.lit("rejected").alias("kind"), F.count(F.lit(1)).alias("rows"), F.lit(None).cast("long").alias("nation_sum")))
+
+
+def bucketed_stores(spark, sf_dir, buckets=16):
+    """Customer-month orders and customer-month lines as two co-located stores."""
+    o, li = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
+    month = lambda c: F.trunc(F.col(c).cast("date"), "MM").alias("snapshot_date")
+    spend = o.groupBy(F.col("o_custkey").alias("Customer_ID"), month("o_orderdate")).agg(
+        F.count(F.lit(1)).alias("n_orders"), F.round(F.sum("o_totalprice"), 2).alias("spend"))
+    lines = (li.join(o, li.l_orderkey == o.o_orderkey).groupBy(F.col("o_custkey").alias("Customer_ID"), month("l_shipdate"))
+             .agg(F.count(F.lit(1)).alias("n_lines"), F.round(F.sum("l_quantity"), 2).alias("quantity")))
+    out = []
+    for name, df in (("spend", spend), ("lines", lines)):
+        path = scratch_path(spark, f"bucketed_{name}")
+        out.append(write_bucketed(df, path.rsplit("/", 1)[1].replace("-", "_"), path, ["Customer_ID", "snapshot_date"], buckets))
+    return out
+
+
+@query("bucketed_join", sql="""
+WITH s AS (SELECT o_custkey AS Customer_ID, CAST(date_trunc('month', o_orderdate) AS DATE) AS snapshot_date, count(*) AS n_orders,
+                  round(sum(o_totalprice), 2) AS spend FROM orders GROUP BY 1, 2),
+l AS (SELECT o_custkey AS Customer_ID, CAST(date_trunc('month', l_shipdate) AS DATE) AS snapshot_date, count(*) AS n_lines,
+             round(sum(l_quantity), 2) AS quantity FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 2)
+SELECT Customer_ID, snapshot_date, n_orders, spend, n_lines, quantity FROM s FULL JOIN l USING (Customer_ID, snapshot_date)
+""")
+def q_bucketed_join(spark, sf_dir):
+    """SNK-2..6, JON-1/2: two stores bucketed by (Customer_ID, snapshot_date), joined without an exchange."""
+    spend, lines = bucketed_stores(spark, sf_dir)
+    return spend.join(lines, ["Customer_ID", "snapshot_date"], "full")

@@ -8,7 +8,7 @@ from sparkmart.operators.features import days_past_due
 from sparkmart.operators.labels import bad_rate_curve, default_label
 from sparkmart.operators.profile import snapshot_counts
 from sparkmart.operators.calendar import month_spine
-from sparkmart.queries.loanbook import SILVER_SQL, loan_book
+from sparkmart.queries.loanbook import BOOK_SQL, SILVER_SQL, loan_book
 from sparkmart.queries.registry import query
 from sparkmart.sources.tables import table
 
@@ -142,6 +142,34 @@ def q_incremental_label_store(spark, sf_dir):
     return out.groupBy("snapshot_date").agg(F.count(F.lit(1)).alias("loans"), F.sum("label").cast("bigint").alias("bad"))
 
 
+@query("redelivered_snapshots", sql=f"""
+WITH b AS ({BOOK_SQL}),
+n AS (SELECT * REPLACE (CASE WHEN snapshot_date < DATE '1995-01-01' THEN overdue_amt + 10.0 ELSE overdue_amt END AS overdue_amt) FROM b
+      WHERE snapshot_date >= DATE '1995-01-01' OR loan_id % 2 = 0)
+SELECT snapshot_date, CAST(CASE WHEN snapshot_date < DATE '1995-01-01' THEN 3 WHEN snapshot_date < DATE '1998-07-01' THEN 1 ELSE 2 END AS INTEGER) AS delivery,
+       count(*) AS loans, CAST(sum(CASE WHEN overdue_amt > 0 THEN 1 ELSE 0 END) AS BIGINT) AS late
+FROM n GROUP BY snapshot_date
+""")
+def q_redelivered_snapshots(spark, sf_dir):
+    """PIP-13 with corrections: two drops, then a third that delivers the snapshots before 1995 again (half the
+    loans, other amounts); each snapshot of the streamed store holds its newest delivery alone."""
+    from pyspark.sql import types as T
+
+    from sparkmart.session import scratch_path
+    from sparkmart.streaming import run_replacing
+
+    book, root = loan_book(spark, sf_dir), scratch_path(spark, "redelivered")
+    cut, early = F.lit("1998-07-01").cast("date"), F.col("snapshot_date") < F.lit("1995-01-01").cast("date")
+    again = book.where(early & (F.col("loan_id") % 2 == 0)).withColumn("overdue_amt", F.col("overdue_amt") + 10.0)
+    schema = T.StructType([*book.schema.fields, T.StructField("delivery", T.IntegerType())])
+    for n, part in enumerate((book.where(F.col("snapshot_date") < cut), book.where(F.col("snapshot_date") >= cut), again), 1):
+        part.write.parquet(f"{root}/bronze/delivery={n}")
+        run_replacing(spark, f"{root}/bronze", schema, days_past_due, f"{root}/silver", f"{root}/_ckpt")
+    out = spark.read.parquet(f"{root}/silver")
+    return (out.groupBy("snapshot_date").agg(F.max("delivery").alias("delivery"), F.count(F.lit(1)).alias("loans"),
+                                             F.sum((F.col("overdue_amt") > 0).cast("int")).alias("late")))
+
+
 @query("final_installments", sql=f"""
 WITH s AS ({SILVER_SQL})
 SELECT snapshot_date, CAST(count(*) AS BIGINT) AS loans, round(avg(CAST(dpd AS DOUBLE)), 9) AS mean_dpd

@@ -349,3 +349,27 @@ def q_model_lifecycle(spark, sf_dir):
                       F.when(train, "train").otherwise("monitor").alias("kind"),
                       F.when(train, F.col("rows_train") + F.col("rows_test") + F.col("rows_oot")).otherwise(F.col("inference_count")).alias("rows"),
                       valid.alias("valid"))
+
+
+SIMPLE = ("1999-07-01", "2000-07-01")
+
+
+@query("simple_training", sql=_WINDOWS_SQL + f""",
+t AS (SELECT w.loan_id, label, {_U.format(k="w.loan_id", s=42)} AS u FROM w JOIN f USING (Customer_ID, snapshot_date)
+      WHERE snapshot_date >= DATE '{SIMPLE[0]}' AND snapshot_date < DATE '{SIMPLE[1]}'),
+c AS (SELECT label, quantile_disc(u, 0.75) AS cut FROM t GROUP BY label)
+SELECT 'credit_model' AS model_name, DATE '{SIMPLE[0]}' AS start_date, DATE '{SIMPLE[1]}' AS end_date,
+       count(*) FILTER (u <= cut) AS rows_train, count(*) FILTER (u > cut) AS rows_test, true AS valid
+FROM t JOIN c USING (label)
+""")
+def q_simple_training(spark, sf_dir):
+    """PIP-14, the simpler form: window, inner join, 75/25 split, fixed model; its metrics row read back from the log."""
+    from sparkmart.plans.model_jobs import simple_train_job
+    from sparkmart.sources.readers import read_metrics
+
+    attrs = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("Customer_ID"), "c_acctbal", "c_nationkey")
+    feats = missing_flags(left_chain(customer_months(spark, sf_dir), [(attrs, ["Customer_ID"])]), ["spend"])
+    root = scratch_path(spark, "simple_training")
+    simple_train_job(spark, loan_labels(spark, sf_dir), feats, FEATURES, *SIMPLE, f"{root}/model", f"{root}/metrics")
+    valid = F.forall(F.array("auc_score", "f1_score", "accuracy"), lambda v: v.isNotNull() & v.between(0, 1))
+    return read_metrics(spark, f"{root}/metrics").select("model_name", "start_date", "end_date", "rows_train", "rows_test", valid.alias("valid"))

@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sparkmart.session import scratch_path
+
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """SRC-1: CSV with a header and an explicit schema (no ``inferSchema`` pass over the data).
@@ -33,6 +35,31 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> Data
     return df.select(*[f.name for f in wanted.fields])
 
 
+def read_csv_checked(spark: SparkSession, path: str, schema: T.StructType | str) -> tuple[DataFrame, DataFrame]:
+    """SRC-1 with a quarantine: ``(rows, rejects)``.
+
+    A line with a value that does not fit its column's type, or with too few or too many fields, is
+    rejected whole: ``rejects`` holds its text (``_line``) and its file (``_file``), so that rows in are
+    rows landed plus rows rejected, and nothing turns into a null unseen.  An empty field is a null.
+    """
+    wanted = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    header = spark.read.option("header", True).csv(path).columns  # reads the first line only
+    missing = [f.name for f in wanted.fields if f.name not in header]
+    if missing:
+        raise ValueError(f"columns missing in {path}: {missing}")
+    types = {f.name: f.dataType for f in wanted.fields}
+    layout = T.StructType([T.StructField(c, types.get(c, T.StringType())) for c in header] + [T.StructField("_line", T.StringType())])
+    # Without column pruning every field of a line is parsed, whatever columns are read later.  The parsed
+    # lines are landed once: both results come from them, and Spark refuses to read the rejects alone.
+    df = (spark.read.schema(layout).option("header", True).option("enforceSchema", False).option("mode", "PERMISSIVE")
+          .option("columnNameOfCorruptRecord", "_line").option("columnPruning", False).csv(path).withColumn("_file", F.col("_metadata.file_path")))
+    landed = scratch_path(spark, "csv")
+    df.write.parquet(landed)
+    df = spark.read.parquet(landed)
+    return (df.where(F.col("_line").isNull()).select(*[f.name for f in wanted.fields]),
+            df.where(F.col("_line").isNotNull()).select("_line", "_file"))
+
+
 def read_store(spark: SparkSession, root: str, merge_schema: bool = False) -> DataFrame:
     """SRC-6: the whole partitioned store as one frame (all snapshots)."""
     reader = spark.read

@@ -45,6 +45,20 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     df.write.mode("overwrite").format(fmt).save(path)
 
 
+def write_bucketed(df: DataFrame, table: str, path: str, keys: Iterable[str], buckets: int) -> DataFrame:
+    """SNK-2..6 as a co-located store: rows bucketed and sorted by ``keys``, kept at ``path``.
+
+    Stores with the same keys and number of buckets join on these keys, or on keys of which they are a
+    part, without an exchange.  The table is registered in the session's catalog, which is what tells
+    the planner its buckets.
+    """
+    keys = list(keys)
+    # one file per bucket: rows meet by the buckets' own hash before the write
+    (df.repartition(buckets, *keys).write.mode("overwrite").format("parquet").option("path", path)
+       .bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(table))
+    return df.sparkSession.table(table)
+
+
 def write_predictions(df: DataFrame, root: str) -> None:
     """SNK-7: prediction store partitioned by model and snapshot."""
     write_snapshots(df, root, partition_cols=("model_name", "snapshot_date"))

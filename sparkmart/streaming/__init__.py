@@ -6,4 +6,4 @@ each run processes exactly the files that landed since the last run (tracked in
 checkpoint), and the partitioned file sink commits each micro-batch exactly once.
 """
 
-from sparkmart.streaming.snapshot_feed import run_layer  # noqa: F401
+from sparkmart.streaming.snapshot_feed import run_layer, run_replacing  # noqa: F401
