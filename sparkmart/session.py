@@ -25,6 +25,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # a chain of joins on one key set shares a partitioning; split its hot keys all the same
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # a finished execution's shuffle files are never read again: free their disk at once
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
