@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkmart.llm import textkernel as K
-from sparkmart.llm.common import digest, free_name, land, ship_package
+from sparkmart.llm.common import digest, free_name, land, own_columns, ship_package
 
 WINDOW = 8
 SHORTEST = 5
@@ -184,9 +184,7 @@ def report(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **opti
 def remove_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` without the documents that leak an item; all columns of the others unchanged."""
     rows, leaks = find_leaks(docs, benchmark, id_col, text_col, **options)
-    bad = rows.join(leaks.select("rid").distinct(), "rid").select(F.col("h1").alias("b1"), F.col("h2").alias("b2")).distinct()
-    bad = land(bad, "leaks")
     h1, h2 = digest(F.col(text_col))
     a, b = free_name(docs, "h1"), free_name(docs, "h2")
-    marked = docs.withColumn(a, h1).withColumn(b, h2)
-    return marked.join(bad, (F.col(a) == F.col("b1")) & (F.col(b) == F.col("b2")), "left_anti").drop(a, b)
+    bad = rows.join(leaks.select("rid").distinct(), "rid").select(F.col("h1").alias(a), F.col("h2").alias(b)).distinct()
+    return docs.withColumn(a, h1).withColumn(b, h2).join(land(bad, "leaks"), [a, b], "left_anti").select(*own_columns(docs))

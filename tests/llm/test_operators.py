@@ -276,3 +276,14 @@ def test_quality_references_of_every_language(spark, monkeypatch):
     assert all(cut[i]["word_distance"] == pytest.approx(whole[i]["word_distance"]) and cut[i]["kept"] == r["kept"] for i, r in whole.items())
     assert all(r["word_distance"] < 0.3 for r in cut.values())
     assert quality_rules.keep_good(df).count() == sum(r["kept"] for r in whole.values())
+
+
+def test_remove_leaks_with_clashing_columns(spark, edge):
+    """Columns of any name pass through, also those that the operator works with."""
+    text = "how many red apples does the old farmer sell at the market every single morning in june"
+    docs = spark.createDataFrame([(1, text, "x", "y", "z"), (2, "nothing of the kind", "x", "y", "z"), (3, None, None, None, None)],
+                                 "doc_id long, text string, b1 string, b2 string, H1 string")
+    items = spark.createDataFrame([(7, text)], "item_id long, text string")
+    kept = decontaminate.remove_leaks(docs, items)
+    assert kept.columns == docs.columns
+    assert sorted(map(tuple, kept.collect()), key=repr) == [(2, "nothing of the kind", "x", "y", "z"), (3, None, None, None, None)]
