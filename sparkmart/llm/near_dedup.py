@@ -470,9 +470,10 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     found = find(docs, id_col, text_col, **options)
     keep = (found.rows.join(found.classes, "node").groupBy("comp")
             .agg(F.min(F.struct(F.col("id").isNull().alias("late"), "id", "h1", "h2")).alias("k")).select("k.id", "k.h1", "k.h2"))
-    keep = land(keep.select(F.col("id").alias("k_id"), F.col("h1").alias("k_h1"), F.col("h2").alias("k_h2")), "near-keep")
-    h1, h2 = digest(F.col(text_col))
+    # Plain equality on these names lets the join's partitioning serve the removal of repeated rows: texts move once.
+    key = ["k_id", "k_null", "k_h1", "k_h2"]
+    name = lambda i, a, b: [F.coalesce(i, F.lit(0).cast("long")).alias(key[0]), i.isNull().alias(key[1]), a.alias(key[2]), b.alias(key[3])]
+    keep = land(keep.select(*name(F.col("id"), F.col("h1"), F.col("h2"))), "near-keep")
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    marked = docs.select(row, F.col(id_col).cast("long").alias("r_id"), h1.alias("r_h1"), h2.alias("r_h2"))
-    hit = marked.join(keep, (F.col("r_id").eqNullSafe(F.col("k_id"))) & (F.col("r_h1") == F.col("k_h1")) & (F.col("r_h2") == F.col("k_h2")))
-    return hit.dropDuplicates(["r_id", "r_h1", "r_h2"]).select("row.*")
+    marked = docs.select(row, *name(F.col(id_col).cast("long"), *digest(F.col(text_col))))
+    return marked.join(keep, key).dropDuplicates(key).select("row.*")
