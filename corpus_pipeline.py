@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from sparkmart.llm import decontaminate, mixing, near_dedup, quality_rules, training_order
 from sparkmart.llm.common import land, read_documents
+from sparkmart.session import apply_runtime_conf
 
 
 def quality(spark, docs, sf_dir):
@@ -36,8 +37,18 @@ def token_output(spark, docs, sf_dir):
     return training_order.sequences(docs)
 
 
-STAGES = [("quality", quality), ("near_dedup", near_duplicates), ("decontamination", benchmark_leaks),
-          ("mixing", source_mix), ("token_output", token_output)]
+def configured(stage):
+    """The stage, after the session settings that the operators rely on."""
+    def run_stage(spark, docs, sf_dir):
+        apply_runtime_conf(spark)
+        return stage(spark, docs, sf_dir)
+    run_stage.__name__, run_stage.__doc__ = stage.__name__, stage.__doc__
+    return run_stage
+
+
+STAGES = [("quality", configured(quality)), ("near_dedup", configured(near_duplicates)),
+          ("decontamination", configured(benchmark_leaks)), ("mixing", configured(source_mix)),
+          ("token_output", configured(token_output))]
 
 #: The stages hash, sign and tokenise texts, which SQL does not express; tests/llm/test_pipeline.py checks
 #: them against a brute-force version.
