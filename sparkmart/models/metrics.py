@@ -58,7 +58,13 @@ def score_metrics(df: DataFrame, score_col: str = "score", label_col: str = "lab
                   group_cols: Iterable[str] = (), buckets: int | None = None) -> DataFrame:
     """Per group: rows, positive rate, mean score, log loss and AUC from one distinct-score table."""
     df, g = _grouped(df, group_cols)
-    dist = range_order(distinct_scores(df, score_col, label_col, g), g, "s", buckets)
+    return metrics_of_counts(distinct_scores(df, score_col, label_col, g), g, buckets).drop("_all")
+
+
+def metrics_of_counts(counts: DataFrame, group_cols: Iterable[str], buckets: int | None = None) -> DataFrame:
+    """``score_metrics`` from rows of ``distinct_scores``: one row per (group, s), groups not empty."""
+    g = list(group_cols)
+    dist = range_order(counts, g, "s", buckets)
     p = F.least(F.greatest(F.col("s"), F.lit(EPS)), F.lit(1 - EPS))
     n = F.col("pos") + F.col("neg")
     sums = dist.groupBy(*g).agg(
@@ -68,7 +74,7 @@ def score_metrics(df: DataFrame, score_col: str = "score", label_col: str = "lab
                        (F.col("_pos") / F.col("_n")).alias("positive_rate"),
                        (F.col("_s") / F.col("_n")).alias("mean_score"),
                        (F.col("_ll") / F.col("_n")).alias("logloss"))
-    return base.join(_auc(dist, g).select(*g, "auc"), g, "left").drop("_all")
+    return base.join(_auc(dist, g).select(*g, "auc"), g, "left")
 
 
 def log_loss(df: DataFrame, score_col: str = "score", label_col: str = "label",

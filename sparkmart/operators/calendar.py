@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkmart.functions.dates import day_spine_expr, month_spine_expr
@@ -34,6 +34,39 @@ def coverage(df: DataFrame, date_col: str = "snapshot_date") -> DataFrame:
                   F.count_distinct(d).alias("snapshots"), F.count(F.lit(1)).alias("rows"))
 
 
+def store_counts(spark: SparkSession, root: str, date_col: str = "snapshot_date") -> DataFrame:
+    """AGG-1 of a snapshot-partitioned Parquet store from its footers: ``(date, rows)``, no data page read.
+
+    Spark's Parquet source answers ``count(*)`` per partition value from file footers when it reads by
+    its version 2 path; both settings hold for this one small aggregate, which is written with a
+    reliable checkpoint, and are put back after.
+    """
+    from sparkmart.session import shared_dir
+
+    shared_dir(spark)
+    conf = {"spark.sql.sources.useV1SourceList": "avro,csv,json,orc,text", "spark.sql.parquet.aggregatePushdown": "true"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        return footer_counts(spark, root, date_col).checkpoint(eager=True)
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def footer_counts(spark: SparkSession, root: str, date_col: str) -> DataFrame:
+    """The plan of ``store_counts``: pushed to the footers under its settings, a scan elsewhere."""
+    counts = spark.read.parquet(root).groupBy(date_col).agg(F.count(F.lit(1)).alias("rows"))
+    return counts.select(F.col(date_col).cast("date").alias(date_col), "rows")
+
+
+def store_coverage(counts: DataFrame, date_col: str = "snapshot_date") -> DataFrame:
+    """CAL-4 from ``store_counts``: the row of ``coverage``."""
+    return counts.agg(F.min(date_col).alias("first_date"), F.max(date_col).alias("last_date"),
+                      F.count(date_col).alias("snapshots"), F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"))
+
+
 def window_sufficient(run_date: Column, earliest: Column, days: int = 365) -> Column:
     """CAL-5: ``run_date - max(earliest, run_date - days) >= days``."""
     start = F.greatest(earliest, F.date_sub(run_date, days))

@@ -46,6 +46,54 @@ def left_chain(base: DataFrame, sides: Sequence[tuple], dedupe: bool = True) ->
     return out.select(*columns)
 
 
+def heavy_keys(df: DataFrame, keys: Sequence[str], limit: int = 1000) -> DataFrame:
+    """The keys with more than a ``limit``-th of the rows of ``df``: fewer than ``limit`` rows, exact.
+
+    One map-side-combined count; written once with a reliable checkpoint.  Null keys match nothing and
+    are left out.
+    """
+    from sparkmart.session import shared_dir
+
+    shared_dir(df.sparkSession)
+    keys = list(keys)
+    whole = reduce(lambda a, b: a & b, [F.col(f"`{k}`").isNotNull() for k in keys])
+    n, = free_columns(df, "n")
+    total = df.select(F.count(F.lit(1)).alias("t")).first()["t"]
+    counts = df.where(whole).groupBy(*keys).agg(F.count(F.lit(1)).alias(n))
+    return counts.where(F.col(n) * limit > F.lit(total)).select(*keys).checkpoint(eager=True)
+
+
+def free_columns(df: DataFrame, *stems: str) -> list[str]:
+    """A column name for each stem that ``df`` does not have."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for stem in stems:
+        while stem.lower() in taken:
+            stem += "_"
+        out.append(stem)
+    return out
+
+
+def heavy_left_join(base: DataFrame, side: DataFrame, keys: Sequence[str], limit: int = 1000,
+                    unique: bool = False) -> DataFrame:
+    """JON-1/JON-3 with heavy keys split in the plan: ``base LEFT JOIN side USING (keys)``.
+
+    Rows of a key that holds more than a ``limit``-th of ``base`` never move: their side rows, at most
+    one per key and so fewer than ``limit``, are sent to every task.  All other rows, null keys
+    included, are joined by a shuffle in which no key holds more than that share.  ``side`` is made
+    unique per key first unless ``unique`` says that it is.
+    """
+    keys = list(keys)
+    side = side if unique else dedupe_keys(side, keys)
+    heavy = heavy_keys(base, keys, limit)
+    # the side's rows of heavy keys: written once, one small row per heavy key
+    replicated = heavy.join(side, keys, "left").checkpoint(eager=True)
+    hot = base.join(F.broadcast(replicated), keys)
+    rest = base.join(F.broadcast(heavy), keys, "left_anti").join(side, keys, "left")
+    columns = [*base.columns, *[c for c in side.columns if c not in keys]]
+    return rest.select(*columns).union(hot.select(*columns))
+
+
 def outer_chain(frames: Sequence, keys: Sequence[str], drop_keys: bool = False, dedupe: bool = True) -> DataFrame:
     """JON-2: full outer joins on shared keys; ``USING`` keys come out coalesced.
 

@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sparkmart.operators.calendar import (
-    coverage, day_spine, month_spine, split_window, sufficiency_by_run,
+    coverage, day_spine, month_spine, split_window, store_counts, store_coverage, sufficiency_by_run,
 )
 from sparkmart.operators.filters import range_with_fallback
 from sparkmart.queries.registry import query
+from sparkmart.session import scratch_path
 from sparkmart.sources.tables import table
+from sparkmart.sources.writers import write_snapshots
 
 ORDER_MONTHS = "(SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS snapshot_date, * FROM orders)"
 TRAIN_DATE = "2000-09-01"
@@ -58,6 +60,31 @@ def q_coverage(spark, sf_dir):
     return coverage(order_months(spark, sf_dir))
 
 
+def _month_store(spark, sf_dir):
+    """The monthly order store: its row counts come from file footers."""
+    root = scratch_path(spark, "order-months")
+    write_snapshots(order_months(spark, sf_dir), root)
+    return store_counts(spark, root)
+
+
+@query("store_coverage", sql=f"""
+SELECT min(snapshot_date) AS first_date, max(snapshot_date) AS last_date,
+       CAST(count(DISTINCT snapshot_date) AS BIGINT) AS snapshots, CAST(count(*) AS BIGINT) AS rows
+FROM {ORDER_MONTHS}
+""")
+def q_store_coverage(spark, sf_dir):
+    """CAL-4 of a stored snapshot table, from its footers."""
+    return store_coverage(_month_store(spark, sf_dir))
+
+
+@query("store_snapshot_counts", sql=f"""
+SELECT snapshot_date, CAST(count(*) AS BIGINT) AS rows FROM {ORDER_MONTHS} GROUP BY snapshot_date
+""")
+def q_store_snapshot_counts(spark, sf_dir):
+    """AGG-1 of a stored snapshot table, from its footers."""
+    return _month_store(spark, sf_dir)
+
+
 @query("window_sufficiency", sql=f"""
 WITH m AS {ORDER_MONTHS},
 e AS (SELECT min(snapshot_date) AS earliest FROM m),

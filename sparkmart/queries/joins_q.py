@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sparkmart.operators.features import days_past_due
-from sparkmart.operators.joins import attach_features, inner_with_suffixes, left_chain, outer_chain
+from sparkmart.operators.joins import attach_features, heavy_left_join, inner_with_suffixes, left_chain, outer_chain
 from sparkmart.operators.labels import default_label
 from sparkmart.queries.loanbook import SILVER_SQL, loan_book
 from sparkmart.queries.registry import query
@@ -158,3 +158,17 @@ def q_feature_label_all(spark, sf_dir):
     out = inner_with_suffixes(feats, labels, ["Customer_ID", "loan_start_date"])
     return out.select("loan_id_x", "loan_id_y", "Customer_ID", "loan_start_date", "installment_num", "overdue_amt",
                       "snapshot_date_x", "snapshot_date_y", "label")
+
+
+@query("heavy_key_join", sql="""
+SELECT l.l_orderkey, l.l_linenumber, l.supplier, s.s_name, s.s_acctbal
+FROM (SELECT l_orderkey, l_linenumber, CASE WHEN l_orderkey % 3 = 0 THEN 1 ELSE l_suppkey END AS supplier FROM lineitem) l
+LEFT JOIN supplier s ON l.supplier = s.s_suppkey
+""")
+def q_heavy_key_join(spark, sf_dir):
+    """JON-1 with a third of the base on one key: all line items LEFT JOIN supplier attributes."""
+    li = table(spark, sf_dir, "lineitem")
+    base = li.select("l_orderkey", "l_linenumber",
+                     F.when(F.col("l_orderkey") % 3 == 0, F.lit(1)).otherwise(F.col("l_suppkey")).alias("supplier"))
+    side = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("supplier"), "s_name", "s_acctbal")
+    return heavy_left_join(base, side, ["supplier"])

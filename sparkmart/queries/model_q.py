@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from sparkmart.functions.hashing import unit_hash
 from sparkmart.models import boosting
+from sparkmart.models.late_labels import add_labels, known_metrics
 from sparkmart.models.metrics import f1_accuracy, log_loss, roc_auc
 from sparkmart.models.monitor import monitor
 from sparkmart.models.scale import apply_scaler, fit_scaler
@@ -168,7 +169,7 @@ def _order_scores(spark, sf_dir):
                     (F.col("o_totalprice") / (F.col("o_totalprice") + 150000.0)).alias("score"))
 
 
-@query("monitor_by_snapshot", sql=_LABELS_SQL + """,
+_MONITOR_SQL = _LABELS_SQL + """,
 p AS (SELECT o_orderkey AS loan_id, 'price_model' AS model_name, o_totalprice / (o_totalprice + 150000.0) AS score FROM orders),
 j AS (SELECT p.model_name, lab.snapshot_date, p.score, lab.label FROM p JOIN lab ON p.loan_id = lab.loan_id),
 d AS (SELECT model_name, snapshot_date, score, sum(label) AS pos, sum(1 - label) AS neg FROM j GROUP BY ALL),
@@ -185,12 +186,33 @@ m AS (SELECT model_name, snapshot_date, count(*) AS inference_count, avg(CAST(la
 SELECT m.model_name, m.snapshot_date, m.inference_count, round(m.positive_rate, 9) AS positive_rate,
        round(m.mean_score, 9) AS mean_score, round(a.auc, 9) AS auc_score, round(m.logloss, 9) AS logloss
 FROM m LEFT JOIN a USING (model_name, snapshot_date)
-""")
+"""
+
+
+@query("monitor_by_snapshot", sql=_MONITOR_SQL)
 def q_monitor_by_snapshot(spark, sf_dir):
     """MLD-12: scores joined to realised labels; count, positive rate, mean score, AUC, log loss per snapshot."""
     out = monitor(_order_scores(spark, sf_dir), loan_labels(spark, sf_dir), ["loan_id"])
-    return out.select("model_name", "snapshot_date", "inference_count",
-                      *[F.round(c, 9).alias(c) for c in ("positive_rate", "mean_score", "auc_score", "logloss")])
+    return _monitor_columns(out)
+
+
+def _monitor_columns(df):
+    return df.select("model_name", "snapshot_date", "inference_count",
+                     *[F.round(c, 9).alias(c) for c in ("positive_rate", "mean_score", "auc_score", "logloss")])
+
+
+# labels are one per loan here: the least (label, snapshot) of a loan that has several
+@query("monitor_late_labels", sql=_MONITOR_SQL.replace("FROM p JOIN lab ON", """FROM p JOIN (
+    SELECT loan_id, min((label, snapshot_date)) AS l, l[1] AS label, l[2] AS snapshot_date FROM lab GROUP BY loan_id) lab ON"""))
+def q_monitor_late_labels(spark, sf_dir):
+    """MLD-12 / PIP-16 with labels in three drops: a third of the loans, wrong for every fifth of them; the
+    other loans; the corrections.  The stored counts give the metrics of all labels at once."""
+    root, scores, labels = scratch_path(spark, "late-labels"), _order_scores(spark, sf_dir), loan_labels(spark, sf_dir)
+    early, wrong = F.col("loan_id") % 3 == 0, F.col("loan_id") % 5 == 0
+    first = labels.where(early).withColumn("label", F.when(wrong, 1 - F.col("label")).otherwise(F.col("label")))
+    for drop, part in enumerate([first, labels.where(~early), labels.where(early & wrong)]):
+        add_labels(scores, part, ["loan_id"], root, drop)
+    return _monitor_columns(known_metrics(spark, root))
 
 
 def _metric_runs(spark, sf_dir):
