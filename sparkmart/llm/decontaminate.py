@@ -1,23 +1,30 @@
 """Benchmark decontamination by template canonicalisation.
 
 A text's words are lower-cased and stripped of ASCII punctuation; numbers, names (one capital, not at
-the start of a sentence) and units after a number become typed placeholders.  Windows of ``WINDOW``
-template words of documents and benchmark items are joined on their hash; the words behind the
-placeholders (*slots*) travel along.  On each alignment (document position minus item position) the
-slots must agree: one item value always stands for one document value - the same one in a plain
-copy, another one in a re-parameterised question.  An item is leaked into a document if at least
-``MIN_COVER`` of its windows are matched on consistent alignments.
+the start of a sentence) and units after a number become typed placeholders.  Windows of template words
+of documents and benchmark items are joined on their hash; the words behind the placeholders (*slots*)
+travel along.  A capitalised word that opens a sentence may be a name or not, so a window with such words
+is hashed in both readings: all of them literal, or all of them names.  A window of which less than half
+is literal is hashed by its plain words instead, so placeholders alone never match.  On each alignment
+(document position minus item position) the slots must agree: one item value always stands for one
+document value - the same one in a plain copy, another one in a re-parameterised question.  An item is
+leaked into a document if at least ``MIN_COVER`` of its words lie in windows matched on consistent
+alignments; an alignment that is not consistent in both readings counts by its literal one, if that is.
+
+Windows have ``WINDOW`` words for items of ``LONG`` words or more and ``SHORTEST`` words below, so that one
+changed word leaves at least half of an item of ten words or more.  An item of fewer than ``SHORTEST``
+words is leaked where its plain words begin at the start of a line and stop at the end of one.
 
 The document side keeps only windows whose hash hits a bitmap of the benchmark's window hashes
 (``BITS`` bits, fixed size, so broadcast whatever the benchmark's size; false hits fall out in the
-join, which is exact).  Items of 5 to 7 words are one window of their own length; shorter items are
-never matched.  Null texts count as empty; repeated rows and items each get their result; ids may be
-null; other columns are not read.
+join, which is exact).  Null texts count as empty; an item without a word is never leaked; repeated rows
+and items each get their result; ids may be null; other columns are not read.
 """
 
 from __future__ import annotations
 
 import string
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +36,7 @@ from sparkmart.llm.common import digest, free_name, land, own_columns, ship_pack
 
 WINDOW = 8
 SHORTEST = 5
+LONG = 24
 MIN_COVER = 0.5
 BITS = 1 << 23
 #: Units that count as a slot after a number.
@@ -42,11 +50,22 @@ _STOP = np.zeros(256, dtype=bool)
 _STOP[[ord(c) for c in ".!?:\n"]] = True
 _DIGIT = np.zeros(256, dtype=bool)
 _DIGIT[48:58] = True
-_NUM, _NAME, _UNIT = (K.U64(x) for x in (0x1F2E3D4C5B6A7988, 0x2F2E3D4C5B6A7988, 0x3F2E3D4C5B6A7988))
+_NUM, _NAME, _UNIT, _PLAIN = (K.U64(x) for x in (0x1F2E3D4C5B6A7988, 0x2F2E3D4C5B6A7988, 0x3F2E3D4C5B6A7988, 0x4F2E3D4C5B6A7988))
 
 
-def templates(column: pa.Array):
-    """(template word hashes, plain word hashes, slot mask, first word of each row) of a slice."""
+class Templates(NamedTuple):
+    """The words of a slice: in each reading their template hashes and whether they are slots."""
+
+    words: list[np.ndarray]
+    slots: list[np.ndarray]
+    plain: np.ndarray
+    opener: np.ndarray  # capitalised and opening a sentence
+    line_first: np.ndarray
+    line_last: np.ndarray
+    first: np.ndarray  # first word of each row
+
+
+def templates(column: pa.Array) -> Templates:
     data, off = K.text_bytes(column)
     lead = np.zeros(len(data), dtype=bool)
     lead[1:] = data[:-1] == 0xC3
@@ -60,23 +79,35 @@ def templates(column: pa.Array):
     text, caps = low[keep], capital[keep]
     starts, ends, first = K.find_words(text, np.concatenate(([0], np.cumsum(keep)))[off])
     plain = K.hash_words(text, starts, ends)
-    count = lambda mask: np.concatenate(([0], np.cumsum(mask)))
-    digits, capitals, stops = count(_DIGIT[text]), count(caps), count(_STOP[data])
+    row_first = np.zeros(len(starts) + 1, dtype=bool)
+    row_first[first] = True
+    row_first[-1] = True
+    opens = row_first[:-1] | _follows(_STOP[data], origin, starts, ends)
+    line_first = row_first[:-1] | _follows(data == 10, origin, starts, ends)
+    line_last = np.append(line_first[1:], True)[:len(starts)]
+    digits, capitals = _counts(_DIGIT[text]), _counts(caps)
     number = digits[ends] - digits[starts] == ends - starts
-    opens = np.ones(len(starts), dtype=bool)
-    if len(starts) > 1:
-        opens[1:] = stops[origin[starts[1:]]] > stops[origin[ends[:-1] - 1]]
-    opens[first[:-1][first[:-1] < len(starts)]] = True
-    name = ~opens & (capitals[ends] - capitals[starts] == 1) & (ends - starts > 1)
+    name = (capitals[ends] - capitals[starts] == 1) & (ends - starts > 1)
     if len(starts):
         name &= caps[starts]
-    units = _unit_hashes()
-    after = np.zeros(len(starts), dtype=bool)
-    after[1:] = number[:-1]
-    after[first[:-1][first[:-1] < len(starts)]] = False
-    unit = after & np.isin(plain, units)
-    words = np.where(number, _NUM, np.where(unit, _UNIT, np.where(name, _NAME, plain)))
-    return words, plain, number | unit | name, first
+    after = np.append(False, number[:-1])[:len(starts)] & ~row_first[:-1]
+    unit = after & np.isin(plain, _unit_hashes())
+    opener = name & opens & ~number & ~unit
+    readings = [name & ~opens, name]
+    return Templates([np.where(number, _NUM, np.where(unit, _UNIT, np.where(r, _NAME, plain))) for r in readings],
+                     [number | unit | r for r in readings], plain, opener, line_first, line_last, first)
+
+
+def _counts(mask: np.ndarray) -> np.ndarray:
+    return np.concatenate(([0], np.cumsum(mask)))
+
+
+def _follows(mark: np.ndarray, origin: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Words with a marked byte between the word before and themselves."""
+    out, marks = np.zeros(len(starts), dtype=bool), _counts(mark)
+    if len(starts) > 1:
+        out[1:] = marks[origin[starts[1:]]] > marks[origin[ends[:-1] - 1]]
+    return out
 
 
 def _unit_hashes() -> np.ndarray:
@@ -85,40 +116,65 @@ def _unit_hashes() -> np.ndarray:
     return K.hash_words(data, starts, ends)
 
 
-def windows(df: DataFrame, lengths, bitmap=None) -> DataFrame:
-    """(id, h1, h2, n_words, hits array<struct<pos, size, h, slots>>) of (id, text, h1, h2); with
-    ``bitmap`` (a Spark broadcast) only windows whose hash hits it."""
+def window_size(n_words: np.ndarray) -> np.ndarray:
+    """Window length for items of so many words (0: no window)."""
+    return np.where(n_words >= LONG, WINDOW, np.minimum(n_words, SHORTEST))
+
+
+def _hashed(t: Templates, at: np.ndarray, size: int):
+    """(index into ``at``, reading, hash, windows with slots) of every reading of the windows."""
+    plain = K.Grams(t.plain)(at, at + size) ^ _PLAIN
+    openers = _counts(t.opener)
+    for reading, (words, slots) in enumerate(zip(t.words, t.slots)):
+        slots = _counts(slots)
+        literal = 2 * (slots[at + size] - slots[at]) <= size
+        if size < SHORTEST:
+            literal[:] = False
+        if reading == 0:
+            yield np.arange(len(at)), np.zeros(len(at), np.int64), np.where(literal, K.Grams(words)(at, at + size), plain), literal
+        else:
+            more = np.flatnonzero(literal & (openers[at + size] > openers[at]))
+            yield more, np.ones(len(more), np.int64), K.Grams(words)(at[more], at[more] + size), literal[more]
+
+
+def windows(df: DataFrame, sizes, bitmap=None) -> DataFrame:
+    """(id, h1, h2, n_words, hits array<struct<pos, size, h, reading, slots>>) of (id, text, h1, h2): with
+    ``bitmap`` (a Spark broadcast) the windows that hit it, without it each row's windows of its own size."""
     def run(batches):
         for batch in batches:
             for part in K.slices(batch, "text"):
-                words, plain, slot, first = templates(part.column("text"))
-                grams = K.Grams(words)
-                found = []
-                for size in lengths:
-                    at, row = K.gram_starts(first, size)
-                    if size < WINDOW and bitmap is None:  # an item shorter than the window is one window
-                        whole = np.diff(first)[row] == size
-                        at, row = at[whole], row[whole]
-                    h = grams(at, at + size)
-                    if bitmap is not None:
-                        bit = h & K.U64(BITS - 1)
-                        hit = (bitmap.value[(bit >> K.U64(3)).astype(np.int64)] >> (bit & K.U64(7)).astype(np.uint8)) & 1 == 1
-                        at, row, h = at[hit], row[hit], h[hit]
-                    found.append((row, at, np.full(len(at), size), h))
-                row, at, size, h = (np.concatenate(x) for x in zip(*found))
-                order = np.lexsort((at, row))
-                row, at, size, h = row[order], at[order], size[order], h[order]
-                values = [K.signed(plain[a:a + s][slot[a:a + s]]).tolist() for a, s in zip(at, size)]
+                t = templates(part.column("text"))
+                n_words, found = np.diff(t.first), []
+                for size in sizes:
+                    at, row = K.gram_starts(t.first, size)
+                    if bitmap is None:
+                        take = window_size(n_words)[row] == size
+                    elif size < SHORTEST:
+                        take = t.line_first[at] & t.line_last[at + size - 1]
+                    else:
+                        take = np.ones(len(at), dtype=bool)
+                    at, row = at[take], row[take]
+                    for i, reading, h, literal in _hashed(t, at, size):
+                        if bitmap is not None:
+                            bit = h & K.U64(BITS - 1)
+                            hit = (bitmap.value[(bit >> K.U64(3)).astype(np.int64)] >> (bit & K.U64(7)).astype(np.uint8)) & 1 == 1
+                            i, reading, h, literal = i[hit], reading[hit], h[hit], literal[hit]
+                        found.append((row[i], at[i], np.full(len(i), size), reading, h, literal))
+                row, at, size, reading, h, literal = (np.concatenate(x) for x in zip(*found))
+                order = np.lexsort((reading, at, row))
+                row, at, size, reading, h, literal = (x[order] for x in (row, at, size, reading, h, literal))
+                values = [K.signed(t.plain[a:a + s][t.slots[r][a:a + s]]).tolist() if x else []
+                          for a, s, r, x in zip(at, size, reading, literal)]
                 hits = pa.StructArray.from_arrays(
-                    [pa.array(at - first[row]), pa.array(size, pa.int64()), pa.array(K.signed(h)), pa.array(values, pa.list_(pa.int64()))],
-                    names=["pos", "size", "h", "slots"])
+                    [pa.array(at - t.first[row]), pa.array(size, pa.int64()), pa.array(K.signed(h)), pa.array(reading),
+                     pa.array(values, pa.list_(pa.int64()))], names=["pos", "size", "h", "reading", "slots"])
                 bounds = pa.array(np.searchsorted(row, np.arange(part.num_rows + 1)).astype(np.int32))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("id"), part.column("h1"), part.column("h2"), pa.array(np.diff(first)), pa.ListArray.from_arrays(bounds, hits)],
+                    [part.column("id"), part.column("h1"), part.column("h2"), pa.array(n_words), pa.ListArray.from_arrays(bounds, hits)],
                     names=["id", "h1", "h2", "n_words", "hits"])
 
     return df.mapInArrow(run, "id long, h1 long, h2 long, n_words long, "
-                              "hits array<struct<pos: long, size: long, h: long, slots: array<long>>>")
+                              "hits array<struct<pos: long, size: long, h: long, reading: long, slots: array<long>>>")
 
 
 def _base(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -142,29 +198,36 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     coverage, reparameterised), one per leaked item."""
     spark = docs.sparkSession
     ship_package(spark)
-    lengths = list(range(SHORTEST, WINDOW + 1))
-    items = land(windows(_base(benchmark, item_col, item_text), lengths).where("size(hits) > 0")
+    items = land(windows(_base(benchmark, item_col, item_text), [*range(1, SHORTEST + 1), WINDOW])
                  .withColumn("item_row", F.monotonically_increasing_id())
-                 .select("item_row", F.col("id").alias("item"), F.size("hits").alias("n_windows"), F.explode("hits").alias("w"))
-                 .select("item_row", "item", "n_windows", "w.*"), "items")
-    # items longer than the window use full windows only
-    items = items.where((F.col("size") == WINDOW) | (F.col("n_windows") == 1))
-    present = sorted(r[0] for r in items.select("size").distinct().collect())  # at most WINDOW - SHORTEST + 1
+                 .select("item_row", F.col("id").alias("item"), "n_words", F.explode("hits").alias("w"))
+                 .select("item_row", "item", "n_words", "w.*"), "items")
+    present = sorted(r[0] for r in items.select("size").distinct().collect())  # at most SHORTEST + 1
     bitmap = _bitmap(spark, items)
     rows = land(windows(_base(docs, id_col, text_col), present or [WINDOW], bitmap).withColumn("rid", F.monotonically_increasing_id()), "doc-windows")
 
     hits = (rows.where("size(hits) > 0").select("rid", F.explode("hits").alias("d")).select("rid", "d.*"))
-    joined = (hits.join(items.select("h", "size", "item_row", F.col("pos").alias("item_pos"), F.col("slots").alias("item_slots")), ["h", "size"])
+    # an item with the same window in several places meets each of them: alignments sort them out
+    joined = (hits.join(items.select("h", "size", "item_row", F.col("pos").alias("item_pos"), F.col("slots").alias("item_slots"),
+                                     F.col("reading").alias("item_reading")), ["h", "size"])
               .select("rid", "item_row", "item_pos", (F.col("pos") - F.col("item_pos")).alias("shift"),
+                      F.sequence("item_pos", F.col("item_pos") + F.col("size") - 1).alias("words"),
+                      ((F.col("reading") == 0) & (F.col("item_reading") == 0)).alias("literal"),
                       F.arrays_zip(F.col("item_slots").alias("i"), F.col("slots").alias("d")).alias("pairs")))
     # per alignment: an item has a bounded number of windows, and so of slot pairs
+    union = lambda c: F.array_distinct(F.flatten(F.collect_list(c)))
+    plain = F.col("literal")
     aligned = joined.groupBy("rid", "item_row", "shift").agg(
-        F.collect_set("item_pos").alias("at"), F.array_distinct(F.flatten(F.collect_list("pairs"))).alias("pairs"))
-    good = (aligned.where(F.size("pairs") == F.size(F.array_distinct(F.transform("pairs", lambda p: p["i"]))))
+        union("words").alias("words"), union("pairs").alias("pairs"),
+        union(F.when(plain, F.col("words"))).alias("words0"), union(F.when(plain, F.col("pairs"))).alias("pairs0"))
+    agrees = lambda c: F.size(c) == F.size(F.array_distinct(F.transform(c, lambda p: p["i"])))
+    good = (aligned.select("rid", "item_row", F.when(agrees("pairs"), F.struct("words", "pairs"))
+                           .when(agrees("pairs0"), F.struct(F.col("words0").alias("words"), F.col("pairs0").alias("pairs"))).alias("g"))
+            .where("g is not null").select("rid", "item_row", "g.*")
             .withColumn("changed", F.exists("pairs", lambda p: p["i"] != p["d"])))
-    totals = items.groupBy("item_row").agg(F.first("item").alias("item"), F.first("n_windows").alias("n_windows"))
-    leaks = (good.groupBy("rid", "item_row").agg(F.size(F.array_distinct(F.flatten(F.collect_list("at")))).alias("matched"), F.max("changed").alias("reparameterised"))
-             .join(totals, "item_row").withColumn("coverage", F.col("matched") / F.col("n_windows"))
+    totals = items.groupBy("item_row").agg(F.first("item").alias("item"), F.first("n_words").alias("n_words"))
+    leaks = (good.groupBy("rid", "item_row").agg(F.size(union("words")).alias("matched"), F.max("changed").alias("reparameterised"))
+             .join(totals, "item_row").withColumn("coverage", F.col("matched") / F.col("n_words"))
              .where(F.col("coverage") >= min_cover).select("rid", "item", "coverage", "reparameterised"))
     return rows.drop("hits"), leaks
 

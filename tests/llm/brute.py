@@ -188,3 +188,80 @@ def byte_repeats(rows, window=200):
         kept += b[gone_to:]
         out.append((i, len(b), len(b) - len(kept), spans, hashlib.sha256(kept).hexdigest()))
     return out
+
+
+def _template_words(text, units):
+    """(plain words, slot types without openers, opener flags, line starts) of op7."""
+    out, stop, line = [], True, True
+    for piece in re.findall(r"[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+", text or ""):
+        if WORD.fullmatch(piece):
+            lead, word, tail = re.fullmatch(r"([!-/:-@\[-`{-~]*)(.*?)([!-/:-@\[-`{-~]*)", piece, re.S).groups()
+            bare = re.sub(r"[!-/:-@\[-`{-~]", "", word)
+            stop |= any(c in ".!?:" for c in lead)
+            if bare:
+                low = "".join(c.lower() if c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ" or "À" <= c <= "Þ" and c != "×" else c for c in bare)
+                name = bare[0] != low[0] and sum(a != b for a, b in zip(bare, low)) == 1 and len(bare.encode()) > 1
+                kind = "n" if re.fullmatch("[0-9]+", bare) else "u" if out and out[-1][1] == "n" and low in units else "c" if name and not stop else ""
+                out.append((low, kind, name and stop and not kind, line))
+                stop = line = False
+            stop |= any(c in ".!?:" for c in tail)
+        elif "\n" in piece:
+            stop = line = True
+    return out
+
+
+def _template_windows(words, size):
+    """{(reading key): [(position, reading, slots)]} of all windows of a size."""
+    out = {}
+    for at in range(len(words) - size + 1):
+        part = words[at:at + size]
+        if size < 5:
+            ends = at + size == len(words) or words[at + size][3]
+            if part[0][3] and ends:
+                out.setdefault(("plain", *[w[0] for w in part]), []).append((at, 0, ()))
+            continue
+        for reading in (0, 1):
+            kinds = [k or ("c" if reading and o else "") for _, k, o, _ in part]
+            if 2 * sum(map(bool, kinds)) > size:
+                key, slots = ("plain", *[w[0] for w in part]), ()
+                if reading:
+                    continue
+            else:
+                key, slots = tuple((k or "w", "" if k else w[0]) for k, w in zip(kinds, part)), tuple(w[0] for k, w in zip(kinds, part) if k)
+            if not reading or any(o for _, _, o, _ in part):
+                out.setdefault(key, []).append((at, reading, slots))
+    return out
+
+
+def leaked_items(docs, items, units, cover=0.5):
+    """{document: items leaked into it} of op7, every document against every item."""
+    found = {d: set() for d, _ in docs}
+    parsed = [(i, _template_words(t, units)) for i, t in items]
+    for d, text in docs:
+        words, cache = _template_words(text, units), {}
+        for i, item in parsed:
+            n = len(item)
+            size = 8 if n >= 24 else min(n, 5)
+            if not n:
+                continue
+            if size not in cache:
+                cache[size] = _template_windows(words, size)
+            if size < 5:
+                if ("plain", *[w[0] for w in item]) in cache[size]:
+                    found[d].add(i)
+                continue
+            shifts = {}
+            for key, places in _template_windows(item, size).items():
+                for a, r, slots in places:
+                    for b, q, other in cache[size].get(key, ()):
+                        shifts.setdefault(b - a, []).append((a, r or q, tuple(zip(slots, other))))
+            covered = set()
+            for hits in shifts.values():
+                for some in (hits, [h for h in hits if not h[1]]):
+                    pairs = {p for _, _, s in some for p in s}
+                    if len(pairs) == len({p[0] for p in pairs}):
+                        covered |= {a + k for a, _, _ in some for k in range(size)}
+                        break
+            if len(covered) >= cover * n:
+                found[d].add(i)
+    return found

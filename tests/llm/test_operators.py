@@ -182,6 +182,25 @@ def test_decontamination(spark):
     assert sorted(r["doc_id"] for r in decontaminate.remove_leaks(df, bench).collect()) == [3, 4, 5, 6, 7]
 
 
+def test_decontamination_of_edited_short_and_numeric_items(spark):
+    opening = "Tom has 5 apples in a bag. Tom gives 3 of them to a friend and eats the rest before noon."
+    sixteen = "seven quiet rivers run below old stone bridges where tired birds gather every single cold autumn morning"
+    numbers = " ".join(str(n) for n in range(12, 45, 3))
+    items = [(1, opening), (2, sixteen), (3, "a b c d"), (4, numbers), (5, ""), (6, "ok")]
+    docs = [(1, opening.replace("Tom", "Ben").replace("5", "8")), (2, opening.replace("Tom gives", "Ann gives")),
+            *[(10 + k, " ".join("other" if i == k else w for i, w in enumerate(sixteen.split()))) for k in range(16)],
+            (30, "a b c d"), (31, "text\n A b, c d!\nmore"), (32, "here a b c d is inside a line"), (33, numbers),
+            (34, " ".join(str(n + 1) for n in range(12, 45, 3))), (35, "nothing to see here at all today"), (36, "all of it is ok")]
+    rows = [(i, t) for i, t in docs]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {r["doc_id"]: set(r["items"]) for r in decontaminate.report(df, bench).collect()}
+    assert got == brute.leaked_items(rows, items, decontaminate.UNITS)
+    assert got[1] == {1} and all(got[10 + k] == {2} for k in range(16))
+    assert got[30] == got[31] == {3} and got[33] == {4}
+    assert not any(got[k] for k in (32, 34, 35, 36))
+
+
 def test_token_counts_match_tokenizer(spark, edge, edge_rows):
     from tokenizers import Tokenizer
 

@@ -3,6 +3,7 @@
 import pytest
 
 from sparkmart.llm import queries as Q
+from sparkmart.llm.decontaminate import UNITS
 from tests.conftest import SF001
 from tests.llm import brute
 from tests.oracle_check import compare, duck
@@ -35,6 +36,15 @@ def test_quality_whole_table(spark, docs):
         assert tuple(r)[1:7] == brute.quality(docs[r["doc_id"]]["text"])
 
 
+def test_decontamination_against_every_item(spark, docs):
+    """Every document of a third of sf0.01 against every item, by tuples of words."""
+    items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{SF001}/benchmark.parquet").collect()]
+    some = [(i, r["text"]) for i, r in docs.items() if i % 3 == 0]
+    want = brute.leaked_items(some, items, UNITS)
+    got = {r["doc_id"]: set(r["items"]) for r in Q.op7_decontamination(spark, SF001).collect()}
+    assert {i: got[i] for i, _ in some} == want and any(want.values())
+
+
 def test_near_dedup_whole_table(spark, docs):
     groups = {}
     for r in Q.op9_near_dedup(spark, SF001).collect():
