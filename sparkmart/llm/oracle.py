@@ -29,18 +29,14 @@ SELECT doc_id, size, source_size, target, t1 + t2 AS taken,
 FROM k
 """
 
-#: Runs compared as text instead of winnowed hashes.
+#: Lines compared as text instead of hashes.
 ORACLE_SQL["op3_line_dedup"] = r"""
 WITH l AS (
   SELECT doc_id, line, i - 1 AS i FROM (SELECT doc_id, unnest(x) AS line, generate_subscripts(x, 1) AS i
          FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS x FROM documents))),
 w AS (SELECT doc_id, i, regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g') AS t,
              row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1 AS n FROM l WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
-g AS (SELECT doc_id, n, [t, lead(t, 1) OVER d, lead(t, 2) OVER d] AS run, lead(t, 2) OVER d IS NOT NULL AS ok
-      FROM w WINDOW d AS (PARTITION BY doc_id ORDER BY n)),
-f AS (SELECT doc_id, n, row_number() OVER (PARTITION BY run ORDER BY doc_id, n) > 1 AS later FROM g WHERE ok),
-m AS (SELECT DISTINCT doc_id, n + o AS n FROM f, (VALUES (0), (1), (2)) v(o) WHERE later),
-z AS (SELECT w.doc_id, w.i, w.n, m.n IS NOT NULL AS gone FROM w LEFT JOIN m ON w.doc_id = m.doc_id AND w.n = m.n),
+z AS (SELECT doc_id, i, n, row_number() OVER (PARTITION BY t ORDER BY doc_id, n) > 1 AS gone FROM w),
 e AS (SELECT doc_id, min(i) AS a, max(i) AS b FROM (SELECT *, n - row_number() OVER (PARTITION BY doc_id ORDER BY n) AS grp FROM z WHERE gone)
       GROUP BY doc_id, grp),
 s AS (SELECT doc_id, string_agg(a || '-' || b, ',' ORDER BY a) AS runs FROM e GROUP BY doc_id),

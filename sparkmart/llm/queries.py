@@ -19,7 +19,7 @@ def op2_secret_scan(spark, sf_dir):
 
 
 def op3_line_dedup(spark, sf_dir):
-    """Runs of three or more lines that occur earlier, removed."""
+    """Lines that occur earlier, in the same document or another, removed."""
     return line_dedup.report(read_documents(spark, sf_dir))
 
 

@@ -265,3 +265,19 @@ def leaked_items(docs, items, units, cover=0.5):
             if len(covered) >= cover * n:
                 found[d].add(i)
     return found
+
+
+def line_dedup(rows, run):
+    """{row number: kept text} of op3 for (id, text) rows whose ids are in row order."""
+    seen, out = set(), {}
+    for k, (_, text) in enumerate(rows):
+        lines = (text or "").split("\n")
+        at = [i for i, x in enumerate(lines) if WORD.search(x)]
+        keys, gone = [lines[i].strip(" \t\n\v\f\r") for i in at], set()
+        for p in range(len(at) - run + 1):
+            key = tuple(keys[p:p + run])
+            if key in seen:
+                gone |= set(at[p:p + run])
+            seen.add(key)
+        out[k] = "\n".join(x for i, x in enumerate(lines) if i not in gone)
+    return out

@@ -1,5 +1,6 @@
 """Every operator on edge rows and empty tables, against brute force."""
 
+import time
 from collections import Counter
 
 import numpy as np
@@ -306,3 +307,22 @@ def test_remove_leaks_with_clashing_columns(spark, edge):
     kept = decontaminate.remove_leaks(docs, items)
     assert kept.columns == docs.columns
     assert sorted(map(tuple, kept.collect()), key=repr) == [(2, "nothing of the kind", "x", "y", "z"), (3, None, None, None, None)]
+
+
+@pytest.mark.parametrize("run", [1, 2, 3])
+def test_line_dedup_matches_brute_force(spark, run):
+    rng = np.random.default_rng(run)
+    pick = lambda: ["", "  ", "a", " a", "b b", "c\t", "d", "\u00e9"][rng.integers(8)]
+    rows = [(i, "\n".join(pick() for _ in range(rng.integers(0, 12)))) for i in range(80)] + [(80, None), (81, "")]
+    df = spark.createDataFrame([(i, t, "clash") for i, t in rows], "doc_id long, text string, r1 string").repartition(4)
+    got = {r["doc_id"]: r["kept"] for r in line_dedup.deduplicate(df, run=run).collect()}
+    assert got == brute.line_dedup(rows, run)
+
+
+def test_line_dedup_of_a_very_long_text(spark):
+    """Time grows with the lines: 100,000 equal lines among different ones in one text."""
+    rows = [(1, "\n".join("same line" if i % 2 else f"line {i}" for i in range(200_000)))]
+    begin = time.time()
+    row = line_dedup.deduplicate(spark.createDataFrame(rows, "doc_id long, text string")).first()
+    assert row["n_removed"] == 99_999 and row["kept"].count("\n") == 100_000
+    assert time.time() - begin < 20
