@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkmart.llm.common import free_prefix, own_columns, words_of
+from sparkmart.llm.common import free_prefix, land, own_columns, words_of
 
 WEIGHTS = (5.0, 2.0, 1.0)
 BUDGET = 1.5
@@ -58,9 +58,12 @@ def position(words: Column, target: Column, slope: Column) -> Column:
     return F.when(slope == 0, f).otherwise(2 * f / (b + F.sqrt(F.greatest(b * b + 4 * slope * f, F.lit(0.0)))))
 
 
-def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: str = SEED) -> tuple[DataFrame, str]:
+def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: str = SEED,
+         landed: bool = False) -> tuple[DataFrame, str]:
     """``docs`` plus working columns under a fresh prefix (returned): size, source_size, target, rank, start
-    (words of the source before this document), passes ``taken1`` and ``taken2`` (words), ``at1`` and ``at2``."""
+    (words of the source before this document), passes ``taken1`` and ``taken2`` (words), ``at1`` and ``at2``.  ``landed``
+    writes the bucket sums first: their size is then known before the documents, text included, are joined
+    with them, which a small table spares a shuffle."""
     p = free_prefix(docs, "mix_")
     own, col = own_columns(docs), lambda c: F.col(f"`{p}{c}`")
     n_rows = docs.count()
@@ -78,6 +81,7 @@ def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
     rename = lambda df: df.select(*[F.col(c).alias(f"{p}{c}") for c in df.columns])
     table = rename(start.join(goal, start.source.eqNullSafe(goal.source)).select(
         start.source.alias("s"), start.bucket.alias("b"), "base", "source_size", "target", "rank"))
+    table = land(table, "bucket-sums") if landed else table
     inside = Window.partitionBy(src, col("bucket")).orderBy(col("key"), F.col(f"`{id_col}`"), col("size")).rowsBetween(Window.unboundedPreceding, -1)
     df = keyed.withColumn(f"{p}before", F.coalesce(F.sum(col("size")).over(inside), F.lit(0)))
     df = df.join(table, src.eqNullSafe(col("s")) & (col("bucket") == col("b"))).withColumn(f"{p}start", col("base") + col("before"))
@@ -105,7 +109,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     """The mixed documents in training order: all columns of ``docs``, whole texts, one row per copy,
     range-sorted by position.  The document at the border of a target counts if half its words or more
     fit, so a source is off its target by at most half a document."""
-    df, p = plan(docs, id_col, text_col, source_col)
+    df, p = plan(docs, id_col, text_col, source_col, landed=True)
     own, col = own_columns(docs), lambda c: F.col(f"`{p}{c}`")
     copies = F.filter(F.array(F.when((col("taken1") * 2 >= col("size")) & (col("size") > 0), col("at1")),
                               F.when((col("taken2") * 2 >= col("size")) & (col("size") > 0), col("at2"))), lambda x: x.isNotNull())
