@@ -113,7 +113,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     own, col = own_columns(docs), lambda c: F.col(f"`{p}{c}`")
     copies = F.filter(F.array(F.when((col("taken1") * 2 >= col("size")) & (col("size") > 0), col("at1")),
                               F.when((col("taken2") * 2 >= col("size")) & (col("size") > 0), col("at2"))), lambda x: x.isNotNull())
-    df = df.select(*own, col("start"), F.explode(copies).alias(f"{p}position"))
+    df = df.select(*own, col("start"), col("rank"), F.explode(copies).alias(f"{p}position"))
     if sort:
-        df = df.repartitionByRange(col("position"), col("start")).sortWithinPartitions(col("position"), col("start"))
+        by = [col("position"), col("start"), col("rank")]  # sources all start at position 0
+        df = df.repartitionByRange(*by).sortWithinPartitions(*by)
     return df.select(*own)
