@@ -1,6 +1,6 @@
 """Language identification with hyperdimensional profiles.
 
-Every letter has a random vector of +1/-1; an n-gram's vector binds its letters' vectors by
+Every letter (of any script) has a random vector of +1/-1 of its own; an n-gram's vector binds its letters' vectors by
 elementwise product after rotating them by their place in the n-gram; a text's vector bundles (adds)
 the vectors of all its trigrams; a language's prototype bundles those of all its training texts.
 The prediction is the language whose prototype has the largest cosine with the text's vector; the
@@ -24,37 +24,35 @@ from sparkmart.llm.common import ship_package
 
 DIM = 1024
 N = 3
-_LATIN, _EXTENDED, _OTHER = 26, 48, 53  # a-z; letters below U+0250, hashed; all others, hashed
-_SYMBOLS = 1 + _LATIN + _EXTENDED + _OTHER
+NEAR = 0x250  # letters below have their vectors in a table, those of others are drawn when met
+_SHIFT, _POINT = 21, (1 << 21) - 1  # a code point fills 21 bits of a trigram's code
 _TABLES: dict = {}
 
 
+def letter_vectors(points: np.ndarray) -> np.ndarray:
+    """The random +1/-1 vectors of code points, one for each letter: the bits of ``DIM / 64`` hashes of
+    the code point, so every task draws the same.  0 is the border."""
+    seeds = np.asarray(points).astype(K.U64)[:, None] * K.U64(DIM // 64) + np.arange(DIM // 64, dtype=K.U64)
+    words = K.mix((seeds + K.U64(1)) * K.U64(0x9E3779B97F4A7C15))
+    return np.unpackbits(words.astype("<u8").view(np.uint8), axis=1).astype(np.int8) * 2 - 1
+
+
 def _tables():
     if not _TABLES:
-        letters = np.random.default_rng(20250301).integers(0, 2, (_SYMBOLS, DIM), dtype=np.int8) * 2 - 1
-        _TABLES["places"] = [np.roll(letters, N - 1 - k, axis=1) for k in range(N)]
-        _TABLES["codes"] = np.array([_code(c) for c in range(0x250)], dtype=np.int64)
+        near = letter_vectors(np.arange(NEAR))
+        _TABLES["places"] = [np.roll(near, N - 1 - k, axis=1) for k in range(N)]
+        _TABLES["points"] = np.array([c if chr(c).isalpha() else 0 for c in range(NEAR)], dtype=np.int64)
     return _TABLES
 
 
-def _code(cp: int) -> int:
-    if not chr(cp).isalpha():
-        return 0
-    if 97 <= cp <= 122:
-        return cp - 96
-    if cp < 0x250:
-        return 1 + _LATIN + cp * 7919 % _EXTENDED
-    return 1 + _LATIN + _EXTENDED + cp * 7919 % _OTHER
-
-
 def symbols(text: str) -> np.ndarray:
-    """Letter numbers of a text, runs of other characters as one 0, with a 0 at both ends."""
+    """Code points of a text's letters, runs of other characters as one 0, with a 0 at both ends."""
     cps = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), "<u4")
-    out = _tables()["codes"][np.minimum(cps, 0x24F)]
-    if len(cps) and cps.max() >= 0x250:
-        far = np.flatnonzero(cps >= 0x250)
+    out = _tables()["points"][np.minimum(cps, NEAR - 1)]
+    if len(cps) and cps.max() >= NEAR:
+        far = np.flatnonzero(cps >= NEAR)
         kinds, at = np.unique(cps[far], return_inverse=True)
-        out[far] = np.array([_code(int(c)) for c in kinds], np.int64)[at]
+        out[far] = np.array([int(c) if chr(c).isalpha() else 0 for c in kinds], np.int64)[at]
     out = np.concatenate(([0], out, [0]))
     return out[np.concatenate(([True], (out[1:] != 0) | (out[:-1] != 0)))]
 
@@ -63,14 +61,18 @@ def trigrams(text: str) -> np.ndarray:
     s = symbols(text)
     if len(s) < N or not s.any():
         return np.zeros(0, np.int64)
-    return (s[:-2] * _SYMBOLS + s[1:-1]) * _SYMBOLS + s[2:]
+    return (s[:-2] << 2 * _SHIFT) | (s[1:-1] << _SHIFT) | s[2:]
 
 
 def gram_vectors(codes: np.ndarray) -> np.ndarray:
     """Bound vectors of trigram codes, as float32 rows."""
-    p = _tables()["places"]
-    a, b, c = codes // _SYMBOLS**2, codes // _SYMBOLS % _SYMBOLS, codes % _SYMBOLS
-    return (p[0][a] * p[1][b] * p[2][c]).astype(np.float32)
+    letters = [codes >> 2 * _SHIFT, codes >> _SHIFT & _POINT, codes & _POINT]
+    places = _tables()["places"]
+    if len(codes) and max(int(x.max()) for x in letters) >= NEAR:
+        kinds, at = np.unique(np.concatenate(letters), return_inverse=True)
+        drawn, letters = letter_vectors(kinds), np.split(at, N)
+        places = [np.roll(drawn, N - 1 - k, axis=1) for k in range(N)]
+    return (places[0][letters[0]] * places[1][letters[1]] * places[2][letters[2]]).astype(np.float32)
 
 
 def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> dict[str, np.ndarray]:
