@@ -54,8 +54,8 @@ def op9_near_dedup(spark, sf_dir):
 
 
 def op10_training_order(spark, sf_dir):
-    """All documents as fixed-length token sequences in training order."""
-    return training_order.sequences(read_documents(spark, sf_dir))
+    """All documents as fixed-length token sequences in training order, read back from their shard files."""
+    return training_order.materialise(read_documents(spark, sf_dir))
 
 
 def op11_token_alignment(spark, sf_dir):

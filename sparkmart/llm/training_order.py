@@ -10,7 +10,8 @@
    a bijection on ``0 .. n-1``, computed per row with no sort, no state and no coordination.
 3. Pieces of sequences go to the range partition of their slot, are sorted there and joined.
    Slot ``s`` is in shard ``s // per_shard`` at byte ``(s % per_shard) * stride``: reading is
-   sequential and may go on from any slot.
+   sequential and may go on from any slot.  ``materialise`` writes each shard as one file from the
+   task that sorts it, and reads the sequences back from the files.
 
 Null and empty texts contribute the end id only; an empty table gives no sequence.  Ids may be null
 or repeated (null ids are left out of ``doc_ids``); other columns are not read.
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 
 from sparkmart.llm import textkernel as K
 from sparkmart.llm import tokenizer as T
-from sparkmart.llm.common import scratch_path, ship_package
+from sparkmart.llm.common import land, scratch_path, ship_package
 
 LENGTH = 2048
 PER_SHARD = 4096
@@ -75,10 +76,42 @@ def encode(docs: DataFrame, id_col: str, text_col: str, vocabulary: str) -> Data
     return spark.read.schema(schema).parquet(path)
 
 
+class _Shards:
+    """Writes shard files below ``folder`` from one task, whose rows come in slot order.
+
+    A file is written under a name of its own and renamed when complete, so a lost task leaves no half
+    shard, and a later attempt or run replaces a shard whole."""
+
+    def __init__(self, folder: str):
+        from pyarrow import fs as pafs
+        self.store, self.root = pafs.FileSystem.from_uri(folder)
+        self.store.create_dir(self.root, recursive=True)
+        self.shard, self.out = None, None
+
+    def put(self, shard: int, tokens: bytes) -> None:
+        import uuid
+        if shard != self.shard:
+            self.close()
+            self.shard, self.temp = shard, f"{self.root}/.shard-{shard:08d}-{uuid.uuid4().hex}"
+            self.out = self.store.open_output_stream(self.temp)
+        self.out.write(tokens)
+
+    def close(self) -> None:
+        from pyarrow import fs as pafs
+        if self.out is None:
+            return
+        self.out.close()
+        self.out, path = None, f"{self.root}/shard-{self.shard:08d}.bin"
+        if self.store.get_file_info(path).type != pafs.FileType.NotFound:  # not every store renames onto a file
+            self.store.delete_file(path)
+        self.store.move(self.temp, path)
+
+
 def sequences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,
-              per_shard: int = PER_SHARD, key: int = KEY, vocabulary: str = T.VOCABULARY) -> DataFrame:
+              per_shard: int = PER_SHARD, key: int = KEY, vocabulary: str = T.VOCABULARY, folder: str | None = None) -> DataFrame:
     """One row per sequence, range-partitioned and sorted by slot: slot, shard, byte_offset, seq,
-    n_tokens (without padding), doc_ids, tokens (``length`` little-endian ids)."""
+    n_tokens (without padding), doc_ids, tokens (``length`` little-endian ids).  With a ``folder`` (a URI
+    that executors reach) the tokens go to its shard files as the rows are made, and ``tokens`` is null."""
     spark = docs.sparkSession
     ship_package(spark)
     stream = encode(docs, id_col, text_col, vocabulary)
@@ -114,11 +147,15 @@ def sequences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
         names = ["slot", "shard", "byte_offset", "seq", "n_tokens", "doc_ids", "tokens"]
         types = [pa.int64()] * 5 + [pa.list_(pa.int64()), pa.binary()]
         rows, current, seq, ids, parts = [], None, None, [], []
+        shards = _Shards(folder) if folder else None
 
         def close():
             blob = b"".join(parts)
-            rows.append((current, current // per_shard, current % per_shard * length * width, seq, len(blob) // width,
-                         [k for k in ids if k is not None], blob + pad * (length - len(blob) // width)))
+            n, blob = len(blob) // width, blob + pad * (length - len(blob) // width)
+            if shards:
+                shards.put(current // per_shard, blob)
+            rows.append((current, current // per_shard, current % per_shard * length * width, seq, n,
+                         [k for k in ids if k is not None], None if shards else blob))
 
         def flush():
             out = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
@@ -137,6 +174,8 @@ def sequences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
                 parts.append(piece)
         if current is not None:
             close()
+        if shards:
+            shards.close()
         if rows:
             yield flush()
 
@@ -144,38 +183,64 @@ def sequences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
 
 
 def write_shards(rows: DataFrame, folder: str) -> DataFrame:
-    """Write ``shard-NNNNNNNN.bin`` files (fixed stride, slot order) below ``folder``, a URI that
-    executors reach; returns (shard, n_sequences, n_bytes).  Files are written under another name and
-    renamed when complete, so a lost task leaves no half shard and a second attempt replaces it whole."""
+    """Write ``shard-NNNNNNNN.bin`` files (fixed stride, slot order) of ``sequences`` below ``folder``, a URI
+    that executors reach; returns (shard, n_sequences, n_bytes)."""
     def put(batches):
-        import uuid
-        from pyarrow import fs as pafs
-
-        store, root = pafs.FileSystem.from_uri(folder)
-        store.create_dir(root, recursive=True)
-        current, temp, out, n, size = None, None, None, 0, 0
-
-        def close():
-            out.close()
-            store.move(temp, f"{root}/shard-{current:08d}.bin")
-            return pa.RecordBatch.from_arrays([pa.array([current], pa.int64()), pa.array([n], pa.int64()), pa.array([size], pa.int64())],
-                                              names=["shard", "n_sequences", "n_bytes"])
-
+        shards, counts = _Shards(folder), {}
         for batch in batches:
             for shard, tokens in zip(batch.column("shard").to_pylist(), batch.column("tokens").to_pylist()):
-                if shard != current:
-                    if current is not None:
-                        yield close()
-                    current, n, size, temp = shard, 0, 0, f"{root}/.shard-{shard:08d}-{uuid.uuid4().hex}"
-                    out = store.open_output_stream(temp)
-                out.write(tokens)
-                n, size = n + 1, size + len(tokens)
-        if current is not None:
-            yield close()
+                shards.put(shard, tokens)
+                n, size = counts.get(shard, (0, 0))
+                counts[shard] = (n + 1, size + len(tokens))
+        shards.close()
+        if counts:
+            yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.int64()), *(pa.array(c, pa.int64()) for c in zip(*counts.values()))],
+                                             names=["shard", "n_sequences", "n_bytes"])
 
     return rows.select("shard", "tokens").mapInArrow(put, "shard long, n_sequences long, n_bytes long")
 
 
+def read_rows(rows: DataFrame, folder: str, stride: int) -> DataFrame:
+    """``rows`` (slot order inside each partition) with ``tokens`` read from the shard files: a file is opened
+    once per run of its rows, and rows that follow each other are read without a seek."""
+    names = rows.columns
+
+    def fetch(batches):
+        from pyarrow import fs as pafs
+        store, root = pafs.FileSystem.from_uri(folder)
+        current, f, at = None, None, 0
+        for batch in batches:
+            for part in (batch.slice(i, 1024) for i in range(0, batch.num_rows, 1024)):
+                tokens = []
+                for shard, offset in zip(part.column("shard").to_pylist(), part.column("byte_offset").to_pylist()):
+                    if shard != current:
+                        if f is not None:
+                            f.close()
+                        current, f, at = shard, store.open_input_file(f"{root}/shard-{shard:08d}.bin"), 0
+                    if offset != at:
+                        f.seek(offset)
+                    tokens.append(f.read(stride))
+                    if len(tokens[-1]) != stride:
+                        raise OSError(f"shard {shard} ends before byte {offset + stride}")
+                    at = offset + stride
+                yield pa.RecordBatch.from_arrays([pa.array(tokens, pa.binary()) if c == "tokens" else part.column(c) for c in names], names=names)
+        if f is not None:
+            f.close()
+
+    return rows.mapInArrow(fetch, rows.schema)
+
+
+def materialise(docs: DataFrame, folder: str | None = None, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,
+                per_shard: int = PER_SHARD, key: int = KEY, vocabulary: str = T.VOCABULARY) -> DataFrame:
+    """Write the shard files below ``folder`` (a new one in the shared folder if none is given) and return
+    the rows of ``sequences`` with the tokens read back from the files."""
+    spark = docs.sparkSession
+    folder = folder or scratch_path(spark, "shards")
+    rows = land(sequences(docs, id_col, text_col, length, per_shard, key, vocabulary, folder), "shard-index")
+    width = T.Encoder(T.load_vocabulary(vocabulary)).dtype.itemsize
+    return read_rows(rows, folder, length * width)
+
+
 def read_slots(folder: str, start: int, stop: int, length: int = LENGTH, per_shard: int = PER_SHARD, dtype: str = "<u2"):
     """Sequences ``start .. stop-1`` in order, from any place: a resumed training run reads on here."""
     from pyarrow import fs as pafs

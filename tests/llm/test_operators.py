@@ -1,5 +1,6 @@
 """Every operator on edge rows and empty tables, against brute force."""
 
+import os
 import time
 from collections import Counter
 
@@ -167,6 +168,14 @@ def test_language_id(spark):
     assert df.score.between(0, 1).all() and len(df) == len(rows)
 
 
+def test_every_letter_has_its_own_vector():
+    points = np.array([c for c in range(1, 0x3000) if chr(c).isalpha()])
+    assert len(np.unique(language_id.letter_vectors(points), axis=0)) == len(points)
+    near, far = language_id.trigrams("łâ é"), language_id.trigrams("łâ é漢")
+    assert (language_id.gram_vectors(near)[:3] == language_id.gram_vectors(far)[:3]).all()  # table and drawn vectors agree
+    assert language_id.gram_vectors(language_id.trigrams("漢")).shape == (1, language_id.DIM)
+
+
 def test_decontamination(spark):
     item = "Anna has 12 apples and gives 5 km of rope to Bernd before the 12 horses arrive home safely."
     other = item.replace("12", "31").replace("5 km", "9 miles").replace("Bernd", "Clara")
@@ -250,6 +259,20 @@ def test_training_order_round_trip(spark, edge, edge_rows, local_tmp):
     assert all((a == np.frombuffer(bytes(b["tokens"]), "<u2")).all() for a, b in zip(back, got[5:])) and len(back) == len(got) - 5
 
 
+def test_materialise_reads_back_its_shards(edge, local_tmp):
+    want = {r["seq"]: r for r in training_order.sequences(edge, length=64, per_shard=7).collect()}
+    for folder in (local_tmp + "/a", None, local_tmp + "/a"):  # the last replaces the shards of the first
+        got = training_order.materialise(edge, folder, length=64, per_shard=7).collect()
+        assert sorted(map(tuple, got)) == sorted(map(tuple, want.values()))
+    files = sorted(f for f in os.listdir(local_tmp + "/a"))
+    assert files == [f"shard-{k:08d}.bin" for k in range(-(-len(want) // 7))]
+    assert all(os.path.getsize(f"{local_tmp}/a/{f}") == 7 * 128 for f in files[:-1])
+    rows = training_order.materialise(edge, local_tmp + "/a", length=64, per_shard=7)
+    with open(f"{local_tmp}/a/{files[0]}", "r+b") as f:  # what is returned is what the files hold
+        f.write(b"\xff" * 128)
+    assert [r["slot"] for r in rows.collect() if bytes(r["tokens"]) == b"\xff" * 128] == [0]
+
+
 def test_empty_tables(spark, empty):
     bench = spark.createDataFrame([], "item_id long, text string")
     assert token_counts.attribute(empty).count() == 0
@@ -261,7 +284,7 @@ def test_empty_tables(spark, empty):
     assert decontaminate.report(empty, bench).count() == 0 and decontaminate.remove_leaks(empty, bench).count() == 0
     assert quality_rules.report(empty).count() == 0 and quality_rules.keep_good(empty).count() == 0
     assert near_dedup.classes(empty).count() == 0 and near_dedup.deduplicate(empty).count() == 0
-    assert training_order.sequences(empty).count() == 0
+    assert training_order.sequences(empty).count() == 0 and training_order.materialise(empty).count() == 0
 
 
 def test_near_dedup_counts_every_shingle_on_its_own(spark):
