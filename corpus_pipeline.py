@@ -33,8 +33,8 @@ def source_mix(spark, docs, sf_dir):
 
 
 def token_output(spark, docs, sf_dir):
-    """Fixed-length token sequences in training order."""
-    return training_order.sequences(docs)
+    """Fixed-length token sequences in training order, read back from their shard files."""
+    return training_order.materialise(docs)
 
 
 def configured(stage):
