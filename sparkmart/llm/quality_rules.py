@@ -5,7 +5,7 @@ in 8-word windows found twice or more.  A document fails them with under ``MIN_W
 over ``MAX_REPEAT`` per cent of its words repeated.
 
 The method: each document has a histogram of character classes and one of common words (a language's
-``TOP_WORDS`` most frequent words of up to five letters, and "other").  The references come from
+``TOP_WORDS`` most frequent words, lower-cased and without trailing stops on both sides, and "other").  The references come from
 all documents of a language: the median document's share of each character class (junk below half
 of the documents does not move it) and the words' shares of all words.  A document is dropped if its smallest
 Jensen-Shannon distance (base 2, 0..1) to any reference is above ``MAX_CHAR`` (texts of
@@ -13,16 +13,19 @@ Jensen-Shannon distance (base 2, 0..1) to any reference is above ``MAX_CHAR`` (t
 texts have too few counts for a verdict.
 
 DataFrame functions only.  Every language has its reference: they are a landed table, of which one
-block of about ``BLOCK_LANGUAGES`` languages at a time reaches the driver; more than one block is scored in
-as many passes, with the least distance so far in each row.  Null texts
+block of about ``BLOCK_LANGUAGES`` languages at a time reaches the driver and becomes one literal of the plan,
+whose size does not depend on the languages; more than one block is scored in as many passes, with the
+least distance so far in each row.  Null texts
 count as empty: no words, so they fail the base rules.  Null languages build no reference; without
 any reference the base rules alone decide.  Ids may be null or repeated: nothing is keyed by them.
 """
 
 from __future__ import annotations
 
+import json
 import math
 
+import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,11 +35,10 @@ SPAN = 8
 MIN_WORDS = 20
 MAX_REPEAT = 30
 TOP_WORDS = 40
-#: Steps in which a document's share of a character class is counted for the median.
-BINS = 2000
-#: Common words are lower-cased, without trailing stops, and this long at most.
-SHORT = 5
+#: Common words are lower-cased and without trailing stops.
 STOPS = ".,;:!?"
+#: Words of more characters are named by their digest, so that references stay small.
+NAMED = 64
 #: Steps in which a document's share of a character class is counted for the median.
 BINS = 2000
 CHAR_GUARD, WORD_GUARD = 300, 50
@@ -67,12 +69,9 @@ def _class_counts(rare: Column, n_chars: Column, word_chars: Column) -> list[Col
 
 
 def _bare(word: Column) -> Column:
-    return F.rtrim(F.lower(word), F.lit(STOPS))
-
-
-def _spellings(known: list[str]) -> list[str]:
-    """The forms in which a common word is met: as it is, capitalised or in capitals, with a stop or none."""
-    return sorted({form + stop for w in known for form in (w, w.capitalize(), w.upper()) for stop in ("", *STOPS)})
+    """The word as it is counted: lower-cased, without trailing stops; a very long one is named by its digest."""
+    bare = F.rtrim(F.lower(word), F.lit(STOPS))
+    return F.when(F.length(word) > NAMED, F.when(F.length(bare) > NAMED, F.md5(bare)).otherwise(bare)).otherwise(bare)
 
 
 def _repeat_words(words: Column, span: int = SPAN) -> Column:
@@ -101,7 +100,7 @@ def _covered(hashes: Column, span: int) -> Column:
 def _hits(words: Column, known: list[str]) -> Column:
     if not known:
         return F.array().cast("array<string>")
-    return F.sort_array(F.filter(F.transform(F.filter(words, lambda w: w.isin(_spellings(known))), _bare), lambda w: w.isin(known)))
+    return F.sort_array(F.filter(F.transform(words, _bare), lambda w: w.isin(known)))
 
 
 def _measure_all(docs: DataFrame, parts: list[int], known_of, prefix: str, text_col: str = "text") -> DataFrame:
@@ -138,12 +137,10 @@ def measure(docs: DataFrame, known: list[str], prefix: str, text_col: str = "tex
 # --- references -----------------------------------------------------------------------------
 
 def common_words(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """Landed (lang, word, k, n): for each language the ``TOP_WORDS`` most frequent short words of all its
+    """Landed (lang, word, k, n): for each language the ``TOP_WORDS`` most frequent words of all its
     documents with their counts, the count of all its words, and a row with the empty word."""
     base = docs.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).where("lang is not null and text is not null")
-    word = F.when(F.length("w") <= SHORT + 1, _bare(F.col("w")))
-    word = F.when((F.length(word) <= SHORT) & (word != ""), word).otherwise(F.lit(""))  # the empty word counts all others
-    counts = (base.select("lang", F.explode(words_of(F.col("text"))).alias("w")).select("lang", "w", word.alias("word"))
+    counts = (base.select("lang", F.explode(words_of(F.col("text"))).alias("w")).select("lang", _bare(F.col("w")).alias("word"))
               .groupBy("lang", "word").agg(F.count(F.lit(1)).alias("k")))
     counts = land(counts, "common-words")
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("k"), "word"))
@@ -217,51 +214,62 @@ def _xlnx(x: Column) -> Column:
     return F.when(x > 0, x * F.log(x)).otherwise(F.lit(0.0))
 
 
-def _cell(p: Column, q: float) -> Column:
-    """A cell's part of twice the Jensen-Shannon divergence, without the constant 2 ln 2 of all cells."""
-    return _xlnx(p) + (q * math.log(q) if q > 0 else 0.0) - _xlnx(p + F.lit(float(q)))
+def _constant(value, schema: str) -> Column:
+    """A nested constant as one literal of the plan, whatever its size."""
+    return F.from_json(F.lit(json.dumps(value)), schema)
+
+
+def _cells(p: Column, q: Column) -> Column:
+    """Parts of twice the Jensen-Shannon divergence, without the constant 2 ln 2 of all cells."""
+    return _xlnx(p) + _xlnx(q) - _xlnx(p + q)
+
+
+def _sum(values: Column) -> Column:
+    return F.aggregate(values, F.lit(0.0), lambda a, x: a + x)
 
 
-def char_distance(counts: list[Column], total: Column, ref: dict) -> Column:
-    out = F.lit(2 * math.log(2))
-    for c, q in zip(counts, ref["classes"]):
-        out = out + _cell(c / total, q)
-    return _distance(out)
+def char_distances(counts: list[Column], total: Column, refs: list[dict]) -> Column:
+    """Array of distances of the character classes, one for each reference."""
+    return let(F.array(*[c / total for c in counts]), lambda shares: F.transform(
+        _constant([r["classes"] for r in refs], "array<array<double>>"),
+        lambda ref: _distance(F.lit(2 * math.log(2)) + _sum(F.zip_with(shares, ref, _cells)))))
 
 
 def word_distances(hits: Column, n_words: Column, refs: list[dict]) -> Column:
     """Array of distances of the common-word histogram, one for each reference.
 
     With x' = x ln x, twice the divergence is the sum of p' + q' - (p + q)' over all cells plus 2 ln 2;
-    cells that a document lacks add nothing, so only its own words are visited.
+    cells that document or reference lack add nothing, so only the document's own words are visited, and
+    of each word only the references that have it.  Words are found in small maps dealt by their hash.
     """
-    known = sorted({w for r in refs for w in r["words"]})
-    if not known:
-        known = [""]  # never met
-    value = lambda w: [float(r["words"].get(w, 0.0)) for r in refs]
-    shares = F.create_map(*[x for w in known for x in (F.lit(w), F.array(
-        *[F.lit(q) for q in value(w)], *[F.lit(q * math.log(q) if q > 0 else 0.0) for q in value(w)]))])
-
-    none = F.array(*[F.lit(0.0)] * (2 * len(refs)))  # a common word of other blocks only
+    by_word: dict[str, list] = {}
+    for j, r in enumerate(refs):
+        for w, q in r["words"].items():
+            by_word.setdefault(w, []).append([j, float(q)])
+    n_maps = max(1, len(by_word) // 4)
+    maps: list[dict] = [{} for _ in range(n_maps)]
+    for w, of in by_word.items():
+        maps[xxhash.xxh64_intdigest(w.encode(), 42) % n_maps][w] = [{"j": j, "q": q} for j, q in of]
+    rests = [1.0 - min(1.0, math.fsum(r["words"].values())) for r in refs]
+    lookup = _constant(maps, "array<map<string, array<struct<j: int, q: double>>>>")
+    # the hash is read as unsigned: pmod of the high and the low half
+    place = lambda w: F.pmod(F.pmod(F.shiftrightunsigned(F.xxhash64(w), 32), F.lit(n_maps)) * ((1 << 32) % n_maps)
+                             + F.xxhash64(w).bitwiseAND(F.lit((1 << 32) - 1)), F.lit(n_maps)).cast("int")
+    firsts = lambda h: F.filter(F.transform(h, lambda w, i: F.when((i == 0) | (F.get(h, i - 1) != w), i)), lambda i: i.isNotNull())
 
     def runs(h, starts, total):
-        return F.transform(starts, lambda i, k: F.struct(F.coalesce(shares[F.get(h, i)], none).alias("q"),
-                                                         ((F.coalesce(F.get(starts, k + 1), F.size(h)) - i) / total).alias("p")))
-
-    def distances(e):
-        seen = F.aggregate(e, F.lit(0.0), lambda a, x: a + x["p"])
-        own = F.aggregate(e, F.lit(0.0), lambda a, x: a + x["p"] * F.log(x["p"]))
+        return F.transform(starts, lambda i, k: F.struct(F.get(h, i).alias("w"), ((F.coalesce(F.get(starts, k + 1), F.size(h)) - i) / total).alias("p")))
+
+    def distances(found):
+        cells = F.flatten(F.transform(found, lambda x: F.transform(
+            F.coalesce(F.get(lookup, place(x["w"]))[x["w"]], F.array().cast("array<struct<j: int, q: double>>")),  # none: a word of other blocks
+            lambda e: F.struct(e["j"].alias("j"), _cells(x["p"], e["q"]).alias("v")))))
+        rest = F.greatest(1 - _sum(F.transform(found, lambda x: x["p"])), F.lit(0.0))
+        return let(F.struct(cells.alias("cells"), rest.alias("rest")), lambda s: F.transform(
+            _constant(rests, "array<double>"),
+            lambda q, j: _distance(F.lit(2 * math.log(2)) + _cells(s["rest"], q)
+                                   + F.aggregate(s["cells"], F.lit(0.0), lambda a, x: a + F.when(x["j"] == j, x["v"]).otherwise(F.lit(0.0))))))
 
-        def one(j, r):
-            common = min(1.0, math.fsum(r["words"].values()))
-            cells = F.aggregate(e, F.lit(0.0), lambda a, x: a + F.get(x["q"], F.lit(len(refs) + j))
-                                - (x["p"] + F.get(x["q"], F.lit(j))) * F.log(x["p"] + F.get(x["q"], F.lit(j))))
-            return lambda s: _distance(F.lit(2 * math.log(2)) + s["own"] + cells + _cell(s["rest"], 1.0 - common))
-
-        return let(F.struct(own.alias("own"), F.greatest(1 - seen, F.lit(0.0)).alias("rest")),
-                   lambda s: F.array(*[one(j, r)(s) for j, r in enumerate(refs)]))
-
-    firsts = lambda h: F.filter(F.transform(h, lambda w, i: F.when((i == 0) | (F.get(h, i - 1) != w), i)), lambda i: i.isNotNull())
     return let(hits, lambda h: let(F.greatest(n_words, F.lit(1)).cast("double"),
                                    lambda t: let(firsts(h), lambda s: let(runs(h, s, t), distances))))
 
@@ -276,7 +284,7 @@ def _least(measured: DataFrame, blocks: list[int], block_of, p: str) -> DataFram
         refs = block_of(i)
         if not refs:
             continue
-        char = F.array_min(F.array(*[char_distance(counts, total, r) for r in refs]))
+        char = F.array_min(char_distances(counts, total, refs))
         word = F.array_min(word_distances(col("hits"), col("n_words"), refs))
         if done:
             char, word, df = F.least(col("char"), char), F.least(col("word"), word), land(df, "quality-least")

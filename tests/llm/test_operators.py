@@ -321,6 +321,23 @@ def test_quality_references_of_every_language(spark, monkeypatch):
     assert quality_rules.keep_good(df).count() == sum(r["kept"] for r in whole.values())
 
 
+def test_quality_of_three_hundred_languages(spark):
+    """At the default block size; long words and any number of trailing stops count on both sides."""
+    rng = np.random.default_rng(5)
+    rows = []
+    for k in range(300):
+        own = [f"w{k}" + "".join(chr(97 + int(x)) for x in rng.integers(0, 26, 7)) for _ in range(10)]
+        rows += [(2 * k + j, " ".join(own[i].capitalize() + "..." for i in rng.integers(0, 10, 80)), f"l{k:03d}") for j in range(2)]
+    rows.append((1000, " ".join(f"alien{i}" for i in range(80)), None))
+    rows += [(1001, ("é" * 100_000 + "! ") * 60, "long"), (1002, ("É" * 100_000 + " ") * 60, None)]
+    start = time.time()
+    got = {r["doc_id"]: r for r in quality_rules.report(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert time.time() - start < 90
+    assert all(got[i]["word_distance"] < 0.3 for i in range(600))
+    assert got[1001]["word_distance"] == got[1002]["word_distance"] == pytest.approx(0.0, abs=1e-6)
+    assert got[1000]["word_distance"] == pytest.approx(1.0) and not got[1000]["kept"]
+
+
 def test_remove_leaks_with_clashing_columns(spark, edge):
     """Columns of any name pass through, also those that the operator works with."""
     text = "how many red apples does the old farmer sell at the market every single morning in june"
