@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import io
+import threading
 import zipfile
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,13 +18,38 @@ from sparkmart.session import scratch_path, shared_dir
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def land(df: DataFrame, name: str, **options: str) -> DataFrame:
+_OPEN = threading.local()
+
+
+@contextmanager
+def temporary_tables(spark: SparkSession):
+    """Deletes, when the block ends, what it put into the shared folder without ``keep=True``: tables that a landed
+    result has replaced.  No frame that reads one of them may leave the block."""
+    outer, _OPEN.paths = getattr(_OPEN, "paths", None), []
+    try:
+        yield
+    finally:
+        paths, _OPEN.paths = _OPEN.paths, outer
+        for p in paths:
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p)
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def table_path(spark: SparkSession, name: str, keep: bool = False) -> str:
+    """A new path in the shared folder, known to the ``temporary_tables`` around it unless kept."""
+    path = scratch_path(spark, name)
+    if not keep and getattr(_OPEN, "paths", None) is not None:
+        _OPEN.paths.append(path)
+    return path
+
+
+def land(df: DataFrame, name: str, keep: bool = False, **options: str) -> DataFrame:
     """Write a small intermediate table once to the cluster's shared folder and read it back.
 
     Cuts the lineage without ``localCheckpoint``: the files outlive any executor.
     """
     spark = df.sparkSession
-    path = scratch_path(spark, name)
+    path = table_path(spark, name, keep)
     df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -101,4 +128,4 @@ def free_name(df: DataFrame, stem: str) -> str:
     return name
 
 
-__all__ = ["WORD", "join_counted", "land", "ship_package", "read_documents", "digest", "let", "words_of", "free_name", "free_prefix", "own_columns", "scratch_path", "shared_dir"]
+__all__ = ["WORD", "join_counted", "land", "ship_package", "table_path", "temporary_tables", "read_documents", "digest", "let", "words_of", "free_name", "free_prefix", "own_columns", "scratch_path", "shared_dir"]

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkmart.llm import textkernel as K
-from sparkmart.llm.common import digest, land, ship_package
+from sparkmart.llm.common import digest, land, ship_package, temporary_tables
 from sparkmart.llm.components import components
 
 SHINGLE = 5
@@ -467,13 +467,14 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **o
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` with one row of each class: its least (id, text digest); all columns kept unchanged."""
-    found = find(docs, id_col, text_col, **options)
-    keep = (found.rows.join(found.classes, "node").groupBy("comp")
-            .agg(F.min(F.struct(F.col("id").isNull().alias("late"), "id", "h1", "h2")).alias("k")).select("k.id", "k.h1", "k.h2"))
     # Plain equality on these names lets the join's partitioning serve the removal of repeated rows: texts move once.
     key = ["k_id", "k_null", "k_h1", "k_h2"]
     name = lambda i, a, b: [F.coalesce(i, F.lit(0).cast("long")).alias(key[0]), i.isNull().alias(key[1]), a.alias(key[2]), b.alias(key[3])]
-    keep = land(keep.select(*name(F.col("id"), F.col("h1"), F.col("h2"))), "near-keep")
+    with temporary_tables(docs.sparkSession):
+        found = find(docs, id_col, text_col, **options)
+        keep = (found.rows.join(found.classes, "node").groupBy("comp")
+                .agg(F.min(F.struct(F.col("id").isNull().alias("late"), "id", "h1", "h2")).alias("k")).select("k.id", "k.h1", "k.h2"))
+        keep = land(keep.select(*name(F.col("id"), F.col("h1"), F.col("h2"))), "near-keep", keep=True)
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     marked = docs.select(row, *name(F.col(id_col).cast("long"), *digest(F.col(text_col))))
     return marked.join(keep, key).dropDuplicates(key).select("row.*")

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from sparkmart.llm import textkernel as K
 from sparkmart.llm import tokenizer as T
-from sparkmart.llm.common import land, scratch_path, ship_package
+from sparkmart.llm.common import land, scratch_path, ship_package, table_path, temporary_tables
 
 LENGTH = 2048
 PER_SHARD = 4096
@@ -70,7 +70,7 @@ def encode(docs: DataFrame, id_col: str, text_col: str, vocabulary: str) -> Data
                      pa.array(blobs, pa.binary())], names=["task", "start", "n", "id", "tokens"])
                 at += int(n.sum())
 
-    path = scratch_path(spark, "tokens")
+    path = table_path(spark, "tokens")
     (docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
      .mapInArrow(run, schema := "task long, start long, n long, id long, tokens binary").write.option("compression", "zstd").parquet(path))
     return spark.read.schema(schema).parquet(path)
@@ -236,7 +236,8 @@ def materialise(docs: DataFrame, folder: str | None = None, id_col: str = "doc_i
     the rows of ``sequences`` with the tokens read back from the files."""
     spark = docs.sparkSession
     folder = folder or scratch_path(spark, "shards")
-    rows = land(sequences(docs, id_col, text_col, length, per_shard, key, vocabulary, folder), "shard-index")
+    with temporary_tables(spark):  # the shards replace the token stream
+        rows = land(sequences(docs, id_col, text_col, length, per_shard, key, vocabulary, folder), "shard-index", keep=True)
     width = T.Encoder(T.load_vocabulary(vocabulary)).dtype.itemsize
     return read_rows(rows, folder, length * width)
 
