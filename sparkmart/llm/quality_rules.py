@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkmart.llm.common import WORD, free_prefix, land, let, own_columns, words_of
+from sparkmart.llm.common import WORD, free_prefix, land, let, own_columns, temporary_tables, words_of
 
 SPAN = 8
 MIN_WORDS = 20
@@ -37,8 +37,10 @@ MAX_REPEAT = 30
 TOP_WORDS = 40
 #: Common words are lower-cased and without trailing stops.
 STOPS = ".,;:!?"
-#: Words of more characters are named by their digest, so that references stay small.
-NAMED = 64
+#: The stops at the end of a word, after its last other character.
+TRAILING = rf"[{STOPS}](?<=[^\x20\x09-\x0D{STOPS}].)[{STOPS}]*(?=[\x20\x09-\x0D]|\z)"
+#: Words of more bytes are named by their digest, so that references stay small.
+NAMED = 256
 #: Steps in which a document's share of a character class is counted for the median.
 BINS = 2000
 CHAR_GUARD, WORD_GUARD = 300, 50
@@ -68,10 +70,14 @@ def _class_counts(rare: Column, n_chars: Column, word_chars: Column) -> list[Col
     return [*counts, n_chars - word_chars, F.greatest(word_chars - total, F.lit(0))]
 
 
-def _bare(word: Column) -> Column:
-    """The word as it is counted: lower-cased, without trailing stops; a very long one is named by its digest."""
-    bare = F.rtrim(F.lower(word), F.lit(STOPS))
-    return F.when(F.length(word) > NAMED, F.when(F.length(bare) > NAMED, F.md5(bare)).otherwise(bare)).otherwise(bare)
+def _counted_words(text: Column) -> Column:
+    """The words as they are counted, as many as ``words_of``: lower-cased, without the stops at their end (a word
+    of stops only stays).  Both steps run on the whole text, much faster than word by word."""
+    return words_of(F.regexp_replace(F.lower(text), TRAILING, ""))
+
+
+def _named(word: Column) -> Column:
+    return F.when(F.octet_length(word) > NAMED, F.md5(word)).otherwise(word)
 
 
 def _repeat_words(words: Column, span: int = SPAN) -> Column:
@@ -97,17 +103,18 @@ def _covered(hashes: Column, span: int) -> Column:
         F.transform(p, lambda x, k: F.least(F.lit(span), F.coalesce(F.get(p, k + 1) - x, F.lit(span)))), F.lit(0), lambda a, x: a + x)), 1)
 
 
-def _hits(words: Column, known: list[str]) -> Column:
+def _hits(text: Column, known: list[str]) -> Column:
     if not known:
         return F.array().cast("array<string>")
-    return F.sort_array(F.filter(F.transform(words, _bare), lambda w: w.isin(known)))
+    some = F.filter(_counted_words(text), lambda w: w.isin(known) | (F.octet_length(w) > NAMED))
+    return F.sort_array(F.filter(F.transform(some, _named), lambda w: w.isin(known)))
 
 
 def _measure_all(docs: DataFrame, parts: list[int], known_of, prefix: str, text_col: str = "text") -> DataFrame:
     """``measure`` with the common words of all ``parts``, a pass for each part after the first."""
     df, hits = measure(docs, known_of(parts[0]) if parts else [], prefix, text_col), f"{prefix}hits"
     for k in parts[1:]:
-        more = _hits(words_of(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))), known_of(k))
+        more = _hits(F.coalesce(F.col(f"`{text_col}`"), F.lit("")), known_of(k))
         df = land(df.withColumn(hits, F.sort_array(F.concat(F.col(f"`{hits}`"), more))), "quality-hits")
     return df
 
@@ -127,7 +134,7 @@ def measure(docs: DataFrame, known: list[str], prefix: str, text_col: str = "tex
                    F.length(F.array_join(words, "")).cast("long").alias(f"{p}word_chars"))
     lines = F.filter(F.split(text, "\n", -1), lambda s: s.rlike(WORD))
     dup = let(lines, lambda a: F.size(a) - F.size(F.array_distinct(a)))
-    hits = _hits(words, known)
+    hits = _hits(text, known)
     return df.select(
         *own, F.size(words).cast("long").alias(f"{p}n_words"), chars, n_chars, _left(rare, r"[^#*$%&|<>]+").cast("long").alias(f"{p}n_symbols"),
         dup.cast("long").alias(f"{p}n_dup_lines"), _repeat_words(words).cast("long").alias(f"{p}n_repeat_words"), hits.alias(f"{p}hits"),
@@ -140,14 +147,15 @@ def common_words(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
     """Landed (lang, word, k, n): for each language the ``TOP_WORDS`` most frequent words of all its
     documents with their counts, the count of all its words, and a row with the empty word."""
     base = docs.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).where("lang is not null and text is not null")
-    counts = (base.select("lang", F.explode(words_of(F.col("text"))).alias("w")).select("lang", _bare(F.col("w")).alias("word"))
+    counts = (base.select("lang", F.explode(_counted_words(F.col("text"))).alias("w")).select("lang", _named(F.col("w")).alias("word"))
               .groupBy("lang", "word").agg(F.count(F.lit(1)).alias("k")))
-    counts = land(counts, "common-words")
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("k"), "word"))
-    top = counts.where("word <> ''").withColumn("rank", rank).where(F.col("rank") <= TOP_WORDS).select("lang", "word", "k")
-    total = counts.groupBy("lang").agg(F.sum("k").alias("n"))
-    rest = total.select("lang", F.lit("").alias("word"), F.lit(0).cast("long").alias("k"))
-    return land(top.union(rest).join(total, "lang"), "common-top")
+    with temporary_tables(docs.sparkSession):
+        counts = land(counts, "common-words")
+        rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("k"), "word"))
+        top = counts.where("word <> ''").withColumn("rank", rank).where(F.col("rank") <= TOP_WORDS).select("lang", "word", "k")
+        total = counts.groupBy("lang").agg(F.sum("k").alias("n"))
+        rest = total.select("lang", F.lit("").alias("word"), F.lit(0).cast("long").alias("k"))
+        return land(top.union(rest).join(total, "lang"), "common-top", keep=True)
 
 
 class References:
