@@ -14,8 +14,9 @@ a tree is grown from sums of the logistic loss's gradients ``g = p - y`` and hes
 
 All settings and folds of a search grow together: a pass over the rows adds the histograms of as many
 models as fit ``HISTOGRAM_BYTES``, so a search takes (trees x depth) jobs, not that number per model.  Sums
-are whole numbers (fixed point), so trees do not depend on the partitioning.  Margins of all models are
-landed in the shared folder every ``LAND_EVERY`` trees, which also cuts the lineage.
+are whole numbers (fixed point), so trees do not depend on the partitioning.  The binned rows are dealt evenly
+over the cores.  A task takes its rows column by column: a model sees only the rows of its folds and its draw.
+Margins of the models that still grow are landed in the shared folder every ``LAND_EVERY`` trees.
 
 A fitted model is handed over as an ordinary ``GBTClassificationModel`` (the trees' sum is half the
 log-odds there), so scoring, saving and loading run in the JVM like those of any other Spark model.
@@ -41,9 +42,11 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])  # workers need not
 
 MAX_BINS = 256
 HISTOGRAM_BYTES = 64 << 20
-LAND_EVERY = 10
+LAND_EVERY = 17
 #: Elements (models x rows) that a task works on at a time.
-CHUNK = 1 << 20
+CHUNK = 1 << 22
+#: Rows of a state file, unless the cores are more than such files.
+FILE_ROWS = 1 << 18
 DEFAULTS = {"n_estimators": 100, "max_depth": 6, "learning_rate": 0.3, "subsample": 1.0, "colsample_bytree": 1.0,
             "gamma": 0.0, "min_child_weight": 1.0, "reg_alpha": 0.0, "reg_lambda": 1.0}
 
@@ -77,45 +80,55 @@ def bin_edges(df: DataFrame, feature_cols: Sequence[str], max_bins: int = MAX_BI
 
 # --- inside tasks ----------------------------------------------------------------------------
 
-def _descend(bins: np.ndarray, feature: np.ndarray, cut: np.ndarray, depth: int) -> np.ndarray:
-    """Node (heap position) of every row in every model's tree: int matrix (model, row)."""
-    node = np.zeros((len(feature), len(bins)), np.int64)
-    model, row = np.arange(len(feature))[:, None], np.arange(len(bins))[None, :]
-    for _ in range(depth):
-        f = feature[model, node]
-        right = bins[row, np.maximum(f, 0)] > cut[model, node]
-        node = np.where(f >= 0, 2 * node + 1 + right, node)
-    return node
+def _positions(bins, feature, cut, levels: int, node: int = 0):
+    """Heap position of every row after some levels of a tree; one number if no row is parted.
+
+    ``bins`` are arrays by feature; ``feature`` and ``cut`` lists by heap position.
+    """
+    if levels == 0 or feature[node] < 0:
+        return np.min_scalar_type(len(feature)).type(node)
+    left, right = (_positions(bins, feature, cut, levels - 1, 2 * node + 1 + side) for side in (0, 1))
+    return left ^ (left ^ right) * (bins[feature[node]] > cut[node])  # the right one where the bin is above the cut
 
 
-def _margins(bins, start, trees, depth):
-    """Margins after the trees (each three matrices by model: feature, bin, weight)."""
-    out = start.copy()
-    for feature, cut, weight in trees:
-        node = _descend(bins, feature, cut, depth)
-        out += weight[np.arange(len(feature))[:, None], node]
-    return out
+def _add_trees(margin: np.ndarray, bins, trees, levels: int) -> np.ndarray:
+    """The margins of a model after more of its trees (feature, bin and weight: a row per tree)."""
+    for feature, cut, weight in zip(trees[0].tolist(), trees[1].tolist(), trees[2]):
+        margin += weight.take(_positions(bins, feature, cut, levels), mode="clip")
+    return margin
 
 
-def _drawn(key: np.ndarray, seed: np.ndarray, share: np.ndarray) -> np.ndarray:
-    """Whether a row takes part in each model's tree: a hash of its key below the share."""
+def _drawn(key: np.ndarray, seed: int, share: float) -> np.ndarray:
+    """Whether a row takes part in a tree: a hash of its key below the share."""
     with np.errstate(over="ignore"):
-        x = key[None, :] ^ seed[:, None]
+        x = key ^ np.uint64(seed)
         x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
         x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
         x ^= x >> np.uint64(31)
-    return (x >> np.uint64(11)) * 2.0**-53 < share[:, None]
-
-
-def _rows(batch, n_features, n_models):
-    """Arrays of a batch of state rows, a bounded number of rows at a time."""
-    step = max(1, CHUNK // max(n_models, 1))
-    for i in range(0, batch.num_rows, step):
-        part = batch.slice(i, step)
-        joined = lambda c, t: np.frombuffer(b"".join(part.column(c).to_pylist()), t)
-        yield (joined("bins", "<u2").reshape(-1, n_features).astype(np.int64), np.asarray(part.column("label")).astype(float),
-               np.asarray(part.column("fold")), np.asarray(part.column("key")).view(np.uint64),
-               joined("margins", "<f8").reshape(-1, n_models).T.copy())
+    return (x >> np.uint64(11)) * 2.0**-53 < share
+
+
+def _rows(batches, n_features: int, n_margins: int, n_models: int):
+    """Arrays of the state's rows, a bounded number of rows at a time; bins and margins by column."""
+    def arrays(parts):
+        whole = pa.Table.from_batches(parts).combine_chunks()
+        column = lambda c: whole.column(c).to_numpy()
+        packed = lambda c, t, n: (
+            np.frombuffer(b"".join(whole.column(c).to_pylist()), t).reshape(whole.num_rows, n).T.copy())
+        bins = packed("bins", "<u2", n_features)
+        return (bins.astype(np.min_scalar_type(bins.max(initial=0))), column("label").astype(float), column("fold"),
+                column("key").view(np.uint64), packed("margins", "<f8", n_margins))
+
+    step, parts, held = max(1, CHUNK // max(n_models, 1)), [], 0
+    for batch in batches:
+        for i in range(0, batch.num_rows, step):
+            parts.append(batch.slice(i, step))
+            held += parts[-1].num_rows
+            if held >= step:
+                yield arrays(parts)
+                parts, held = [], 0
+    if held:
+        yield arrays(parts)
 
 
 # --- growth ----------------------------------------------------------------------------------
@@ -126,12 +139,13 @@ class _Growth:
     def __init__(self, state: DataFrame, models: list[Boosted], edges, n_rows: int, seed: int):
         self.state, self.models, self.edges, self.seed = state, models, edges, seed
         self.n_features, self.depth = len(edges), max(m.setting["max_depth"] for m in models)
-        self.fresh: list[tuple] = []  # trees since the margins were landed
+        self.fresh = 0  # trees of the growing models since the margins were landed
+        self.kept = np.array([], np.int64)  # models whose margins are landed; none: all stand at their base
         # Whole-number sums: n rows of |g| <= 1 stay below 2**62; a task's chunk stays exact in a double.
         self.scale = 2.0 ** min(32, 61 - math.ceil(math.log2(max(n_rows, 2))))
         column = lambda k: np.array([float(m.setting[k]) for m in models])
         self.rate, self.share = column("learning_rate"), column("subsample")
-        self.fold = np.array([m.fold for m in models])
+        self.fold, self.base = np.array([m.fold for m in models]), np.array([m.base for m in models])
         self.penalties = np.stack([column(k) for k in ("reg_alpha", "reg_lambda", "gamma", "min_child_weight")], 1)
 
     def _columns(self, tree: int) -> np.ndarray:
@@ -142,33 +156,45 @@ class _Growth:
             out[i, random.Random(f"{self.seed}|{tree}|{k}").sample(range(self.n_features), k)] = True
         return out
 
-    def _histograms(self, block: np.ndarray, level: int, tree, columns, seeds) -> DataFrame:
+    def _trees(self, models, last: int | None) -> list[tuple]:
+        """Features, bins and weights of the last trees of each model (None: all): a row per tree."""
+        size, kinds = 2 ** (self.depth + 1) - 1, {"feature": np.int32, "bin": np.int32, "weight": float}
+        own = lambda m: m.trees if last is None else m.trees[len(m.trees) - last:]
+        return [tuple(np.array([getattr(t, k) for t in own(self.models[i])], kind).reshape(-1, size) for k, kind in kinds.items()) for i in models]
+
+    def _histograms(self, block: np.ndarray, level: int, tree, columns, seed: int) -> DataFrame:
         """(model, node, sums): a task's sums of g and h by feature and bin, for a block of models at a level."""
         first, width = 2**level - 1, 2**level
         n_bins = max(len(e) for e in self.edges) + 1
-        f_count, depth, fresh, scale = self.n_features, self.depth, self.fresh, self.scale
-        share, fold, n_models = self.share[block], self.fold[block], len(self.models)
-        fresh = [tuple(x[block] for x in t) for t in fresh]
+        f_count, depth, scale, n_kept = self.n_features, self.depth, self.scale, len(self.kept)
+        fresh, at = self._trees(block, self.fresh), np.searchsorted(self.kept, block)
         feature, cut, _ = (x[block] for x in tree)
-        columns, seeds, shape = columns[block], seeds[block], (len(block), width, f_count, n_bins)
+        base, columns, shape = self.base[block], columns[block], (len(block), width + 1, f_count, n_bins)
+        alike = {}  # models by the rows they see
+        for i, m in enumerate(block.tolist()):
+            alike.setdefault((float(self.share[m]), int(self.fold[m])), []).append(i)
+        place = np.full(2 ** (self.depth + 1), width)  # rows of closed nodes are put last
+        place[first:first + width] = np.arange(width)
 
         def add(batches):
-            total = np.zeros((2, int(np.prod(shape))), np.int64)
-            for batch in batches:
-                for bins, label, folds, key, start in _rows(batch, f_count, n_models):
-                    p = 1 / (1 + np.exp(-_margins(bins, start[block], fresh, depth)))
-                    node = _descend(bins, feature, cut, level)
-                    open_ = (node >= first) & (folds[None, :] != fold[:, None]) & _drawn(key, seeds, share)
-                    model, row = np.nonzero(open_)
-                    p = p[model, row]
-                    g, h = np.rint((p - label[row]) * scale), np.rint(p * (1 - p) * scale)
-                    place = (model * width + node[model, row] - first) * f_count
-                    for f in range(f_count):
-                        at = (place + f) * n_bins + bins[row, f]
-                        if columns[:, f].any():
-                            total[0] += np.bincount(at, g, total.shape[1]).astype(np.int64)
-                            total[1] += np.bincount(at, h, total.shape[1]).astype(np.int64)
-            every = (total.reshape(2, *shape) * columns[:, None, :, None]).transpose(1, 2, 0, 3, 4)
+            total = np.zeros((2, *shape), np.int64)
+            for bins, label, folds, key, start in _rows(batches, f_count, n_kept, len(block)):
+                for (share, fold), members in alike.items():
+                    seen = np.flatnonzero((folds != fold) & _drawn(key, seed, share))
+                    if not len(seen):
+                        continue
+                    own, y = [b.take(seen) for b in bins], label.take(seen)
+                    slots = [b.astype(np.intp) for b in own]
+                    for i in members:
+                        margin = start[at[i]].take(seen) if n_kept else np.full(len(seen), base[i])
+                        p = 1 / (1 + np.exp(-_add_trees(margin, own, fresh[i], depth)))
+                        g, h = np.rint((p - y) * scale), np.rint(p * (1 - p) * scale)
+                        node = place.take(_positions(own, feature[i].tolist(), cut[i].tolist(), level), mode="clip") * n_bins
+                        for f in np.flatnonzero(columns[i]):
+                            for k, x in enumerate((g, h)):
+                                sums = np.bincount(slots[f] + node, x, (width + 1) * n_bins)
+                                total[k, i, :, f] += sums.reshape(width + 1, n_bins).astype(np.int64)
+            every = total[:, :, :width].transpose(1, 2, 0, 3, 4)
             m, n = np.nonzero(every[:, :, 1].any(axis=(2, 3)))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(block[m].astype(np.int32)), pa.array((n + first).astype(np.int32)),
@@ -220,9 +246,9 @@ class _Growth:
         """Grow the next tree of every model that still has trees to grow."""
         active = np.array([i for i, m in enumerate(self.models) if number < m.setting["n_estimators"]])
         size, n = 2 ** (self.depth + 1) - 1, len(self.models)
-        feature, cut, weight = np.full((n, size), -1), np.zeros((n, size), np.int64), np.zeros((n, size))
+        feature, cut, weight = np.full((n, size), -1, np.int32), np.zeros((n, size), np.int32), np.zeros((n, size))
         columns = self._columns(number)
-        seeds = np.array([random.Random(f"{self.seed}|{number}|rows").getrandbits(64)] * n, np.uint64)
+        seed = random.Random(f"{self.seed}|{number}|rows").getrandbits(64)
         n_bins = max(len(e) for e in self.edges) + 1
         open_ = {(int(i), 0) for i in active}
         for level in range(self.depth):
@@ -231,7 +257,7 @@ class _Growth:
             now, open_ = open_, set()
             for i in range(0, len(growing), per_pass):
                 block = growing[i:i + per_pass]
-                for r in self._best(self._histograms(block, level, (feature, cut, weight), columns, seeds)):
+                for r in self._best(self._histograms(block, level, (feature, cut, weight), columns, seed)):
                     m, node = r["model"], r["node"]
                     if (m, node) not in now:
                         continue
@@ -246,40 +272,52 @@ class _Growth:
                 break
         for i in active:
             self.models[i].trees.append(Tree(feature[i], cut[i], weight[i]))
-        self.fresh.append((feature, cut, weight))
-        if len(self.fresh) >= LAND_EVERY:
-            self.land()
+        self.fresh += 1
+        growing = np.array([i for i in active if number + 1 < self.models[i].setting["n_estimators"]], np.int64)
+        if self.fresh >= LAND_EVERY and len(growing):
+            self.land(growing)
 
     def _weight(self, m: int, g: float, h: float) -> float:
         s = self.models[m].setting
         bottom = h + s["reg_lambda"]
         return -math.copysign(max(abs(g) - s["reg_alpha"], 0.0), g) / bottom * self.rate[m] if bottom > 0 else 0.0
 
-    def land(self) -> None:
-        """Write the rows with the margins after all trees so far to the shared folder."""
-        f_count, n_models, depth, fresh = self.n_features, len(self.models), self.depth, self.fresh
+    def land(self, growing: np.ndarray | None = None) -> None:
+        """Write the rows with the margins of the models that still grow (None: all kept) to the shared folder."""
+        if growing is None:
+            growing = self.kept if len(self.kept) else np.arange(len(self.models))
+        f_count, n_kept, depth, n_models = self.n_features, len(self.kept), self.depth, len(self.models)
+        fresh, at, base = self._trees(growing, self.fresh), np.searchsorted(self.kept, growing), self.base[growing]
 
         def update(batches):
             for batch in batches:
-                out = [_margins(bins, start, fresh, depth).T.astype("<f8") for bins, _, _, _, start in _rows(batch, f_count, n_models)]
-                margins = [r.tobytes() for part in out for r in part]
-                yield batch.set_column(batch.schema.get_field_index("margins"), "margins", pa.array(margins, pa.binary()))
+                parts = []
+                for bins, label, _, _, start in _rows([batch], f_count, n_kept, n_models):
+                    margins = (start[at[i]] if n_kept else np.full(len(label), base[i]) for i in range(len(at)))
+                    after = np.stack([_add_trees(x, bins, fresh[i], depth) for i, x in enumerate(margins)], 1).astype("<f8")
+                    parts += [r.tobytes() for r in after]
+                yield batch.set_column(batch.schema.get_field_index("margins"), "margins", pa.array(parts, pa.binary()))
 
         self.state = _landed(self.state.mapInArrow(update, self.state.schema), "boost-state")
-        self.fresh = []
+        self.fresh, self.kept = 0, growing
 
     def held_out(self) -> DataFrame:
         """(model, fold, label, score) of every row under the models that left its fold out."""
-        self.land()
-        f_count, n_models, fold = self.n_features, len(self.models), self.fold
+        f_count, n_kept, depth, n_models, base = self.n_features, len(self.kept), self.depth, len(self.models), self.base
+        members = {k: np.flatnonzero(self.fold == k) for k in set(self.fold.tolist())}
+        trees = self._trees(range(n_models), None)
 
         def emit(batches):
-            for batch in batches:
-                for _, label, folds, _, margin in _rows(batch, f_count, n_models):
-                    model, row = np.nonzero(folds[None, :] == fold[:, None])
+            for bins, label, folds, _, _ in _rows(batches, f_count, n_kept, n_models):
+                for fold, models in members.items():
+                    rows = np.flatnonzero(folds == fold)
+                    if not len(rows):
+                        continue
+                    own = [b.take(rows) for b in bins]
+                    margin = np.concatenate([_add_trees(np.full(len(rows), base[m]), own, trees[m], depth) for m in models])
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(model.astype(np.int32)), pa.array(folds[row].astype(np.int32)), pa.array(label[row]),
-                         pa.array(1 / (1 + np.exp(-margin[model, row])))], names=["model", "fold", "label", "score"])
+                        [pa.array(np.repeat(models, len(rows)).astype(np.int32)), pa.array(np.full(len(margin), fold, np.int32)),
+                         pa.array(np.tile(label[rows], len(models))), pa.array(1 / (1 + np.exp(-margin)))], names=["model", "fold", "label", "score"])
 
         return self.state.mapInArrow(emit, "model int, fold int, label double, score double")
 
@@ -312,7 +350,6 @@ def grow(rows: DataFrame, feature_cols: Sequence[str], label_col: str, settings:
     bases = {k: base(k) for k in outs}
     models = [Boosted(s, k, bases[k]) for s in settings for k in outs]
     edges = bin_edges(rows, feature_cols, max_bins)
-    start = np.array([m.base for m in models], "<f8").tobytes()
 
     def prepare(batches):
         for batch in batches:
@@ -322,11 +359,13 @@ def grow(rows: DataFrame, feature_cols: Sequence[str], label_col: str, settings:
             bins = np.stack([np.searchsorted(e, x[:, i], "left") for i, e in enumerate(edges)], 1).astype("<u2")
             yield pa.RecordBatch.from_arrays(
                 [pa.array([b.tobytes() for b in bins], pa.binary()), *(batch.column(c) for c in ("label", "fold", "key")),
-                 pa.array([start] * batch.num_rows, pa.binary())], names=["bins", "label", "fold", "key", "margins"])
+                 pa.array([b""] * batch.num_rows, pa.binary())], names=["bins", "label", "fold", "key", "margins"])
 
     source = rows.select(*[F.col(f"`{c}`").cast("double").alias(f"x{i}") for i, c in enumerate(feature_cols)],
                          F.col(label_col).cast("double").alias("label"), in_fold.alias("fold"), F.xxhash64(F.col(key_col)).alias("key"))
-    state = _landed(source.mapInArrow(prepare, "bins binary, label double, fold int, key long, margins binary"), "boost-state")
+    # few small files would be read by few tasks: the rows are dealt over the cores
+    files = max(math.ceil(n_rows / FILE_ROWS), min(rows.sparkSession.sparkContext.defaultParallelism, math.ceil(n_rows / 1024)), 1)
+    state = _landed(source.repartition(files).mapInArrow(prepare, "bins binary, label double, fold int, key long, margins binary"), "boost-state")
     growth = _Growth(state, models, edges, n_rows, seed)
     for number in range(max(m.setting["n_estimators"] for m in models)):
         growth.add_tree(number)

@@ -104,6 +104,26 @@ def test_many_passes_and_landings_change_nothing(table, monkeypatch):
     assert all(len({int(f) for f in t.feature if f >= 0}) <= 2 for t in one.models[0].trees)  # two of three columns per tree
 
 
+def test_rows_are_dealt_over_the_cores(spark):
+    df = spark.range(4096, numPartitions=1).select("id", (F.col("id") % 7).cast("double").alias("a"), (F.col("id") % 2).cast("double").alias("y"))
+    growth = B.grow(df, ["a"], "y", [{"n_estimators": 1, "max_depth": 1}], "id")
+    parts = growth.state.groupBy(F.input_file_name()).count().collect()  # one file per core, or one per 1,024 rows
+    assert len(parts) == min(spark.sparkContext.defaultParallelism, 4) and sum(r["count"] for r in parts) == 4096
+    assert max(r["count"] for r in parts) <= 2 * min(r["count"] for r in parts)
+
+
+def test_margins_are_kept_for_growing_models_only(table, monkeypatch):
+    df, _, _ = table
+    settings = [{**SETTINGS[0], "n_estimators": 1}, {**SETTINGS[0], "n_estimators": 3}]
+    monkeypatch.setattr(B, "LAND_EVERY", 1)
+    growth = B.grow(df, ["a", "b", "c"], "y", settings, "k", "fold", 3)
+    assert growth.kept.tolist() == [3, 4, 5] and growth.fresh == 1
+    assert {len(r["margins"]) for r in growth.state.select("margins").collect()} == {3 * 8}
+    monkeypatch.setattr(B, "LAND_EVERY", 100)
+    other = B.grow(df, ["a", "b", "c"], "y", settings, "k", "fold", 3)
+    assert growth.held_out().exceptAll(other.held_out()).count() == 0
+
+
 def test_saved_model_scores_the_same(table, spark, tmp_root):
     df, _, _ = table
     model = B.fit(df, ["a", "b", "c"], "y", SETTINGS[0], "k")
