@@ -14,6 +14,11 @@ from sparkmart.functions.util import as_col
 _EXPONENT = r"^[^0-9.]*([0-9]*\.?[0-9]+[eE][+-]?[0-9]+)[^0-9]*$"
 
 
+def _power(text: Column) -> Column:
+    """The number with an exponent in a text, empty or null if none; only texts with an ``e`` are searched."""
+    return F.when(F.contains(text, F.lit("e")) | F.contains(text, F.lit("E")), F.regexp_extract(text, _EXPONENT, 1))
+
+
 def strip_to_digits(c, to: str = "int") -> Column:
     """Keep only ``0-9`` and cast with ``try_cast`` (CLN-2).
 
@@ -23,9 +28,11 @@ def strip_to_digits(c, to: str = "int") -> Column:
     (``"2.5e3"`` -> 2500).
     """
     text = as_col(c).cast("string")
-    power = F.regexp_extract(text, _EXPONENT, 1)
-    whole = F.regexp_replace(text, r"\.[0-9]*(?=[^0-9.]*$)", "")
-    return F.when(power != "", power.try_cast("double").try_cast(to)).otherwise(F.regexp_replace(whole, r"[^0-9]", "").try_cast(to))
+    power = _power(text)
+    whole = F.when(F.contains(text, F.lit(".")), F.regexp_replace(text, r"\.[0-9]*(?=[^0-9.]*$)", "")).otherwise(text)
+    digits = F.regexp_replace(whole, r"[^0-9]", "")
+    # no cast of empty text: each one costs an exception inside
+    return F.when(power != "", power.try_cast("double").try_cast(to)).when(digits != "", digits.try_cast(to))
 
 
 def strip_to_decimal(c, to: str = "double") -> Column:
@@ -34,8 +41,9 @@ def strip_to_decimal(c, to: str = "double") -> Column:
     A number written with an exponent (``"1.25E7"``, as doubles of 1e7 and more are) keeps it.
     """
     text = as_col(c).cast("string")
-    power = F.regexp_extract(text, _EXPONENT, 1)
-    return F.coalesce(power.try_cast(to), F.regexp_replace(text, r"[^0-9.]", "").try_cast(to))
+    power, plain = _power(text), F.regexp_replace(text, r"[^0-9.]", "")
+    # no cast of empty text: each one costs an exception inside
+    return F.coalesce(F.when(power != "", power.try_cast(to)), F.when(plain != "", plain.try_cast(to)))
 
 
 def null_if_in(c, sentinels: Iterable) -> Column:

@@ -24,7 +24,9 @@ def _cast(df: DataFrame, c: str, to: str):
     """``try_cast``; whole-number text with a decimal point (``"1.0"``) still becomes an integer."""
     col = F.col(c)
     if to in _INTEGRAL and isinstance(df.schema[c].dataType, T.StringType):
-        return F.coalesce(col.try_cast(to), col.try_cast("decimal(38,10)").try_cast(to))
+        # a cast that fails costs an exception inside, so text with a point is never tried as an integer first
+        whole = F.when(~F.contains(col, F.lit(".")), col.try_cast(to))
+        return F.coalesce(whole, col.try_cast("decimal(38,10)").try_cast(to))
     return col.try_cast(to)
 
 

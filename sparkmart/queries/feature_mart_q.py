@@ -22,6 +22,7 @@ from sparkmart.plans import feature_mart as fm
 from sparkmart.queries.loanbook import SILVER_SQL, loan_book
 from sparkmart.queries.registry import query
 from sparkmart.sources.tables import table
+from sparkmart.sources.writers import land
 
 # fixed values: loan-type names given to the return flags
 LOAN_TYPES = {"A": "Auto Loan", "N": "Home Loan", "R": "Payday Loan"}
@@ -57,6 +58,7 @@ def raw_extracts(spark, sf_dir):
                  F.max("o_orderstatus").alias("status"), F.min("o_orderpriority").alias("prio")))
     base = om.join(lines, ["o_custkey", "snapshot_date"], "left").join(
         c.select("c_custkey", "c_name", "c_nationkey", "c_mktsegment"), om.o_custkey == c.c_custkey)
+    base = land(base, "feature_extracts")  # both extracts read it: joined and grouped once
     nk = F.col("c_nationkey")
     attrs = base.select(
         F.col("o_custkey").cast("string").alias("Customer_ID"), F.col("c_name").alias("Name"),

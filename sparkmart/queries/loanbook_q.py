@@ -14,11 +14,13 @@ from pyspark.sql import functions as F
 from sparkmart.plans import loanbook_mart as lm
 from sparkmart.queries.registry import query
 from sparkmart.sources.tables import table
+from sparkmart.sources.writers import land
 
 KEYS = ["member_id", "snapshot_date"]
 
 
 def _base(spark, sf_dir):
+    """A row per member and month, joined and grouped once for all extracts, fits and windows that read it."""
     o = table(spark, sf_dir, "orders")
     li = table(spark, sf_dir, "lineitem")
     month = F.trunc(F.col("o_orderdate").cast("date"), "MM")
@@ -34,14 +36,15 @@ def _base(spark, sf_dir):
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     b = (om.join(ln, ["o_custkey", "snapshot_date"], "left")
            .join(c, om.o_custkey == c.c_custkey).join(n, c.c_nationkey == n.n_nationkey))
-    return b.select(F.col("o_custkey").cast("string").alias("member_id"), "snapshot_date", "total", "n_orders",
-                    "status", "prio", "first_key", F.coalesce("n_lines", F.lit(0)).alias("n_lines"),
-                    F.coalesce("n_late", F.lit(0)).alias("n_late"), F.coalesce("qty", F.lit(0.0)).alias("qty"),
-                    "c_acctbal", "c_nationkey", "c_mktsegment", "n_name")
+    b = b.select(F.col("o_custkey").cast("string").alias("member_id"), "snapshot_date", "total", "n_orders",
+                 "status", "prio", "first_key", F.coalesce("n_lines", F.lit(0)).alias("n_lines"),
+                 F.coalesce("n_late", F.lit(0)).alias("n_late"), F.coalesce("qty", F.lit(0.0)).alias("qty"),
+                 "c_acctbal", "c_nationkey", "c_mktsegment", "n_name")
+    return land(b, "loanbook_extracts")
 
 
-def raw_extracts(spark, sf_dir):
-    b = _base(spark, sf_dir)
+def raw_extracts(spark, sf_dir, b=None):
+    b = _base(spark, sf_dir) if b is None else b
     st, pr = F.col("status"), F.col("prio")
     credit = b.where(st != "O").select(
         "member_id", F.col("snapshot_date").cast("string").alias("snapshot_date"),

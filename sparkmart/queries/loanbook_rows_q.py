@@ -67,7 +67,7 @@ def q_loanbook_silver_csv(spark, sf_dir):
     root = scratch_path(spark, "loanbook_csv")
     b = _base(spark, sf_dir)
     keys = ["member_id", F.col("snapshot_date").cast("string").alias("snapshot_date")]
-    raw = raw_extracts(spark, sf_dir)
+    raw = raw_extracts(spark, sf_dir, b)
     raw["credit_history"] = b.select(*keys, F.date_format("snapshot_date", "MMM-yyyy").alias("earliest_cr_line"), F.lit("x").alias("last_credit_pull_d"),
                                      *[F.expr(_rule(i, True)).alias(c) for i, c in enumerate(CREDIT)])
     raw["financial"] = b.select(*keys, F.lit("x").alias("dti_joint"), *[F.expr(_rule(i, c in lm.FIN_INTS)).alias(c) for i, c in enumerate(FINANCIAL)])

@@ -45,6 +45,15 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     df.write.mode("overwrite").format(fmt).save(path)
 
 
+def land(df: DataFrame, name: str) -> DataFrame:
+    """The frame written once to the shared folder and read back, for frames that several jobs read."""
+    from sparkmart.session import scratch_path
+
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def write_bucketed(df: DataFrame, table: str, path: str, keys: Iterable[str], buckets: int) -> DataFrame:
     """SNK-2..6 as a co-located store: rows bucketed and sorted by ``keys``, kept at ``path``.
 
